@@ -74,6 +74,11 @@ def skipped(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100) - 1
 
 
+def least_merged(a: int, b: int, percent: int = PERCENT) -> int:
+    """How many indexed lists sets of a and b must share: T less what the lists left out can give."""
+    return least_common(a, b, percent) - max(skipped(a, percent), skipped(b, percent))
+
+
 def short_lists(hashes: np.ndarray, heavy: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The shingles that are indexed: in the order of (heavy, hash), all but the last ``skipped``."""
     keep = len(hashes) - skipped(len(hashes), percent)
@@ -93,40 +98,41 @@ def _first_seen(seen: set[int], key: int, most: int = 1 << 20) -> bool:
     return True
 
 
-def nodes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(_key, n, node) for every row; node is null for an empty set."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = Emitter(["_key", "n", "node", "some"], most=10_000)
-        for key, text in rows_of(batches, "_key", "text"):
-            h = shingles(text_of(text), size)
-            if out.add((key, len(h), set_key(h) if len(h) else 0, len(h) > 0)):
-                yield out.frame()
-        yield out.frame()
-
-    out = keyed(docs, "text").mapInPandas(run, "_key long, n long, node long, some boolean")
-    return out.select("_key", "n", F.when(F.col("some"), F.col("node")).alias("node"))
-
-
-def _heavy(docs: DataFrame, size: int) -> np.ndarray:
-    """Shingles that many documents hold, sorted. They only decide an order, so near counts will do."""
+def survey(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """One pass over the texts: (_key, n, node) of every row, node being null for an empty set,
+    and, of kind 2, (node = a shingle, n = how often the task met it) of frequent shingles.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = Emitter(["_key", "n", "node", "kind"], most=10_000)
         seen: set[int] = set()
         parts, held = [], 0
-        for (text,) in rows_of(batches, "text"):
+        for key, text in rows_of(batches, "_key", "text"):
             h = shingles(text_of(text), size)
-            if len(h) and _first_seen(seen, set_key(h)):
+            node = set_key(h) if len(h) else 0
+            if out.add((key, len(h), node, int(len(h) > 0))):
+                yield out.frame()
+            if len(h) and _first_seen(seen, node):
                 parts.append(h)
                 held += len(h)
                 if held > 4_000_000:
                     yield _often(parts)
                     parts, held = [], 0
+        yield out.frame()
         if parts:
             yield _often(parts)
 
-    counts = docs.select("text").mapInPandas(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "h").limit(MOST_HEAVY).toPandas()["h"]
+    return keyed(docs, "text").mapInPandas(run, "_key long, n long, node long, kind int")
+
+
+def rows_in(surveyed: DataFrame) -> DataFrame:
+    return surveyed.where("kind < 2").select("_key", "n", F.when(F.col("kind") == 1, F.col("node")).alias("node"))
+
+
+def heavy_in(surveyed: DataFrame) -> np.ndarray:
+    """Shingles that many documents hold, sorted. They only decide an order, so near counts will do."""
+    counts = surveyed.where("kind = 2").groupBy("node").agg(F.sum("n").alias("n"))
+    top = counts.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "node").limit(MOST_HEAVY).toPandas()["node"]
     return np.sort(top.to_numpy(np.int64).view(np.uint64))
 
 
@@ -135,7 +141,7 @@ def _often(parts: list[np.ndarray]) -> pd.DataFrame:
     starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
     n = np.diff(np.append(starts, len(h)))
     keep = n >= LOCAL
-    return pd.DataFrame({"h": h[starts[keep]].view(np.int64), "n": n[keep].astype(np.int64)})
+    return pd.DataFrame({"_key": 0, "n": n[keep].astype(np.int64), "node": h[starts[keep]].view(np.int64), "kind": np.int32(2)})
 
 
 def _index(docs: DataFrame, heavy: np.ndarray, size: int, percent: int, short: int = SHORT) -> DataFrame:
@@ -214,16 +220,17 @@ def _search(index: DataFrame, percent: int) -> DataFrame:
         rows = rows_of(batches, "node", "n", "partners", "sizes", "whole")
         for (a, n), mine in groupby(rows, key=lambda r: (r[0], r[1])):
             # The members of a list stand in order, so the lists merge as they are.
-            lists, direct = [], set()
+            lists, firsts = [], []
             for _, _, partners, sizes, whole in mine:
-                if whole:
-                    lists.append(zip(partners.tolist(), sizes.tolist(), strict=True))
-                else:
-                    direct.update((b, k) for b, k in zip(partners.tolist(), sizes.tolist(), strict=True) if b != a)
+                (lists if whole else firsts).append(zip(partners.tolist(), sizes.tolist(), strict=True))
+            # Of the lists that a pair must share, so many may be long; the others are found by the merge.
+            long, found = len(firsts), set()
             for (b, k), group in groupby(heapq.merge(*lists)):
-                if sum(1 for _ in group) >= least_common(n, k, percent) - max(skipped(n, percent), skipped(k, percent)):
-                    direct.add((b, k))
-            for b, k in sorted(direct):
+                if sum(1 for _ in group) >= least_merged(n, k, percent) - long:
+                    found.add((b, k))
+            for first in firsts:
+                found.update((b, k) for b, k in first if b != a and least_merged(n, k, percent) <= long)
+            for b, k in sorted(found):
                 if least_common(n, k, percent) <= min(n, k) and out.add((a, b)):
                     yield out.frame()
         yield out.frame()
@@ -289,9 +296,9 @@ def _probe(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
     return both.mapInPandas(compare, "a long, b long, common long")
 
 
-def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT) -> tuple[DataFrame, DataFrame | None]:
+def links(docs: DataFrame, heavy: np.ndarray, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT) -> tuple[DataFrame, DataFrame | None]:
     """Links (a, b, common) between different sets, enough to connect all that are linked, and their components."""
-    index = materialize(_index(docs, _heavy(docs, size), size, percent, short), "index")
+    index = materialize(_index(docs, heavy, size, percent, short), "index")
     found = materialize(_probe(docs, materialize(_search(index, percent), "pairs"), size, percent), "links")
     if found.isEmpty() and index.where("NOT whole").isEmpty():
         return found, None
@@ -306,25 +313,31 @@ def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, short: i
 
 
 def _unsettled(members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a long list that are still in different components, but for pairs with its first member.
+    """Pairs of a long list that are still in different components and that the merge may have missed.
 
-    The list's largest component isn't paired within, only with the members outside it.
+    The merge missed a pair only if both sets are in as many long lists as they must
+    share. The list's largest component isn't paired within, only with the members
+    outside it.
     """
-    own = members.select("s", "node", "n").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    often = members.groupBy("node").agg(F.count("*").alias("m"))
+    own = members.select("s", "node", "n").join(often, "node").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     shares = own.groupBy("s", "component").agg(F.count("*").alias("k"))
     main = shares.groupBy("s").agg(F.max(F.struct("k", "component")).getField("component").alias("main"), F.count("*").alias("parts")).where("parts > 1")
     own = materialize(own.join(main.select("s", "main"), "s"), "members")
-    outside = own.where("component <> main").select("s", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    pairs = own.join(outside, "s").where("component <> cx AND node <> x")
-    enough = F.ceil(F.lit(percent) * (F.col("n") + F.col("nx")) / F.lit(100 + percent)) <= F.least("n", "nx")
-    pairs = pairs.where(enough).select(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b")).distinct()
-    return materialize(pairs, "pairs")
+    outside = own.where("component <> main").select("s", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("m").alias("mx"), F.col("component").alias("cx"))
+    most, both = F.greatest("n", "nx"), F.col("n") + F.col("nx")
+    common = F.floor((percent * both + (100 + percent - 1)) / (100 + percent))
+    left_out = F.floor((percent * most + 99) / 100) - 1
+    possible = (common <= F.least("n", "nx")) & (common - left_out <= F.least("m", "mx"))
+    pairs = own.join(outside, (own["s"] == outside["s"]) & (F.col("component") != F.col("cx")) & possible)
+    return materialize(pairs.select(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b")).distinct(), "pairs")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (the least doc_id of all it is linked with)."""
-    rows = materialize(nodes(docs, size), "nodes")
-    found, groups = links(docs, size, percent, short)
+    surveyed = materialize(survey(docs, size), "survey")
+    rows = rows_in(surveyed)
+    found, groups = links(docs, heavy_in(surveyed), size, percent, short)
     sets = rows.where("node IS NOT NULL")
     least = sets.groupBy("node").agg(F.min("_key").alias("least"))
     several = sets.groupBy("_key").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most")
