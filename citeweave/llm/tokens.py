@@ -18,9 +18,13 @@ empty table gives no segment.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,17 +44,23 @@ LEVEL = 3
 #: Compressed bytes after which a segment ends.
 SEGMENT_BYTES = 1 << 20
 #: Words whose ids a task remembers.
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 700_000
 
 _MAGIC = b"CWTK"
 _HEAD = struct.Struct("<4sBB32sQ")
 
 
+#: A word's end: ASCII marks, without the apostrophe, that follow a letter or digit.
+_MARKS = re.compile(r"(?<=[^\W_])[!-&(-/:-@\[-`{-~]+$")
+
+
 class Encoder:
-    """Encodes texts with a tokenizer that drops white space, remembering the ids of words.
+    """Encodes texts with a tokenizer that drops white space and case, remembering the ids of words.
 
-    Such a tokenizer works on each word between blanks by itself, so that a text's ids
-    are its words' ids one after another.
+    Such a tokenizer works on each word between blanks by itself, and splits marks from
+    the letters before them, so that a text's ids are its words' ids one after another.
+    Texts with special tokens, or with letters whose lower case depends on their
+    neighbours, keep their case and marks until the tokenizer sees them.
     """
 
     def __init__(self, path: str, end: int = END):
@@ -58,28 +68,46 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.end = np.array([end], f"<u{self.width}").tobytes()
+        self.kind = "H" if self.width == 2 else "I"
+        self.end = self._packed([end])
         self.known: dict[str, bytes] = {}
 
+    def _packed(self, ids: list[int]) -> bytes:
+        out = array(self.kind, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+            self.known[w] = self._packed(e.ids)
+
     def encode(self, text: str) -> bytes:
         """The ids and the end id, ``width`` bytes each, little-endian."""
-        words = text.replace("\n", " ").split(" ")
+        plain = not ("<|" in text or "\u03a3" in text or "\u0130" in text)
+        words = (text.lower() if plain else text).replace("\n", " ").split(" ")
         known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        new = [w for w in set(words) if w not in known]
         if new:
-            if len(known) > CACHE_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            kind = f"<u{self.width}"
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, kind).tobytes()
+            parts = {w: (w[: m.start()], m[0]) for w in new if (m := _MARKS.search(w))} if plain else {}
+            self._learn(list({p for w in new for p in parts.get(w, (w,)) if p not in known}))
+            for w, (body, marks) in parts.items():
+                known[w] = known[body] + known[marks]
         return b"".join(map(known.__getitem__, words)) + self.end
 
 
+@functools.cache
+def encoder_of(path: str) -> Encoder:
+    """One encoder for each worker process: later tasks find the words of earlier ones."""
+    return Encoder(path)
+
+
 def train(docs: DataFrame, tokenizer: str, sample: int = SAMPLE) -> bytes:
     """A dictionary from ``sample`` documents; empty where these are too few to train one."""
     ids = [r._key for r in keyed(docs).select("_key", F.xxhash64("_key").alias("h")).orderBy("h", "_key").limit(sample).collect()]
-    encoder = Encoder(tokenizer)
+    encoder = encoder_of(tokenizer)
     chosen = keyed(docs, "text").where(F.col("_key").isin(ids)).select("_key", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
     rows = sorted(chosen.limit(4 * sample).collect(), key=lambda r: (r._key, text_of(r.text)))
     samples = [encoder.encode(text_of(r.text)) for r in rows]
@@ -99,7 +127,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, sample: int = SAMPLE) -> N
     ranges = IdRanges(docs, "doc_id")
 
     def compress(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         packer = _compressor(shared)
         out = Emitter(["_key", "n", "frame"])
         for key, text in rows_of(batches, "_key", "text"):
