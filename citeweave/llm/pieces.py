@@ -20,6 +20,7 @@ Repeated rows are encoded each.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import zlib
@@ -35,7 +36,7 @@ from citeweave.session import materialize
 
 #: Code points beyond which a text is giant, and code points of a chunk.
 GIANT, CHUNK = 50_000, 16_384
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 500_000
 _BLANK = "▁"
 _NONE = -math.inf
 
@@ -60,7 +61,7 @@ class Vocabulary:
                 self.pieces[piece] = (float(model.get_score(i)), i)
                 self.text[i] = piece.replace(_BLANK, " ").encode()
         self.longest = max(map(len, self.pieces), default=1)
-        self.unknown = min((s for s, _ in self.pieces.values()), default=0.0) - 10
+        self.unknown = min((s for s, _ in self.pieces.values() if s > -1e8), default=0.0) - 10  # lower ones are never chosen
         inner = [p for p in self.pieces if _BLANK in p.lstrip(_BLANK)]
         if inner:
             raise ValueError(f"pieces hold blanks inside: {inner[:3]}")
@@ -123,6 +124,12 @@ class Vocabulary:
         return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
+@functools.cache
+def vocabulary_of(path: str) -> Vocabulary:
+    """One vocabulary for each worker process: later tasks find the words of earlier ones."""
+    return Vocabulary(path)
+
+
 _WORDS = re.compile(f"{_BLANK}*[^{_BLANK}]+|{_BLANK}+")
 #: A place where every path has a boundary: before a blank that follows another character.
 _CUT = re.compile(f"(?<=[^{_BLANK}]){_BLANK}")
@@ -227,7 +234,7 @@ def encode(docs: DataFrame, model: str, giant: int = GIANT, chunk: int = CHUNK)
     size = F.length(F.coalesce("text", F.lit("")))
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = Vocabulary(model)
+        vocabulary = vocabulary_of(model)
         out = Emitter(["_key", "n_tokens", "ids", "score", "round_trip"])
         for key, text in rows_of(batches, "_key", "text"):
             text = text_of(text)
@@ -244,7 +251,7 @@ def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        longest = Vocabulary(model).longest
+        longest = vocabulary_of(model).longest
         for key, row, text in rows_of(batches, "_key", "row", "text"):
             parts = chunks_of(text_of(text), longest, chunk)
             yield pd.DataFrame({"_key": key, "row": row, "chunk": range(len(parts)), "part": [p for p, _ in parts], "size": [s for _, s in parts]})
@@ -254,7 +261,7 @@ def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     parts = materialize(parts, "chunks")  # row numbers are given once
 
     def matrix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = Vocabulary(model)
+        vocabulary = vocabulary_of(model)
         for row, c, part, size in rows_of(batches, "row", "chunk", "part", "size"):
             found = cuts(part, size, vocabulary.longest)
             yield pd.DataFrame({"row": [row], "chunk": [np.int32(c)], "matrix": [transfer(vocabulary, part, size).tobytes()], "head": [part[: found[0]] if found else ""]})
@@ -262,7 +269,7 @@ def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     matrices = parts.mapInPandas(matrix, "row long, chunk int, matrix binary, head string")
 
     def combine(group: pd.DataFrame) -> pd.DataFrame:
-        vocabulary = Vocabulary(model)
+        vocabulary = vocabulary_of(model)
         group = group.sort_values("chunk")
         k = vocabulary.longest
         entries, ends = boundaries([np.frombuffer(m).reshape(k, k) for m in group["matrix"]], list(group["head"]), vocabulary)
@@ -272,7 +279,7 @@ def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     states = matrices.groupBy("row").applyInPandas(combine, "row long, chunk int, entry binary, exit int, total double")
 
     def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = Vocabulary(model)
+        vocabulary = vocabulary_of(model)
         for key, row, c, part, size, entry, end, total in rows_of(batches, "_key", "row", "chunk", "part", "size", "entry", "exit", "total"):
             ids = path_back(vocabulary, part, size, np.frombuffer(entry).tolist(), end)
             yield pd.DataFrame({"_key": [key], "row": [row], "chunk": [np.int32(c)], "ids": [np.array(ids, np.int32)], "text": [part[:size]], "total": [total]})
@@ -280,7 +287,7 @@ def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     traced = parts.join(states, ["row", "chunk"]).mapInPandas(trace, "_key long, row long, chunk int, ids array<int>, text string, total double")
 
     def gather(group: pd.DataFrame) -> pd.DataFrame:
-        vocabulary = Vocabulary(model)
+        vocabulary = vocabulary_of(model)
         group = group.sort_values("chunk")
         ids = np.concatenate(list(group["ids"])).astype(np.int32)
         same = vocabulary.decode(ids.tolist()) == "".join(group["text"]).replace(_BLANK, " ")[1:]
@@ -293,7 +300,7 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
     """(doc_id, text) of rows of (doc_id, ids)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = Vocabulary(model)
+        vocabulary = vocabulary_of(model)
         for pdf in batches:
             yield pd.DataFrame({"_key": pdf["_key"], "text": ["" if x is None else vocabulary.decode(list(x)) for x in pdf["ids"]]})
 

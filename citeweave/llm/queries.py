@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import decontaminate, jaccard, language, secrets, tokens, winnow
+import corpus_pipeline
+from citeweave.llm import decontaminate, jaccard, language, pieces, secrets, shards, tokens, toxicity, urls, winnow
 from citeweave.llm.common import fold
-from citeweave.session import table
+from citeweave.session import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+LISTED_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer's file; a cluster has them at the same place on every machine."""
     import public_tokenizers
@@ -40,14 +44,63 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op6_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appends the documents as eight arrivals, compacts, and reads the table that the last manifest names."""
+    docs = table(spark, sf_dir, "documents")
+    store = shards.ingest(docs, scratch_path(spark, "shards"))
+    return store.read(docs.schema).select("doc_id", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: the urls of pages on sites with one of LISTED_SITES' names."""
+    pages = table(spark, sf_dir, "pages")
+    site = F.concat(F.lit("."), urls.host_of(urls.after_scheme("url")), F.lit("."))
+    return urls.judge(pages, pages.where(site.rlike(r"[.](" + "|".join(LISTED_SITES) + r")[.]")).select("url"))
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded_digest(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+OP6_SQL = "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, md5(text) AS text_md5 FROM documents"
+
+OP7_SQL = r"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (
+  SELECT page_id, rest, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(regexp_replace(rest, '^[^/?#]*', ''), '^[^?#]*', 0) AS path
+  FROM parts),
+named AS (
+  SELECT *, regexp_replace(regexp_replace(host, '^(www|m)[.]', ''), ':(80|443)$', '') || regexp_replace(path, '/+$', '')
+    || CASE WHEN query = '' THEN '' ELSE '?' || query END AS name
+  FROM (SELECT *, regexp_replace(regexp_replace('&' || regexp_extract(regexp_replace(rest, '#(.|\n)*$', ''), '[?]((.|\n)*)$', 1), '&(utm_[a-z]*|ref)=[^&]*', '', 'g'), '^&', '') AS query FROM split)),
+rules(verdict, h, p) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+ruled AS (
+  SELECT page_id, max_by(h || p, length(h || p)) AS rule, max_by(verdict, length(h || p)) AS verdict
+  FROM named JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id),
+listed AS (
+  SELECT DISTINCT name FROM named
+  WHERE name <> '' AND regexp_matches('.' || host || '.', '[.](ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)[.]'))
+SELECT n.page_id, n.host, n.path, r.rule, coalesce(r.verdict, CASE WHEN n.name IN (SELECT name FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM named n LEFT JOIN ruled r USING (page_id)
+"""
+
 OP8_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
@@ -92,6 +145,12 @@ SELECT n.doc_id, CAST(len(n.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
 FROM norm n LEFT JOIN hits h USING (doc_id) LEFT JOIN named m USING (doc_id)
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secrets, op2_winnow, op3_tokens, op4_language, op8_jaccard, op10_decontaminate)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_secrets, op2_winnow, op3_tokens, op4_language, op5_toxicity, op6_compact, op7_urls, op8_jaccard, op9_pieces, op10_decontaminate)
+} | {"pipeline": corpus_pipeline.run}
 
-ORACLE_SQL: dict[str, str] = {"op8_jaccard": OP8_SQL, "op10_decontaminate": OP10_SQL}
+#: The others are tested against brute force, exact round trips or held-out accuracy.
+ORACLE_SQL: dict[str, str] = {"op6_compact": OP6_SQL, "op7_urls": OP7_SQL, "op8_jaccard": OP8_SQL, "op10_decontaminate": OP10_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
