@@ -10,7 +10,7 @@ shingles in the other set.
 
 Equal sets are one node, whatever the number of copies, so copies are never expanded.
 Short lists that are long all the same (many near copies) aren't paired within: each
-member is compared with the list's first, and after that only members that are still in
+member is compared with a few that lead, and after that only members that are still in
 different components. No pair that reaches the similarity is lost to the result.
 
 Nulls: a null text is empty; an empty set is linked with nothing and is a component of
@@ -26,7 +26,7 @@ from itertools import groupby
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeweave.llm.common import LEAST, Emitter, keyed, mix, rows_of, text_of, unkeyed, word_hashes
@@ -35,11 +35,11 @@ from citeweave.session import materialize
 
 SHINGLE, PERCENT = 5, 75
 #: A shingle that so many documents of one task hold is counted; those held by so many in all are put last.
-LOCAL, HEAVY = 3, 24
+LOCAL, HEAVY = 2, 12
 #: Most shingles that are put last: the bound of what is broadcast. Others keep their place, which costs time only.
 MOST_HEAVY = 1 << 18
-#: Members of a list that are paired with each other.
-SHORT = 48
+#: Members of a list that are paired with each other; of longer lists, members that are compared with all others first.
+SHORT, LEADERS = 64, 16
 #: Bits of the filter of sets to fetch, and sets a task remembers having sent.
 FILTER_BITS = 1 << 24
 _ODD = [np.uint64(x) for x in mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)]
@@ -145,10 +145,9 @@ def _often(parts: list[np.ndarray]) -> pd.DataFrame:
 
 
 def _index(docs: DataFrame, heavy: np.ndarray, size: int, percent: int, short: int = SHORT) -> DataFrame:
-    """Short lists that several sets share: one row for each member, with the members before it.
+    """Lists that several sets share: one row for each member, with the members before it.
 
-    ``whole``: the row's partners are all members before it; else the list is long, and
-    the only partner is its first member.
+    Not ``whole``: the list is long, and the row tells only that the set is a member.
     """
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -195,7 +194,7 @@ def _index(docs: DataFrame, heavy: np.ndarray, size: int, percent: int, short: i
                     continue
                 node0 = int(node[i])
                 if long:
-                    if out.add((s0, node0, int(n[i]), members[:1], sizes[:1], False)):
+                    if out.add((s0, node0, int(n[i]), [], [], False)):
                         yield out.frame()
                     continue
                 members.append(node0)
@@ -203,7 +202,7 @@ def _index(docs: DataFrame, heavy: np.ndarray, size: int, percent: int, short: i
                 if len(members) > short:
                     long = True
                     for m, k in zip(members, sizes, strict=True):
-                        if out.add((s0, m, k, members[:1], sizes[:1], False)):
+                        if out.add((s0, m, k, [], [], False)):
                             yield out.frame()
         yield from end()
         yield out.frame()
@@ -220,16 +219,15 @@ def _search(index: DataFrame, percent: int) -> DataFrame:
         rows = rows_of(batches, "node", "n", "partners", "sizes", "whole")
         for (a, n), mine in groupby(rows, key=lambda r: (r[0], r[1])):
             # The members of a list stand in order, so the lists merge as they are.
-            lists, firsts = [], []
+            lists, long, found = [], 0, set()
             for _, _, partners, sizes, whole in mine:
-                (lists if whole else firsts).append(zip(partners.tolist(), sizes.tolist(), strict=True))
+                if whole:
+                    lists.append(zip(partners.tolist(), sizes.tolist(), strict=True))
+                long += not whole
             # Of the lists that a pair must share, so many may be long; the others are found by the merge.
-            long, found = len(firsts), set()
             for (b, k), group in groupby(heapq.merge(*lists)):
                 if sum(1 for _ in group) >= least_merged(n, k, percent) - long:
                     found.add((b, k))
-            for first in firsts:
-                found.update((b, k) for b, k in first if b != a and least_merged(n, k, percent) <= long)
             for b, k in sorted(found):
                 if least_common(n, k, percent) <= min(n, k) and out.add((a, b)):
                     yield out.frame()
@@ -260,9 +258,10 @@ def _slots(nodes: np.ndarray) -> np.ndarray:
     return (nodes.view(np.uint64) >> np.uint64(64 - FILTER_BITS.bit_length() + 1)).astype(np.int64)
 
 
-def _probe(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs that reach the similarity, with the number of shingles they share."""
-    bits = _filter_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))))
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(node, hashes) of the nodes wanted: one pass over the texts, of which the filter lets few pass."""
+    wanted = materialize(wanted.distinct(), "wanted")
+    bits = _filter_of(wanted)
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
@@ -276,9 +275,12 @@ def _probe(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
                     yield out.frame()
         yield out.frame()
 
-    sets = docs.select("text").mapInPandas(fetch, "node long, hashes binary")
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = materialize(sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
+    found = docs.select("text").mapInPandas(fetch, "node long, hashes binary")
+    return materialize(found.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
+
+
+def _probe(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that reach the similarity, with the number of shingles they share."""
     both = pairs.join(sets.toDF("a", "of_a"), "a").join(sets.toDF("b", "of_b"), "b")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -299,38 +301,73 @@ def _probe(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
 def links(docs: DataFrame, heavy: np.ndarray, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT) -> tuple[DataFrame, DataFrame | None]:
     """Links (a, b, common) between different sets, enough to connect all that are linked, and their components."""
     index = materialize(_index(docs, heavy, size, percent, short), "index")
-    found = materialize(_probe(docs, materialize(_search(index, percent), "pairs"), size, percent), "links")
-    if found.isEmpty() and index.where("NOT whole").isEmpty():
-        return found, None
-    groups = materialize(connected_components(found, "a", "b"), "groups")
-    rest = _unsettled(index.where("NOT whole"), groups, percent)
-    if not rest.isEmpty():
-        more = materialize(_probe(docs, rest, size, percent), "links")
+    pairs, members = _search(index, percent), None
+    wanted = [index.where("NOT whole").select("node")]
+    if not index.where("NOT whole").isEmpty():
+        members = materialize(_ranked(index.where("NOT whole")), "members")
+        pairs = pairs.unionByName(_stars(members, percent)).distinct()
+    pairs = materialize(pairs, "pairs")
+    wanted += [pairs.select(F.col(c).alias("node")) for c in "ab"]
+    sets = _sets(docs, wanted[0].unionByName(wanted[1]).unionByName(wanted[2]), size)
+    found = materialize(_probe(sets, pairs, percent), "links")
+    groups = connected_components(found, "a", "b")
+    if members is not None:
+        groups = materialize(groups, "groups")
+        more = materialize(_probe(sets, _unsettled(members, groups, percent).join(pairs, ["a", "b"], "left_anti"), percent), "links")
         if not more.isEmpty():
             found = found.unionByName(more)
-            groups = materialize(connected_components(found, "a", "b"), "groups")
+            groups = connected_components(found, "a", "b")
     return found, groups
 
 
+def _ranked(members: DataFrame) -> DataFrame:
+    """Members (s, node, n) of long lists, with each list's size, each node's number of lists m, and from which
+    on, in one order of all lists, it has ``room`` for others.
+    """
+    sizes = members.groupBy("s").agg(F.count("*").alias("size"))
+    lists = Window.partitionBy("node")
+    own = members.select("s", "node", "n").join(sizes, "s")
+    return own.withColumns({"m": F.count("*").over(lists), "room": F.count("*").over(lists) - F.row_number().over(lists.orderBy("size", "s")) + 1})
+
+
+def _must_share(n: str, k: str, percent: int) -> tuple[Column, Column]:
+    """(whether the sizes allow the similarity, how many indexed lists sets of the sizes must share)."""
+    common = F.floor((percent * (F.col(n) + F.col(k)) + (100 + percent - 1)) / (100 + percent))
+    return common <= F.least(n, k), common - F.floor((percent * F.greatest(n, k) + 99) / 100) + 1
+
+
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
+
+
+def _stars(members: DataFrame, percent: int) -> DataFrame:
+    """Each long list's LEADERS with all its members. Those in most long lists lead: of many near copies, the least edited."""
+    rank = F.row_number().over(Window.partitionBy("s").orderBy(F.desc("m"), "node"))
+    leaders = members.withColumn("_r", rank).where(F.col("_r") <= LEADERS).select("s", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("m").alias("mx"))
+    allowed, share = _must_share("n", "nx", percent)
+    pairs = members.join(leaders, "s").where((F.col("node") != F.col("x")) & allowed & (share <= F.least("m", "mx")))
+    return pairs.select(*_pair("node", "x")).distinct()
+
+
 def _unsettled(members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of a long list that are still in different components and that the merge may have missed.
 
-    The merge missed a pair only if both sets are in as many long lists as they must
-    share. The list's largest component isn't paired within, only with the members
+    The merge missed a pair only if the two share no short list, and so as many long
+    ones as they must share in all. The first list they share then has to leave each of
+    them room for the others, which is tested with the lists in one order, short ones
+    first. A list's largest component isn't paired within, only with the members
     outside it.
     """
-    often = members.groupBy("node").agg(F.count("*").alias("m"))
-    own = members.select("s", "node", "n").join(often, "node").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    own = members.select("s", "node", "n", "room").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     shares = own.groupBy("s", "component").agg(F.count("*").alias("k"))
     main = shares.groupBy("s").agg(F.max(F.struct("k", "component")).getField("component").alias("main"), F.count("*").alias("parts")).where("parts > 1")
     own = materialize(own.join(main.select("s", "main"), "s"), "members")
-    outside = own.where("component <> main").select("s", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("m").alias("mx"), F.col("component").alias("cx"))
-    most, both = F.greatest("n", "nx"), F.col("n") + F.col("nx")
-    common = F.floor((percent * both + (100 + percent - 1)) / (100 + percent))
-    left_out = F.floor((percent * most + 99) / 100) - 1
-    possible = (common <= F.least("n", "nx")) & (common - left_out <= F.least("m", "mx"))
-    pairs = own.join(outside, (own["s"] == outside["s"]) & (F.col("component") != F.col("cx")) & possible)
-    return materialize(pairs.select(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b")).distinct(), "pairs")
+    outside = own.where("component <> main").select(F.col("s").alias("t"), F.col("node").alias("x"), F.col("n").alias("nx"), F.col("room").alias("rx"), F.col("component").alias("cx"))
+    allowed, share = _must_share("n", "nx", percent)
+    # Of two members outside the largest component, each finds the other: one of the two is enough.
+    once = (F.col("component") == F.col("main")) | (F.col("node") > F.col("x"))
+    pairs = own.join(outside, (F.col("s") == F.col("t")) & (F.col("component") != F.col("cx")) & once & allowed & (share <= F.least("room", "rx")))
+    return materialize(pairs.select(*_pair("node", "x")).distinct(), "pairs")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT) -> DataFrame:
