@@ -36,7 +36,7 @@ from citeweave.session import materialize
 
 #: Code points beyond which a text is giant, and code points of a chunk.
 GIANT, CHUNK = 50_000, 16_384
-CACHE_WORDS = 500_000
+CACHE_WORDS = 600_000
 _BLANK = "▁"
 _NONE = -math.inf
 
@@ -65,7 +65,13 @@ class Vocabulary:
         inner = [p for p in self.pieces if _BLANK in p.lstrip(_BLANK)]
         if inner:
             raise ValueError(f"pieces hold blanks inside: {inner[:3]}")
-        self.known: dict[str, tuple[float, list[int]]] = {}
+        # Every beginning of a piece: a scan ends where nothing goes on.
+        self.starts: dict[str, tuple[float, int] | None] = {}
+        for p, found in self.pieces.items():
+            for i in range(1, len(p)):
+                self.starts.setdefault(p[:i], None)
+            self.starts[p] = found
+        self.known: dict[str, tuple[float, bytes]] = {}
 
     def ids_of(self, part: str) -> list[int]:
         found = self.pieces.get(part)
@@ -76,20 +82,25 @@ class Vocabulary:
 
         Pieces begin before ``stop``. A start of -1 means that the path entered there.
         """
-        n, get, longest, unknown = len(text), self.pieces.get, self.longest, self.unknown
+        n, starts, unknown = len(text), self.starts, self.unknown
         best, last = [_NONE] * (n + 1), [-1] * (n + 1)
         best[: len(entry)] = entry[: n + 1]
         for start in range(min(stop, n)):
             here = best[start]
             if here == _NONE:
                 continue
-            for end in range(start + 1, min(start + longest, n) + 1):
-                found = get(text[start:end])
+            end = start + 1
+            if not starts.get(text[start]) and here + unknown > best[end]:
+                best[end], last[end] = here + unknown, start
+            while end <= n:
+                found = starts.get(text[start:end], 0)
                 if found:
-                    if here + found[0] > best[end]:
-                        best[end], last[end] = here + found[0], start
-                elif end == start + 1 and here + unknown > best[end]:
-                    best[end], last[end] = here + unknown, start
+                    score = here + found[0]
+                    if score > best[end]:
+                        best[end], last[end] = score, start
+                elif found == 0:
+                    break
+                end += 1
         return best, last
 
     def back(self, text: str, last: list[int], end: int) -> tuple[int, list[int]]:
@@ -100,28 +111,32 @@ class Vocabulary:
             end = last[end]
         return end, [i for p in reversed(parts) for i in self.ids_of(p)]
 
-    def word(self, text: str) -> tuple[float, list[int]]:
+    def word(self, text: str) -> tuple[float, bytes]:
+        """Score and packed ids of a marked word."""
         found = self.known.get(text)
         if found is None:
             best, last = self.scan(text, [0.0], len(text))
-            found = best[-1], self.back(text, last, len(text))[1]
+            found = best[-1], np.array(self.back(text, last, len(text))[1], "<u4").tobytes()
             if len(self.known) >= CACHE_WORDS:
                 self.known.clear()
             if len(text) < 64:
                 self.known[text] = found
         return found
 
-    def encode(self, text: str) -> tuple[float, list[int]]:
-        """Score and ids of the whole text."""
-        total, ids = 0.0, []
-        for w in _WORDS.findall(marked(text)):
-            score, own = self.word(w)
-            total += score
-            ids += own
-        return total, ids
+    def encode(self, text: str) -> tuple[float, bytes]:
+        """Score and packed ids (32 bits each, little-endian) of the whole text."""
+        if not text:
+            return 0.0, b""
+        known, word = self.known.get, self.word
+        if "  " in text or _BLANK in text or text[0] == " " or text[-1] == " ":
+            words = _WORDS.findall(marked(text))
+        else:
+            words = (_BLANK + text.replace(" ", " " + _BLANK)).split(" ")
+        found = [known(w) or word(w) for w in words]
+        return sum([f[0] for f in found]), b"".join([f[1] for f in found])
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")[1:]
+    def decode(self, ids: bytes) -> str:
+        return b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")[1:]
 
 
 @functools.cache
@@ -203,19 +218,19 @@ def boundaries(matrices: list[np.ndarray], heads: list[str], vocabulary: Vocabul
     return entries, ends
 
 
-def path_back(vocabulary: Vocabulary, text: str, size: int, entry: list[float], end: int) -> list[int]:
-    """Ids of the pieces that begin in the chunk."""
+def path_back(vocabulary: Vocabulary, text: str, size: int, entry: list[float], end: int) -> bytes:
+    """Packed ids of the pieces that begin in the chunk."""
     found = cuts(text, size, vocabulary.longest)
     if not found:
         _, last = vocabulary.scan(text, entry, size)
-        return vocabulary.back(text, last, size + end)[1]
+        return np.array(vocabulary.back(text, last, size + end)[1], "<u4").tobytes()
     low, high = found
     _, last = vocabulary.scan(text[:low], entry, low)
-    ids = vocabulary.back(text[:low], last, low)[1]
-    for w in _WORDS.findall(text[low:high]):
-        ids += vocabulary.word(w)[1]
+    head = vocabulary.back(text[:low], last, low)[1]
+    middle = b"".join([vocabulary.word(w)[1] for w in _WORDS.findall(text[low:high])])
     _, last = vocabulary.scan(text[high:], [0.0], size - high)
-    return ids + vocabulary.back(text[high:], last, size - high + end)[1]
+    tail = vocabulary.back(text[high:], last, size - high + end)[1]
+    return np.array(head, "<u4").tobytes() + middle + np.array(tail, "<u4").tobytes()
 
 
 def chunks_of(text: str, longest: int, size: int = CHUNK) -> list[tuple[str, int]]:
@@ -239,7 +254,7 @@ def encode(docs: DataFrame, model: str, giant: int = GIANT, chunk: int = CHUNK)
         for key, text in rows_of(batches, "_key", "text"):
             text = text_of(text)
             score, ids = vocabulary.encode(text)
-            if out.add((key, len(ids), np.array(ids, np.int32), score, vocabulary.decode(ids) == text), 8 * len(ids)):
+            if out.add((key, len(ids) // 4, np.frombuffer(ids, "<i4"), score, vocabulary.decode(ids) == text), 2 * len(ids)):
                 yield out.frame()
         yield out.frame()
 
@@ -282,7 +297,7 @@ def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
         vocabulary = vocabulary_of(model)
         for key, row, c, part, size, entry, end, total in rows_of(batches, "_key", "row", "chunk", "part", "size", "entry", "exit", "total"):
             ids = path_back(vocabulary, part, size, np.frombuffer(entry).tolist(), end)
-            yield pd.DataFrame({"_key": [key], "row": [row], "chunk": [np.int32(c)], "ids": [np.array(ids, np.int32)], "text": [part[:size]], "total": [total]})
+            yield pd.DataFrame({"_key": [key], "row": [row], "chunk": [np.int32(c)], "ids": [np.frombuffer(ids, "<i4")], "text": [part[:size]], "total": [total]})
 
     traced = parts.join(states, ["row", "chunk"]).mapInPandas(trace, "_key long, row long, chunk int, ids array<int>, text string, total double")
 
@@ -290,7 +305,7 @@ def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
         vocabulary = vocabulary_of(model)
         group = group.sort_values("chunk")
         ids = np.concatenate(list(group["ids"])).astype(np.int32)
-        same = vocabulary.decode(ids.tolist()) == "".join(group["text"]).replace(_BLANK, " ")[1:]
+        same = vocabulary.decode(ids.tobytes()) == "".join(group["text"]).replace(_BLANK, " ")[1:]
         return pd.DataFrame({"_key": [group["_key"].iloc[0]], "n_tokens": [len(ids)], "ids": [ids], "score": [group["total"].iloc[0]], "round_trip": [same]})
 
     return traced.groupBy("row").applyInPandas(gather, _SCHEMA)
@@ -302,7 +317,7 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = vocabulary_of(model)
         for pdf in batches:
-            yield pd.DataFrame({"_key": pdf["_key"], "text": ["" if x is None else vocabulary.decode(list(x)) for x in pdf["ids"]]})
+            yield pd.DataFrame({"_key": pdf["_key"], "text": ["" if x is None else vocabulary.decode(np.asarray(x, "<u4").tobytes()) for x in pdf["ids"]]})
 
     return unkeyed(keyed(rows, "ids").mapInPandas(run, "_key long, text string"))
 
