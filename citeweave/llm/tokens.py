@@ -26,6 +26,7 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -44,7 +45,7 @@ LEVEL = 3
 #: Compressed bytes after which a segment ends.
 SEGMENT_BYTES = 1 << 20
 #: Words whose ids a task remembers.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 900_000
 
 _MAGIC = b"CWTK"
 _HEAD = struct.Struct("<4sBB32sQ")
@@ -71,6 +72,12 @@ class Encoder:
         self.kind = "H" if self.width == 2 else "I"
         self.end = self._packed([end])
         self.known: dict[str, bytes] = {}
+        # Whether an id ends a word, where the vocabulary says so.
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = None
+        if any(t.endswith("</w>") for t in vocabulary):
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def _packed(self, ids: list[int]) -> bytes:
         out = array(self.kind, ids)
@@ -79,6 +86,17 @@ class Encoder:
         return out.tobytes()
 
     def _learn(self, words: list[str]) -> None:
+        """Words of letters only are one token run each, and are encoded in one call: a run ends where a word does."""
+        plain = [w for w in words if w.isalpha()] if self.ends is not None else []
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, np.int64)
+            at = (np.flatnonzero(self.ends[ids]) + 1) * self.width
+            if len(at) == len(plain):
+                data, low = ids.astype(f"<u{self.width}").tobytes(), 0
+                for w, high in zip(plain, at.tolist(), strict=True):
+                    self.known[w] = data[low:high]
+                    low = high
+                words = [w for w in words if not w.isalpha()]
         for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
             self.known[w] = self._packed(e.ids)
 
@@ -86,13 +104,13 @@ class Encoder:
         """The ids and the end id, ``width`` bytes each, little-endian."""
         plain = not ("<|" in text or "\u03a3" in text or "\u0130" in text)
         words = (text.lower() if plain else text).replace("\n", " ").split(" ")
+        if len(self.known) > CACHE_WORDS:  # the older half goes
+            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
         known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = [w for w in set(words) if w not in known]
+        new = set(words).difference(known)
         if new:
-            parts = {w: (w[: m.start()], m[0]) for w in new if (m := _MARKS.search(w))} if plain else {}
-            self._learn(list({p for w in new for p in parts.get(w, (w,)) if p not in known}))
+            parts = {w: (w[: m.start()], m[0]) for w in new if not w.isalpha() and (m := _MARKS.search(w))} if plain else {}
+            self._learn(list({p for w in new for p in parts.get(w, (w,))}.difference(known)))
             for w, (body, marks) in parts.items():
                 known[w] = known[body] + known[marks]
         return b"".join(map(known.__getitem__, words)) + self.end
