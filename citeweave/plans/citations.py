@@ -264,14 +264,14 @@ def topic_stats_counts(spark, d):
 WITH s AS (SELECT s_suppkey, c.n_name, levenshtein(c.n_name, o.n_name[1:3] || '_' || o.n_name[5:]) AS score
   FROM supplier JOIN nation o ON o.n_nationkey = s_nationkey JOIN nation c ON c.n_nationkey % 5 = o.n_nationkey % 5),
 r AS (SELECT *, row_number() OVER w AS k, lead(score) OVER w AS second FROM s WINDOW w AS (PARTITION BY s_suppkey ORDER BY score, n_name))
-SELECT s_suppkey, n_name, score AS best, second FROM r WHERE k = 1 AND (second IS NULL OR second > 2 * score)""")
+SELECT s_suppkey, n_name, score AS best, second FROM r WHERE k = 1 AND (second IS NULL OR second > 1.5 * score)""")
 def best_vs_second_ratio(spark, d):
     """Garbled nation names against those of every fifth nation."""
     nation = table(spark, d, "nation")
     own = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.concat(F.substring("n_name", 1, 3), F.lit("_"), F.expr("substring(n_name, 5)")).alias("wanted"))
     rows = table(spark, d, "supplier").join(own, "s_nationkey").withColumn("k", F.col("s_nationkey") % 5)
     scores = rows.join(nation.withColumn("k", F.col("n_nationkey") % 5), "k").select("s_suppkey", "n_name", F.levenshtein("n_name", "wanted").alias("score"))
-    return match.best_and_second(scores, "s_suppkey", "n_name", "score", 2.0)
+    return match.best_and_second(scores, "s_suppkey", "n_name", "score", 1.5)
 
 
 @query("""
