@@ -23,8 +23,11 @@ from __future__ import annotations
 import functools
 import math
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -71,7 +74,10 @@ class Vocabulary:
             for i in range(1, len(p)):
                 self.starts.setdefault(p[:i], None)
             self.starts[p] = found
-        self.known: dict[str, tuple[float, bytes]] = {}
+        # Neighbours inside a piece: between any other two characters every path has a boundary.
+        self.bonds = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
+        self.lines = not any("\n" in p for p in self.pieces)
+        self.known: dict[str, tuple[float, bytes]] = {"": (0.0, b"")}
 
     def ids_of(self, part: str) -> list[int]:
         found = self.pieces.get(part)
@@ -115,14 +121,50 @@ class Vocabulary:
         """Score and packed ids of a marked word."""
         found = self.known.get(text)
         if found is None:
-            best, last = self.scan(text, [0.0], len(text))
-            found = best[-1], np.array(self.back(text, last, len(text))[1], "<u4").tobytes()
-            if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
+            m = _MARKS.search(text)
+            if m and text[m.start() - 1 : m.start() + 1] not in self.bonds:
+                body, marks = self.word(text[: m.start()]), self.word(m[0])
+                found = body[0] + marks[0], body[1] + marks[1]
+            else:
+                found = self._fresh(text)
+            if len(self.known) >= CACHE_WORDS:  # the older half goes
+                self.known = {"": (0.0, b"")} | dict(islice(self.known.items(), CACHE_WORDS // 2, None))
             if len(text) < 64:
                 self.known[text] = found
         return found
 
+    def _fresh(self, text: str) -> tuple[float, bytes]:
+        """As :meth:`scan` and :meth:`back` from a single entry, with each place's id kept on the way."""
+        n, get, unknown = len(text), self.starts.get, self.unknown
+        best, last, which = [_NONE] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        best[0] = 0.0
+        for start in range(n):
+            here = best[start]
+            end = start + 1
+            found = get(text[start])
+            if not found and here + unknown > best[end]:
+                best[end], last[end], which[end] = here + unknown, start, -1
+            while found != 0:
+                if found and here + found[0] > best[end]:
+                    best[end], last[end], which[end] = here + found[0], start, found[1]
+                if end == n:
+                    break
+                end += 1
+                found = get(text[start:end], 0)
+        out = array("I")
+        end = n
+        while end:
+            start = last[end]
+            if which[end] >= 0:
+                out.append(which[end])
+            else:
+                out.extend(reversed(self.ids_of(text[start:end])))
+            end = start
+        out.reverse()
+        if sys.byteorder == "big":
+            out.byteswap()
+        return best[n], out.tobytes()
+
     def encode(self, text: str) -> tuple[float, bytes]:
         """Score and packed ids (32 bits each, little-endian) of the whole text."""
         if not text:
@@ -131,7 +173,8 @@ class Vocabulary:
         if "  " in text or _BLANK in text or text[0] == " " or text[-1] == " ":
             words = _WORDS.findall(marked(text))
         else:
-            words = (_BLANK + text.replace(" ", " " + _BLANK)).split(" ")
+            words = _BLANK + text.replace(" ", " " + _BLANK)
+            words = (words.replace("\n", " \n ") if self.lines else words).split(" ")
         found = [known(w) or word(w) for w in words]
         return sum([f[0] for f in found]), b"".join([f[1] for f in found])
 
@@ -145,6 +188,8 @@ def vocabulary_of(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+#: Marks at a word's end.
+_MARKS = re.compile(r"(?<=\w)[!-/:-@\[-`{-~]+$")
 _WORDS = re.compile(f"{_BLANK}*[^{_BLANK}]+|{_BLANK}+")
 #: A place where every path has a boundary: before a blank that follows another character.
 _CUT = re.compile(f"(?<=[^{_BLANK}]){_BLANK}")
