@@ -138,3 +138,10 @@ def unkeyed(df: DataFrame, key: str = "doc_id") -> DataFrame:
     """Turns ``_key`` back into the id, first column."""
     rest = [c for c in df.columns if c != "_key"]
     return df.select(F.when(F.col("_key") != LEAST, F.col("_key")).alias(key), *rest)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    while name in df.columns:
+        name += "_"
+    return name

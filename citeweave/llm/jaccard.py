@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import LEAST, Emitter, keyed, mix, rows_of, text_of, unkeyed, word_hashes
+from citeweave.llm.common import LEAST, Emitter, keyed, mix, rows_of, text_of, unkeyed, unused, word_hashes
 from citeweave.operators.graph import connected_components
 from citeweave.session import materialize
 
@@ -397,11 +397,13 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     keep = materialize(keep.where(F.col("doc_id").eqNullSafe(F.col("_component"))), "keep")
     repeated = (F.col("_copies") > 1) & (F.col("_most") > 0)
 
+    own, row = unused(docs, "_id"), unused(docs, "_row")
+
     def of(ids: DataFrame) -> DataFrame:
-        return docs.join(ids.select(F.col("doc_id").alias("_id")), docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+        return docs.join(ids.select(F.col("doc_id").alias(own)), docs["doc_id"].eqNullSafe(F.col(own)), "left_semi")
 
     if keep.where(repeated).isEmpty():
         return of(keep)
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc(F.length("text")), "text"))
-    once = of(keep.where(repeated)).withColumn("_row", first).where("_row = 1").drop("_row")
+    once = of(keep.where(repeated)).withColumn(row, first).where(F.col(row) == 1).drop(row)
     return of(keep.where(~repeated)).unionByName(once)

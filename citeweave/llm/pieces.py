@@ -189,7 +189,7 @@ def vocabulary_of(path: str) -> Vocabulary:
 
 
 #: Marks at a word's end.
-_MARKS = re.compile(r"(?<=\w)[!-/:-@\[-`{-~]+$")
+_MARKS = re.compile(r"(?<=\w)[!-/:-@\[-`{-~]+\Z")
 _WORDS = re.compile(f"{_BLANK}*[^{_BLANK}]+|{_BLANK}+")
 #: A place where every path has a boundary: before a blank that follows another character.
 _CUT = re.compile(f"(?<=[^{_BLANK}]){_BLANK}")

@@ -52,7 +52,7 @@ _HEAD = struct.Struct("<4sBB32sQ")
 
 
 #: A word's end: ASCII marks, without the apostrophe, that follow a letter or digit.
-_MARKS = re.compile(r"(?<=[^\W_])[!-&(-/:-@\[-`{-~]+$")
+_MARKS = re.compile(r"(?<=[^\W_])[!-&(-/:-@\[-`{-~]+\Z")
 
 
 class Encoder:
