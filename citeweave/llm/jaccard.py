@@ -132,7 +132,7 @@ def rows_in(surveyed: DataFrame) -> DataFrame:
 def heavy_in(surveyed: DataFrame) -> np.ndarray:
     """Shingles that many documents hold, sorted. They only decide an order, so near counts will do."""
     counts = surveyed.where("kind = 2").groupBy("node").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "node").limit(MOST_HEAVY).toPandas()["node"]
+    top = counts.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "node").limit(MOST_HEAVY).toArrow().to_pandas()["node"]
     return np.sort(top.to_numpy(np.int64).view(np.uint64))
 
 
@@ -249,7 +249,7 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
         yield pd.DataFrame({"at": at.astype(np.int32), "word": words[at]})
 
     out = np.zeros(FILTER_BITS // 64, np.int64)
-    got = ids.mapInPandas(run, "at int, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toPandas()
+    got = ids.mapInPandas(run, "at int, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow().to_pandas()
     out[got["at"].to_numpy(np.int64)] = got["word"]
     return out.view(np.uint8)
 

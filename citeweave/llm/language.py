@@ -94,7 +94,7 @@ def fit(docs: DataFrame, learn: Column) -> Model:
     rows = docs.where(learn & F.col("lang").isNotNull()).select("lang", "text")
     sums = materialize(rows.mapInPandas(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     ranked = sums.where(F.col("gram") == DIMENSIONS).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    counts = sums.join(F.broadcast(ranked.select("lang")), "lang").toPandas()
+    counts = sums.join(F.broadcast(ranked.select("lang")), "lang").toArrow().to_pandas()
     sizes = counts[counts["gram"] == DIMENSIONS]
     return Model(counts[counts["gram"] < DIMENSIONS], dict(zip(sizes["lang"], sizes["n"].astype(int), strict=True)))
 

@@ -86,7 +86,7 @@ class BlockedBloom:
                 yield pd.DataFrame(words.view(np.int64), columns=names).assign(block=block)
 
         rows = keys.select(F.col(column).alias("key")).where("key IS NOT NULL").mapInPandas(place, ", ".join(f"{n} long" for n in names) + ", block long")
-        got = rows.groupBy("block").agg(*[F.bit_or(n).alias(n) for n in names]).toPandas()
+        got = rows.groupBy("block").agg(*[F.bit_or(n).alias(n) for n in names]).toArrow().to_pandas()
         self.words = np.zeros((blocks, BLOCK_WORDS), np.int64)
         self.words[got["block"].to_numpy(np.int64)] = got[names].to_numpy(np.int64)
 
