@@ -187,7 +187,7 @@ def laplacian_spectrum(edges: DataFrame, src: str, dst: str, most: int = 2000) -
     n = rows.select(F.explode(F.array("a", "b")).alias("x")).distinct().limit(most + 1).count()
     if n > most:
         raise ValueError(f"more than {most} nodes: the spectrum is for small graphs")
-    got = rows.toPandas()
+    got = rows.toArrow().to_pandas()
     nodes = {x: i for i, x in enumerate(sorted(set(got["a"]) | set(got["b"])))}
     m = np.zeros((n, n))
     a, b = got["a"].map(nodes).to_numpy(int), got["b"].map(nodes).to_numpy(int)
