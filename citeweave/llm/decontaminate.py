@@ -11,18 +11,21 @@ all named. An empty benchmark contaminates nothing.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from citeweave.llm.common import Emitter, keyed, rows_of, text_of, unkeyed
+from citeweave.llm.common import text_of, unused
+from citeweave.session import materialize
 
 WINDOW = 13
-#: Words of items that one automaton holds; more items make more automata, one pass each.
-MAX_ITEM_WORDS = 2_000_000
+#: Words of items that one automaton holds, some 100 MB in a task; more items make more automata, one pass each.
+MAX_ITEM_WORDS = 200_000
 
 #: A-Z to a-z, and every other ASCII byte that is no digit and no letter to a space.
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -120,17 +123,18 @@ class SuffixAutomaton:
 
 
 def automata(benchmark: DataFrame, window: int = WINDOW, most: int = MAX_ITEM_WORDS) -> Iterator[SuffixAutomaton]:
-    """One automaton for each ``most`` words of items: what a task holds stays bounded, whatever the benchmark's size."""
+    """One automaton for each ``most`` words of items, one at a time; an empty one for an empty benchmark."""
     batch: list[tuple[str, list[bytes]]] = []
-    held = 0
+    held = made = 0
     for row in benchmark.selectExpr("cast(item_id as string) AS item_id", "text").orderBy("item_id", "text").toLocalIterator():
         tokens = words(row.text)
         if batch and held + len(tokens) > most:
             yield SuffixAutomaton(batch, window)
+            made += 1
             batch, held = [], 0
         batch.append((row.item_id if row.item_id is not None else "", tokens))
         held += len(tokens)
-    if batch:
+    if batch or not made:
         yield SuffixAutomaton(batch, window)
 
 
@@ -157,55 +161,72 @@ def remove_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, data[last:]]).decode("utf-8", "surrogatepass")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans, cleaned.
+def _hits(docs: DataFrame, benchmark: DataFrame, window: int) -> tuple[DataFrame, list[str]]:
+    """``docs`` with three columns more, and their names: number of words, hit word ranges (ends in turn), items.
 
-    ``contaminated``: some word is hit and ``share`` * n_hit >= n_words (the coverage
-    limit; ``window`` is the length limit). ``spans``: hit word ranges. ``cleaned``:
-    the text without its hit spans.
+    A benchmark of one automaton takes one pass. A larger one takes a pass for each,
+    the table being written between them, so that a task holds one automaton at a time.
     """
-    return unkeyed(_judge(docs, benchmark, window, share, clean=True))
+    own_columns = docs.columns
+    n_words, hits, items = names = [unused(docs, c) for c in ("_n_words", "_hits", "_items")]
+    schema = StructType([*docs.schema.fields, StructField(n_words, LongType()), StructField(hits, ArrayType(IntegerType())), StructField(items, ArrayType(StringType()))])
+
+    def apply(machine: SuffixAutomaton, first: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                old = [([], [])] * batch.num_rows if first else zip(batch.column(hits).to_pylist(), batch.column(items).to_pylist(), strict=True)
+                counts, spans, found = [], [], []
+                for text, (before, named) in zip(batch.column("text").to_pylist(), old, strict=True):
+                    tokens = words(text)
+                    mine, own = machine.hits(tokens)
+                    counts.append(len(tokens))
+                    spans.append([x for s in _joined([mine, list(zip(before[::2], before[1::2], strict=True))]) for x in s])
+                    found.append([*named, *sorted(own)])
+                columns = [batch.column(c) for c in own_columns]
+                more = [pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns + more, names=schema.fieldNames())
+
+        return run
+
+    rows, first = docs, True
+    for machine in automata(benchmark, window):
+        rows = (rows if first else materialize(rows, "hits")).mapInArrow(apply(machine, first), schema)
+        first = False
+    return rows, names
+
+
+def _verdict(names: list[str], share: int) -> dict[str, Column]:
+    n_words, hits, items = names
+    n_hit = F.aggregate(F.col(hits), F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).cast("long").alias("sign")), lambda t, x: F.struct((t["n"] + t["sign"] * x).alias("n"), (-t["sign"]).alias("sign")), lambda t: t["n"])
+    named = F.array_sort(F.array_distinct(F.col(items)))
+    return {
+        "n_words": F.col(n_words), "n_hit": n_hit, "n_items": F.size(named).cast("long"), "items_sha256": F.sha2(F.array_join(named, ",").cast("binary"), 256),
+        "contaminated": (n_hit > 0) & (share * n_hit >= F.col(n_words)),
+    }
 
 
-def _judge(docs: DataFrame, benchmark: DataFrame, window: int, share: int, clean: bool) -> DataFrame:
-    machines = list(automata(benchmark, window))
-    columns = ["_key", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", *["cleaned"] * clean]
+def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = Emitter(columns)
-        for key, text in rows_of(batches, "_key", "text"):
-            tokens = words(text)
-            found = [m.hits(tokens) for m in machines]
-            spans = _joined([s for s, _ in found])
-            items = sorted(set().union(*[i for _, i in found])) if found else []
-            n_hit = sum(b - a for a, b in spans)
-            row = (key, len(tokens), n_hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), n_hit > 0 and share * n_hit >= len(tokens), [[a, b] for a, b in spans])
-            if out.add(row + ((remove_spans(text_of(text), spans),) if clean else ()), 64 + len(text_of(text)) * clean):
-                yield out.frame()
-        yield out.frame()
+    ``contaminated``: some word is hit and ``share`` * n_hit >= n_words (the coverage
+    limit; ``window`` is the length limit).
+    """
+    rows, names = _hits(docs.select("doc_id", "text"), benchmark, window)
+    return rows.select("doc_id", *[c.alias(k) for k, c in _verdict(names, share).items()])
 
-    schema = "_key long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<array<int>>" + ", cleaned string" * clean
-    return keyed(docs, "text").mapInPandas(judge, schema)
 
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
+    """As :func:`judged`, with ``cleaned``: the text without its hit spans."""
+    rows, names = _hits(docs.select("doc_id", "text"), benchmark, window)
 
-def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
-    """As :func:`decontaminate`, without the spans and cleaned texts."""
-    return unkeyed(_judge(docs, benchmark, window, share, clean=False).drop("spans"))
+    @F.pandas_udf(StringType())
+    def cleaned(text: pd.Series, hits: pd.Series) -> pd.Series:
+        return pd.Series([remove_spans(text_of(t), list(zip(h[::2], h[1::2], strict=True))) for t, h in zip(text, hits, strict=True)], dtype=object)
+
+    return rows.select("doc_id", *[c.alias(k) for k, c in _verdict(names, share).items()], cleaned("text", names[1]).alias("cleaned"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
     """The rows of ``docs`` that aren't contaminated, whole and with all their columns."""
-    machines = list(automata(benchmark, window))
-
-    def clean(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            keep = []
-            for text in batch.column("text").to_pylist():
-                tokens = words(text)
-                n_hit = sum(b - a for a, b in _joined([m.hits(tokens)[0] for m in machines]))
-                keep.append(not (n_hit and share * n_hit >= len(tokens)))
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(clean, docs.schema)
+    rows, names = _hits(docs, benchmark, window)
+    return rows.where(~_verdict(names, share)["contaminated"]).select(*[F.col(f"`{c}`") for c in docs.columns])
