@@ -33,8 +33,7 @@ def environment(s: Column, name: str) -> Column:
 def bibitems(s: Column, skip: int = 1) -> Column:
     """The bibliography's items; what stands before the first, and each item's key, is dropped."""
     parts = F.split(environment(without_comments(s), "thebibliography"), r"\\bibitem")
-    items = F.when(F.size(parts) > skip, F.slice(parts, skip + 1, F.size(parts))).otherwise(F.array().cast("array<string>"))
-    return F.transform(items, lambda x: F.regexp_replace(F.regexp_replace(x, r"(?s)^.*?\}", ""), r"^\s+|\s+$", ""))
+    return F.transform(F.slice(parts, skip + 1, 1 << 30), lambda x: F.regexp_replace(F.regexp_replace(x, r"(?s)^.*?\}", ""), r"^\s+|\s+$", ""))
 
 
 def plain(s: Column) -> Column:
@@ -129,7 +128,6 @@ def parse_braces(s: pd.Series, level: pd.Series, number: pd.Series) -> pd.DataFr
 def citations(source: Column) -> Column:
     """Items as structs in order: position, key, label, year, url, authors, title, publisher and text."""
     env = F.split(environment(without_comments(source), "thebibliography"), r"\\bibitem")
-    items = F.when(F.size(env) > 1, F.slice(env, 2, F.size(env))).otherwise(F.array().cast("array<string>"))
 
     def one(x: Column, i: Column) -> Column:
         label, key = label_and_key(x)
@@ -139,4 +137,4 @@ def citations(source: Column) -> Column:
             authors(body).alias("authors"), title(body).alias("title"), publisher(body).alias("publisher"), body.alias("latex"),
         )
 
-    return F.transform(items, one)
+    return F.transform(F.slice(env, 2, 1 << 30), one)
