@@ -39,7 +39,7 @@ from citeweave.session import materialize
 
 #: Code points beyond which a text is giant, and code points of a chunk.
 GIANT, CHUNK = 50_000, 16_384
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 _BLANK = "▁"
 _NONE = -math.inf
 
