@@ -39,7 +39,8 @@ from citeweave.session import materialize
 
 #: Code points beyond which a text is giant, and code points of a chunk.
 GIANT, CHUNK = 50_000, 16_384
-CACHE_WORDS = 200_000
+#: Words that a task remembers, and slots in which it notes that it met a word.
+CACHE_WORDS, MET_SLOTS = 400_000, 1 << 22
 _BLANK = "▁"
 _NONE = -math.inf
 
@@ -65,6 +66,11 @@ class Vocabulary:
                 self.text[i] = piece.replace(_BLANK, " ").encode()
         self.longest = max(map(len, self.pieces), default=1)
         self.unknown = min((s for s, _ in self.pieces.values() if s > -1e8), default=0.0) - 10  # lower ones are never chosen
+        self.scores = np.zeros(model.vocab_size())
+        for score, i in self.pieces.values():
+            self.scores[i] = score
+        for byte, i in self.bytes.items():
+            self.scores[i] = 0.0 if 0x80 <= byte < 0xC0 else self.unknown
         inner = [p for p in self.pieces if _BLANK in p.lstrip(_BLANK)]
         if inner:
             raise ValueError(f"pieces hold blanks inside: {inner[:3]}")
@@ -77,7 +83,8 @@ class Vocabulary:
         # Neighbours inside a piece: between any other two characters every path has a boundary.
         self.bonds = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.lines = not any("\n" in p for p in self.pieces)
-        self.known: dict[str, tuple[float, bytes]] = {"": (0.0, b"")}
+        self.known: dict[str, bytes] = {"": b""}
+        self.met, self.n_met = bytearray(MET_SLOTS), 0
 
     def ids_of(self, part: str) -> list[int]:
         found = self.pieces.get(part)
@@ -117,23 +124,36 @@ class Vocabulary:
             end = last[end]
         return end, [i for p in reversed(parts) for i in self.ids_of(p)]
 
-    def word(self, text: str) -> tuple[float, bytes]:
-        """Score and packed ids of a marked word."""
+    def word(self, text: str) -> bytes:
+        """Packed ids of a marked word."""
         found = self.known.get(text)
         if found is None:
             m = _MARKS.search(text)
             if m and text[m.start() - 1 : m.start() + 1] not in self.bonds:
-                body, marks = self.word(text[: m.start()]), self.word(m[0])
-                found = body[0] + marks[0], body[1] + marks[1]
+                found = self.word(text[: m.start()]) + self.word(m[0])
             else:
                 found = self._fresh(text)
-            if len(self.known) >= CACHE_WORDS:  # the older half goes
-                self.known = {"": (0.0, b"")} | dict(islice(self.known.items(), CACHE_WORDS // 2, None))
-            if len(text) < 64:
-                self.known[text] = found
+            self._remember(text, found)
         return found
 
-    def _fresh(self, text: str) -> tuple[float, bytes]:
+    def _remember(self, text: str, found: bytes) -> None:
+        """Keeps a word that was met before: most words of a corpus are met once, and would push out the others."""
+        slot = hash(text) & (MET_SLOTS - 1)
+        if not self.met[slot]:
+            self.met[slot] = 1
+            self.n_met += 1
+            if self.n_met > MET_SLOTS // 2:
+                self.met, self.n_met = bytearray(MET_SLOTS), 0
+        elif len(text) < 64:
+            if len(self.known) >= CACHE_WORDS:  # the older half goes
+                self.known = {"": b""} | dict(islice(self.known.items(), CACHE_WORDS // 2, None))
+            self.known[text] = found
+
+    def score(self, ids: bytes) -> float:
+        """Sum of the pieces' scores; of a character's bytes the first has its score, the others none."""
+        return float(self.scores[np.frombuffer(ids, "<u4")].sum())
+
+    def _fresh(self, text: str) -> bytes:
         """As :meth:`scan` and :meth:`back` from a single entry, with each place's id kept on the way."""
         n, get, unknown = len(text), self.starts.get, self.unknown
         best, last, which = [_NONE] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
@@ -163,7 +183,7 @@ class Vocabulary:
         out.reverse()
         if sys.byteorder == "big":
             out.byteswap()
-        return best[n], out.tobytes()
+        return out.tobytes()
 
     def encode(self, text: str) -> tuple[float, bytes]:
         """Score and packed ids (32 bits each, little-endian) of the whole text."""
@@ -175,8 +195,8 @@ class Vocabulary:
         else:
             words = _BLANK + text.replace(" ", " " + _BLANK)
             words = (words.replace("\n", " \n ") if self.lines else words).split(" ")
-        found = [known(w) or word(w) for w in words]
-        return sum([f[0] for f in found]), b"".join([f[1] for f in found])
+        ids = b"".join([known(w) or word(w) for w in words])
+        return self.score(ids), ids
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")[1:]
@@ -235,7 +255,7 @@ def transfer(vocabulary: Vocabulary, text: str, size: int) -> np.ndarray:
             piece = vocabulary.pieces.get(text[start:end])
             score = piece[0] if piece else vocabulary.unknown if end == start + 1 else _NONE
             head[start] = max(head[start], score + head[end])
-    middle = sum(vocabulary.word(w)[0] for w in _WORDS.findall(text[low:high]))
+    middle = vocabulary.score(b"".join([vocabulary.word(w) for w in _WORDS.findall(text[low:high])]))
     best, _ = vocabulary.scan(text[high:], [0.0], size - high)
     tail = best[size - high : size - high + ahead]
     out[:, :ahead] = np.array(head[:k])[:, None] + middle + np.array(tail)[None, :]
@@ -272,7 +292,7 @@ def path_back(vocabulary: Vocabulary, text: str, size: int, entry: list[float],
     low, high = found
     _, last = vocabulary.scan(text[:low], entry, low)
     head = vocabulary.back(text[:low], last, low)[1]
-    middle = b"".join([vocabulary.word(w)[1] for w in _WORDS.findall(text[low:high])])
+    middle = b"".join([vocabulary.word(w) for w in _WORDS.findall(text[low:high])])
     _, last = vocabulary.scan(text[high:], [0.0], size - high)
     tail = vocabulary.back(text[high:], last, size - high + end)[1]
     return np.array(head, "<u4").tobytes() + middle + np.array(tail, "<u4").tobytes()
