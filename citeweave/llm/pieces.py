@@ -306,28 +306,45 @@ def chunks_of(text: str, longest: int, size: int = CHUNK) -> list[tuple[str, int
     return [(whole[a : b + longest], b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-_SCHEMA = "_key long, n_tokens long, ids array<int>, score double, round_trip boolean"
+_IDS, _DIGEST = "ids array<int>", "ids_crc32 long"
+
+
+def _schema(kind: str) -> str:
+    return f"_key long, n_tokens long, {kind}, score double, round_trip boolean"
+
+
+def _told(ids: bytes, kind: str):
+    return np.frombuffer(ids, "<i4") if kind == _IDS else zlib.crc32(ids)
 
 
 def encode(docs: DataFrame, model: str, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
     """Per document: doc_id, n_tokens, ids, score of the path, and whether the decoded ids are the text."""
+    return _encoded(docs, model, giant, chunk, _IDS)
+
+
+def encoded_digest(docs: DataFrame, model: str, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
+    """As :func:`encode`, with ids_crc32 (of ids as little-endian unsigned 32-bit integers) for the ids."""
+    return _encoded(docs, model, giant, chunk, _DIGEST)
+
+
+def _encoded(docs: DataFrame, model: str, giant: int, chunk: int, kind: str) -> DataFrame:
     size = F.length(F.coalesce("text", F.lit("")))
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = vocabulary_of(model)
-        out = Emitter(["_key", "n_tokens", "ids", "score", "round_trip"])
+        out = Emitter(["_key", "n_tokens", kind.split()[0], "score", "round_trip"])
         for key, text in rows_of(batches, "_key", "text"):
             text = text_of(text)
             score, ids = vocabulary.encode(text)
-            if out.add((key, len(ids) // 4, np.frombuffer(ids, "<i4"), score, vocabulary.decode(ids) == text), 2 * len(ids)):
+            if out.add((key, len(ids) // 4, _told(ids, kind), score, vocabulary.decode(ids) == text), 2 * len(ids)):
                 yield out.frame()
         yield out.frame()
 
-    small = keyed(docs.where(size <= giant), "text").mapInPandas(whole, _SCHEMA)
-    return unkeyed(small.unionByName(_giants(docs.where(size > giant), model, chunk)))
+    small = keyed(docs.where(size <= giant), "text").mapInPandas(whole, _schema(kind))
+    return unkeyed(small.unionByName(_giants(docs.where(size > giant), model, chunk, kind)))
 
 
-def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
+def _giants(docs: DataFrame, model: str, chunk: int, kind: str) -> DataFrame:
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -371,9 +388,9 @@ def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
         group = group.sort_values("chunk")
         ids = np.concatenate(list(group["ids"])).astype(np.int32)
         same = vocabulary.decode(ids.tobytes()) == "".join(group["text"]).replace(_BLANK, " ")[1:]
-        return pd.DataFrame({"_key": [group["_key"].iloc[0]], "n_tokens": [len(ids)], "ids": [ids], "score": [group["total"].iloc[0]], "round_trip": [same]})
+        return pd.DataFrame({"_key": [group["_key"].iloc[0]], "n_tokens": [len(ids)], kind.split()[0]: [_told(ids.tobytes(), kind)], "score": [group["total"].iloc[0]], "round_trip": [same]})
 
-    return traced.groupBy("row").applyInPandas(gather, _SCHEMA)
+    return traced.groupBy("row").applyInPandas(gather, _schema(kind))
 
 
 def decode(rows: DataFrame, model: str) -> DataFrame:
@@ -385,13 +402,3 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
             yield pd.DataFrame({"_key": pdf["_key"], "text": ["" if x is None else vocabulary.decode(np.asarray(x, "<u4").tobytes()) for x in pdf["ids"]]})
 
     return unkeyed(keyed(rows, "ids").mapInPandas(run, "_key long, text string"))
-
-
-def encoded_digest(docs: DataFrame, model: str) -> DataFrame:
-    """As :func:`encode`, with ids_crc32 (of ids as little-endian unsigned 32-bit integers) for the ids."""
-
-    @F.pandas_udf("long")
-    def crc(ids: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in ids], dtype="int64")
-
-    return encode(docs, model).select("doc_id", "n_tokens", crc("ids").alias("ids_crc32"), "score", "round_trip")
