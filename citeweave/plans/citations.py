@@ -594,3 +594,121 @@ def pointer_ranges(spark, d):
     named = refs.select("conv_id", "pos", F.concat(F.lit("r"), F.col("pos").cast("string")).alias("ref"))
     ends = refs.where("pos = 1").select("conv_id", F.lit(1).alias("pointer"), F.lit("r1").alias("first"), F.concat(F.lit("r"), F.greatest(F.lit(1), F.floor(F.col("n") / 2)).cast("string")).alias("last"))
     return windows.expand_ranges(ends, named, "conv_id")[0].select("conv_id", F.col("pos").cast("long").alias("pos"))
+
+
+@query("""
+WITH m AS (SELECT DISTINCT a.o_custkey % 200 AS source, a.o_custkey % 10 AS cite_order, l_partkey AS target FROM orders a JOIN lineitem ON l_orderkey = a.o_orderkey WHERE l_linenumber = 2)
+SELECT target, source, min(cite_order) AS cite_order FROM m GROUP BY 1, 2""")
+def cited_by_first(spark, d):
+    rows = table(spark, d, "orders").join(table(spark, d, "lineitem").where("l_linenumber = 2"), F.col("l_orderkey") == F.col("o_orderkey"))
+    found = rows.select((F.col("o_custkey") % 200).alias("source"), (F.col("o_custkey") % 10).alias("cite_order"), F.col("l_partkey").alias("target"), F.lit(1).alias("spotted"), (F.col("o_custkey") % 10).alias("lastmatch"))
+    return resolve.cited_by(found).select("target", "source", F.col("lastmatch").alias("cite_order"))
+
+
+@query("""
+SELECT l_orderkey, l_partkey FROM lineitem WHERE l_orderkey IN (SELECT p_partkey FROM part) AND l_partkey IN (SELECT p_partkey FROM part WHERE p_size < 25) AND l_orderkey IN (SELECT p_partkey FROM part WHERE p_size < 25)""")
+def resolved_edges(spark, d):
+    edges = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
+    return resolve.resolved_edges(edges, table(spark, d, "part").where("p_size < 25"), "l_orderkey", "l_partkey", "p_partkey")
+
+
+@query("""
+SELECT c_nationkey, array_to_string(list_sort(list(DISTINCT c_mktsegment))[1:3], ', ') || CASE WHEN count(DISTINCT c_mktsegment) > 3 THEN ' et.al.' ELSE '' END AS names FROM customer GROUP BY 1""")
+def display_names(spark, d):
+    sets = stats.distinct_sets(table(spark, d, "customer"), "c_nationkey", "c_mktsegment")
+    return sets.select("c_nationkey", text.display_names(F.col("c_mktsegment")).alias("names"))
+
+
+@query(r"""
+SELECT p_partkey, split_part(p_name, ' ', 1) || ' ' || array_to_string(list_transform(string_split(p_name, ' ')[2:], lambda x: x[1] || '.'), ' ') AS short FROM part""")
+def abbreviated_names(spark, d):
+    parts = F.split("p_name", " ", 2)
+    return table(spark, d, "part").select("p_partkey", text.abbreviated(F.concat_ws(", ", parts[0], parts[1])).alias("short"))
+
+
+@query("""
+SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'us:' || (1000 + p_partkey) WHEN 1 THEN 'wipo:' || p_size WHEN 2 THEN 'euro:' || p_partkey END AS patent,
+  CASE p_type WHEN 'PROMO' THEN 'ConferenceProceedings' WHEN 'ECONOMY' THEN 'Book' ELSE 'Expression' END AS work_type, CASE p_type WHEN 'PROMO' THEN 'conference-proceedings' WHEN 'ECONOMY' THEN 'book' ELSE 'expression' END AS hyphenated FROM part""")
+def patents_and_types(spark, d):
+    key, k = F.col("p_partkey").cast("string"), F.col("p_partkey") % 4
+    number = F.when(k == 0, F.concat(F.lit("US "), (F.col("p_partkey") + 1000).cast("string"))).when(k == 1, F.concat(F.lit("WO 99/"), F.col("p_size").cast("string"))).when(k == 2, F.concat(F.lit("EP "), key)).otherwise(F.lit("??"))
+    kind = ids.work_type(F.when(F.col("p_type") == "PROMO", F.lit("confproc")).when(F.col("p_type") == "ECONOMY", F.lit("book")).otherwise(F.col("p_type")))
+    return table(spark, d, "part").select("p_partkey", ids.patent_id(number).alias("patent"), kind.alias("work_type"), ids.hyphenated(kind).alias("hyphenated"))
+
+
+@query("""
+SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'http://w/' || p_partkey WHEN 1 THEN 'doi/10.1234/a%20' || p_size WHEN 2 THEN 'isbn/' || p_size WHEN 3 THEN 'pmid/' || p_partkey ELSE 'work/' || sha1(CAST(p_partkey AS VARCHAR)) END AS uri,
+  CASE p_partkey % 4 WHEN 0 THEN 'pmid:' || p_partkey WHEN 1 THEN 'pmc:' || p_size WHEN 2 THEN 'doi:10.1/x' ELSE 'first' END AS preferred FROM part""")
+def minted_uris(spark, d):
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+
+    def where(n: int, k: int, c):
+        return F.when(F.col("p_partkey") % n == k, c)
+
+    uri = ids.work_uri(where(5, 0, F.concat(F.lit("http://w/"), key)), where(5, 1, F.concat(F.lit("10.1234/a "), size)), where(5, 2, size), where(5, 3, key), key)
+    best = ids.preferred_id(where(4, 0, key), where(4, 1, size), where(4, 2, F.lit("10.1/x")), F.lit("first"))
+    return table(spark, d, "part").select("p_partkey", uri.alias("uri"), best.alias("preferred"))
+
+
+@query("""
+SELECT doc_id, list_sort(list_intersect(a, b)) AS common, list_sort(list_filter(a, lambda x: NOT list_contains(b, x))) AS only_first FROM (
+  SELECT doc_id, list_distinct(list_filter(string_split_regex(lower(split_part(text, chr(10), 1)), '[^a-z]+'), lambda x: x <> '')) AS a,
+    list_distinct(list_filter(string_split_regex(lower(split_part(text, chr(10), 2)), '[^a-z]+'), lambda x: x <> '')) AS b FROM documents)""")
+def token_set_operations(spark, d):
+    lines = F.split("text", "\n")
+    a, b = (F.array_distinct(text.words(F.coalesce(F.try_element_at(lines, F.lit(i)), F.lit("")))) for i in (1, 2))
+    return table(spark, d, "documents").select("doc_id", F.array_sort(F.array_intersect(a, b)).alias("common"), F.array_sort(F.array_except(a, b)).alias("only_first"))
+
+
+@query("""
+SELECT c_custkey AS k FROM customer WHERE c_acctbal > 0 UNION SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' EXCEPT SELECT c_custkey FROM customer WHERE c_nationkey < 5""")
+def set_operations(spark, d):
+    c = table(spark, d, "customer")
+    some = c.where("c_acctbal > 0").select(F.col("c_custkey").alias("k")).unionByName(table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k"))).distinct()
+    return some.exceptAll(c.where("c_nationkey < 5").select(F.col("c_custkey").alias("k")))
+
+
+@query("""
+SELECT event_id, user_id, CAST(round((value - lag(value) OVER w) / (event_id - lag(event_id) OVER w), 6) AS DOUBLE) AS rate FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)""")
+def counter_rates(spark, d):
+    return windows.rate(table(spark, d, "events").select("event_id", "user_id", "value"), "user_id", "event_id", "value").select("event_id", "user_id", F.round("rate", 6).alias("rate"))
+
+
+@query("""
+SELECT o_custkey, year(o_orderdate) AS y, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderkey) - 1 AS INTEGER) AS "offset" FROM orders""")
+def stacking_offsets(spark, d):
+    return windows.stack_offset(table(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("y"), "o_orderkey"), "o_custkey", "y", "o_orderkey")
+
+
+@query("""
+SELECT o_orderstatus, min(o_orderkey) AS o_orderkey FROM (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) = 1) GROUP BY 1""")
+def first_candidates(spark, d):
+    return windows.first_by(table(spark, d, "orders"), "o_orderstatus", F.desc("o_totalprice"), "o_orderkey").select("o_orderstatus", "o_orderkey")
+
+
+@query("""
+SELECT source || ':' || lang AS canonical, doc_id, CASE source WHEN 'src0' THEN 4.0 WHEN 'src1' THEN 1.0 WHEN 'src2' THEN 4.0 ELSE 1.0 END AS weight FROM documents""")
+def identifier_edge_weights(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", "source", ids.canonical(F.col("source"), F.col("lang")).alias("canonical"))
+    return graph.identifier_edges(rows, "doc_id", "source", "canonical", {"src0": 4.0, "src1": 1.0, "src2": 4.0})
+
+
+@query("""
+SELECT c_custkey AS k, coalesce(o.s, c_mktsegment) AS v FROM customer LEFT JOIN (SELECT o_custkey, max_by(o_orderstatus, struct_pack(a := o_orderdate, b := o_orderkey)) AS s FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1) o ON o_custkey = c_custkey""")
+def upsert_last(spark, d):
+    current = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("v"), F.lit(None).cast("struct<a:timestamp_ntz,b:bigint>").alias("o"))
+    batch = table(spark, d, "orders").where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("v"), F.struct(F.col("o_orderdate").alias("a"), F.col("o_orderkey").alias("b")).alias("o"))
+    known = batch.join(current.select("k"), "k", "left_semi")
+    return resolve.upsert(current, known, "k", "o").select("k", "v")
+
+
+@query("""
+SELECT page_id, regexp_replace(trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')), '[.,\\s]+$', '') AS plain FROM pages""")
+def page_texts(spark, d):
+    return table(spark, d, "pages").select("page_id", text.strip_end_punctuation(text.squeeze(F.regexp_replace("html", "<[^>]*>", " "))).alias("plain"))
+
+
+@query("SELECT p_partkey AS id, p_name FROM part ORDER BY p_retailprice DESC, id LIMIT 10 OFFSET 20")
+def page_of_results(spark, d):
+    """The third page of parts by price."""
+    return windows.page(table(spark, d, "part"), [F.desc("p_retailprice"), "p_partkey"], 20, 10).select(F.col("p_partkey").alias("id"), "p_name")
