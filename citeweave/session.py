@@ -57,3 +57,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes what queries have written to the shared folder; for when their results are no longer read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/citeweave")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
