@@ -40,7 +40,7 @@ from citeweave.session import materialize
 #: Code points beyond which a text is giant, and code points of a chunk.
 GIANT, CHUNK = 50_000, 16_384
 #: Words that a task remembers, and slots in which it notes that it met a word.
-CACHE_WORDS, MET_SLOTS = 400_000, 1 << 22
+CACHE_WORDS, MET_SLOTS = 300_000, 1 << 22
 _BLANK = "▁"
 _NONE = -math.inf
 
@@ -83,6 +83,10 @@ class Vocabulary:
         # Neighbours inside a piece: between any other two characters every path has a boundary.
         self.bonds = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.lines = not any("\n" in p for p in self.pieces)
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops the words met, as a task does at its end: a worker's next task may need the memory."""
         self.known: dict[str, bytes] = {"": b""}
         self.met, self.n_met = bytearray(MET_SLOTS), 0
 
@@ -204,7 +208,7 @@ class Vocabulary:
 
 @functools.cache
 def vocabulary_of(path: str) -> Vocabulary:
-    """One vocabulary for each worker process: later tasks find the words of earlier ones."""
+    """One vocabulary for each worker process."""
     return Vocabulary(path)
 
 
@@ -338,6 +342,7 @@ def _encoded(docs: DataFrame, model: str, giant: int, chunk: int, kind: str) ->
             score, ids = vocabulary.encode(text)
             if out.add((key, len(ids) // 4, _told(ids, kind), score, vocabulary.decode(ids) == text), 2 * len(ids)):
                 yield out.frame()
+        vocabulary.forget()
         yield out.frame()
 
     small = keyed(docs.where(size <= giant), "text").mapInPandas(whole, _schema(kind))
