@@ -41,8 +41,8 @@ def facet_with_other(df: DataFrame, path: Column, size: int = 10) -> DataFrame:
     """The top terms, and one row (null term) with how many fall to all others."""
     counts = df.select(path.alias("term")).where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("count"))
     top = counts.orderBy(F.desc("count"), "term").limit(size)
-    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("all"))
-    other = top.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("top")).join(total, F.lit(True)).select(F.lit(None).cast("string").alias("term"), (F.col("all") - F.col("top")).alias("count"))
+    rest = counts.select("count").unionByName(top.select((-F.col("count")).alias("count")))
+    other = rest.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("count")).select(F.lit(None).cast("string").alias("term"), "count")
     return top.withColumn("term", F.col("term").cast("string")).unionByName(other)
 
 
