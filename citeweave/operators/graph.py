@@ -18,18 +18,18 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     """
     pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     current = materialize(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    seen = None
+    seen, rows = None, current.count()
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        current = materialize(small.where("a <> b").distinct(), "edges")
+        current = materialize(small.where("a <> b").distinct(), "edges", rows)
         state = tuple(current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == seen:
             break
-        seen = state
+        seen, rows = state, state[0]
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
