@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,6 +109,14 @@ class IdRanges:
 def rows_of(batches: Iterator[pd.DataFrame], *cols: str) -> Iterator[tuple]:
     for pdf in batches:
         yield from zip(*(pdf[c].array if pdf[c].dtype != object else pdf[c].to_numpy() for c in cols), strict=True)
+    give_back()
+
+
+def give_back() -> None:
+    """Returns a worker's free memory to the machine: workers outlive their tasks, and share it with Spark's heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 class Emitter:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from citeweave.llm.common import text_of, unused
+from citeweave.llm.common import give_back, text_of, unused
 from citeweave.session import materialize
 
 WINDOW = 13
@@ -185,6 +185,7 @@ def _hits(docs: DataFrame, benchmark: DataFrame, window: int) -> tuple[DataFrame
                 columns = [batch.column(c) for c in own_columns]
                 more = [pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(columns + more, names=schema.fieldNames())
+            give_back()
 
         return run
 

@@ -258,9 +258,9 @@ def _slots(nodes: np.ndarray) -> np.ndarray:
     return (nodes.view(np.uint64) >> np.uint64(64 - FILTER_BITS.bit_length() + 1)).astype(np.int64)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, size: int, rows: int) -> DataFrame:
     """(node, hashes) of the nodes wanted: one pass over the texts, of which the filter lets few pass."""
-    wanted = materialize(wanted.distinct(), "wanted")
+    wanted = materialize(wanted.distinct(), "wanted", rows)
     bits = _filter_of(wanted)
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -276,7 +276,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         yield out.frame()
 
     found = docs.select("text").mapInPandas(fetch, "node long, hashes binary")
-    return materialize(found.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
+    return materialize(found.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes")), "sets", wanted.count(), 5_000)
 
 
 def _probe(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -301,25 +301,31 @@ def _probe(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 def links(docs: DataFrame, heavy: np.ndarray, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT) -> tuple[DataFrame, DataFrame | None]:
     """Links (a, b, common) between different sets, enough to connect all that are linked, and their components."""
     index = materialize(_index(docs, heavy, size, percent, short), "index")
-    pairs, members = _search(index, percent), None
-    wanted = [index.where("NOT whole").select("node")]
-    if not index.where("NOT whole").isEmpty():
-        members = materialize(_ranked(index.where("NOT whole")), "members")
+    rows, long = index.count(), index.where("NOT whole")
+    pairs, members, n_long = _search(index, percent), None, long.count()
+    if n_long:
+        members = materialize(_ranked(long), "members", n_long)
         pairs = pairs.unionByName(_stars(members, percent)).distinct()
-    pairs = materialize(pairs, "pairs")
-    wanted += [pairs.select(F.col(c).alias("node")) for c in "ab"]
-    sets = _sets(docs, wanted[0].unionByName(wanted[1]).unionByName(wanted[2]), size)
-    found = materialize(_probe(sets, pairs, percent), "links")
+    pairs = materialize(pairs, "pairs", rows)
+    wanted = long.select("node").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+    sets = _sets(docs, wanted, size, rows)
+    found = _linked(sets, pairs, percent)
     groups = connected_components(found, "a", "b")
     if members is not None:
-        groups = materialize(groups, "groups")
-        more = materialize(_probe(sets, _unsettled(members, groups, percent).join(pairs, ["a", "b"], "left_anti"), percent), "links")
+        groups = materialize(groups, "groups", rows)
+        rest = _unsettled(members, groups, percent, n_long).join(pairs, ["a", "b"], "left_anti")
+        more = _linked(sets, materialize(rest, "pairs", 4 * n_long), percent)
         if not more.isEmpty():
             found = found.unionByName(more)
             groups = connected_components(found, "a", "b")
     return found, groups
 
 
+def _linked(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The links among materialized pairs, materialized."""
+    return materialize(_probe(sets, pairs, percent), "links", pairs.count(), 5_000)
+
+
 def _ranked(members: DataFrame) -> DataFrame:
     """Members (s, node, n) of long lists, with each list's size, each node's number of lists m, and from which
     on, in one order of all lists, it has ``room`` for others.
@@ -349,7 +355,7 @@ def _stars(members: DataFrame, percent: int) -> DataFrame:
     return pairs.select(*_pair("node", "x")).distinct()
 
 
-def _unsettled(members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+def _unsettled(members: DataFrame, groups: DataFrame, percent: int, rows: int) -> DataFrame:
     """Pairs of a long list that are still in different components and that the merge may have missed.
 
     The merge missed a pair only if the two share no short list, and so as many long
@@ -361,13 +367,13 @@ def _unsettled(members: DataFrame, groups: DataFrame, percent: int) -> DataFrame
     own = members.select("s", "node", "n", "room").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     shares = own.groupBy("s", "component").agg(F.count("*").alias("k"))
     main = shares.groupBy("s").agg(F.max(F.struct("k", "component")).getField("component").alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    own = materialize(own.join(main.select("s", "main"), "s"), "members")
+    own = materialize(own.join(main.select("s", "main"), "s"), "members", rows)
     outside = own.where("component <> main").select(F.col("s").alias("t"), F.col("node").alias("x"), F.col("n").alias("nx"), F.col("room").alias("rx"), F.col("component").alias("cx"))
     allowed, share = _must_share("n", "nx", percent)
     # Of two members outside the largest component, each finds the other: one of the two is enough.
     once = (F.col("component") == F.col("main")) | (F.col("node") > F.col("x"))
     pairs = own.join(outside, (F.col("s") == F.col("t")) & (F.col("component") != F.col("cx")) & once & allowed & (share <= F.least("room", "rx")))
-    return materialize(pairs.select(*_pair("node", "x")).distinct(), "pairs")
+    return pairs.select(*_pair("node", "x")).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT) -> DataFrame:
@@ -378,7 +384,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     sets = rows.where("node IS NOT NULL")
     least = sets.groupBy("node").agg(F.min("_key").alias("least"))
     several = sets.groupBy("_key").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most")
-    same = materialize(sets.join(several, "_key").where("node > b").select(F.col("node").alias("a"), "b"), "same")
+    same = materialize(sets.join(several, "_key").where("node > b").select(F.col("node").alias("a"), "b"), "same", rows.count(), 1_000_000)
     if not same.isEmpty():
         groups = connected_components(found.select("a", "b").unionByName(same), "a", "b")
     if groups is not None:

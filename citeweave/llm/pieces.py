@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import Emitter, keyed, rows_of, text_of, unkeyed
+from citeweave.llm.common import Emitter, give_back, keyed, rows_of, text_of, unkeyed
 from citeweave.session import materialize
 
 #: Code points beyond which a text is giant, and code points of a chunk.
@@ -343,6 +343,7 @@ def _encoded(docs: DataFrame, model: str, giant: int, chunk: int, kind: str) ->
             if out.add((key, len(ids) // 4, _told(ids, kind), score, vocabulary.decode(ids) == text), 2 * len(ids)):
                 yield out.frame()
         vocabulary.forget()
+        give_back()
         yield out.frame()
 
     small = keyed(docs.where(size <= giant), "text").mapInPandas(whole, _schema(kind))
