@@ -323,7 +323,7 @@ def links(docs: DataFrame, heavy: np.ndarray, size: int = SHINGLE, percent: int
 
 def _linked(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The links among materialized pairs, materialized."""
-    return materialize(_probe(sets, pairs, percent), "links", pairs.count(), 5_000)
+    return materialize(_probe(sets, pairs, percent), "links", max(pairs.count(), sets.count()), 5_000)
 
 
 def _ranked(members: DataFrame) -> DataFrame:
