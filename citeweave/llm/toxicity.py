@@ -6,11 +6,11 @@ stand before a word in the whole corpus, labelled or not. A rare expression so h
 same chance in both classes. A document's score compares the two length-normalised
 log-likelihoods, of the whole text and of its most toxic stretches, by a logistic fit.
 
-Words are hashed into WORDS cells, so every table has a fixed bound: shared counts are
-mergeable sketches (one linear and one logarithmic bitmap a cell), gathered from all
-documents; class counts come from MAX_LABELLED labelled documents at most, those of
-least hash; of bigrams that occur twice or more those are kept that
-occur so often that there are MAX_BIGRAMS of them at most.
+Words are hashed into WORDS cells: shared counts are mergeable sketches (one linear and
+one logarithmic bitmap a cell), gathered from all documents; class counts come from
+MAX_LABELLED labelled documents at most, those of least hash. Every bigram of these
+documents is kept, those met once too; totals, discounts and ratios are computed in
+Spark, and 16 bytes a bigram reach the driver and the tasks.
 One labelled document in CALIBRATE is left out of the counts and fits the logistic.
 
 Nulls: a null text or label is empty, or teaches nothing; a document without words has
@@ -31,7 +31,7 @@ from citeweave.llm.common import Emitter, give_back, keyed, mix, rows_of, text_o
 from citeweave.session import materialize
 
 WORDS = 1 << 19
-MAX_LABELLED, MAX_BIGRAMS, CALIBRATE = 40_000, 500_000, 5
+MAX_LABELLED, CALIBRATE = 40_000, 5
 TOP = 4
 THRESHOLD = 0.3
 _SHIFT, _LOW = np.uint64(45), (1 << 20) - 1
@@ -143,65 +143,54 @@ def _counted(pairs: list[list[np.ndarray]]) -> pd.DataFrame:
 
 
 def tables(gathered: DataFrame) -> DataFrame:
-    """One row for each cell: bitmaps, in how many contexts each class has it once, twice, oftener, and its frequent bigrams."""
+    """One row for each (w, v): how often each class has v w, and where v = -1 the bitmaps of w."""
     n = int(gathered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sketch = F.col("v") < 0
-    pairs = gathered.repartition(n, "w").groupBy("w", "v").agg(
-        F.sum(F.when(~sketch, F.col("x"))).alias("t"),
-        F.sum(F.when(~sketch, F.col("y"))).alias("o"),
+    return gathered.repartition(n, "w").groupBy("w", "v").agg(
+        F.sum(F.when(~sketch, F.col("x"))).cast("int").alias("t"),
+        F.sum(F.when(~sketch, F.col("y"))).cast("int").alias("o"),
         F.bit_or(F.when(sketch, F.col("x"))).alias("linear"),
         F.bit_or(F.when(sketch, F.col("y"))).alias("logarithmic"),
     )
-    often = F.col("t") + F.col("o") >= 2
-    return pairs.groupBy("w").agg(
-        F.bit_or("linear").alias("linear"),
-        F.bit_or("logarithmic").alias("logarithmic"),
-        F.count_if(F.col("t") > 0).alias("t"),
-        F.count_if(F.col("o") > 0).alias("o"),
-        F.collect_list(F.when(often, F.struct("v", "t", "o"))).alias("bigrams"),
-    )
 
 
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Discounts of counts 0, 1, 2 and 3 or more, from the counts of counts."""
-    n = [max(1, int((counts == k).sum())) for k in range(5)]
+def _discounts(n: list[int]) -> np.ndarray:
+    """Discounts of counts 0, 1, 2 and 3 or more, from how many counts are 1, 2, 3 and 4."""
+    n = [0, *(max(1, int(k)) for k in n)]
     y = n[1] / (n[1] + 2 * n[2])
     return np.clip([0, 1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3]], [0, 0.1, 0.1, 0.1], [0, 0.98, 1.9, 2.9])
 
 
 class Model:
-    """Log-probabilities of words by class, of frequent bigrams, and the weights of contexts."""
+    """Log-probabilities of words by class, of the sample's bigrams, and the weights of contexts."""
 
-    def __init__(self, words: pd.DataFrame, bigrams: pd.DataFrame):
-        w = words["w"].to_numpy(np.int64)
+    def __init__(self, words: pd.DataFrame, contexts: pd.DataFrame, discounts: list[np.ndarray]):
+        """contexts: for each v and class, the total of its bigrams' counts and how many are 1, 2 and more."""
+        w, v = words["w"].to_numpy(np.int64), contexts["v"].to_numpy(np.int64)
         shared = np.full(WORDS, 0.5)
         shared[w] += distinct_of(words["linear"].to_numpy(np.int64), words["logarithmic"].to_numpy(np.int64))
         shared /= shared.sum()
         self.word = np.zeros((2, WORDS), np.float32)
-        key = (bigrams["v"].to_numpy(np.int64) << 20) | bigrams["w"].to_numpy(np.int64)
-        order = np.argsort(key)
-        self.keys = key[order]
-        self.gain = np.zeros((2, len(key)), np.float32)
         self.backoff = np.zeros((2, WORDS + 1), np.float32)
+        self.keys, self.gain = np.zeros(0, np.int64), np.zeros((2, 0), np.float32)
         for c, name in enumerate(("t", "o")):
             n = np.zeros(WORDS)
             n[w] = words[name].to_numpy(float)
-            d = _discounts(n)[np.minimum(n, 3).astype(int)]
+            d = _discounts([(n == k).sum() for k in range(1, 5)])[np.minimum(n, 3).astype(int)]
             p = (n - d + d.sum() * shared) / max(n.sum(), 1)
-            p = np.maximum(p, 1e-12)
-            self.word[c] = np.log(p)
-            count = bigrams[name].to_numpy(float)[order]
-            v = self.keys >> 20
-            total = np.bincount(v, count, WORDS + 1)
-            d = _discounts(count)[np.minimum(count, 3).astype(int)]
-            weight = np.where(total > 0, np.bincount(v, d, WORDS + 1) / np.maximum(total, 1), 1.0)
-            weight = np.clip(weight, 1e-3, 1.0)
-            self.backoff[c] = np.log(weight)
-            direct = (count - d) / np.maximum(total[v], 1)
-            whole = direct + weight[v] * p[self.keys & _LOW]
-            self.gain[c] = np.log(whole) - self.backoff[c][v] - self.word[c][self.keys & _LOW]
+            self.word[c] = np.log(np.maximum(p, 1e-12))
+            total = contexts[name].to_numpy(float)
+            left = sum(discounts[c][k] * contexts[f"{name}{k}"].to_numpy(float) for k in (1, 2, 3))
+            weight = np.where(total > 0, left / np.maximum(total, 1), 1.0)
+            self.backoff[c][v] = np.log(np.clip(weight, 1e-3, 1.0))
         self.weights = np.zeros(2 + TOP)
 
+    def gains(self, v: np.ndarray, w: np.ndarray, c: int, count: np.ndarray, total: np.ndarray, discounts: np.ndarray) -> np.ndarray:
+        """What bigrams v w add to class c's log-probability of w backed off from v."""
+        direct = (count - discounts[np.minimum(count, 3)]) / np.maximum(total, 1)
+        backed_off = (self.backoff[c][v] + self.word[c][w]).astype(float)
+        return (np.log(direct + np.exp(backed_off)) - backed_off).astype(np.float32)
+
     def ratios(self, words: np.ndarray) -> np.ndarray:
         """Toxic less ordinary log-likelihood of each word."""
         v = contexts(words)
@@ -239,23 +228,44 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
+def _counted_model(found: DataFrame) -> Model:
+    """The model of ``tables``' rows. Of bigrams the driver sees only the finished ratios."""
+    met = {c: F.count_if((F.col("v") >= 0) & (F.col(c) > 0)).alias(c) for c in ("t", "o")}
+    words = found.groupBy("w").agg(F.coalesce(F.bit_or("linear"), F.lit(0)).alias("linear"), F.coalesce(F.bit_or("logarithmic"), F.lit(0)).alias("logarithmic"), *(met[c].cast("int").alias(c) for c in met))
+    pairs = found.where("v >= 0").select("w", "v", "t", "o")
+    kinds = [F.count_if((F.col(c) >= 3) if k == 3 else (F.col(c) == k)).cast("int").alias(f"{c}{k}") for c in ("t", "o") for k in (1, 2, 3)]
+    by_context = pairs.groupBy("v").agg(F.sum("t").alias("t"), F.sum("o").alias("o"), *kinds).toArrow().to_pandas()
+    n = pairs.agg(*(F.count_if(F.col(c) == k).alias(f"{c}{k}") for c in ("t", "o") for k in (1, 2, 3, 4))).first()
+    discounts = [_discounts(list(n[:4])), _discounts(list(n[4:]))]
+    model = Model(words.toArrow().to_pandas(), by_context, discounts)
+    totals = np.zeros((2, WORDS + 1), np.int64)
+    totals[:, by_context["v"].to_numpy(np.int64)] = by_context[["t", "o"]].to_numpy(np.int64).T
+    del by_context
+    held = found.sparkSession.sparkContext.broadcast((model, totals))
+
+    def ratios(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        backed_off, total = held.value
+        for pdf in batches:
+            v, w = pdf["v"].to_numpy(np.int64), pdf["w"].to_numpy(np.int64)
+            gain = [backed_off.gains(v, w, c, pdf[name].to_numpy(np.int64), total[c][v], discounts[c]) for c, name in enumerate(("t", "o"))]
+            yield pd.DataFrame({"key": (v << 20) | w, "t": gain[0], "o": gain[1]})
+        give_back()
+
+    got = materialize(pairs.mapInPandas(ratios, "key long, t float, o float"), "bigrams").sort("key").toArrow()
+    model.keys = got.column("key").to_numpy()
+    model.gain = np.stack([got.column(c).to_numpy() for c in ("t", "o")])
+    del got
+    held.destroy()
+    give_back()
+    return model
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_LABELLED) -> Model | None:
     """The two models of the labelled documents where ``learn`` holds; None without both classes."""
     sample = Labels(labels, learn, most)
     if len(set(sample.toxic.tolist())) < 2:
         return None
-    found = materialize(tables(gather(docs, sample)), "toxicity")
-    words = found.select("w", F.coalesce("linear", F.lit(0)).alias("linear"), F.coalesce("logarithmic", F.lit(0)).alias("logarithmic"), F.col("t").cast("int"), F.col("o").cast("int"))
-    pairs = found.select("w", F.explode("bigrams").alias("b")).select("w", "b.v", F.col("b.t").cast("int").alias("t"), F.col("b.o").cast("int").alias("o"))
-    seen = F.least(F.col("t") + F.col("o"), F.lit(1000)).alias("seen")
-    kept, least = 0, 1001
-    for r in pairs.groupBy(seen).agg(F.count("*").alias("n")).orderBy(F.desc("seen")).collect():  # 999 rows at most
-        kept += r.n
-        if kept > MAX_BIGRAMS:
-            break
-        least = r.seen
-    model = Model(words.toArrow().to_pandas(), pairs.where(F.col("t") + F.col("o") >= least).toPandas())
-
+    model = _counted_model(materialize(tables(gather(docs, sample)), "toxicity"))
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -63,3 +63,31 @@ def test_short_texts_have_features(text):
     model.word = np.zeros((2, toxicity.WORDS), np.float32)
     model.backoff, model.keys = np.zeros((2, toxicity.WORDS + 1), np.float32), np.zeros(0, np.int64)
     assert len(model.features(text)) == 1 + toxicity.TOP
+
+
+def test_every_bigram_of_the_sample_is_kept(docs_of, spark):
+    rows = [(i, f"word{i} stands before other{i} " + ("bad thing" if i % 3 else "fine thing")) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, toxic long")
+    model = toxicity.fit(docs_of(rows), labels, F.lit(True))
+    sample = toxicity.Labels(labels, F.lit(True))
+    counted = {}
+    for i, t in rows:
+        label, left_out = sample.of(i)
+        if not left_out:
+            w = toxicity.cells(t)
+            for k in {(int(v) << 20) | int(x) for v, x in zip(toxicity.contexts(w), w, strict=True)}:
+                counted.setdefault(k, [0, 0])[1 - label] += 1
+    assert model.keys.tolist() == sorted(counted)
+    once = np.array([sum(counted[k]) == 1 for k in sorted(counted)])
+    assert once.sum() > 60 and (model.gain[:, once] != 0).any(axis=0).all()
+    for c in range(2):  # the bigrams' probabilities, from the counts by hand
+        d = toxicity._discounts([sum(n[c] == k for n in counted.values()) for k in range(1, 5)])
+        totals = {}
+        for k, n in counted.items():
+            totals.setdefault(k >> 20, []).append(n[c])
+        for at, k in enumerate(sorted(counted)):
+            of = totals[k >> 20]
+            weight = np.clip(sum(d[min(n, 3)] for n in of) / sum(of), 1e-3, 1) if sum(of) else 1.0
+            direct = (counted[k][c] - d[min(counted[k][c], 3)]) / max(sum(of), 1)
+            p = direct + weight * np.exp(float(model.word[c][k & toxicity._LOW]))
+            assert abs(np.exp(float(model.gain[c][at] + model.backoff[c][k >> 20] + model.word[c][k & toxicity._LOW])) / p - 1) < 1e-4
