@@ -9,9 +9,10 @@ T with all long lists; these are then probed, by binary search of the long lists
 shingles in the other set.
 
 Equal sets are one node, whatever the number of copies, so copies are never expanded.
-Short lists that are long all the same (many near copies) aren't paired within: each
-member is compared with a few that lead, and after that only members that are still in
-different components. No pair that reaches the similarity is lost to the result.
+Short lists that are long all the same (many near copies) aren't paired within where only
+components are asked for: each member is compared with a few that lead, and after that only
+members that are still in different components. Where links are counted, all their members
+are paired, block by block, and every link is found.
 
 Nulls: a null text is empty; an empty set is linked with nothing and is a component of
 its own doc_id. Ties: the least doc_id names a component. Rows that repeat a doc_id are one
@@ -40,6 +41,8 @@ LOCAL, HEAVY = 2, 12
 MOST_HEAVY = 1 << 18
 #: Members of a list that are paired with each other; of longer lists, members that are compared with all others first.
 SHORT, LEADERS = 64, 16
+#: Members of a block, where all pairs of a longer list are made.
+BLOCK = 256
 #: Bits of the filter of sets to fetch, and sets a task remembers having sent.
 FILTER_BITS = 1 << 24
 _ODD = [np.uint64(x) for x in mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)]
@@ -298,20 +301,20 @@ def _probe(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.mapInPandas(compare, "a long, b long, common long")
 
 
-def links(docs: DataFrame, heavy: np.ndarray, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT) -> tuple[DataFrame, DataFrame | None]:
-    """Links (a, b, common) between different sets, enough to connect all that are linked, and their components."""
+def links(docs: DataFrame, heavy: np.ndarray, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT, every: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """Links (a, b, common) between different sets, and their components. ``every``: all links; else enough to connect all that are linked."""
     index = materialize(_index(docs, heavy, size, percent, short), "index")
     rows, long = index.count(), index.where("NOT whole")
     pairs, members, n_long = _search(index, percent), None, long.count()
     if n_long:
         members = materialize(_ranked(long), "members", n_long)
-        pairs = pairs.unionByName(_stars(members, percent)).distinct()
+        pairs = pairs.unionByName(_within(members, percent) if every else _stars(members, percent)).distinct()
     pairs = materialize(pairs, "pairs", rows)
     wanted = long.select("node").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node")))
     sets = _sets(docs, wanted, size, rows)
     found = _linked(sets, pairs, percent)
     groups = connected_components(found, "a", "b")
-    if members is not None:
+    if members is not None and not every:
         groups = materialize(groups, "groups", rows)
         rest = _unsettled(members, groups, percent, n_long).join(pairs, ["a", "b"], "left_anti")
         more = _linked(sets, materialize(rest, "pairs", 4 * n_long), percent)
@@ -355,6 +358,20 @@ def _stars(members: DataFrame, percent: int) -> DataFrame:
     return pairs.select(*_pair("node", "x")).distinct()
 
 
+def _within(members: DataFrame, percent: int) -> DataFrame:
+    """All pairs of each long list's members that sizes and room allow: of two sets that share no short list, none is lost.
+
+    Members are dealt into blocks by hash, and each pair of blocks meets under a key of its own.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = members.select("s", "node", "n", "room", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
+    x = own.select("s", "node", "n", "room", F.col("block").alias("lo"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("hi"))
+    y = own.select("s", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("room").alias("rx"), F.explode(F.expr("sequence(0, block)")).alias("lo"), F.col("block").alias("hi"))
+    allowed, share = _must_share("n", "nx", percent)
+    once = (F.col("lo") < F.col("hi")) | (F.col("node") < F.col("x"))
+    return x.join(y, ["s", "lo", "hi"]).where(once & allowed & (share <= F.least("room", "rx"))).select(*_pair("node", "x")).distinct()
+
+
 def _unsettled(members: DataFrame, groups: DataFrame, percent: int, rows: int) -> DataFrame:
     """Pairs of a long list that are still in different components and that the merge may have missed.
 
@@ -376,11 +393,14 @@ def _unsettled(members: DataFrame, groups: DataFrame, percent: int, rows: int) -
     return pairs.select(*_pair("node", "x")).distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id (the least doc_id of all it is linked with)."""
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT, count_links: bool = False) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id (the least doc_id of all it is linked with).
+
+    ``count_links``: and n_links, how many other rows' sets are equal or reach the similarity; all links are found for it.
+    """
     surveyed = materialize(survey(docs, size), "survey")
     rows = rows_in(surveyed)
-    found, groups = links(docs, heavy_in(surveyed), size, percent, short)
+    found, groups = links(docs, heavy_in(surveyed), size, percent, short, count_links)
     sets = rows.where("node IS NOT NULL")
     least = sets.groupBy("node").agg(F.min("_key").alias("least"))
     several = sets.groupBy("_key").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most")
@@ -391,9 +411,17 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         own = least.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
         named = own.groupBy("component").agg(F.min("least").alias("name"))
         least = own.join(named, "component").select("node", F.col("name").alias("least"))
-    some = sets.join(least, "node").select("_key", "n", F.col("least").alias("component"))
-    out = some.unionByName(rows.where("node IS NULL").select("_key", "n", F.col("_key").alias("component")))
-    return unkeyed(out.select("_key", F.col("n").alias("n_shingles"), F.when(F.col("component") != LEAST, F.col("component")).alias("component_id")))
+    some = sets.join(least, "node").select("_key", "n", F.col("least").alias("component"), "node")
+    none = rows.where("node IS NULL").select("_key", "n", F.col("_key").alias("component"))
+    counted = []
+    if count_links:
+        copies = sets.groupBy("node").agg(F.count("*").alias("copies"))
+        ends = found.select(F.col("a").alias("of"), F.col("b").alias("node")).unionByName(found.select(F.col("b").alias("of"), F.col("a").alias("node")))
+        others = ends.join(copies, "node").groupBy(F.col("of").alias("node")).agg(F.sum("copies").alias("others"))
+        n_links = copies.join(others, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+        some, none, counted = some.join(n_links, "node"), none.withColumn("n_links", F.lit(0).cast("long")), ["n_links"]
+    out = some.drop("node").unionByName(none)
+    return unkeyed(out.select("_key", F.col("n").alias("n_shingles"), F.when(F.col("component") != LEAST, F.col("component")).alias("component_id"), *counted))
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

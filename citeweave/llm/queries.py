@@ -69,6 +69,11 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op8_jaccard with every document's number of links, for which all links are found."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), count_links=True)
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_digest(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -147,7 +152,7 @@ FROM norm n LEFT JOIN hits h USING (doc_id) LEFT JOIN named m USING (doc_id)
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_secrets, op2_winnow, op3_tokens, op4_language, op5_toxicity, op6_compact, op7_urls, op8_jaccard, op9_pieces, op10_decontaminate)
+    for f in (op1_secrets, op2_winnow, op3_tokens, op4_language, op5_toxicity, op6_compact, op7_urls, op8_jaccard, op8_jaccard_links, op9_pieces, op10_decontaminate)
 } | {"pipeline": corpus_pipeline.run}
 
 #: The others are tested against brute force, exact round trips or held-out accuracy.

@@ -76,3 +76,16 @@ def test_odd_tables(odd, docs_of):
     got = [tuple(r) for r in jaccard.near_duplicates(odd).collect()]
     assert len(got) == 10 and got.count((5, 1, 5)) == 2 and (6, 1, 5) in got and (7, 0, 7) in got and (None, 1, None) in got
     assert jaccard.near_duplicates(docs_of([])).count() == 0
+
+
+@pytest.mark.parametrize(("seed", "short", "block"), [(1, 64, 256), (2, 6, 16), (3, 2, 3)])
+def test_every_link_is_counted(docs_of, monkeypatch, seed, short, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rows = [*corpus(seed), *[(i + 1000, t) for i, t in corpus(seed)[:7]]]
+    rows += [(i + 2000, " ".join(f"q{i}" if j == i else f"near{j}" for j in range(120))) for i in range(100)]
+    words = {i: (t or "").encode().lower().split() for i, t in rows}
+    sets = {i: {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set() for i, w in words.items()}
+    n = {i: sum(i != j and bool(a) and 100 * len(a & b) >= 75 * len(a | b) for j, b in sets.items()) for i, a in sets.items()}
+    assert all(n[i + 2000] == 99 for i in range(100))
+    got = sorted(map(tuple, jaccard.near_duplicates(docs_of(rows), short=short, count_links=True).collect()))
+    assert got == [(*r, n[r[0]]) for r in brute(rows)]
