@@ -8,6 +8,7 @@ in them is tied to these tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -392,45 +393,52 @@ def connected_components(spark, d):
     return graph.unify(o.unionByName(s), "record", "scheme", "value")
 
 
-def _graph(spark, d):
+def _graph(spark, d, lines):
     part, item = table(spark, d, "part"), table(spark, d, "lineitem")
     n = part.agg(F.count("*").alias("n"))
-    edges = item.where("l_linenumber = 1").join(F.broadcast(n)).select((F.col("l_orderkey") % F.col("n")).alias("src"), F.col("l_partkey").alias("dst")).distinct()
+    edges = item.where(lines).join(F.broadcast(n)).select((F.col("l_orderkey") % F.col("n")).alias("src"), F.col("l_partkey").alias("dst")).distinct()
     return part.select(F.col("p_partkey").alias("id")), edges
 
 
+_FIRST = "l_linenumber = 1"
 _EDGES = "e AS (SELECT DISTINCT l_orderkey % (SELECT count(*) FROM part) AS src, l_partkey AS dst FROM lineitem WHERE l_linenumber = 1)"
 _ROUND = "r{i} AS (SELECT p_partkey AS id, 0.15 + 0.85 * coalesce(g, 0) AS rank FROM part LEFT JOIN (SELECT e.dst, sum(r.rank / o.refs) AS g FROM e JOIN r{j} r ON r.id = e.src JOIN o USING (src) GROUP BY 1) ON dst = p_partkey)"
 
 
 @query(f"WITH {_EDGES}, o AS (SELECT src, count(*) AS refs FROM e GROUP BY 1), r0 AS (SELECT p_partkey AS id, 1.0::DOUBLE AS rank FROM part), " + ", ".join(_ROUND.format(i=i, j=i - 1) for i in range(1, 5)) + " SELECT id, round(rank, 8) AS rank FROM r4")
-def citerank_4(spark, d):
-    return graph.cite_rank(*_graph(spark, d)).select("id", F.round("rank", 8).alias("rank"))
+def citerank_4(spark, d, lines=_FIRST):
+    return graph.cite_rank(*_graph(spark, d, lines)).select("id", F.round("rank", 8).alias("rank"))
 
 
 @query(f"""WITH RECURSIVE {_EDGES}, r AS (SELECT p_partkey AS id, 0 AS level FROM part WHERE p_partkey < 5 UNION SELECT e.dst, r.level + 1 FROM r JOIN e ON e.src = r.id WHERE r.level < 4)
 SELECT id, min(level) AS level FROM r GROUP BY 1""")
-def bfs_levels(spark, d):
-    nodes, edges = _graph(spark, d)
+def bfs_levels(spark, d, lines=_FIRST):
+    nodes, edges = _graph(spark, d, lines)
     return graph.bfs(nodes.where("id < 5"), edges, 4)
 
 
 @query(f"WITH {_EDGES} SELECT p_partkey AS id FROM part WHERE p_partkey IN (SELECT src FROM e UNION SELECT dst FROM e)")
-def degree_filter(spark, d):
-    nodes, edges = _graph(spark, d)
+def degree_filter(spark, d, lines=_FIRST):
+    nodes, edges = _graph(spark, d, lines)
     return graph.drop_isolated(nodes, edges, "id", "src", "dst")
 
 
 @query(f"""WITH {_EDGES}, a AS (SELECT 'cited' AS side, dst AS id, count(*) AS n FROM e GROUP BY 2 UNION ALL SELECT 'citing', src, count(*) FROM e GROUP BY 2)
 SELECT side, rank, id, n FROM (SELECT *, row_number() OVER (PARTITION BY side ORDER BY n DESC, id) AS rank FROM a) WHERE rank <= 5""")
-def top_cited_citing(spark, d):
-    return stats.top_degree(_graph(spark, d)[1], "src", "dst")
+def top_cited_citing(spark, d, lines=_FIRST):
+    return stats.top_degree(_graph(spark, d, lines)[1], "src", "dst")
 
 
 @query(f"""WITH {_EDGES}, o AS (SELECT src AS id, list_sort(list(dst)) AS out FROM e GROUP BY 1), i AS (SELECT dst AS id, list_sort(list(src)) AS "in" FROM e GROUP BY 1)
 SELECT coalesce(o.id, i.id) AS id, out, "in" FROM o FULL JOIN i ON o.id = i.id""")
-def neighbour_lists(spark, d):
-    return graph.neighbours(_graph(spark, d)[1], "src", "dst")
+def neighbour_lists(spark, d, lines=_FIRST):
+    return graph.neighbours(_graph(spark, d, lines)[1], "src", "dst")
+
+
+# The same over the graph of all lines; the five above are held to first lines by their SQL.
+for _f in (citerank_4, bfs_levels, degree_filter, top_cited_citing, neighbour_lists):
+    QUERIES[f"{_f.__name__}_all_lines"] = partial(_f, lines="true")
+    SQL[f"{_f.__name__}_all_lines"] = SQL[_f.__name__].replace(f" WHERE {_FIRST})", ")")
 
 
 @query()

@@ -143,3 +143,16 @@ def test_ordered_lists_link_items(spark):
     out = rdf.ordered_list(df, F.col("l"), "l", "pos", F.col("item"), F.lit("g"))
     kinds = sorted(r.p.rpartition("#")[2] for r in out.collect())
     assert kinds == ["firstItem>", "itemContent>", "itemContent>", "lastItem>", "nextItem>"]
+
+
+def test_graph_queries_over_all_lines(spark, tmp_path):
+    from citeweave.plans.citations import QUERIES, SQL
+
+    spark.range(6).select(F.col("id").alias("p_partkey")).write.parquet(f"{tmp_path}/part.parquet")
+    lines = [(1, 1, 2), (1, 2, 3), (2, 1, 3), (2, 7, 5), (8, 3, 4)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r.id: (r.out, r["in"]) for r in QUERIES["neighbour_lists_all_lines"](spark, str(tmp_path)).collect()}
+    assert got == {1: ([2, 3], None), 2: ([3, 4, 5], [1]), 3: (None, [1, 2]), 4: (None, [2]), 5: (None, [2])}
+    assert {r.id for r in QUERIES["degree_filter_all_lines"](spark, str(tmp_path)).collect()} == {1, 2, 3, 4, 5}
+    assert {r.id for r in QUERIES["degree_filter"](spark, str(tmp_path)).collect()} == {1, 2, 3}
+    assert all("l_linenumber" not in SQL[k] for k in SQL if k.endswith("_all_lines"))
