@@ -52,7 +52,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Appends the documents as eight arrivals, compacts, and reads the table that the last manifest names."""
+    """Appends the documents as sixteen arrivals, compacts, and reads the table that the last manifest names."""
     docs = table(spark, sf_dir, "documents")
     store = shards.ingest(docs, scratch_path(spark, "shards"))
     return store.read(docs.schema).select("doc_id", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
