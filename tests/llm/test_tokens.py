@@ -28,6 +28,14 @@ def test_words_give_the_tokenizer_s_ids(exact):
             assert np.frombuffer(e.encode(t), "<u2").tolist() == exact(t)
 
 
+def test_blocks_and_the_full_cache_change_nothing(exact, monkeypatch):
+    texts = [f"{t} word{i} mot{i % 7}é, {t}" for i, t in enumerate(TEXTS * 20)]
+    want = [exact(t) for t in texts]
+    monkeypatch.setattr(tokens, "BLOCK_CHARS", 50)  # texts are cut, and blocks hold a few
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 40)
+    assert [np.frombuffer(x, "<u2").tolist() for x in tokens.Encoder(PATH).encode_all(texts)] == want
+
+
 def test_round_trip_starts_and_lookup(spark, docs_of, exact):
     rows = [(i * 7 % 101, t * (1 + i % 3)) for i, t in enumerate(TEXTS * 6) if i < 100] + [(1000, None)]
     path = scratch_path(spark, "test")
