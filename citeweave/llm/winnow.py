@@ -117,7 +117,7 @@ def with_next(docs: DataFrame, visit, columns: list[str], schema: str) -> DataFr
             yield own if first.empty else pd.concat([own, first.assign(bucket=first["_key"].map(before).astype(np.int32), guest=np.int8(1))])
 
     dealt = keyed(docs, "text").mapInPandas(deal, "_key long, text string, bucket int, guest byte")
-    dealt = dealt.repartition(ranges.n, "bucket").sortWithinPartitions("bucket", F.desc("guest"), F.desc("_key"), F.desc("text"))
+    dealt = dealt.repartitionById(ranges.n, F.col("bucket")).sortWithinPartitions("bucket", F.desc("guest"), F.desc("_key"), F.desc("text"))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = Emitter(["_key", *columns], most=500)
