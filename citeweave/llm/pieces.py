@@ -6,16 +6,20 @@ can't follow another character inside a piece, so ordinary texts fall into indep
 words, and a task remembers the words it has met. A giant text is cut into chunks that
 go to different tasks: each gives the transfer matrix from the states at its beginning
 (how far the last chunk's piece reaches in) to those at its end; the matrices of a text
-are combined, which is associative, and then each chunk finds its own path back from
-its end's state.
-
-Scores are the vocabulary file's. A character without a piece scores less than any
-piece and becomes its UTF-8 bytes. Of equal scores the path whose last piece is longest
-wins, as in a scan of the whole text; only where a chunk has no blank may a giant text
-get another path of the same score.
+are combined in a tree, which is associative, into the scores at each chunk's beginning.
+From these each chunk tells by which state its path came in for each by which it leaves;
+these maps are combined in the same way from the text's end, and then each chunk finds
+its own path back.
+
+Scores: those of a unigram model are log-probabilities. The scores of a model made by pair
+merging are the merges' numbers, which can't be summed; such pieces were found in the order
+of their frequency, so by Zipf's law the probability of the r-th is taken as proportional to
+1 / (r + ZIPF). All scores are rounded to whole UNITs, so that sums are exact in any
+grouping. A character without a piece scores less than any piece and becomes its UTF-8
+bytes. Of equal scores the path whose last piece is longest wins, in chunks as in whole texts.
 
 Nulls: a null text is empty and has no ids. A U+2581 in a text is read as a blank.
-Repeated rows are encoded each.
+Repeated rows are encoded each. Columns other than doc_id and text are never read.
 """
 
 from __future__ import annotations
@@ -24,7 +28,6 @@ import functools
 import math
 import re
 import sys
-import zlib
 from array import array
 from collections.abc import Iterator
 from itertools import islice
@@ -41,10 +44,27 @@ from citeweave.session import materialize
 GIANT, CHUNK = 50_000, 16_384
 #: Words that a task remembers, and slots in which it notes that it met a word.
 CACHE_WORDS, MET_SLOTS = 300_000, 1 << 22
+#: Chunks, or blocks of them, that one task combines.
+FAN = 256
+#: Offset of ranks, and a nat's units: scores are whole numbers, exact in sums of less than 2**53.
+ZIPF, UNIT = 100, 1 << 16
 _BLANK = "▁"
 _NONE = -math.inf
 
 
+def log_probabilities(scores: dict[str, float]) -> dict[str, float]:
+    """Scores that may be summed, in units; of a merged vocabulary (scores 0, -1, -2 ...) by the rank's share.
+
+    Pieces that a model's maker has put below all others (-1e9) stay there.
+    """
+    real = [s for s in scores.values() if s > -1e8]
+    if real and all(s <= 0 and s == int(s) for s in real):
+        total = math.log(sum(1 / (ZIPF - s) for s in real))
+        scores = {p: -math.log(ZIPF - s) - total if s > -1e8 else s for p, s in scores.items()}
+    low = min((s for s in scores.values() if s > -1e8), default=0.0)
+    return {p: float(round(UNIT * (s if s > -1e8 else low - 5))) for p, s in scores.items()}
+
+
 class Vocabulary:
     """Pieces, scores and ids of a model file, and the ids of bytes."""
 
@@ -52,6 +72,7 @@ class Vocabulary:
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
+        ordinary = {}
         self.pieces: dict[str, tuple[float, int]] = {}
         self.bytes: dict[int, int] = {}
         self.text: list[bytes] = []
@@ -62,10 +83,12 @@ class Vocabulary:
                 self.bytes[int(piece[3:5], 16)] = i
                 self.text[i] = bytes([int(piece[3:5], 16)])
             elif not (model.is_unknown(i) or model.is_control(i) or model.is_unused(i)):
-                self.pieces[piece] = (float(model.get_score(i)), i)
+                ordinary[piece] = (float(model.get_score(i)), i)
                 self.text[i] = piece.replace(_BLANK, " ").encode()
+        scores = log_probabilities({p: s for p, (s, _) in ordinary.items()})
+        self.pieces.update({p: (scores[p], i) for p, (_, i) in ordinary.items()})
         self.longest = max(map(len, self.pieces), default=1)
-        self.unknown = min((s for s, _ in self.pieces.values() if s > -1e8), default=0.0) - 10  # lower ones are never chosen
+        self.unknown = min((s for s, _ in self.pieces.values()), default=0.0) - 10 * UNIT
         self.scores = np.zeros(model.vocab_size())
         for score, i in self.pieces.values():
             self.scores[i] = score
@@ -154,7 +177,7 @@ class Vocabulary:
             self.known[text] = found
 
     def score(self, ids: bytes) -> float:
-        """Sum of the pieces' scores; of a character's bytes the first has its score, the others none."""
+        """Sum of the pieces' scores, in units; of a character's bytes the first has its score, the others none."""
         return float(self.scores[np.frombuffer(ids, "<u4")].sum())
 
     def _fresh(self, text: str) -> bytes:
@@ -190,7 +213,7 @@ class Vocabulary:
         return out.tobytes()
 
     def encode(self, text: str) -> tuple[float, bytes]:
-        """Score and packed ids (32 bits each, little-endian) of the whole text."""
+        """Score in units and packed ids (32 bits each, little-endian) of the whole text."""
         if not text:
             return 0.0, b""
         known, word = self.known.get, self.word
@@ -271,20 +294,61 @@ def combined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
 
 
-def boundaries(matrices: list[np.ndarray], heads: list[str], vocabulary: Vocabulary) -> tuple[list[np.ndarray], list[int]]:
-    """Scores of the states at each chunk's beginning, and the path's state at each chunk's end."""
-    entries = [np.array([0.0] + [_NONE] * (len(matrices[0]) - 1))]
-    for m in matrices[:-1]:
-        entries.append(combined(entries[-1][None, :], m)[0])
-    ends = [0] * len(matrices)
-    for c in range(len(matrices) - 1, 0, -1):
-        if heads[c]:  # the path to the first cut tells how it entered, whatever follows
-            _, last = vocabulary.scan(heads[c], entries[c].tolist(), len(heads[c]))
-            ends[c - 1] = vocabulary.back(heads[c], last, len(heads[c]))[0]
-        else:
-            ends[c - 1] = own = int((entries[c] + matrices[c][:, ends[c]]).argmax())
-            entries[c] = np.where(np.arange(len(entries[c])) == own, entries[c], _NONE)  # the chunk has to enter there
-    return entries, ends
+def way_in(vocabulary: Vocabulary, text: str, size: int, entry: list[float]) -> np.ndarray:
+    """The chunk's map back, as a matrix: 0 where the best path to state i at its end came in by state j, else -inf.
+
+    ``entry``: the best scores of the states at its beginning.
+    """
+    k = vocabulary.longest
+    out = np.full((k, k), _NONE)
+    found = cuts(text, size, k)
+    if found:  # the path to the first cut tells how it came in, whatever follows
+        _, last = vocabulary.scan(text[: found[0]], entry, found[0])
+        out[:, vocabulary.back(text, last, found[0])[0]] = 0.0
+        return out
+    best, last = vocabulary.scan(text, entry, size)
+    for i in range(min(k, len(text) - size + 1)):
+        if best[size + i] > _NONE:
+            out[i, vocabulary.back(text, last, size + i)[0]] = 0.0
+    return out
+
+
+def states(matrices: DataFrame, last: int, k: int, fan: int = FAN) -> DataFrame:
+    """(row, at, state) of (row, at, m): the product of all matrices before each, from state 0.
+
+    ``last``: the greatest ``at``. Blocks of ``fan`` matrices are multiplied first, and the
+    blocks' products combined in the same way, so that no task has all of a long text.
+    """
+    first = np.array([0.0] + [_NONE] * (k - 1))
+
+    def along(row: int, at: list[int], ms: list[bytes], state: np.ndarray) -> pd.DataFrame:
+        out = []
+        for m in ms:
+            out.append(state.tobytes())
+            state = combined(state[None, :], np.frombuffer(m).reshape(k, k))[0]
+        return pd.DataFrame({"row": row, "at": at, "state": out})
+
+    schema = "row long, at int, state binary"
+    if last < fan:
+
+        def whole(group: pd.DataFrame) -> pd.DataFrame:
+            group = group.sort_values("at")
+            return along(group["row"].iloc[0], list(group["at"]), list(group["m"]), first)
+
+        return matrices.groupBy("row").applyInPandas(whole, schema)
+
+    def product(group: pd.DataFrame) -> pd.DataFrame:
+        ms = [np.frombuffer(m).reshape(k, k) for m in group.sort_values("at")["m"]]
+        return pd.DataFrame({"row": group["row"].iloc[:1], "at": np.int32(group["at"].iloc[0] // fan), "m": [functools.reduce(combined, ms).tobytes()]})
+
+    def inside(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("at")
+        return along(group["row"].iloc[0], list(group["at"]), list(group["m"]), np.frombuffer(group["before"].iloc[0]))
+
+    block = F.floor(F.col("at") / fan).cast("int").alias("block")
+    blocks = matrices.groupBy("row", block).applyInPandas(product, "row long, at int, m binary")
+    before = states(materialize(blocks, "products"), last // fan, k, fan).select("row", F.col("at").alias("block"), F.col("state").alias("before"))
+    return matrices.withColumn("block", block).join(before, ["row", "block"]).groupBy("row", "block").applyInPandas(inside, schema)
 
 
 def path_back(vocabulary: Vocabulary, text: str, size: int, entry: list[float], end: int) -> bytes:
@@ -310,7 +374,7 @@ def chunks_of(text: str, longest: int, size: int = CHUNK) -> list[tuple[str, int
     return [(whole[a : b + longest], b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-_IDS, _DIGEST = "ids array<int>", "ids_crc32 long"
+_ARRAY, _PACKED = "ids array<int>", "ids binary"
 
 
 def _schema(kind: str) -> str:
@@ -318,17 +382,17 @@ def _schema(kind: str) -> str:
 
 
 def _told(ids: bytes, kind: str):
-    return np.frombuffer(ids, "<i4") if kind == _IDS else zlib.crc32(ids)
+    return np.frombuffer(ids, "<i4") if kind == _ARRAY else ids
 
 
 def encode(docs: DataFrame, model: str, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
-    """Per document: doc_id, n_tokens, ids, score of the path, and whether the decoded ids are the text."""
-    return _encoded(docs, model, giant, chunk, _IDS)
+    """Per document: doc_id, n_tokens, ids, score of the path in nats, and whether the decoded ids are the text."""
+    return _encoded(docs, model, giant, chunk, _ARRAY)
 
 
-def encoded_digest(docs: DataFrame, model: str, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
-    """As :func:`encode`, with ids_crc32 (of ids as little-endian unsigned 32-bit integers) for the ids."""
-    return _encoded(docs, model, giant, chunk, _DIGEST)
+def encode_packed(docs: DataFrame, model: str, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
+    """As :func:`encode`, with ids as bytes (32 bits each, little-endian) and ids_crc32, their checksum."""
+    return _encoded(docs, model, giant, chunk, _PACKED).withColumn("ids_crc32", F.crc32("ids"))
 
 
 def _encoded(docs: DataFrame, model: str, giant: int, chunk: int, kind: str) -> DataFrame:
@@ -336,11 +400,11 @@ def _encoded(docs: DataFrame, model: str, giant: int, chunk: int, kind: str) ->
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = vocabulary_of(model)
-        out = Emitter(["_key", "n_tokens", kind.split()[0], "score", "round_trip"])
+        out = Emitter(["_key", "n_tokens", "ids", "score", "round_trip"])
         for key, text in rows_of(batches, "_key", "text"):
             text = text_of(text)
             score, ids = vocabulary.encode(text)
-            if out.add((key, len(ids) // 4, _told(ids, kind), score, vocabulary.decode(ids) == text), 2 * len(ids)):
+            if out.add((key, len(ids) // 4, _told(ids, kind), score / UNIT, vocabulary.decode(ids) == text), 2 * len(ids)):
                 yield out.frame()
         vocabulary.forget()
         give_back()
@@ -352,49 +416,50 @@ def _encoded(docs: DataFrame, model: str, giant: int, chunk: int, kind: str) ->
 
 def _giants(docs: DataFrame, model: str, chunk: int, kind: str) -> DataFrame:
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    longest = vocabulary_of(model).longest
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        longest = vocabulary_of(model).longest
         for key, row, text in rows_of(batches, "_key", "row", "text"):
             parts = chunks_of(text_of(text), longest, chunk)
-            yield pd.DataFrame({"_key": key, "row": row, "chunk": range(len(parts)), "part": [p for p, _ in parts], "size": [s for _, s in parts]})
+            yield pd.DataFrame({"_key": key, "row": row, "at": range(len(parts)), "chunks": len(parts), "part": [p for p, _ in parts], "size": [s for _, s in parts]})
 
     rows = keyed(docs, "text").withColumn("row", F.monotonically_increasing_id())
-    parts = rows.mapInPandas(cut, "_key long, row long, chunk int, part string, size int").repartition(n, "row", "chunk")
+    parts = rows.mapInPandas(cut, "_key long, row long, at int, chunks int, part string, size int").repartition(n, "row", "at")
     parts = materialize(parts, "chunks")  # row numbers are given once
+    last = (parts.agg(F.max("chunks")).first()[0] or 1) - 1
 
     def matrix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = vocabulary_of(model)
-        for row, c, part, size in rows_of(batches, "row", "chunk", "part", "size"):
-            found = cuts(part, size, vocabulary.longest)
-            yield pd.DataFrame({"row": [row], "chunk": [np.int32(c)], "matrix": [transfer(vocabulary, part, size).tobytes()], "head": [part[: found[0]] if found else ""]})
+        for row, at, part, size in rows_of(batches, "row", "at", "part", "size"):
+            yield pd.DataFrame({"row": [row], "at": [np.int32(at)], "m": [transfer(vocabulary, part, size).tobytes()]})
 
-    matrices = parts.mapInPandas(matrix, "row long, chunk int, matrix binary, head string")
+    matrices = materialize(parts.mapInPandas(matrix, "row long, at int, m binary"), "matrices")
+    entries = materialize(states(matrices, last, longest), "entries").withColumnRenamed("state", "entry")
 
-    def combine(group: pd.DataFrame) -> pd.DataFrame:
+    def back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = vocabulary_of(model)
-        group = group.sort_values("chunk")
-        k = vocabulary.longest
-        entries, ends = boundaries([np.frombuffer(m).reshape(k, k) for m in group["matrix"]], list(group["head"]), vocabulary)
-        total = float(combined(entries[-1][None, :], np.frombuffer(group["matrix"].iloc[-1]).reshape(k, k))[0, 0])
-        return pd.DataFrame({"row": group["row"], "chunk": group["chunk"], "entry": [e.tobytes() for e in entries], "exit": np.array(ends, np.int32), "total": total})
+        for row, at, chunks, part, size, entry in rows_of(batches, "row", "at", "chunks", "part", "size", "entry"):
+            m = way_in(vocabulary, part, size, np.frombuffer(entry).tolist())
+            yield pd.DataFrame({"row": [row], "at": [np.int32(chunks - 1 - at)], "m": [m.tobytes()]})
 
-    states = matrices.groupBy("row").applyInPandas(combine, "row long, chunk int, entry binary, exit int, total double")
+    maps = materialize(parts.join(entries, ["row", "at"]).mapInPandas(back, "row long, at int, m binary"), "maps")
+    ends = states(maps, last, longest).select("row", F.col("at").alias("from_end"), F.col("state").alias("exit"))
 
     def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = vocabulary_of(model)
-        for key, row, c, part, size, entry, end, total in rows_of(batches, "_key", "row", "chunk", "part", "size", "entry", "exit", "total"):
-            ids = path_back(vocabulary, part, size, np.frombuffer(entry).tolist(), end)
-            yield pd.DataFrame({"_key": [key], "row": [row], "chunk": [np.int32(c)], "ids": [np.frombuffer(ids, "<i4")], "text": [part[:size]], "total": [total]})
+        for key, row, at, part, size, entry, end in rows_of(batches, "_key", "row", "at", "part", "size", "entry", "exit"):
+            ids = path_back(vocabulary, part, size, np.frombuffer(entry).tolist(), int(np.frombuffer(end).argmax()))
+            yield pd.DataFrame({"_key": [key], "row": [row], "at": [np.int32(at)], "ids": [ids], "text": [part[:size]]})
 
-    traced = parts.join(states, ["row", "chunk"]).mapInPandas(trace, "_key long, row long, chunk int, ids array<int>, text string, total double")
+    both = parts.join(entries, ["row", "at"]).withColumn("from_end", F.col("chunks") - 1 - F.col("at")).join(ends, ["row", "from_end"])
+    traced = both.mapInPandas(trace, "_key long, row long, at int, ids binary, text string")
 
     def gather(group: pd.DataFrame) -> pd.DataFrame:
         vocabulary = vocabulary_of(model)
-        group = group.sort_values("chunk")
-        ids = np.concatenate(list(group["ids"])).astype(np.int32)
-        same = vocabulary.decode(ids.tobytes()) == "".join(group["text"]).replace(_BLANK, " ")[1:]
-        return pd.DataFrame({"_key": [group["_key"].iloc[0]], "n_tokens": [len(ids)], kind.split()[0]: [_told(ids.tobytes(), kind)], "score": [group["total"].iloc[0]], "round_trip": [same]})
+        group = group.sort_values("at")
+        ids = b"".join(group["ids"])
+        same = vocabulary.decode(ids) == "".join(group["text"]).replace(_BLANK, " ")[1:]
+        return pd.DataFrame({"_key": [group["_key"].iloc[0]], "n_tokens": [len(ids) // 4], "ids": [_told(ids, kind)], "score": [vocabulary.score(ids) / UNIT], "round_trip": [same]})
 
     return traced.groupBy("row").applyInPandas(gather, _schema(kind))
 

@@ -75,7 +75,8 @@ def op8_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encoded_digest(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    """n_tokens, checksum of the ids, score and round trip; the ids themselves stay with the operator's rows."""
+    return pieces.encode_packed(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")).drop("ids")
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

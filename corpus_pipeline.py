@@ -38,10 +38,10 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32, score, round_trip of every document."""
+    """The encoded corpus: doc_id, n_tokens, ids (32 bits each), ids_crc32, score, round_trip of every document."""
     import public_tokenizers
 
-    return pieces.encoded_digest(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.encode_packed(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 STAGES = [
