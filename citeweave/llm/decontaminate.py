@@ -1,12 +1,15 @@
 """Benchmark decontamination with a generalised suffix automaton of the test items.
 
-The automaton holds every word sequence of the normalised items. Documents stream
-through it word by word; at each word the length of the longest match that ends
-there is tracked. A match of a window's length marks the window's words.
+The automaton holds every word sequence of the normalised items, and its states the items:
+a state whose strings have a window's length knows the items that they occur in, and the
+state of a whole short item knows that item. Documents stream through it word by word; at
+each word the state and length of the longest match that ends there, up to a window, are
+tracked. A match of a window's length marks the window's words and its state's items.
 
 Nulls: a text that is null has no words; an item without words gives no window.
 Ties and repeated rows: each row is judged by itself; items with equal text are
-all named. An empty benchmark contaminates nothing.
+all named. An empty benchmark contaminates nothing. Of a very long text a task holds all
+words at once. The columns of ``docs`` may have any names.
 """
 
 from __future__ import annotations
@@ -38,24 +41,50 @@ def words(text: object) -> list[bytes]:
 
 
 class SuffixAutomaton:
-    """Generalised suffix automaton over word numbers; ``windows`` maps a window to its items."""
+    """Generalised suffix automaton over word numbers, with the items that its states' windows occur in."""
 
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
+        self.window = window
         self.vocabulary: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.windows: dict[tuple[int, ...], set[str]] = {}
-        for name, tokens in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in tokens]
-            if not ids:
-                continue
-            size = min(window, len(ids))
-            for i in range(len(ids) - size + 1):
-                self.windows.setdefault(tuple(ids[i : i + size]), set()).add(name)
+        numbered = [(name, [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in tokens]) for name, tokens in items if tokens]
+        for _, ids in numbered:
             last = 0
             for c in ids:
                 last = self._extend(last, c)
-        self.sizes = sorted({len(w) for w in self.windows})
+        # By window length: the items of each state. States are complete only now.
+        self.items: dict[int, dict[int, set[str]]] = {}
+        for name, ids in numbered:
+            size = min(window, len(ids))
+            mine = self.items.setdefault(size, {})
+            state = matched = 0
+            for c in ids:
+                state, matched = self.step(state, matched, c)
+                if matched >= size:
+                    mine.setdefault(self._of_length(state, size), set()).add(name)
+        self.sizes = sorted(self.items)
+
+    def step(self, state: int, matched: int, c: int) -> tuple[int, int]:
+        """The state and length of the longest match that ends with word c, no longer than a window."""
+        follow, link, length = self.next, self.link, self.length
+        while state and c not in follow[state]:
+            state = link[state]
+            matched = length[state]
+        if c not in follow[state]:
+            return 0, 0
+        state, matched = follow[state][c], matched + 1
+        if matched >= self.window:
+            matched = self.window
+            while length[link[state]] >= matched:
+                state = link[state]
+        return state, matched
+
+    def _of_length(self, state: int, size: int) -> int:
+        """The state of the last ``size`` words of the state's match."""
+        while self.length[self.link[state]] >= size:
+            state = self.link[state]
+        return state
 
     def _split(self, p: int, c: int, q: int) -> int:
         """The state for the strings of q that are p's plus c; q itself where those are all of its own."""
@@ -88,13 +117,12 @@ class SuffixAutomaton:
 
     def hits(self, tokens: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Word ranges that windows cover, merged and in order, and the items whose windows occur."""
-        if not self.sizes:
-            return [], set()
-        number, least = self.vocabulary, self.sizes[0]
-        follow, link, length, sizes, windows = self.next, self.link, self.length, self.sizes, self.windows
-        ids = [number.get(w, -1) for w in tokens]
         spans: list[tuple[int, int]] = []
         items: set[str] = set()
+        if not self.sizes:
+            return spans, items
+        number, least, step = self.vocabulary, self.sizes[0], self.step
+        ids = [number.get(w, -1) for w in tokens]
         end, n = 0, len(ids)
         while end < n:
             start = end
@@ -103,18 +131,12 @@ class SuffixAutomaton:
             if end - start >= least:
                 state = matched = 0
                 for i in range(start, end):
-                    c = ids[i]
-                    while state and c not in follow[state]:
-                        state = link[state]
-                        matched = length[state]
-                    if c in follow[state]:
-                        state = follow[state][c]
-                        matched += 1
+                    state, matched = step(state, matched, ids[i])
                     if matched >= least:
-                        for size in sizes:
+                        for size in self.sizes:
                             if size > matched:
                                 break
-                            found = windows.get(tuple(ids[i + 1 - size : i + 1]))
+                            found = self.items[size].get(self._of_length(state, size))
                             if found:
                                 items |= found
                                 spans.append((i + 1 - size, i + 1))
