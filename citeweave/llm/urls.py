@@ -7,7 +7,9 @@ fuller filter lets more pass, and the join still decides.
 
 Nulls: a null url, or one without ``://``, has an empty host and path, no rule, and is
 allowed; a null in the list lists nothing. Ties: of rules of one length the first in
-order of text. Repeated urls are judged each. An empty list blocks nothing.
+order of text. Repeated urls are judged each. An empty list blocks nothing. Urls of any
+length are judged whole; columns other than page_id and url are never read. Only rows that
+pass the filter are shuffled to meet the list.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.llm.common import mix
+from citeweave.session import materialize
 
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -99,7 +102,7 @@ class BlockedBloom:
 def judge(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
     """Per page: page_id, host, path, rule, verdict. ``listed`` has a column url."""
     rest = after_scheme("url")
-    names = listed.select(canonical(rest).alias("name")).where("name IS NOT NULL").distinct()
+    names = materialize(listed.select(canonical(rest).alias("name")).where("name IS NOT NULL").distinct(), "listed")
     bloom = BlockedBloom(names.select(F.xxhash64("name").alias("key")), "key")
     held = pages.sparkSession.sparkContext.broadcast(bloom)
 
@@ -111,6 +114,7 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.select("*", rule.alias("rule"), verdict.alias("ruled"))
     rows = rows.withColumn("possible", F.col("ruled").isNull() & F.col("name").isNotNull() & possible(F.coalesce(F.xxhash64("name"), F.lit(0))))
+    rows = materialize(rows.select("page_id", "host", "path", "rule", "ruled", "possible", F.when(F.col("possible"), F.col("name")).alias("name")), "urls")
     hits = rows.where("possible").join(names.withColumn("on_list", F.lit(True)), "name", "left")
     found = F.when(F.col("on_list"), F.lit("block")).otherwise(F.lit("allow"))
     out = rows.where("NOT possible").select("page_id", "host", "path", "rule", F.coalesce("ruled", F.lit("allow")).alias("verdict"))
