@@ -9,14 +9,19 @@ T with all long lists; these are then probed, by binary search of the long lists
 shingles in the other set.
 
 Equal sets are one node, whatever the number of copies, so copies are never expanded.
-Short lists that are long all the same (many near copies) aren't paired within where only
-components are asked for: each member is compared with a few that lead, and after that only
-members that are still in different components. Where links are counted, all their members
-are paired, block by block, and every link is found.
+Short lists that are long all the same (many near copies) aren't paired within: each member
+is compared with a few that lead, and after that only members that are still in different
+components. Where links are asked for, the lists of each component's members are merged in
+full, block by block of members, and every pair that shares enough is found: the work grows
+with the square of a component's different texts, as its links may. No task has all of a
+long list or of a large component: members of lists that are known to be long are dealt by
+list and set, and tables of one row a list are broadcast up to FEW rows and salted beyond.
 
 Nulls: a null text is empty; an empty set is linked with nothing and is a component of
 its own doc_id. Ties: the least doc_id names a component. Rows that repeat a doc_id are one
-document, and linked. Sets are told apart by 64-bit hashes of shingles and of sets.
+document, and linked. Very long texts are sets like others. Columns other than doc_id and
+text are never read. Sets are told apart by 64-bit hashes: of 2 * 10**10 different sets,
+some ten pairs can be expected to be taken for equal.
 """
 
 from __future__ import annotations
@@ -41,8 +46,10 @@ LOCAL, HEAVY = 2, 12
 MOST_HEAVY = 1 << 18
 #: Members of a list that are paired with each other; of longer lists, members that are compared with all others first.
 SHORT, LEADERS = 64, 16
-#: Members of a block, where all pairs of a longer list are made.
-BLOCK = 256
+#: Members, and bytes of their sets, of a block where all pairs of two blocks are made.
+BLOCK, BLOCK_BYTES = 256, 16 << 20
+#: Rows of a table that may be broadcast, and parts of a list or component where it isn't.
+FEW, SALTS = 200_000, 64
 #: Bits of the filter of sets to fetch, and sets a task remembers having sent.
 FILTER_BITS = 1 << 24
 _ODD = [np.uint64(x) for x in mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)]
@@ -132,11 +139,15 @@ def rows_in(surveyed: DataFrame) -> DataFrame:
     return surveyed.where("kind < 2").select("_key", "n", F.when(F.col("kind") == 1, F.col("node")).alias("node"))
 
 
-def heavy_in(surveyed: DataFrame) -> np.ndarray:
-    """Shingles that many documents hold, sorted. They only decide an order, so near counts will do."""
+def heavy_in(surveyed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many documents hold, sorted, and those of them whose lists are long.
+
+    They only decide an order and how lists are dealt, so near counts will do.
+    """
     counts = surveyed.where("kind = 2").groupBy("node").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "node").limit(MOST_HEAVY).toArrow().to_pandas()["node"]
-    return np.sort(top.to_numpy(np.int64).view(np.uint64))
+    top = counts.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "node").limit(MOST_HEAVY).toArrow().to_pandas()
+    both = [top["node"][top["n"] >= least].to_numpy(np.int64).view(np.uint64) for least in (HEAVY, 2 * SHORT)]
+    return np.sort(both[0]), np.sort(both[1])
 
 
 def _often(parts: list[np.ndarray]) -> pd.DataFrame:
@@ -147,11 +158,20 @@ def _often(parts: list[np.ndarray]) -> pd.DataFrame:
     return pd.DataFrame({"_key": 0, "n": n[keep].astype(np.int64), "node": h[starts[keep]].view(np.int64), "kind": np.int32(2)})
 
 
-def _index(docs: DataFrame, heavy: np.ndarray, size: int, percent: int, short: int = SHORT) -> DataFrame:
+def _held(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the values are among the sorted ones."""
+    if not len(sorted_values):
+        return np.zeros(len(values), bool)
+    return sorted_values[np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)] == values
+
+
+def _index(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], size: int, percent: int, short: int = SHORT) -> DataFrame:
     """Lists that several sets share: one row for each member, with the members before it.
 
-    Not ``whole``: the list is long, and the row tells only that the set is a member.
+    Not ``whole``: the list is long, and the row tells only that the set is a member. The
+    members of a list that is known to be long go to many tasks; they have a negative n on the way.
     """
+    heavy, hot = heavy
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
@@ -160,8 +180,8 @@ def _index(docs: DataFrame, heavy: np.ndarray, size: int, percent: int, short: i
             h = shingles(text_of(text), size)
             key = set_key(h) if len(h) else 0
             if len(h) and _first_seen(seen, key):
-                s = short_lists(h, heavy, percent).view(np.int64)
-                parts.append((s, np.full(len(s), key), np.full(len(s), len(h), np.int32)))
+                s = short_lists(h, heavy, percent)
+                parts.append((s.view(np.int64), np.full(len(s), key), np.where(_held(hot, s), -len(h), len(h)).astype(np.int32)))
                 held += len(s)
                 if held > 200_000:
                     yield pd.DataFrame(dict(zip(("s", "node", "n"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
@@ -184,15 +204,17 @@ def _index(docs: DataFrame, heavy: np.ndarray, size: int, percent: int, short: i
 
         for pdf in batches:
             s, node, n = (pdf[c].to_numpy() for c in ("s", "node", "n"))
+            dealt, n = n < 0, np.abs(n)
             # A list of one member, with nothing equal on either side, is none: most are passed over here.
             shared = np.empty(len(s), bool)
             shared[1:] = s[1:] == s[:-1]
             lone = ~(shared | np.append(shared[1:], True))
             lone[:1] = False
+            lone &= ~dealt
             for i in np.flatnonzero(~lone):
                 if s[i] != s0:
                     yield from end()
-                    s0, node0, members, sizes, long = int(s[i]), None, [], [], False
+                    s0, node0, members, sizes, long = int(s[i]), None, [], [], bool(dealt[i])
                 if node[i] == node0:
                     continue
                 node0 = int(node[i])
@@ -210,7 +232,8 @@ def _index(docs: DataFrame, heavy: np.ndarray, size: int, percent: int, short: i
         yield from end()
         yield out.frame()
 
-    posted = docs.select("text").mapInPandas(post, "s long, node long, n int").repartition("s").sortWithinPartitions("s", "node")
+    posted = docs.select("text").mapInPandas(post, "s long, node long, n int")
+    posted = posted.repartition(F.expr("if(n < 0, xxhash64(s, node), s)")).sortWithinPartitions("s", "node")
     return posted.mapInPandas(lists, "s long, node long, n int, partners array<long>, sizes array<int>, whole boolean")
 
 
@@ -301,27 +324,26 @@ def _probe(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.mapInPandas(compare, "a long, b long, common long")
 
 
-def links(docs: DataFrame, heavy: np.ndarray, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT, every: bool = False) -> tuple[DataFrame, DataFrame | None]:
-    """Links (a, b, common) between different sets, and their components. ``every``: all links; else enough to connect all that are linked."""
+def links(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links (a, b, common) between different sets, enough to connect all that are linked; their components; and their sets."""
     index = materialize(_index(docs, heavy, size, percent, short), "index")
     rows, long = index.count(), index.where("NOT whole")
     pairs, members, n_long = _search(index, percent), None, long.count()
     if n_long:
         members = materialize(_ranked(long), "members", n_long)
-        pairs = pairs.unionByName(_within(members, percent) if every else _stars(members, percent)).distinct()
+        pairs = pairs.unionByName(_stars(members, percent)).distinct()
     pairs = materialize(pairs, "pairs", rows)
     wanted = long.select("node").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node")))
     sets = _sets(docs, wanted, size, rows)
     found = _linked(sets, pairs, percent)
-    groups = connected_components(found, "a", "b")
-    if members is not None and not every:
-        groups = materialize(groups, "groups", rows)
+    groups = materialize(connected_components(found, "a", "b"), "groups", rows)
+    if members is not None:
         rest = _unsettled(members, groups, percent, n_long).join(pairs, ["a", "b"], "left_anti")
         more = _linked(sets, materialize(rest, "pairs", 4 * n_long), percent)
         if not more.isEmpty():
             found = found.unionByName(more)
-            groups = connected_components(found, "a", "b")
-    return found, groups
+            groups = materialize(connected_components(found, "a", "b"), "groups", rows)
+    return found, groups, sets
 
 
 def _linked(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -329,13 +351,21 @@ def _linked(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return materialize(_probe(sets, pairs, percent), "links", max(pairs.count(), sets.count()), 5_000)
 
 
+def _joined(many: DataFrame, few: DataFrame, on: str, salted_by: str = "node") -> DataFrame:
+    """Join with a table of few rows for each ``on``: broadcast if it is small, else salted, so that no ``on`` is one task's."""
+    if few.count() <= FEW:
+        return many.join(F.broadcast(few), on)
+    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    return many.withColumn("_salt", F.pmod(F.xxhash64(salted_by), F.lit(SALTS)).cast("int")).join(few.select("*", salt), [on, "_salt"]).drop("_salt")
+
+
 def _ranked(members: DataFrame) -> DataFrame:
     """Members (s, node, n) of long lists, with each list's size, each node's number of lists m, and from which
     on, in one order of all lists, it has ``room`` for others.
     """
-    sizes = members.groupBy("s").agg(F.count("*").alias("size"))
+    sizes = materialize(members.groupBy("s").agg(F.count("*").alias("size")), "sizes")
     lists = Window.partitionBy("node")
-    own = members.select("s", "node", "n").join(sizes, "s")
+    own = _joined(members.select("s", "node", "n"), sizes, "s")
     return own.withColumns({"m": F.count("*").over(lists), "room": F.count("*").over(lists) - F.row_number().over(lists.orderBy("size", "s")) + 1})
 
 
@@ -350,26 +380,18 @@ def _pair(x: str, y: str) -> list[Column]:
 
 
 def _stars(members: DataFrame, percent: int) -> DataFrame:
-    """Each long list's LEADERS with all its members. Those in most long lists lead: of many near copies, the least edited."""
-    rank = F.row_number().over(Window.partitionBy("s").orderBy(F.desc("m"), "node"))
-    leaders = members.withColumn("_r", rank).where(F.col("_r") <= LEADERS).select("s", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("m").alias("mx"))
-    allowed, share = _must_share("n", "nx", percent)
-    pairs = members.join(leaders, "s").where((F.col("node") != F.col("x")) & allowed & (share <= F.least("m", "mx")))
-    return pairs.select(*_pair("node", "x")).distinct()
-
+    """Each long list's LEADERS with all its members. Those in most long lists lead: of many near copies, the least edited.
 
-def _within(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of each long list's members that sizes and room allow: of two sets that share no short list, none is lost.
-
-    Members are dealt into blocks by hash, and each pair of blocks meets under a key of its own.
+    They are chosen within parts of a list first, so that no task ranks all of a list.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = members.select("s", "node", "n", "room", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
-    x = own.select("s", "node", "n", "room", F.col("block").alias("lo"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("hi"))
-    y = own.select("s", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("room").alias("rx"), F.explode(F.expr("sequence(0, block)")).alias("lo"), F.col("block").alias("hi"))
+    first = [F.desc("m"), F.col("node")]
+    part = F.pmod(F.xxhash64("node"), F.lit(SALTS))
+    some = members.withColumn("_part", part).withColumn("_r", F.row_number().over(Window.partitionBy("s", "_part").orderBy(*first))).where(F.col("_r") <= LEADERS)
+    some = some.withColumn("_r", F.row_number().over(Window.partitionBy("s").orderBy(*first))).where(F.col("_r") <= LEADERS)
+    leaders = materialize(some.select("s", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("m").alias("mx")), "leaders")
     allowed, share = _must_share("n", "nx", percent)
-    once = (F.col("lo") < F.col("hi")) | (F.col("node") < F.col("x"))
-    return x.join(y, ["s", "lo", "hi"]).where(once & allowed & (share <= F.least("room", "rx"))).select(*_pair("node", "x")).distinct()
+    pairs = _joined(members, leaders, "s").where((F.col("node") != F.col("x")) & allowed & (share <= F.least("m", "mx")))
+    return pairs.select(*_pair("node", "x")).distinct()
 
 
 def _unsettled(members: DataFrame, groups: DataFrame, percent: int, rows: int) -> DataFrame:
@@ -379,20 +401,95 @@ def _unsettled(members: DataFrame, groups: DataFrame, percent: int, rows: int) -
     ones as they must share in all. The first list they share then has to leave each of
     them room for the others, which is tested with the lists in one order, short ones
     first. A list's largest component isn't paired within, only with the members
-    outside it.
+    outside it. Members are dealt into blocks, and each pair of blocks meets by itself.
     """
     own = members.select("s", "node", "n", "room").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     shares = own.groupBy("s", "component").agg(F.count("*").alias("k"))
-    main = shares.groupBy("s").agg(F.max(F.struct("k", "component")).getField("component").alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    own = materialize(own.join(main.select("s", "main"), "s"), "members", rows)
-    outside = own.where("component <> main").select(F.col("s").alias("t"), F.col("node").alias("x"), F.col("n").alias("nx"), F.col("room").alias("rx"), F.col("component").alias("cx"))
+    main = shares.groupBy("s").agg(F.max(F.struct("k", "component")).alias("main"), F.sum("k").alias("size"), F.count("*").alias("parts")).where("parts > 1")
+    blocks = [F.ceil(F.col(c) / BLOCK).cast("int").alias(f"blocks_{c}") for c in ("size", "outside")]
+    main = main.select("s", F.col("main.component").alias("main"), "size", (F.col("size") - F.col("main.k")).alias("outside")).select("s", "main", *blocks)
+    own = materialize(_joined(own, materialize(main, "main"), "s"), "members", rows)
+
+    def block(of: str) -> Column:
+        return F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
+
+    def all_of(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+
+    y = own.where("component <> main").select("s", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("room").alias("rx"), F.col("component").alias("cx"), block("blocks_outside").alias("i"), all_of("blocks_size").alias("j"))
+    own = own.select("s", "node", "n", "room", "component", "main", block("blocks_size").alias("j"), all_of("blocks_outside").alias("i"))
     allowed, share = _must_share("n", "nx", percent)
     # Of two members outside the largest component, each finds the other: one of the two is enough.
     once = (F.col("component") == F.col("main")) | (F.col("node") > F.col("x"))
-    pairs = own.join(outside, (F.col("s") == F.col("t")) & (F.col("component") != F.col("cx")) & once & allowed & (share <= F.least("room", "rx")))
+    pairs = own.join(y, ["s", "i", "j"]).where((F.col("component") != F.col("cx")) & once & allowed & (share <= F.least("room", "rx")))
     return pairs.select(*_pair("node", "x")).distinct()
 
 
+def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each of x shares with each of y, the lists of all merged: a list adds one to its members' pairs."""
+    out = np.zeros((len(x), len(y)), np.float32)
+    if len(x) * len(y) <= 16:
+        for i, a in enumerate(x):
+            for j, b in enumerate(y):
+                small, large = (a, b) if len(a) <= len(b) else (b, a)
+                out[i, j] = (large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum()
+        return out
+    owner = np.repeat(np.arange(len(x) + len(y)), [len(h) for h in (*x, *y)])
+    h = np.concatenate([*x, *y])
+    order = np.argsort(h, kind="stable")
+    h, owner = h[order], owner[order]
+    column = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
+    keep = np.bincount(column)[column] > 1  # a list of one joins nothing
+    column, owner = np.unique(column[keep], return_inverse=True)[1], owner[keep]
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, [low, low + 4096])
+        m = np.zeros((len(x) + len(y), 4096), np.float32)
+        m[owner[a:b], column[a:b] - low] = 1
+        out += m[: len(x)] @ m[len(x) :].T
+    return out
+
+
+def _in_components(sets: DataFrame, groups: DataFrame, copies: DataFrame, percent: int, pairs: bool) -> DataFrame:
+    """All links of different sets, every pair of a component being compared once.
+
+    ``pairs``: (a, b, common) of each. Else (node, others): how many documents' sets each is linked with.
+    """
+    own = materialize(groups.join(sets, "node").join(copies, "node").select("node", "component", "hashes", "copies"), "linked")
+    parts = own.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.length("hashes")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    own = _joined(own, materialize(parts, "parts"), "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    x = own.withColumns({"lo": F.col("block"), "hi": F.explode(F.expr("sequence(block, blocks - 1)")), "side": F.lit(0)})
+    y = own.where("block > 0").withColumns({"hi": F.col("block"), "lo": F.explode(F.expr("sequence(0, block - 1)")), "side": F.lit(1)})
+    dealt = x.unionByName(y).select("component", "lo", "hi", "side", "node", "copies", "hashes").repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi", "side")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = rows_of(batches, "component", "lo", "hi", "side", "node", "copies", "hashes")
+        for (_, lo, hi), group in groupby(rows, key=lambda r: r[:3]):
+            ends = [[], []]
+            for r in group:
+                ends[r[3]].append((int(r[4]), int(r[5]), np.frombuffer(r[6], np.uint64)))
+            a, b = ends[0], ends[0] if lo == hi else ends[1]
+            if not a or not b:
+                continue
+            common = _common([h for _, _, h in a], [h for _, _, h in b]).astype(np.int64)
+            sizes = np.array([len(h) for _, _, h in a])[:, None] + np.array([len(h) for _, _, h in b])[None, :]
+            link = common >= -(-percent * sizes // (100 + percent))
+            node = [np.array([n for n, _, _ in e], np.int64) for e in (a, b)]
+            if lo == hi:
+                np.fill_diagonal(link, False)
+            if pairs:
+                i, j = np.nonzero(np.triu(link) if lo == hi else link)
+                yield pd.DataFrame({"a": np.maximum(node[0][i], node[1][j]), "b": np.minimum(node[0][i], node[1][j]), "common": common[i, j]})
+            else:
+                copies = [np.array([c for _, c, _ in e], np.int64) for e in (a, b)]
+                yield pd.DataFrame({"node": node[0], "others": link @ copies[1]})
+                if lo != hi:
+                    yield pd.DataFrame({"node": node[1], "others": link.T @ copies[0]})
+
+    if pairs:
+        return dealt.mapInPandas(compare, "a long, b long, common long")
+    return dealt.mapInPandas(compare, "node long, others long").groupBy("node").agg(F.sum("others").alias("others"))
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT, count_links: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (the least doc_id of all it is linked with).
 
@@ -400,30 +497,41 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     """
     surveyed = materialize(survey(docs, size), "survey")
     rows = rows_in(surveyed)
-    found, groups = links(docs, heavy_in(surveyed), size, percent, short, count_links)
+    found, groups, hashes = links(docs, heavy_in(surveyed), size, percent, short)
+    linked = groups
     sets = rows.where("node IS NOT NULL")
     least = sets.groupBy("node").agg(F.min("_key").alias("least"))
     several = sets.groupBy("_key").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most")
     same = materialize(sets.join(several, "_key").where("node > b").select(F.col("node").alias("a"), "b"), "same", rows.count(), 1_000_000)
     if not same.isEmpty():
         groups = connected_components(found.select("a", "b").unionByName(same), "a", "b")
-    if groups is not None:
-        own = least.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        named = own.groupBy("component").agg(F.min("least").alias("name"))
-        least = own.join(named, "component").select("node", F.col("name").alias("least"))
+    own = least.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = own.groupBy("component").agg(F.min("least").alias("name"))
+    least = own.join(named, "component").select("node", F.col("name").alias("least"))
     some = sets.join(least, "node").select("_key", "n", F.col("least").alias("component"), "node")
     none = rows.where("node IS NULL").select("_key", "n", F.col("_key").alias("component"))
     counted = []
     if count_links:
         copies = sets.groupBy("node").agg(F.count("*").alias("copies"))
-        ends = found.select(F.col("a").alias("of"), F.col("b").alias("node")).unionByName(found.select(F.col("b").alias("of"), F.col("a").alias("node")))
-        others = ends.join(copies, "node").groupBy(F.col("of").alias("node")).agg(F.sum("copies").alias("others"))
+        others = _in_components(hashes, linked, copies, percent, False)
         n_links = copies.join(others, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
         some, none, counted = some.join(n_links, "node"), none.withColumn("n_links", F.lit(0).cast("long")), ["n_links"]
     out = some.drop("node").unionByName(none)
     return unkeyed(out.select("_key", F.col("n").alias("n_shingles"), F.when(F.col("component") != LEAST, F.col("component")).alias("component_id"), *counted))
 
 
+def link_pairs(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, short: int = SHORT) -> DataFrame:
+    """All links between different sets: (doc_a, doc_b, n_common), each set named by its least doc_id, doc_a < doc_b."""
+    surveyed = materialize(survey(docs, size), "survey")
+    _, groups, hashes = links(docs, heavy_in(surveyed), size, percent, short)
+    sets = rows_in(surveyed).where("node IS NOT NULL").groupBy("node").agg(F.min("_key").alias("least"), F.count("*").alias("copies"))
+    found = _in_components(hashes, groups, sets.select("node", "copies"), percent, True)
+    for end in ("a", "b"):
+        found = found.join(sets.select(F.col("node").alias(end), F.col("least").alias(f"of_{end}")), end)
+    named = [F.when(c != LEAST, c) for c in (F.least("of_a", "of_b"), F.greatest("of_a", "of_b"))]
+    return found.select(named[0].alias("doc_a"), named[1].alias("doc_b"), F.col("common").alias("n_common"))
+
+
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each component, that of the least doc_id; rows without words all stay."""
     found = near_duplicates(docs, size, percent)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from citeweave.llm import jaccard
@@ -89,3 +90,38 @@ def test_every_link_is_counted(docs_of, monkeypatch, seed, short, block):
     assert all(n[i + 2000] == 99 for i in range(100))
     got = sorted(map(tuple, jaccard.near_duplicates(docs_of(rows), short=short, count_links=True).collect()))
     assert got == [(*r, n[r[0]]) for r in brute(rows)]
+    least = {}
+    for i in sorted(sets, reverse=True):
+        least[frozenset(sets[i])] = i
+    own = sorted(least.values())
+    want = [(a, b, len(sets[a] & sets[b])) for a in own for b in own if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert sorted(map(tuple, jaccard.link_pairs(docs_of(rows), short=short).collect())) == want
+
+
+def test_one_long_list_of_many_components(docs_of, monkeypatch):
+    """Texts that share one passage, in a rare list of all of them, and are linked in small groups only; tables are salted, not broadcast."""
+    monkeypatch.setattr(jaccard, "FEW", 0)
+    monkeypatch.setattr(jaccard, "MOST_HEAVY", 0)  # nothing is known to be frequent: the passage's lists stay short ones
+    r = random.Random(6)
+    passage = [f"p{i}" for i in range(8)]
+    rows = []
+    for g in range(40):
+        base = [f"g{g}w{i}" for i in range(30)]
+        for k in range(5):
+            w = list(base)
+            w[r.randrange(30)] = f"x{g}y{k % 3}"
+            rows.append((len(rows), " ".join(passage + w)))
+    got = sorted(map(tuple, jaccard.near_duplicates(docs_of(rows), short=6).collect()))
+    assert got == brute(rows)
+    monkeypatch.setattr(jaccard, "MOST_HEAVY", 1 << 18)
+    monkeypatch.setattr(jaccard, "HEAVY", 2)
+    monkeypatch.setattr(jaccard, "SHORT", 1)  # every repeated list is known to be long
+    assert sorted(map(tuple, jaccard.near_duplicates(docs_of(rows), short=6).collect())) == brute(rows)
+
+
+def test_merged_lists_count_what_pairs_share():
+    r = np.random.default_rng(2)
+    sets = [np.unique(r.integers(0, 300, n).astype(np.uint64)) for n in (0, 1, 5, 80, 200, 200, 90)]
+    assert jaccard._common(sets, sets).astype(int).tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    one = [np.arange(20_000, dtype=np.uint64)] * 5
+    assert (jaccard._common(one, one) == 20_000).all()
