@@ -2,7 +2,9 @@
 
 Two bigram models, of toxic and of ordinary documents, are interpolated down to their
 continuation distributions, and these to one that both share: how many different words
-stand before a word in the whole corpus, labelled or not, counted exactly for every word.
+stand before a word in the whole corpus, labelled or not. That is counted for every word of
+all documents, exactly up to KEPT contexts and beyond from the KEPT least of their hashes
+(standard error 6 %), so that no word, however frequent, is more than KEPT values of a task.
 A rare expression so is as likely in both classes as the corpus says. A document's score is
 a logistic of two length-normalised comparisons of the classes' log-likelihoods: of its words
 in their contexts, and of its words backed off, where only what a word's ratio has more than
@@ -11,18 +13,18 @@ rare words of an ordinary text (on sf0.1 the first alone has a held-out AUC of 0
 
 Words are 64-bit hashes. Class counts come from MAX_LABELLED labelled documents at most,
 those of least hash; an expression counts once a document, and every bigram is kept. One
-labelled document in CALIBRATE is left out of the counts and fits the logistic. Counts,
-discounts and log-ratios are computed in Spark; the driver and the tasks hold 12 bytes for
-each bigram and word of the labelled sample. Of a word that no labelled document has, both
-classes have the same share of the shared distribution, so that its ratio is a constant
-and the corpus' table of words needn't leave Spark.
+labelled document in CALIBRATE is left out of the counts and fits the logistic. The driver
+and the tasks hold what the labelled sample has: 12 bytes for each of its bigrams, words and
+contexts. Of a word that no labelled document has, both classes have the same share of the
+shared distribution, so that its ratio is a constant and the corpus' table of words needn't
+leave Spark.
 
 Nulls: a null text or label is empty, or teaches nothing; a document without words has
 the score of a ratio of 0. Ties: a doc_id labelled both ways is toxic. Repeated rows count
 and are scored each. With no labelled toxic or no ordinary document, all score 0; where
 only the documents left out lack a class, the comparisons are weighed by PLAIN and the
-labels' odds. Texts of any length are scored whole, block by block. Columns of ``docs`` other than
-doc_id and text are never read, whatever their names.
+labels' odds. Texts of any length are scored whole, block by block. Columns of ``docs`` other
+than doc_id and text are never read, whatever their names.
 """
 
 from __future__ import annotations
@@ -45,8 +47,8 @@ THRESHOLD = 0.3
 PLAIN = (0.0, 1.0)
 #: The context of a text's first word.
 START = np.uint64(0x5851F42D4C957F2D)
-#: Words whose contexts a task tells apart at once.
-CHUNK_WORDS = 2_000_000
+#: Words whose contexts a task tells apart at once, and contexts of a word that are told apart exactly.
+CHUNK_WORDS, KEPT = 3_000_000, 256
 _CLASSES = ("t", "o")
 #: Separators: every ASCII byte that is no letter, digit or apostrophe.
 _GAPS = np.array([c < 128 and not (chr(c).isalnum() or c == 39) for c in range(256)])
@@ -89,110 +91,166 @@ def labelled(docs: DataFrame, sample: DataFrame) -> DataFrame:
 
 
 def class_counts(rows: DataFrame) -> DataFrame:
-    """(w, v, t, o): in how many toxic and ordinary documents v w stands."""
+    """(v, w, t, o): in how many toxic and ordinary documents v w stands; a context's bigrams are in one partition."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w, v, t, held = [], [], [], 0
+        waiting, held = [], 0
 
         def counted() -> pd.DataFrame:
-            out = pd.DataFrame({"w": np.concatenate(w).view(np.int64), "v": np.concatenate(v).view(np.int64), "t": np.concatenate(t)})
-            out = out.groupby(["w", "v"], as_index=False).agg(t=("t", "sum"), n=("t", "size"))
-            return out.assign(o=out["n"] - out["t"])[["w", "v", "t", "o"]]
+            w, v, t = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            order = np.lexsort((w, v))
+            w, v, t = w[order], v[order], t[order]
+            first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])]))
+            n, toxic = np.diff(np.append(first, len(w))), np.add.reduceat(t, first)
+            return pd.DataFrame({"v": v[first].view(np.int64), "w": w[first].view(np.int64), "t": toxic, "o": (n - toxic).astype(np.int32)})
 
         for text, toxic in rows_of(batches, "text", "toxic"):
             own = words_of(text_of(text))
             if len(own):
-                a, b = _distinct(own, contexts(own))
-                w.append(a)
-                v.append(b)
-                t.append(np.full(len(a), int(toxic > 0), np.int64))
-                held += len(a)
-                if held > 400_000:
+                w, v = _distinct(own, contexts(own))
+                waiting.append((w, v, np.full(len(w), int(toxic > 0), np.int32)))
+                held += len(w)
+                if held > CHUNK_WORDS // 2:
                     yield counted()
-                    w, v, t, held = [], [], [], 0
+                    waiting, held = [], 0
         if held:
             yield counted()
+        give_back()
+
+    found = rows.where("NOT left_out").select("text", "toxic").mapInPandas(run, "v long, w long, t int, o int").repartition("v")
+    return found.groupBy("v", "w").agg(F.sum("t").cast("int").alias("t"), F.sum("o").cast("int").alias("o"))
+
 
-    found = rows.where("NOT left_out").select("text", "toxic").mapInPandas(run, "w long, v long, t long, o long")
-    return found.groupBy("w", "v").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+def _least(w: np.ndarray, h: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different (w, h), by w, then h, of each w the ``most`` least."""
+    w, h = _distinct(w, h)
+    first = np.concatenate([[True], w[1:] != w[:-1]])
+    rank = np.arange(len(w)) - np.maximum.accumulate(np.where(first, np.arange(len(w)), 0))
+    return w[rank < most], h[rank < most]
 
 
-def corpus_contexts(docs: DataFrame) -> DataFrame:
+def corpus_contexts(docs: DataFrame, most: int = KEPT) -> DataFrame:
     """(w, n): how many different words stand before w in all documents; a text's beginning is one."""
+    import pyarrow as pa
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sketches(w: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
+        first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+        edges = (4 * np.append(first, len(w))).astype(np.int32)
+        least = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(edges), pa.py_buffer(h.astype("<u4").tobytes())])
+        out = pa.RecordBatch.from_arrays([pa.array(w[first].view(np.int64)), least], names=["w", "least"])
+        for at in range(0, len(first), 50_000):
+            yield out.slice(at, 50_000)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
-        for (text,) in rows_of(batches, "text"):
-            own = words_of(text_of(text))
-            if len(own):
-                waiting.append((own, contexts(own)))
-                size += len(own)
-                if size > CHUNK_WORDS:
-                    yield from pairs(waiting)
-                    waiting, size = [], 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                own = words_of(text_of(text))
+                if len(own):
+                    waiting.append((own, mix(contexts(own)) >> np.uint64(32)))
+                    size += len(own)
+                    if size > CHUNK_WORDS:
+                        yield from sketches(*_least(*(np.concatenate(x) for x in zip(*waiting, strict=True)), most))
+                        waiting, size = [], 0
         if waiting:
-            yield from pairs(waiting)
+            yield from sketches(*_least(*(np.concatenate(x) for x in zip(*waiting, strict=True)), most))
         give_back()
 
-    def pairs(waiting: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pd.DataFrame]:
-        w, v = _distinct(np.concatenate([x for x, _ in waiting]), np.concatenate([x for _, x in waiting]))
-        for at in range(0, len(w), 200_000):
-            yield pd.DataFrame({"w": w[at : at + 200_000].view(np.int64), "v": v[at : at + 200_000].view(np.int64)})
+    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        late_w, late_h = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # the last word, of which more may come
 
-    # The pairs meet by (w, v), not by w: a word with very many contexts is counted in many tasks.
-    return keyed(docs, "text").mapInPandas(run, "w long, v long").distinct().groupBy("w").agg(F.count("*").alias("n"))
+        def counted(w: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+            first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])) if len(w) else np.zeros(0, np.int64)
+            n, last = np.diff(np.append(first, len(w))), h[np.append(first, len(w))[1:] - 1] if len(w) else h
+            n = np.where(n < most, n, (most - 1) * 2.0**32 / (last.astype(float) + 1))
+            return pa.RecordBatch.from_arrays([pa.array(w[first].view(np.int64)), pa.array(n.astype(float))], names=["w", "n"])
 
+        for batch in batches:
+            least = batch.column("least")
+            edges = np.frombuffer(least.buffers()[1], np.int32)[least.offset : least.offset + len(least) + 1]
+            h = np.frombuffer(least.buffers()[2], np.uint8)[edges[0] : edges[-1]].view("<u4").astype(np.uint64)
+            w = np.repeat(batch.column("w").to_numpy().view(np.uint64), np.diff(edges) // 4)
+            w, h = _least(np.concatenate([late_w, w]), np.concatenate([late_h, h]), most)
+            done = w != w[-1]
+            yield counted(w[done], h[done])
+            late_w, late_h = w[~done], h[~done]
+        yield counted(late_w, late_h)
+        give_back()
 
-def _kinds(names: list[str], upto: int) -> list[Column]:
-    """How many counts are 1, 2 and so on; the last of three stands for all greater ones."""
-    return [F.count_if(F.col(c) >= k if k == upto == 3 else F.col(c) == k).alias(f"{c}{k}") for c in names for k in range(1, upto + 1)]
+    found = docs.select("text").mapInArrow(gather, "w long, least binary")
+    return found.repartition("w").sortWithinPartitions("w").mapInArrow(union, "w long, n double")
 
 
-def discounts_of(n: list[int]) -> list[float]:
+def discounts_of(n: list[int]) -> np.ndarray:
     """Discounts of counts 0, 1, 2 and 3 or more, from how many counts are 1, 2, 3 and 4."""
     n1, n2, n3, n4 = (max(1, int(k)) for k in n)
     y = n1 / (n1 + 2 * n2)
-    raw = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-    return [0.0, *(min(max(d, 0.1), most) for d, most in zip(raw, (0.98, 1.9, 2.9), strict=True))]
-
-
-def _discount(count: str, d: list[float]) -> Column:
-    return F.when(F.col(count) == 0, d[0]).when(F.col(count) == 1, d[1]).when(F.col(count) == 2, d[2]).otherwise(d[3])
+    raw = [0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+    return np.clip(raw, [0, 0.1, 0.1, 0.1], [0, 0.98, 1.9, 2.9])
 
 
-def ratios_of(counts: DataFrame, corpus: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, float]:
-    """Toxic less ordinary log-probabilities, from ``class_counts`` and ``corpus_contexts`` rows.
+def build(counts: DataFrame, corpus: DataFrame) -> Model:
+    """The log-ratios, from ``class_counts`` and ``corpus_contexts`` rows; both are read more than once.
 
-    (w, ratio) of words, (v, ratio) of contexts' backoff weights, (v, w, ratio) of what the
-    bigrams add to both, and the ratio of a word that no labelled document has.
+    Of words and contexts, as many as the labelled sample has, the log-probabilities are
+    computed on the driver, and of bigrams in tasks.
     """
-    met = [F.count_if(F.col(c) > 0).alias(c) for c in _CLASSES]
-    words = materialize(counts.groupBy("w").agg(*met).join(corpus, "w"), "words")
-    total = corpus.agg(F.sum("n")).first()[0] or 1
-    low = words.agg(*[F.sum(c).alias(c) for c in _CLASSES], *_kinds(list(_CLASSES), 4)).first()
-    high = counts.agg(*_kinds(list(_CLASSES), 4)).first()
-    chance, unmet = {}, {}
-    for c in _CLASSES:
-        d, n = discounts_of([low[f"{c}{k}"] for k in range(1, 5)]), max(low[c] or 0, 1)
-        left = d[1] * low[f"{c}1"] + d[2] * low[f"{c}2"] + d[3] * words.where(F.col(c) >= 3).count()
-        unmet[c] = max(left, 1e-9) / n
-        chance[c] = (F.col(c) - _discount(c, d)) / n + F.lit(unmet[c] / total) * F.col("n")
-    words = words.select("w", *[F.log(chance[c]).alias(f"p_{c}") for c in _CLASSES])
-
-    names = list(_CLASSES)
-    d = {c: discounts_of([high[f"{c}{k}"] for k in range(1, 5)]) for c in _CLASSES}
-    weight = {c: F.when(F.col(f"n_{c}") > 0, (d[c][1] * F.col(f"{c}1") + d[c][2] * F.col(f"{c}2") + d[c][3] * F.col(f"{c}3")) / F.col(f"n_{c}")).otherwise(1.0) for c in _CLASSES}
-    by_context = counts.groupBy("v").agg(*[F.sum(c).alias(f"n_{c}") for c in names], *_kinds(names, 3))
-    by_context = materialize(by_context.select("v", *[f"n_{c}" for c in names], *[F.log(weight[c]).alias(f"b_{c}") for c in names]), "contexts")
-
-    both = counts.join(words, "w").join(by_context, "v")
-    gain = {}
-    for c in _CLASSES:
-        direct = F.greatest(F.col(c) - _discount(c, d[c]), F.lit(0.0)) / F.greatest(F.col(f"n_{c}"), F.lit(1))
-        backed = F.col(f"b_{c}") + F.col(f"p_{c}")
-        gain[c] = F.log(direct + F.exp(backed)) - backed
-    pairs = both.select("v", "w", (gain["t"] - gain["o"]).alias("ratio"))
-    return words.select("w", (F.col("p_t") - F.col("p_o")).alias("ratio")), by_context.select("v", (F.col("b_t") - F.col("b_o")).alias("ratio")), pairs, float(np.log(unmet["t"] / unmet["o"]))
+    session = counts.sparkSession.sparkContext
+    words = counts.groupBy("w").agg(*[F.count_if(F.col(c) > 0).cast("int").alias(c) for c in _CLASSES]).toArrow()
+    key = words.column("w").to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    key, met = key[order], [words.column(c).to_numpy()[order] for c in _CLASSES]
+    wanted = session.broadcast(key)
+
+    def of_the_sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            w = pdf["w"].to_numpy(np.int64).view(np.uint64)
+            yield pdf[wanted.value[np.minimum(np.searchsorted(wanted.value, w), len(wanted.value) - 1)] == w] if len(wanted.value) else pdf[:0]
+
+    total = float(corpus.agg(F.sum("n")).first()[0] or 1)
+    found = corpus.mapInPandas(of_the_sample, "w long, n double").toArrow()
+    shared = np.zeros(len(key))
+    shared[np.searchsorted(key, found.column("w").to_numpy().view(np.uint64))] = found.column("n").to_numpy() / total
+    chance, unmet = [], []
+    for n in met:
+        d = discounts_of([(n == k).sum() for k in range(1, 5)])[np.minimum(n, 3)]
+        unmet.append(max(d.sum(), 1e-9) / max(n.sum(), 1))
+        chance.append(np.log((n - d) / max(n.sum(), 1) + unmet[-1] * np.maximum(shared, 1e-300)))
+
+    kinds = [F.count_if(F.col(c) == k).alias(f"{c}{k}") for c in _CLASSES for k in range(1, 5)]
+    high = counts.agg(*kinds).first()
+    d = [discounts_of([high[f"{c}{k}"] for k in range(1, 5)]) for c in _CLASSES]
+    kinds = [F.count_if(F.col(c) >= k if k == 3 else F.col(c) == k).cast("int").alias(f"{c}{k}") for c in _CLASSES for k in range(1, 4)]
+    got = counts.groupBy("v").agg(*[F.sum(c).cast("int").alias(c) for c in _CLASSES], *kinds).toArrow()
+    before = got.column("v").to_numpy().view(np.uint64)
+    order = np.argsort(before)
+    before = before[order]
+    n_of = [got.column(c).to_numpy()[order] for c in _CLASSES]
+    left = [sum(d[i][k] * got.column(f"{c}{k}").to_numpy()[order] for k in (1, 2, 3)) for i, c in enumerate(_CLASSES)]
+    backoff = [np.log(np.where(n > 0, x / np.maximum(n, 1), 1.0)) for n, x in zip(n_of, left, strict=True)]
+    held = session.broadcast((key, chance, before, n_of, backoff))
+
+    def gains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """What a bigram adds to its word backed off, toxic less ordinary."""
+        key, chance, before, n_of, backoff = held.value
+        for pdf in batches:
+            v, w = (pdf[c].to_numpy(np.int64).view(np.uint64) for c in ("v", "w"))
+            at_v, at_w = np.searchsorted(before, v), np.searchsorted(key, w)
+            gain = []
+            for i, c in enumerate(_CLASSES):
+                n, backed = pdf[c].to_numpy(np.int64), backoff[i][at_v] + chance[i][at_w]
+                direct = (n - d[i][np.minimum(n, 3)]) / np.maximum(n_of[i][at_v], 1)
+                gain.append(np.log(direct + np.exp(backed)) - backed)
+            yield pd.DataFrame({"key": pair_keys(v, w).view(np.int64), "ratio": (gain[0] - gain[1]).astype(np.float32)})
+        give_back()
+
+    got = counts.mapInPandas(gains, "key long, ratio float").toArrow()
+    pairs = _Table(got.column("key").to_numpy().view(np.uint64), got.column("ratio").to_numpy(), 0.0)
+    del got
+    wanted.destroy()
+    held.destroy()
+    give_back()
+    return Model(_Table(key, chance[0] - chance[1], float(np.log(unmet[0] / unmet[1]))), _Table(before, backoff[0] - backoff[1], 0.0), pairs)
 
 
 class _Table:
@@ -247,19 +305,6 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
-def _table(rows: DataFrame, keys: list[str], other: float) -> _Table:
-    """The rows as arrays; of two keys, the bigram's."""
-
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            v, w = (pdf[k].to_numpy(np.int64).view(np.uint64) for k in keys)
-            yield pd.DataFrame({"key": pair_keys(v, w).view(np.int64), "ratio": pdf["ratio"].astype(np.float32)})
-
-    rows = rows.mapInPandas(packed, "key long, ratio float") if len(keys) == 2 else rows.select(F.col(keys[0]).alias("key"), F.col("ratio").cast("float"))
-    got = rows.toArrow()
-    return _Table(got.column("key").to_numpy().view(np.uint64), got.column("ratio").to_numpy(), other)
-
-
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_LABELLED) -> Model | None:
     """The two models of the labelled documents where ``learn`` holds; None without both classes."""
     sample = sampled(labels, learn, most)
@@ -268,9 +313,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_LABEL
         return None
     rows = labelled(docs, sample)
     counts = materialize(class_counts(rows), "bigrams")
-    words, by_context, pairs, unmet = ratios_of(counts, materialize(corpus_contexts(docs), "corpus"))
-    model = Model(_table(words, ["w"], unmet), _table(by_context, ["v"], 0.0), _table(pairs, ["v", "w"], 0.0))
-    give_back()
+    model = build(counts, materialize(corpus_contexts(docs), "corpus"))
     held = docs.sparkSession.sparkContext.broadcast(model)
     names = ["x0", "x1"]
 

@@ -76,7 +76,6 @@ def test_the_models_are_those_of_the_textbook(docs_of, spark):
     assert 0 < len(left_out) < 45
     counts = toxicity.class_counts(toxicity.labelled(docs, sample))
     corpus = toxicity.corpus_contexts(docs)
-    words, by_context, pairs, unmet = toxicity.ratios_of(counts, corpus)
     models, before = kneser_ney([(t, int(i % 3 > 0)) for i, t in rows if i < 90 and i not in left_out], (1, 0), [t for _, t in rows])
     (word_t, pair_t), (word_o, pair_o) = models
     for word, pair in models:
@@ -84,8 +83,7 @@ def test_the_models_are_those_of_the_textbook(docs_of, spark):
         assert all(math.isclose(sum(pair(v, w) for w in before), 1, rel_tol=1e-9) for v in [None, "bad", "word", "fine"])
     key = {int(toxicity.words_of(w).view(np.int64)[0]): w for w in before}
     assert {key[x.w]: x.n for x in corpus.collect()} == {w: len(v) for w, v in before.items()}
-    tables = [toxicity._table(words, ["w"], unmet), toxicity._table(by_context, ["v"], 0.0), toxicity._table(pairs, ["v", "w"], 0.0)]
-    model = toxicity.Model(*tables)
+    model = toxicity.build(counts, corpus)
     for _, t in rows:
         full, low = model.ratios(toxicity.words_of(t))
         w = t.split()
@@ -94,6 +92,18 @@ def test_the_models_are_those_of_the_textbook(docs_of, spark):
             assert math.isclose(full[i], math.log(pair_t(v, x) / pair_o(v, x)), abs_tol=1e-5)
 
 
+def test_contexts_beyond_the_exact_ones_are_estimated(docs_of):
+    rows = [(i, f"c{i % 3000} often c{i % 40} seldom x{i}") for i in range(6000)]
+    got = {x.w: x.n for x in toxicity.corpus_contexts(docs_of(rows, 7)).collect()}
+
+    def n(word):
+        return got[int(toxicity.words_of(word).view(np.int64)[0])]
+
+    assert n("seldom") == 40 and n("x17") == 1 and n("c7") == 2  # a text's beginning, and "often"
+    assert abs(n("often") / 3000 - 1) < 0.2
+    assert len(got) == 3000 + 2 + 6000
+
+
 def test_scores_follow_the_labels(docs_of, spark):
     rows = [(i, "bad word here bad thing" if i % 2 else "good word here fine thing") for i in range(40)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic long")
