@@ -50,6 +50,8 @@ START = np.uint64(0x5851F42D4C957F2D)
 #: Words whose contexts a task tells apart at once, and contexts of a word that are told apart exactly.
 CHUNK_WORDS, KEPT = 3_000_000, 256
 _CLASSES = ("t", "o")
+#: Bits of a key below those by which it is dealt: there are 64 parts.
+_PART = np.uint64(58)
 #: Separators: every ASCII byte that is no letter, digit or apostrophe.
 _GAPS = np.array([c < 128 and not (chr(c).isalnum() or c == 39) for c in range(256)])
 
@@ -65,8 +67,8 @@ def contexts(words: np.ndarray) -> np.ndarray:
 
 
 def pair_keys(v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each bigram v w."""
-    return mix(mix(v) + w)
+    """One 64-bit key for each bigram v w; its first bits are v's, by which bigrams are dealt."""
+    return ((v >> _PART) << _PART) | (mix(mix(v) + w) >> np.uint64(6))
 
 
 def _distinct(w: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +93,7 @@ def labelled(docs: DataFrame, sample: DataFrame) -> DataFrame:
 
 
 def class_counts(rows: DataFrame) -> DataFrame:
-    """(v, w, t, o): in how many toxic and ordinary documents v w stands; a context's bigrams are in one partition."""
+    """(p, v, w, t, o): in how many toxic and ordinary documents v w stands; p is the part of v, in one partition each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting, held = [], 0
@@ -102,7 +104,7 @@ def class_counts(rows: DataFrame) -> DataFrame:
             w, v, t = w[order], v[order], t[order]
             first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])]))
             n, toxic = np.diff(np.append(first, len(w))), np.add.reduceat(t, first)
-            return pd.DataFrame({"v": v[first].view(np.int64), "w": w[first].view(np.int64), "t": toxic, "o": (n - toxic).astype(np.int32)})
+            return pd.DataFrame({"p": (v[first] >> _PART).astype(np.int32), "v": v[first].view(np.int64), "w": w[first].view(np.int64), "t": toxic, "o": (n - toxic).astype(np.int32)})
 
         for text, toxic in rows_of(batches, "text", "toxic"):
             own = words_of(text_of(text))
@@ -117,8 +119,8 @@ def class_counts(rows: DataFrame) -> DataFrame:
             yield counted()
         give_back()
 
-    found = rows.where("NOT left_out").select("text", "toxic").mapInPandas(run, "v long, w long, t int, o int").repartition("v")
-    return found.groupBy("v", "w").agg(F.sum("t").cast("int").alias("t"), F.sum("o").cast("int").alias("o"))
+    found = rows.where("NOT left_out").select("text", "toxic").mapInPandas(run, "p int, v long, w long, t int, o int").repartition("p")
+    return found.groupBy("p", "v", "w").agg(F.sum("t").cast("int").alias("t"), F.sum("o").cast("int").alias("o"))
 
 
 def _least(w: np.ndarray, h: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -228,25 +230,50 @@ def build(counts: DataFrame, corpus: DataFrame) -> Model:
     n_of = [got.column(c).to_numpy()[order] for c in _CLASSES]
     left = [sum(d[i][k] * got.column(f"{c}{k}").to_numpy()[order] for k in (1, 2, 3)) for i, c in enumerate(_CLASSES)]
     backoff = [np.log(np.where(n > 0, x / np.maximum(n, 1), 1.0)) for n, x in zip(n_of, left, strict=True)]
-    held = session.broadcast((key, chance, before, n_of, backoff))
+    del found, got, left
+    give_back()
+    held = session.broadcast((key, [c.astype(np.float32) for c in chance], before, n_of, [b.astype(np.float32) for b in backoff]))
 
     def gains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """What a bigram adds to its word backed off, toxic less ordinary."""
+        """What bigrams add to their words backed off, toxic less ordinary: the keys and ratios of each part, in order."""
         key, chance, before, n_of, backoff = held.value
+        keys, ratios = [np.zeros(0, np.uint64)], [np.zeros(0, np.float32)]
         for pdf in batches:
             v, w = (pdf[c].to_numpy(np.int64).view(np.uint64) for c in ("v", "w"))
             at_v, at_w = np.searchsorted(before, v), np.searchsorted(key, w)
             gain = []
             for i, c in enumerate(_CLASSES):
-                n, backed = pdf[c].to_numpy(np.int64), backoff[i][at_v] + chance[i][at_w]
+                n, backed = pdf[c].to_numpy(np.int64), backoff[i][at_v].astype(float) + chance[i][at_w]
                 direct = (n - d[i][np.minimum(n, 3)]) / np.maximum(n_of[i][at_v], 1)
                 gain.append(np.log(direct + np.exp(backed)) - backed)
-            yield pd.DataFrame({"key": pair_keys(v, w).view(np.int64), "ratio": (gain[0] - gain[1]).astype(np.float32)})
+            keys.append(pair_keys(v, w))
+            ratios.append((gain[0] - gain[1]).astype(np.float32))
+        keys, ratios = np.concatenate(keys), np.concatenate(ratios)
+        order = np.argsort(keys)
+        keys, ratios = keys[order], ratios[order]
+        part = keys >> _PART
+        first = np.flatnonzero(np.diff(part, prepend=64))
+        rows = [(int(part[a]), keys[a:b].tobytes(), ratios[a:b].tobytes()) for a, b in zip(first, np.append(first[1:], len(keys)), strict=False)]
+        yield pd.DataFrame(rows, columns=["p", "keys", "ratios"])
         give_back()
 
-    got = counts.mapInPandas(gains, "key long, ratio float").toArrow()
-    pairs = _Table(got.column("key").to_numpy().view(np.uint64), got.column("ratio").to_numpy(), 0.0)
-    del got
+    # The parts come to the driver a few at a time, each into its place.
+    sizes = np.zeros(65, np.int64)
+    for r in counts.groupBy("p").count().collect():
+        sizes[r["p"] + 1] = r["count"]
+    starts = np.cumsum(sizes)
+    keys, ratios, filled = np.empty(starts[-1], np.uint64), np.empty(starts[-1], np.float32), starts[:-1].copy()
+    for k in range(8):
+        for r in counts.where(F.col("p") % 8 == k).mapInPandas(gains, "p int, keys binary, ratios binary").collect():
+            low = filled[r["p"]]
+            filled[r["p"]] = high = low + len(r["keys"]) // 8
+            keys[low:high], ratios[low:high] = np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["ratios"], np.float32)
+    for low, high in zip(starts, starts[1:], strict=False):
+        part = keys[low:high]
+        if (part[1:] < part[:-1]).any():  # of several tasks
+            order = np.argsort(part)
+            keys[low:high], ratios[low:high] = keys[low:high][order], ratios[low:high][order]
+    pairs = _Table(keys, ratios, 0.0, True)
     wanted.destroy()
     held.destroy()
     give_back()
@@ -256,9 +283,9 @@ def build(counts: DataFrame, corpus: DataFrame) -> Model:
 class _Table:
     """Values by 64-bit key, and one for all other keys."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray, other: float):
-        order = np.argsort(keys)
-        self.keys, self.values, self.other = keys[order], values[order].astype(np.float32), np.float32(other)
+    def __init__(self, keys: np.ndarray, values: np.ndarray, other: float, ordered: bool = False):
+        order = slice(None) if ordered else np.argsort(keys)
+        self.keys, self.values, self.other = keys[order], values[order].astype(np.float32, copy=False), np.float32(other)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
