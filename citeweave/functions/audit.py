@@ -9,7 +9,8 @@ from citeweave.functions.ids import repair_doi
 from citeweave.functions.urls import doi_in_url, normal_url
 
 AUDIT = "array<struct<fields:array<string>,original:array<string>,corrected:array<string>,message:string>>"
-_SPLITS = (r"^(\d+)[ (]+Pt (\d+)\)?$", r"^(\d+) Suppl (\d+)$", r"^(\d+);(\d+)$")
+#: A volume that also names its part: ``12 (Pt 3)``, ``12 Suppl 3``, ``12;3``.
+_VOLUME_AND_PART = r"^\s*(\d+)\s*(?:;|\(?\s*(?:Pt|Suppl)\s)\s*(\d+)\s*\)?\s*$"
 
 
 def _note(fields: tuple[str, ...], before: list[Column], after: list[Column], message: str) -> Column:
@@ -33,38 +34,37 @@ def _audited(df: DataFrame) -> DataFrame:
 
 def sanitize_volume(df: DataFrame) -> DataFrame:
     """Splits an issue out of the volume where there is none; hyphens for minus signs, no backslashes."""
-    df = _audited(df)
-    for pattern in _SPLITS:
-        free = F.col("issue").isNull() | (F.col("issue") == "")
-        parts = [F.regexp_extract("volume", pattern, i) for i in (1, 2)]
-        df = _correct(df, F.col("volume").rlike(pattern) & free, ("volume", "issue"), parts, "Split issue number out of volume")
-    df = _correct(df, F.contains("volume", F.lit("−")), ("volume",), [F.translate("volume", "−", "-")], "Replaced minus with hyphen")
-    return _correct(df, F.contains("volume", F.lit("\\")), ("volume",), [F.translate("volume", "\\", "")], "Removed backslash from volume")
+    free = F.coalesce(F.col("issue"), F.lit("")) == ""
+    parts = [F.regexp_extract("volume", _VOLUME_AND_PART, i) for i in (1, 2)]
+    df = _correct(_audited(df), F.col("volume").rlike(_VOLUME_AND_PART) & free, ("volume", "issue"), parts, "the volume named its issue")
+    for char, good, message in (("\u2212", "-", "a minus sign stood for a hyphen"), ("\\", "", "the volume held a backslash")):
+        df = _correct(df, F.contains("volume", F.lit(char)), ("volume",), [F.replace("volume", F.lit(char), F.lit(good))], message)
+    return df
 
 
 def sanitize_issue(df: DataFrame) -> DataFrame:
     """``Pt 2`` is 2, ``4 Pt 1`` is 4."""
-    df = _audited(df)
-    df = _correct(df, F.col("issue").startswith("Pt "), ("issue",), [F.expr("substring(issue, 4)")], "Removed 'Pt ' prefix from issue")
-    return _correct(df, F.col("issue").rlike(r"^\S+\s+Pt(\s|$)"), ("issue",), [F.regexp_extract("issue", r"^(\S+)", 1)], "Removed extraneous issue part information")
+    number = r"^(?:Pt\s+(.+)|(\S+)\s+Pt(?:\s.*)?)$"
+    kept = F.concat(*[F.regexp_extract("issue", number, i) for i in (1, 2)])
+    return _correct(_audited(df), F.col("issue").rlike(number), ("issue",), [kept], "the issue named its part")
 
 
 def sanitize_doi(df: DataFrame) -> DataFrame:
     """Repairs a DOI's beginning, or drops what can't be one; the repaired value is kept."""
     df = _audited(df)
     good = repair_doi(F.col("doi"))
-    df = _correct(df, good.isNotNull() & (good != F.col("doi")), ("doi",), [good], "Corrected DOI prefix")
-    return _correct(df, F.col("doi").isNotNull() & repair_doi(F.col("doi")).isNull(), ("doi",), [F.lit(None).cast("string")], "Removed invalid DOI")
+    df = _correct(df, good.isNotNull() & (good != F.col("doi")), ("doi",), [good], "the DOI began wrongly")
+    return _correct(df, F.col("doi").isNotNull() & repair_doi(F.col("doi")).isNull(), ("doi",), [F.lit(None).cast("string")], "this can be no DOI")
 
 
 def sanitize_url(df: DataFrame) -> DataFrame:
     """Addresses in normal form; a resolver's address also gives a missing DOI."""
     df = _audited(df)
     found = doi_in_url(F.col("url"))
-    df = _correct(df, F.col("doi").isNull() & found.isNotNull(), ("doi",), [found], "Took DOI from resolver address")
+    df = _correct(df, F.col("doi").isNull() & found.isNotNull(), ("doi",), [found], "the address named the DOI")
     good = normal_url(F.col("url"))
-    df = _correct(df, good.isNotNull() & (good != F.col("url")), ("url",), [good], "Normalised address")
-    return _correct(df, F.col("url").isNotNull() & normal_url(F.col("url")).isNull(), ("url",), [F.lit(None).cast("string")], "Removed invalid address")
+    df = _correct(df, good.isNotNull() & (good != F.col("url")), ("url",), [good], "the address was not in normal form")
+    return _correct(df, F.col("url").isNotNull() & normal_url(F.col("url")).isNull(), ("url",), [F.lit(None).cast("string")], "this can be no address")
 
 
 def sanitize_record(df: DataFrame) -> DataFrame:

@@ -56,8 +56,9 @@ def guess_doi(s: Column) -> Column:
 
 
 def repair_preprint_id(s: Column) -> Column:
-    """``group1234567`` as ``group/1234567``; others unchanged."""
-    return F.regexp_replace(s, r"^([a-zA-Z-]{2,9})(\d{7}).*$", "$1/$2")
+    """A group's name with seven digits right after it, as ``group/1234567``; what follows is dropped, others unchanged."""
+    group, number = (F.regexp_extract(s, r"(?i)^([a-z][a-z-]+)([0-9]{7})", i) for i in (1, 2))
+    return F.when(group != "", F.concat_ws("/", group, number)).otherwise(s)
 
 
 def id_from_path(s: Column, suffix: int = 3) -> Column:
@@ -67,9 +68,9 @@ def id_from_path(s: Column, suffix: int = 3) -> Column:
 
 
 def repair_doi(s: Column) -> Column:
-    """``10.dddd/...``, with a missing or garbled beginning put right; null if hopeless."""
-    rest = _found(s, r"^(?:10:|1.|)(\d{4}/.+)$")
-    return F.when(rest.isNotNull(), F.concat(F.lit("10."), rest)).when(s.rlike(r"^10\.\d{4,}/.+$"), s)
+    """``10.dddd/...``, with a missing or garbled beginning (``10:``, ``1.``) put right; null if hopeless."""
+    rest = _found(s, r"^(?:10?[.:])?([0-9]{4,9}/\S.*)$")
+    return F.concat(F.lit("10."), rest)
 
 
 def doi_uri_part(s: Column) -> Column:

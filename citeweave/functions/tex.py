@@ -36,16 +36,21 @@ def bibitems(s: Column, skip: int = 1) -> Column:
     return F.transform(F.slice(parts, skip + 1, 1 << 30), lambda x: F.regexp_replace(F.regexp_replace(x, r"(?s)^.*?\}", ""), r"^\s+|\s+$", ""))
 
 
+def _either(names) -> str:
+    """One pattern for all names, longest first, so that none hides a longer one."""
+    return "|".join(sorted((n.removeprefix("\\") for n in names), key=lambda n: (-len(n), n)))
+
+
+#: A label or a database field with its braced content; a font or block command as a whole word.
+_TEX_MARKUP = rf"\\(?:(?:label|bibinfo)\s*\{{[^{{}}]*\}}|(?:{_either(TEX_CODES)})(?![A-Za-z]))"
+_MACRO_REST = rf"(?<![A-Za-z0-9])(?:{_either(TEX_WORDS)})(?![A-Za-z0-9])"
+
+
 def plain(s: Column) -> Column:
-    """A TeX reference as plain text: without labels, marks, codes and leftovers of macros."""
-    out = F.regexp_replace(s, r"\\(label|bibinfo)\{.+?\}", " ")
-    out = F.replace(out, F.lit('\\"'), F.lit(""))
-    for code in TEX_CODES:
-        out = F.replace(out, F.lit(code), F.lit(""))
-    out = F.trim(F.regexp_replace(out, r"[^\w.,():/-]+", " "))
-    for word in TEX_WORDS:
-        out = F.replace(out, F.lit(word), F.lit(""))
-    return F.regexp_replace(out, r"^[,\s]+", "")
+    """A TeX reference as plain text: no commands, no braces or other marks, no leftovers of macros; letters of all scripts stay."""
+    bare = F.regexp_replace(s, r'\\"', "")
+    bare = F.regexp_replace(F.regexp_replace(bare, _TEX_MARKUP, " "), r"[^\p{L}\p{N}_.,:()/-]+", " ")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(bare, _MACRO_REST, ""), r"\s+", " "), r"^[\s,]+|\s+$", "")
 
 
 def label_and_key(s: Column) -> tuple[Column, Column]:
@@ -59,8 +64,24 @@ def url(s: Column) -> Column:
     return F.coalesce(*[F.nullif(F.regexp_extract(s, p, 1), F.lit("")) for p in (r"\\url\{(https?://[^}]+)\}", r"(https?://[^\s{}]+)")])
 
 
+_YEAR = r"\(((?:18|19|20)\d{2})\)"
+
+
 def year(s: Column) -> Column:
-    return F.nullif(F.regexp_extract(s, r"\(((?:18|19|20)\d{2})\)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(s, _YEAR, 1), F.lit(""))
+
+
+def year_and_rest(s: Column) -> tuple[Column, Column]:
+    """The first year in parentheses, and the text without it."""
+    return year(s), F.regexp_replace(s, rf"^((?s:.*?)){_YEAR}", "$1")
+
+
+def _nested(levels: int = 4) -> str:
+    """The inside of a brace group that has groups inside, so many levels deep."""
+    inside = r"[^{}]*+"
+    for _ in range(levels):
+        inside = rf"(?:[^{{}}]++|\{{{inside}\}})*+"
+    return inside
 
 
 def _before(s: Column, pattern: str) -> Column:
@@ -80,8 +101,8 @@ def title(s: Column) -> Column:
 
     found = F.coalesce(
         group(r"(?s)\\newblock\s+(.*?)(?:\\newblock|$)"),
-        group(r"\\(?:emph|textit)\{([^}]*)\}"),
-        group(r"\{\\(?:em|it)\s+([^}]*)\}"),
+        group(rf"\\(?:emph|textit)\{{({_nested()})\}}"),
+        group(rf"\{{\\(?:em|it)\s+({_nested()})\}}"),
         group(r"(?s)\. (.+?)(?:\. |$)"),
         group(r"(?s)\.(.+?)(?:\.|$)"),
         group(r"(?s), (.+?)(?:, |$)"),

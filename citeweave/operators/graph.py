@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,20 +114,62 @@ def closure(records: DataFrame, refs: DataFrame, split_types: list[str]) -> Data
     return reached
 
 
-def recluster(pairs: DataFrame, members: DataFrame, threshold: float = 0.9) -> DataFrame:
+#: Pairs of a component that one task clusters by itself.
+LOCAL_PAIRS = 500_000
+
+
+def recluster(pairs: DataFrame, members: DataFrame, threshold: float = 0.9, local_pairs: int = LOCAL_PAIRS) -> DataFrame:
     """(group, id, cluster): a group's members within ``threshold`` of a seed along shortest paths; seeds: the least left.
 
-    members(group, id), pairs(group, a, b, distance). A cluster grows over all shortest
-    paths from its seed, so rounds relax distances from the seeds of all groups at once;
-    what is reached leaves, and the next least member seeds.
+    members(group, id), pairs(group, a, b, distance). No path leaves a component of the
+    pairs within the threshold, so components are clustered by themselves, all at once: one of up
+    to ``local_pairs`` pairs in a task, a larger one in rounds over all large ones. A member
+    without such a pair is a cluster.
     """
     members = materialize(members.select("group", "id").distinct(), "members")
-    both = pairs.where(F.col("distance") <= threshold).select("group", F.col("a").alias("x"), F.col("b").alias("y"), "distance")
-    both = materialize(both.unionByName(both.select("group", F.col("y").alias("x"), F.col("x").alias("y"), "distance")), "pairs")
-    left, done = members, None
+    near = pairs.where((F.col("distance") <= threshold) & (F.col("a") != F.col("b"))).select("group", "a", "b", "distance")
+    near = materialize(near, "pairs")
+    node = [F.struct("group", F.col(c).alias("id")) for c in ("a", "b")]
+    parts = connected_components(near.select(node[0].alias("src"), node[1].alias("dst"))).select(F.col("node.group").alias("group"), F.col("node.id").alias("id"), "component")
+    near = near.join(parts.withColumnRenamed("id", "a"), ["group", "a"])
+    sizes = near.groupBy("component").agg(F.count("*").alias("size"))
+    near = materialize(near.join(sizes, "component"), "pairs")
+    kind = dict(members.dtypes)
+    schema = f"`group` {kind['group']}, id {kind['id']}, cluster {kind['id']}"
+
+    def grown(rows: pd.DataFrame) -> pd.DataFrame:
+        by = {}
+        for a, b, d in zip(rows["a"], rows["b"], rows["distance"], strict=True):
+            by.setdefault(a, []).append((b, d))
+            by.setdefault(b, []).append((a, d))
+        cluster = {}
+        for seed in sorted(by):
+            heap = [(0.0, seed)] if seed not in cluster else []
+            while heap:
+                d, x = heapq.heappop(heap)
+                if x not in cluster:
+                    cluster[x] = seed
+                    for y, step in by[x]:
+                        if d + step <= threshold and y not in cluster:
+                            heapq.heappush(heap, (d + step, y))
+        return pd.DataFrame({"group": rows["group"].iloc[0], "id": list(cluster), "cluster": list(cluster.values())})
+
+    small = near.where(F.col("size") <= local_pairs).select("component", "group", "a", "b", "distance").groupBy("component").applyInPandas(grown, schema)
+    large = _grown_in_rounds(near.where(F.col("size") > local_pairs), threshold)
+    found = materialize(small if large is None else small.unionByName(large), "clusters")
+    return members.join(found, ["group", "id"], "left").select("group", "id", F.coalesce("cluster", "id").alias("cluster"))
+
+
+def _grown_in_rounds(near: DataFrame, threshold: float) -> DataFrame | None:
+    """The clusters of large components; each round seeds every component's least member that is left."""
+    if near.isEmpty():
+        return None
+    both = near.select("group", "component", F.col("a").alias("x"), F.col("b").alias("y"), "distance")
+    both = materialize(both.unionByName(both.select("group", "component", F.col("y").alias("x"), F.col("x").alias("y"), "distance")), "pairs")
+    left, done = materialize(both.select("group", "component", F.col("x").alias("id")).distinct(), "members"), None
     while not left.isEmpty():
-        dist = materialize(left.groupBy("group").agg(F.min("id").alias("id")).select("group", F.col("id").alias("seed"), "id", F.lit(0.0).alias("d")), "reach")
-        front = dist
+        seeds = left.groupBy("group", "component").agg(F.min("id").alias("id"))
+        dist = front = materialize(seeds.select("group", F.col("id").alias("seed"), "id", F.lit(0.0).alias("d")), "reach")
         while not front.isEmpty():
             step = front.withColumnRenamed("id", "x").join(both, ["group", "x"]).select("group", "seed", F.col("y").alias("id"), (F.col("d") + F.col("distance")).alias("d"))
             step = step.where(F.col("d") <= threshold).join(left, ["group", "id"], "left_semi").groupBy("group", "seed", "id").agg(F.min("d").alias("d"))
@@ -132,9 +177,9 @@ def recluster(pairs: DataFrame, members: DataFrame, threshold: float = 0.9) -> D
             front = materialize(step.join(old, ["group", "id"], "left").where("_d IS NULL OR d < _d").drop("_d"), "reach")
             dist = materialize(dist.unionByName(front).groupBy("group", "seed", "id").agg(F.min("d").alias("d")), "reach")
         cluster = dist.select("group", "id", F.col("seed").alias("cluster"))
-        done = cluster if done is None else done.unionByName(cluster)
+        done = materialize(cluster if done is None else done.unionByName(cluster), "done")
         left = materialize(left.join(cluster, ["group", "id"], "left_anti"), "members")
-    return done if done is not None else members.withColumn("cluster", F.col("id"))
+    return done
 
 
 def resolve_emails(authorship: DataFrame, mails: DataFrame, ratio: float = 2.0) -> DataFrame:
@@ -164,6 +209,29 @@ def resolve_emails(authorship: DataFrame, mails: DataFrame, ratio: float = 2.0)
         settled = materialize(settled.unionByName(found), "settled")
 
 
+def topic_seeds(works: DataFrame, work: str, title: str, journal: str, pattern: str, own: str | None = None, most_title: int | None = None) -> DataFrame:
+    """(id) of the works that a title's pattern names, of one journal if asked for, with titles of so many characters at most."""
+    out = works.where(F.col(title).rlike(pattern))
+    out = out.where(F.col(journal) == own) if own else out
+    out = out.where(F.length(title) <= most_title) if most_title else out
+    return out.select(F.col(work).alias("id")).distinct()
+
+
+def journal_network(refs: DataFrame, journal: str, src: str, dst: str) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) of the directed network of each journal: what its works cite, and every end of that as a node."""
+    edges = refs.select(journal, F.col(src).alias("src"), F.col(dst).alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL").distinct()
+    return edges.select(journal, F.explode(F.array("src", "dst")).alias("id")).distinct(), edges
+
+
+def match_mails(mails: DataFrame, names: DataFrame, paper: str, mail: str, name: str, ratio: float = 1.5) -> DataFrame:
+    """(mail, name, best, second): of a paper's names the one nearest to a mail's local part, if the next is ``ratio`` times as far."""
+    from citeweave.functions.similarity import mail_distance
+    from citeweave.operators.match import best_and_second
+
+    pairs = mails.join(names, paper).select(F.col(mail).alias("mail"), F.col(name).alias("name"), mail_distance(F.substring_index(mail, "@", 1), F.col(name)).alias("score")).distinct()
+    return best_and_second(pairs, "mail", "name", "score", ratio)
+
+
 def facet_graph(hits: DataFrame, doc: str, path: str, size: int = 10) -> tuple[DataFrame, DataFrame]:
     """Nodes (kind, id) and links (term, doc) of a hit set: top facet terms and the documents that contain them."""
     terms = hits.select(doc, F.explode(path).alias("term")).distinct()

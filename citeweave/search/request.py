@@ -183,28 +183,31 @@ def token_index(df: DataFrame, key: str, column: str) -> DataFrame:
     return df.select(tokens.alias("token"), key).where("token <> ''")
 
 
+def _ranked(papers: DataFrame, ids: DataFrame, cites: DataFrame) -> DataFrame:
+    """The papers of ``ids`` with how often they are cited; of all citations only theirs are counted."""
+    own = cites.join(ids.select(F.col("id").alias("dst")), "dst", "left_semi").groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("citations"))
+    return papers.join(ids, "id", "left_semi").join(own, "id", "left").withColumn("citations", F.coalesce("citations", F.lit(0)))
+
+
 def paper_view(paper, papers: DataFrame, cites: DataFrame, unknown: DataFrame) -> dict[str, DataFrame]:
     """A paper's page: itself, what it cites and what cites it by citations, and references that are nowhere."""
-    n = cites.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("citations"))
-    ranked = papers.join(n, "id", "left").withColumn("citations", F.coalesce("citations", F.lit(0)))
     out = cites.where(F.col("src") == paper).select(F.col("dst").alias("id")).distinct()
     into = cites.where(F.col("dst") == paper).select(F.col("src").alias("id")).distinct()
+    own = papers.where(F.col("id") == paper).select("id")
     return {
-        "paper": ranked.where(F.col("id") == paper), "references": ranked.join(out, "id").orderBy(F.desc("citations"), "id"),
-        "cited_by": ranked.join(into, "id").orderBy(F.desc("citations"), "id"), "unknown": unknown.where(F.col("src") == paper),
+        "paper": _ranked(papers, own, cites), "references": _ranked(papers, out, cites).orderBy(F.desc("citations"), "id"),
+        "cited_by": _ranked(papers, into, cites).orderBy(F.desc("citations"), "id"), "unknown": unknown.where(F.col("src") == paper),
     }
 
 
 def author_view(name: str, authorship: DataFrame, papers: DataFrame, cites: DataFrame) -> DataFrame:
     """An author's papers, most cited first."""
-    n = cites.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("citations"))
     mine = authorship.where(F.col("name") == name).select(F.col("paper").alias("id")).distinct()
-    return papers.join(mine, "id", "left_semi").join(n, "id", "left").withColumn("citations", F.coalesce("citations", F.lit(0))).orderBy(F.desc("citations"), "id")
+    return _ranked(papers, mine, cites).orderBy(F.desc("citations"), "id")
 
 
 def search_view(query: str, index: DataFrame, papers: DataFrame, cites: DataFrame, limit: int = 100) -> DataFrame:
     """Papers that have all of the query's words, most cited first."""
     wanted = sorted({w for w in re.split(r"\W+", query.lower()) if w})
     hits = index.where(F.col("token").isin(wanted)).groupBy("id").agg(F.count_distinct("token").alias("k")).where(F.col("k") == len(wanted))
-    n = cites.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("citations"))
-    return papers.join(hits.select("id"), "id", "left_semi").join(n, "id", "left").withColumn("citations", F.coalesce("citations", F.lit(0))).orderBy(F.desc("citations"), "id").limit(limit)
+    return _ranked(papers, hits.select("id"), cites).orderBy(F.desc("citations"), "id").limit(limit)

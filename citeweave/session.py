@@ -37,11 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is the cluster's ``spark.checkpoint.dir``. Only where that is unset, as in
-    tests on one machine, is a temporary folder made and set.
+    It is the cluster's ``spark.checkpoint.dir``. Only where that is unset on one machine, as
+    in tests, is a temporary folder made and set; executors elsewhere couldn't see it.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="citeweave-")
         atexit.register(shutil.rmtree, found, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(found)

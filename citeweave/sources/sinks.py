@@ -35,6 +35,29 @@ def write_quads(df: DataFrame, path: str) -> None:
     rdf.lines(df).write.mode("overwrite").option("compression", "gzip").text(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """Rows of texts and numbers as CSV with a header; quotes inside a field are doubled."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def ensured(spark, name: str, schema: str, rebuild: bool = False) -> DataFrame:
+    """A table of the shared warehouse, made if it isn't there; ``rebuild`` empties it first. Another schema is an error."""
+    if rebuild:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet")
+    found = spark.table(name)
+    if [(f.name, f.dataType) for f in found.schema] != [(f.name, f.dataType) for f in spark.createDataFrame([], schema).schema]:
+        raise ValueError(f"table {name} has another schema")
+    return found
+
+
+def once(df: DataFrame, key: str, *order) -> DataFrame:
+    """One row for each key, the first in the order given; a scan by pages without an order could give a row twice or never."""
+    from citeweave.operators.windows import first_by
+
+    return first_by(df, key, *(order or (key,)))
+
+
 _KINDS = {"string": "string", "int": "int", "bigint": "long", "double": "double", "boolean": "boolean"}
 
 

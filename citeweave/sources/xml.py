@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 
 IDENTIFIER = "array<struct<type:string,id:string,canonical:string>>"
 PERSON = "array<struct<lastname:string,forenames:string,affiliation:array<string>>>"
-CITATION = "array<struct<cite_order:int,kind:string,title:string,source:string,year:string,volume:string,firstpage:string,lastpage:string,authors:string,identifier:array<struct<type:string,id:string,canonical:string>>,text:string>>"
+CITATION = "array<struct<cite_order:int,kind:string,title:string,source:string,year:string,volume:string,firstpage:string,lastpage:string,authors:string,identifier:array<struct<type:string,id:string,canonical:string>>,text:string,id:string,publisher:string>>"
 POINTER = "array<struct<paragraph:int,rids:array<string>>>"
+CONTRIBUTOR = "array<struct<role:string,surname:string,given:string,style:string,collab:string,rids:array<string>>>"
 ARTICLE = (
     f"title string, abstract string, journal string, publisher string, volume string, issue string, firstpage string, lastpage string, "
-    f"year string, month string, day string, keyword array<string>, identifier {IDENTIFIER}, author {PERSON}, citation {CITATION}, pointer {POINTER}, error string"
+    f"year string, month string, day string, keyword array<string>, identifier {IDENTIFIER}, author {PERSON}, citation {CITATION}, pointer {POINTER}, "
+    f"kind string, heading string, license string, journal_abbr string, issn string, eissn string, publisher_place string, "
+    f"contributor {CONTRIBUTOR}, place array<struct<id:string,address:string>>, related array<struct<link:string,href:string>>, error string"
 )
 #: The first of these kinds of date that an article has is its date.
 DATES = ("pmc-release", "ppub", "epub", "collection")
@@ -45,17 +48,54 @@ def _ids(pairs: list[tuple[str | None, str | None]]) -> list[tuple[str, str, str
     return [(t, i, f"{t}:{i}") for t, i in pairs if t and i]
 
 
+def _named(c: ET.Element) -> str | None:
+    """The people of a reference: by name, else a group, else as the text has them."""
+    names = [" ".join(filter(None, (n.findtext("surname"), n.findtext("given-names")))) for n in c.iter("name")]
+    names = names or [full_text(x) for tag in ("collab", "string-name", "person-group") for x in c.iter(tag)][:1]
+    return ", ".join(filter(None, names)) or None
+
+
 def _citation(ref: ET.Element, order: int) -> tuple:
+    """A reference by its kind: a journal's article, a book or a chapter of it, or anything else."""
     c = next((x for x in ref if x.tag in ("mixed-citation", "element-citation", "citation", "nlm-citation")), ref)
-    names = [" ".join(filter(None, (n.findtext("surname"), n.findtext("given-names")))) for n in c.iter("name")]
     kind = c.get("publication-type") or c.get("citation-type")
     ids = _ids([(p.get("pub-id-type"), full_text(p)) for p in c.iter("pub-id")])
-    get = {k: full_text(c.find(f".//{k}")) for k in ("article-title", "source", "year", "volume", "fpage", "lpage")}
+    get = {k: full_text(c.find(f".//{k}")) for k in ("article-title", "chapter-title", "source", "year", "volume", "fpage", "lpage", "publisher-name", "comment")}
+    if kind == "book":
+        title = get["chapter-title"] or get["article-title"] or get["source"]
+    elif kind == "journal":
+        title = get["article-title"] or get["source"]
+    else:
+        title = get["article-title"] or get["source"] or get["comment"]
     label = ref.find("label")
     text = full_text(c)
     if label is not None and c is ref and text and label.text:
         text = text.removeprefix(label.text).strip()
-    return (order, kind, get["article-title"] or get["source"], get["source"], get["year"], get["volume"], get["fpage"], get["lpage"], ", ".join(names) or None, ids, text)
+    return (order, kind, title, get["source"], get["year"], get["volume"], get["fpage"], get["lpage"], _named(c), ids, text, ref.get("id"), get["publisher-name"])
+
+
+def _attribute(e: ET.Element, name: str) -> str | None:
+    """An attribute, whatever its namespace."""
+    return next((v for k, v in e.attrib.items() if k.rpartition("}")[2] == name), None)
+
+
+def _more(art: ET.Element, meta: ET.Element, journal: ET.Element) -> tuple:
+    """What nodes and edges need beyond the record's own fields."""
+    issn = {(i.get("pub-type") or "ppub"): full_text(i) for i in journal.findall("issn")}
+    people = []
+    for c in meta.findall("contrib-group/contrib"):
+        rids = [r for x in c.findall("xref[@ref-type='aff']") for r in (x.get("rid") or "").split()]
+        name = c.find("name")
+        own = (name.findtext("surname"), name.findtext("given-names"), name.get("name-style")) if name is not None else (None, None, None)
+        people.append((c.get("contrib-type"), *own, full_text(c.find("collab")), rids))
+    line = [a.find("addr-line") for a in meta.iter("aff")]
+    places = [(a.get("id"), full_text(x) if x is not None else full_text(a)) for a, x in zip(meta.iter("aff"), line, strict=True)]
+    license = next((v for x in meta.findall("permissions/license") if (v := _attribute(x, "href"))), None)
+    heading = next((full_text(x) for x in meta.findall("article-categories/subj-group[@subj-group-type='heading']/subject")), None)
+    related = [(x.get("ext-link-type"), _attribute(x, "href")) for x in meta.findall("related-article[@related-article-type='retracted-article']")]
+    abbr = full_text(journal.find("journal-id[@journal-id-type='nlm-ta']"))
+    printed = next((v for k, v in issn.items() if k != "epub"), None)
+    return art.get("article-type"), heading, license, abbr, printed, issn.get("epub"), full_text(journal.find("publisher/publisher-loc")), people, places, related
 
 
 def _article(data: str, title_text=full_text) -> tuple:
@@ -86,7 +126,7 @@ def _article(data: str, title_text=full_text) -> tuple:
     return (
         title_text(meta.find("title-group/article-title")), full_text(meta.find("abstract")), full_text(name), full_text(journal.find("publisher/publisher-name")),
         full_text(meta.find("volume")), full_text(meta.find("issue")), full_text(meta.find("fpage")), full_text(meta.find("lpage")),
-        full_text(date.find("year")), full_text(date.find("month")), full_text(date.find("day")), [full_text(k) for k in meta.findall("kwd-group/kwd")], ids, people, refs, pointers, None,
+        full_text(date.find("year")), full_text(date.find("month")), full_text(date.find("day")), [full_text(k) for k in meta.findall("kwd-group/kwd")], ids, people, refs, pointers, *_more(art, meta, journal), None,
     )
 
 
@@ -146,6 +186,47 @@ def preprints(df: DataFrame, content: str = "content") -> DataFrame:
     return df.select(F.col(content).cast("string").alias("c")).mapInPandas(run, PREPRINT)
 
 
+DOCSUM = (
+    "pmid string, pmc string, doi string, pii string, title string, source string, volume string, issue string, first_page string, last_page string, "
+    "year string, month string, day string, journal struct<name:string,issn:string,eissn:string,abbr:string>, author array<string>"
+)
+
+
+def docsums(df: DataFrame, content: str = "content") -> DataFrame:
+    """Summaries of an article service as records, with the people and the journal that they name.
+
+    ``1234-8`` are the pages 1234 to 1238; a summary that can't be parsed is passed over.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for data in pdf["c"]:
+                try:
+                    t = _parse(data)
+                except (ET.ParseError, TypeError):
+                    continue
+                t = t if t.tag == "DocSum" else t.find(".//DocSum")
+                if t is None:
+                    continue
+                item = {i.get("Name"): full_text(i) for i in t.findall("Item") if not len(i)}
+                ids = {i.get("Name"): full_text(i) for i in t.findall("Item[@Name='ArticleIds']/Item")}
+                people = [full_text(i) for i in t.findall("Item[@Name='AuthorList']/Item[@Name='Author']")]
+                date = [*(item.get("PubDate") or "").split("-"), "", ""][:3]
+                pages = (item.get("Pages") or "").split("-")
+                last = pages[0][: max(0, len(pages[0]) - len(pages[-1]))] + pages[-1]
+                journal = (item.get("FullJournalName"), item.get("ISSN"), item.get("ESSN"), item.get("Source"))
+                number = (ids.get("pmc") or "").removeprefix("PMC") or None
+                rows.append((
+                    ids.get("pubmed") or t.findtext("Id"), number, ids.get("doi"), ids.get("pii"), *[item.get(k) for k in ("Title", "Source", "Volume", "Issue")],
+                    pages[0] or None, last or None, *[x or None for x in date], journal if any(journal) else None, [p for p in people if p],
+                ))
+            yield pd.DataFrame(rows, columns=names)
+
+    names = [f.name for f in df.sparkSession.createDataFrame([], DOCSUM).schema]
+    return df.select(F.col(content).cast("string").alias("c")).mapInPandas(run, DOCSUM)
+
+
 def nodes_and_edges(df: DataFrame, content: str = "content", keep: str = "path") -> tuple[DataFrame, DataFrame]:
     """Node and edge XML as two tables: nodes(doc, id, type, data), edges(doc, type, source, target, data)."""
     schema = "doc string, is_edge boolean, id string, type string, source string, target string, data map<string,string>"

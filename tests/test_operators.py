@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +51,107 @@ def test_clusters_grow_along_shortest_paths(spark):
     assert rows(graph.recluster(pairs, members), "id", "cluster") == [(0, 0), (1, 0), (2, 0), (3, 3), (4, 3)]
 
 
+def brute_clusters(members, pairs, threshold=0.9):
+    """A member after another seeds, and takes what is left within the threshold by shortest paths (all pairs' distances relaxed)."""
+    out = {}
+    for g in {m[0] for m in members}:
+        left = sorted(i for h, i in members if h == g)
+        near = {}
+        for h, a, b, d in pairs:
+            if h == g and d <= threshold:
+                near[a, b] = near[b, a] = d
+        while left:
+            dist = {left[0]: 0.0}
+            for _ in left:
+                for (a, b), d in near.items():
+                    if a in dist and b in left and dist[a] + d <= threshold:
+                        dist[b] = min(dist.get(b, 9.0), dist[a] + d)
+            out |= {(g, i): left[0] for i in dist}
+            left = [i for i in left if i not in dist]
+    return out
+
+
+@pytest.mark.parametrize("local", [graph.LOCAL_PAIRS, 0, 12])
+def test_clusters_of_random_groups(spark, local):
+    r = random.Random(local)
+    members = [(f"g{g}", 100 * g + i) for g in range(4) for i in range(25)]
+    pairs = [(f"g{g}", 100 * g + a, 100 * g + b, r.choice([0.3, 0.45, 0.6, 0.95])) for g in range(4) for a in range(25) for b in range(a + 1, 25) if r.random() < 0.05 * (g + 1)]
+    got = graph.recluster(spark.createDataFrame(pairs, "group string, a long, b long, distance double"), spark.createDataFrame(members, "group string, id long"), 0.9, local)
+    assert {(x.group, x.id): x.cluster for x in got.collect()} == brute_clusters(members, pairs)
+
+
+def test_reclustered_parts_are_the_brute_force_ones(spark):
+    """The registered query on the smallest tables."""
+    from citeweave.plans.citations import QUERIES
+
+    path = "/root/testdata/sf0.001"
+    p = spark.read.parquet(f"{path}/part.parquet")
+    pairs = match.distances(p, ["p_brand", "p_size"], "p_partkey", {"title": "p_name", "source": "p_type"}).collect()
+    group = {x.p_partkey: f"{x.p_brand}/{x.p_size}" for x in p.collect()}
+    want = brute_clusters([(g, i) for i, g in group.items()], [(group[x.a], x.a, x.b, x.distance) for x in pairs])
+    assert {(x.group, x.id): x.cluster for x in QUERIES["recluster_components"](spark, path).collect()} == want
+
+
+def test_distances_in_parts_are_those_of_whole_blocks(spark, monkeypatch):
+    people = ["Smith J", "J Smith", "Smith John, Lee A", "Lee AB", ""]
+    df = spark.createDataFrame([(i, "b" if i < 40 else None if i < 42 else "c", f"title {i % 7}", people[i % 5]) for i in range(60)], "id long, block string, title string, author string")
+    fields = {"title": "title", "author": "author"}
+    whole = rows(match.distances(df, ["block"], "id", fields), "a", "b", "distance")
+    assert len(whole) == 40 * 39 // 2 + 18 * 17 // 2
+    monkeypatch.setattr(match, "PART", 7)
+    assert rows(match.distances(df, ["block"], "id", fields), "a", "b", "distance") == whole
+
+
+def brute_emails(names, mails, ratio=2.0):
+    """The fixpoint over dictionaries: who an address is of, round by round."""
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    def far(mail, name):
+        return sum(edits(p, mail.split("@")[0].lower()) for p in re.split("[ ,.]+", name.lower()))
+
+    papers = {p for p, _ in names}
+    people = {p: {n for q, n in names if q == p} for p in papers}
+    boxes = {p: {m for q, m in mails if q == p} for p in papers}
+    known = {}
+    for p in papers:
+        if len(people[p]) == 1 and len(boxes[p]) == 1:
+            m, n = next(iter(boxes[p])), next(iter(people[p]))
+            known[m] = min(known.get(m, n), n)
+    while True:
+        found = {}
+        for p in papers:
+            free = people[p] - {known[m] for m in boxes[p] if m in known}
+            lone = [m for m in boxes[p] if m not in known]
+            if len(lone) == 1:
+                found.setdefault(lone[0], set()).update((far(lone[0], n), n) for n in free)
+        new = {}
+        for m, scored in found.items():
+            best = sorted(scored)
+            if best and (len(best) == 1 or best[1][0] > ratio * best[0][0]):
+                new[m] = best[0][1]
+        if not new:
+            return known
+        known |= new
+
+
+def test_the_address_query_is_the_brute_force_fixpoint(spark):
+    from citeweave.plans.citations import QUERIES
+
+    path = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{path}/orders.parquet").collect()
+    names = [(o.o_orderkey, f"Customer {c}") for o in orders for c in ([o.o_custkey] if o.o_orderstatus == "F" else [o.o_custkey, o.o_custkey + 1])]
+    mails = [(o.o_orderkey, f"customer{o.o_custkey}@example.org") for o in orders]
+    got = {x.mail: x.name for x in QUERIES["email_author_fixpoint"](spark, path).collect()}
+    assert got == brute_emails(set(names), set(mails))
+
+
 def test_emails_find_their_authors(spark):
     names = spark.createDataFrame([(1, "Ann Lee"), (2, "Ann Lee"), (2, "Bo Chan"), (3, "Cy Dodd"), (3, "Eve Fox")], "paper long, name string")
     mails = spark.createDataFrame([(1, "lee@x.org"), (2, "lee@x.org"), (2, "bo.chan@x.org"), (3, "doddcy@x.org")], "paper long, mail string")
