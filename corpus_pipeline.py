@@ -4,6 +4,11 @@ Each stage is (name, function); a function takes (spark, docs, sf_dir) and retur
 documents that go on, with the columns of ``documents``. The last returns the encoded
 corpus. Between stages the documents are written to the shared folder and read again,
 so that an executor that is lost costs one stage's tasks.
+
+Every stage takes any table with doc_id and text, whatever its other columns are called, and
+keeps these. A null or empty text is in no stage a reason to go, is not redacted, and is encoded
+as no ids. Rows that repeat a doc_id with the same text are one document to the near-duplicate
+stage, of which one row stays. An empty table stays empty. Very long texts are judged whole.
 """
 
 from __future__ import annotations

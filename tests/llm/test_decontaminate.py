@@ -19,6 +19,16 @@ def brute(doc, items, window):
     return hit, found
 
 
+def hit_by_windows(doc, items, window):
+    """As :func:`brute`'s hits, with the windows in a set: for whole tables."""
+    windows = {}
+    for _, t in items:
+        s = min(window, len(t))
+        for i in range(len(t) - s + 1 if t else 0):
+            windows.setdefault(s, set()).add(tuple(t[i : i + s]))
+    return {j + k for s, held in windows.items() for j in range(len(doc) - s + 1) if tuple(doc[j : j + s]) in held for k in range(s)}
+
+
 def test_automaton_finds_every_window():
     r = random.Random(3)
     for _ in range(600):
@@ -69,3 +79,6 @@ def test_odd_tables(odd, docs_of, spark):
     same = spark.createDataFrame([(1, "same text here"), (None, "same text here")], "item_id long, text string")
     got = dc.judged(odd, same)
     assert got.count() == 10 and got.where("contaminated AND n_items = 2").count() == 3
+    kept = dc.keep_clean(odd, same)
+    assert kept.columns == odd.columns and kept.count() == 7
+    assert dc.keep_clean(odd, none).count() == 10 and dc.keep_clean(docs_of([]), same).count() == 0
