@@ -202,6 +202,7 @@ def build(counts: DataFrame, corpus: DataFrame) -> Model:
     key = words.column("w").to_numpy().view(np.uint64)
     order = np.argsort(key)
     key, met = key[order], [words.column(c).to_numpy()[order] for c in _CLASSES]
+    del words, order
     wanted = session.broadcast(key)
 
     def of_the_sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -213,26 +214,33 @@ def build(counts: DataFrame, corpus: DataFrame) -> Model:
     found = corpus.mapInPandas(of_the_sample, "w long, n double").toArrow()
     shared = np.zeros(len(key))
     shared[np.searchsorted(key, found.column("w").to_numpy().view(np.uint64))] = found.column("n").to_numpy() / total
+    del found
+    wanted.destroy()
     chance, unmet = [], []
     for n in met:
         d = discounts_of([(n == k).sum() for k in range(1, 5)])[np.minimum(n, 3)]
         unmet.append(max(d.sum(), 1e-9) / max(n.sum(), 1))
         chance.append(np.log((n - d) / max(n.sum(), 1) + unmet[-1] * np.maximum(shared, 1e-300)))
+    words = _Table(key, chance[0] - chance[1], float(np.log(unmet[0] / unmet[1])), True)
+    chance = [c.astype(np.float32) for c in chance]
+    del met, shared, n, d
+    give_back()
 
-    kinds = [F.count_if(F.col(c) == k).alias(f"{c}{k}") for c in _CLASSES for k in range(1, 5)]
-    high = counts.agg(*kinds).first()
+    high = counts.agg(*[F.count_if(F.col(c) == k).alias(f"{c}{k}") for c in _CLASSES for k in range(1, 5)]).first()
     d = [discounts_of([high[f"{c}{k}"] for k in range(1, 5)]) for c in _CLASSES]
-    kinds = [F.count_if(F.col(c) >= k if k == 3 else F.col(c) == k).cast("int").alias(f"{c}{k}") for c in _CLASSES for k in range(1, 4)]
-    got = counts.groupBy("v").agg(*[F.sum(c).cast("int").alias(c) for c in _CLASSES], *kinds).toArrow()
+    left = [F.sum(F.when(F.col(c) == 0, 0.0).when(F.col(c) == 1, float(x[1])).when(F.col(c) == 2, float(x[2])).otherwise(float(x[3]))) for c, x in zip(_CLASSES, d, strict=True)]
+    rows = counts.groupBy("v").agg(*[F.sum(c).cast("int").alias(c) for c in _CLASSES], *[x.alias(f"left_{c}") for c, x in zip(_CLASSES, left, strict=True)])
+    weight = [F.when(F.col(c) > 0, F.log(F.col(f"left_{c}") / F.col(c))).otherwise(0.0).cast("float").alias(f"left_{c}") for c in _CLASSES]
+    got = rows.select("v", *_CLASSES, *weight).toArrow()
     before = got.column("v").to_numpy().view(np.uint64)
     order = np.argsort(before)
-    before = before[order]
-    n_of = [got.column(c).to_numpy()[order] for c in _CLASSES]
-    left = [sum(d[i][k] * got.column(f"{c}{k}").to_numpy()[order] for k in (1, 2, 3)) for i, c in enumerate(_CLASSES)]
-    backoff = [np.log(np.where(n > 0, x / np.maximum(n, 1), 1.0)) for n, x in zip(n_of, left, strict=True)]
-    del found, got, left
+    before, n_of, backoff = before[order], [got.column(c).to_numpy()[order] for c in _CLASSES], [got.column(f"left_{c}").to_numpy()[order] for c in _CLASSES]
+    del got, order
+    give_back()
+    held = session.broadcast((key, chance, before, n_of, backoff))
+    contexts_of = _Table(before, backoff[0] - backoff[1], 0.0, True)
+    del key, chance, before, n_of, backoff
     give_back()
-    held = session.broadcast((key, [c.astype(np.float32) for c in chance], before, n_of, [b.astype(np.float32) for b in backoff]))
 
     def gains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """What bigrams add to their words backed off, toxic less ordinary: the keys and ratios of each part, in order."""
@@ -263,8 +271,8 @@ def build(counts: DataFrame, corpus: DataFrame) -> Model:
         sizes[r["p"] + 1] = r["count"]
     starts = np.cumsum(sizes)
     keys, ratios, filled = np.empty(starts[-1], np.uint64), np.empty(starts[-1], np.float32), starts[:-1].copy()
-    for k in range(8):
-        for r in counts.where(F.col("p") % 8 == k).mapInPandas(gains, "p int, keys binary, ratios binary").collect():
+    for k in range(16):
+        for r in counts.where(F.col("p") % 16 == k).mapInPandas(gains, "p int, keys binary, ratios binary").collect():
             low = filled[r["p"]]
             filled[r["p"]] = high = low + len(r["keys"]) // 8
             keys[low:high], ratios[low:high] = np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["ratios"], np.float32)
@@ -274,10 +282,9 @@ def build(counts: DataFrame, corpus: DataFrame) -> Model:
             order = np.argsort(part)
             keys[low:high], ratios[low:high] = keys[low:high][order], ratios[low:high][order]
     pairs = _Table(keys, ratios, 0.0, True)
-    wanted.destroy()
     held.destroy()
     give_back()
-    return Model(_Table(key, chance[0] - chance[1], float(np.log(unmet[0] / unmet[1]))), _Table(before, backoff[0] - backoff[1], 0.0), pairs)
+    return Model(words, contexts_of, pairs)
 
 
 class _Table:
