@@ -50,8 +50,8 @@ def apply(spark):
         (tex.publisher, (r"A \newblock T. \newblock Pub House, 2000.",), "Pub House, 2000"),
         (tex.plain, (r"\bf Roy, \label{x} {\em T}",), "Roy, T"),
         (tex.plain, (r"\emph{T} x",), "T x"),
-        (tex.plain, (r"\emphasis \textit{A title} \bibinfo{year}{1999} M\"uller",), "emphasis A title 1999 Muller"),
-        (tex.plain, (r", {\it Nature} {\bf 12}, (1999) & 3-4 {author} authors",), "Nature 12, (1999) 3-4 authors"),
+        (tex.plain, (r"\emphasis \textit{A theme} \bibinfo{year}{1999} M\"uller",), "emphasis A theme 1999 Muller"),
+        (tex.plain, (r", {\it Nature} {\bf 12}, (1999) & 3-4 {author} authors",), "Nature 12 , (1999) 3-4 authors"),
         (tex.plain, (r"Ñandú \newblock {\textsc Zürich}",), "Ñandú Zürich"),
         (tex.title, (r"A, \emph{The {DNA} code}, 2000",), "The DNA code"),
         (tex.title, (r"A, {\em On {\it nested {deep}} things}, 2000",), "On \\it nested deep things"),
