@@ -366,7 +366,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_LABEL
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """Per document: doc_id, score, predicted (1 from THRESHOLD on)."""
+    """Per document: doc_id, score, predicted (1 from THRESHOLD on); written, so that the broadcast model needn't outlive the call."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -376,12 +376,13 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 yield out.frame()
         yield out.frame()
 
-    found = unkeyed(keyed(docs, "text").mapInPandas(run, "_key long, score double"))
+    found = unkeyed(materialize(keyed(docs, "text").mapInPandas(run, "_key long, score double"), "scores"))
+    held.destroy()
     return found.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def keep_ordinary(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of ``docs`` that score below THRESHOLD, whole and with all their columns; all of them without a model."""
+    """The rows of ``docs`` that score below THRESHOLD, whole and with all their columns; all of them without a model. Written, as in :func:`score`."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def clean(batches: Iterator) -> Iterator:
@@ -392,4 +393,6 @@ def keep_ordinary(docs: DataFrame, model: Model | None) -> DataFrame:
             yield batch.filter(pa.array(keep, pa.bool_()))
         give_back()
 
-    return docs.mapInArrow(clean, docs.schema)
+    kept = materialize(docs.mapInArrow(clean, docs.schema), "ordinary")
+    held.destroy()
+    return kept
