@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from citeweave.llm import decontaminate, jaccard, language, pieces, secrets, shards, tokens, toxicity, urls, winnow
+from citeweave.llm import decontaminate, fim, jaccard, language, pieces, secrets, shards, tokens, toxicity, urls, winnow
 from citeweave.llm.common import fold
 from citeweave.session import scratch_path, table
 
@@ -84,6 +84,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checksums of the rearranged texts and of the texts rebuilt from them."""
+    return fim.digests(fim.rearrange(table(spark, sf_dir, "documents")))
+
+
 OP6_SQL = "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, md5(text) AS text_md5 FROM documents"
 
 OP7_SQL = r"""
@@ -168,12 +173,33 @@ SELECT n.doc_id, CAST(len(n.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
 FROM norm n LEFT JOIN hits h USING (doc_id) LEFT JOIN named m USING (doc_id)
 """
 
+OP12_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, w, len(w) AS n, CAST('0x' || h[1:8] AS UBIGINT) % (len(w) + 1) AS x, CAST('0x' || h[9:16] AS UBIGINT) % (len(w) + 1) AS y,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST('0x' || h[17:24] AS UBIGINT) % 100 >= 90 THEN 'plain'
+      WHEN CAST('0x' || h[25:32] AS UBIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut),
+parts AS (
+  SELECT doc_id, text, n, form, array_to_string(w[1:least(x, y)], '') AS p,
+    array_to_string(w[least(x, y) + 1:greatest(x, y)], '') AS m, array_to_string(w[greatest(x, y) + 1:], '') AS s
+  FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_secrets, op2_winnow, op3_tokens, op4_language, op5_toxicity, op6_compact, op7_urls, op8_jaccard, op8_jaccard_links, op9_pieces, op10_decontaminate)
+    for f in (op1_secrets, op2_winnow, op3_tokens, op4_language, op5_toxicity, op6_compact, op7_urls, op8_jaccard, op8_jaccard_links, op9_pieces, op10_decontaminate, op12_fim)
 } | {"pipeline": corpus_pipeline.run}
 
 #: The others are tested against brute force, exact round trips or held-out accuracy.
-ORACLE_SQL: dict[str, str] = {"op6_compact": OP6_SQL, "op7_urls": OP7_SQL, "op8_jaccard": OP8_SQL, "op8_jaccard_links": OP8_LINKS_SQL, "op10_decontaminate": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_compact": OP6_SQL, "op7_urls": OP7_SQL, "op8_jaccard": OP8_SQL, "op8_jaccard_links": OP8_LINKS_SQL, "op10_decontaminate": OP10_SQL, "op12_fim": OP12_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
