@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from citeweave.llm import decontaminate, fim, jaccard, language, pieces, secrets, shards, tokens, toxicity, urls, winnow
+from citeweave.llm import decontaminate, fim, jaccard, language, pieces, quality, secrets, shards, tokens, toxicity, urls, winnow
 from citeweave.llm.common import fold
 from citeweave.session import scratch_path, table
 
@@ -84,6 +84,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of one fold in five are never read."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checksums of the rearranged texts and of the texts rebuilt from them."""
     return fim.digests(fim.rearrange(table(spark, sf_dir, "documents")))
@@ -196,7 +204,7 @@ FROM parts
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_secrets, op2_winnow, op3_tokens, op4_language, op5_toxicity, op6_compact, op7_urls, op8_jaccard, op8_jaccard_links, op9_pieces, op10_decontaminate, op12_fim)
+    for f in (op1_secrets, op2_winnow, op3_tokens, op4_language, op5_toxicity, op6_compact, op7_urls, op8_jaccard, op8_jaccard_links, op9_pieces, op10_decontaminate, op11_quality, op12_fim)
 } | {"pipeline": corpus_pipeline.run}
 
 #: The others are tested against brute force, exact round trips or held-out accuracy.
