@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from citeweave.llm import decontaminate, fim, jaccard, language, pieces, quality, secrets, shards, tokens, toxicity, urls, winnow
+from citeweave.llm import align, decontaminate, fim, jaccard, language, pieces, quality, secrets, shards, tokens, toxicity, urls, winnow
 from citeweave.llm.common import fold
 from citeweave.session import scratch_path, table
 
@@ -97,6 +97,11 @@ def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(fim.rearrange(table(spark, sf_dir, "documents")))
 
 
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the byte-level tokens and the pieces of every text."""
+    return align.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 OP6_SQL = "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, md5(text) AS text_md5 FROM documents"
 
 OP7_SQL = r"""
@@ -204,7 +209,7 @@ FROM parts
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_secrets, op2_winnow, op3_tokens, op4_language, op5_toxicity, op6_compact, op7_urls, op8_jaccard, op8_jaccard_links, op9_pieces, op10_decontaminate, op11_quality, op12_fim)
+    for f in (op1_secrets, op2_winnow, op3_tokens, op4_language, op5_toxicity, op6_compact, op7_urls, op8_jaccard, op8_jaccard_links, op9_pieces, op10_decontaminate, op11_quality, op12_fim, op13_align)
 } | {"pipeline": corpus_pipeline.run}
 
 #: The others are tested against brute force, exact round trips or held-out accuracy.
