@@ -12,18 +12,32 @@ from citeweave.functions import audit, dates, ids, text
 from citeweave.operators import enrich, graph, rdf_records, records, resolve, stats
 from citeweave.plans import registry
 from citeweave.plans.citations import query
-from citeweave.session import materialize, table
+from citeweave.session import materialize, table, tasks
 from citeweave.sources import projection, sinks, xml
 
 
-def _articles(spark, d) -> DataFrame:
-    """The orders as article XML, read back as records."""
+def _articles(spark, d, whole: bool = False) -> DataFrame:
+    """The orders as article XML, read back as records.
+
+    ``whole``: references are numbered, name a journal and people, and texts have nested sections that point to the references: to the
+    first one, from the first to the last, and from the last back to the first.
+    """
     key, part = F.col("l_orderkey"), F.col("l_partkey").cast("string")
+    more, body = F.lit(""), F.lit("")
+    if whole:
+        more = F.concat(F.lit("<source>S"), (F.col("l_partkey") % 50).cast("string"), F.lit('</source><person-group person-group-type="author"><name><surname>A'), part, F.lit('</surname></name></person-group><person-group person-group-type="editor"><name name-style="eastern"><surname>E</surname><given-names>G</given-names></name></person-group>'))
+        first, last = (F.concat(F.lit('<xref ref-type="bibr" rid="r'), n, F.lit('">'), n, F.lit("</xref>")) for n in (F.lit("1"), F.coalesce("n", F.lit(0)).cast("string")))
+        body = F.concat(
+            F.lit("<body><sec><title>Intro</title><p>As "), first, F.lit('.</p><sec sec-type="methods"><title>How</title><p>none</p><p>See '), first, F.lit("–"), last, F.lit("</p></sec><p>x</p></sec><sec><title>End</title><p>"),
+            last, F.lit("-"), first, F.lit("</p></sec></body>"),
+        )
     ref = F.concat(
-        F.lit('<ref id="r'), F.col("l_linenumber").cast("string"), F.lit('"><element-citation publication-type="journal"><article-title>Part '), part, F.lit("</article-title><year>"),
-        F.date_format("l_shipdate", "yyyy"), F.lit('</year><pub-id pub-id-type="pmid">'), part, F.lit("</pub-id></element-citation></ref>"),
+        F.lit('"><element-citation publication-type="journal"><article-title>Part '), part, F.lit("</article-title><year>"),
+        F.date_format("l_shipdate", "yyyy"), F.lit('</year><pub-id pub-id-type="pmid">'), part, F.lit("</pub-id>"), more, F.lit("</element-citation></ref>"),
     )
-    refs = table(spark, d, "lineitem").groupBy(key.alias("o_orderkey")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", ref.alias("x")))), lambda s: s["x"]), "").alias("refs"))
+    ordered = F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", ref.alias("x"))))
+    named = F.transform(ordered, lambda s, i: F.concat(F.lit('<ref id="r'), (i + 1 if whole else s["l_linenumber"]).cast("string"), s["x"]))
+    refs = table(spark, d, "lineitem").groupBy(key.alias("o_orderkey")).agg(F.count("*").alias("n"), F.array_join(named, "").alias("refs"))
     o = table(spark, d, "orders").join(refs, "o_orderkey", "left")
 
     def s(c: str):
@@ -37,9 +51,9 @@ def _articles(spark, d) -> DataFrame:
         F.lit("</article-id><title-group><article-title>Order "), F.col("o_orderpriority"), F.lit('</article-title></title-group><contrib-group><contrib contrib-type="author"><name><surname>Customer</surname><given-names>'), s("o_custkey"),
         F.lit('</given-names></name><xref ref-type="aff" rid="a1"/></contrib></contrib-group><aff id="a1"><addr-line>Place '), (F.col("o_custkey") % 25).cast("string"),
         F.lit('</addr-line></aff><pub-date pub-type="ppub"><month>'), F.date_format("o_orderdate", "M"), F.lit("</month><year>"), F.date_format("o_orderdate", "yyyy"), F.lit("</year></pub-date><volume>"), (F.col("o_orderkey") % 9 + 1).cast("string"),
-        F.lit("</volume><fpage>12</fpage><lpage>34</lpage>"), gone, F.lit("</article-meta></front><back><ref-list>"), F.coalesce("refs", F.lit("")), F.lit("</ref-list></back></article>"),
+        F.lit("</volume><fpage>12</fpage><lpage>34</lpage>"), gone, F.lit("</article-meta></front>"), body, F.lit("<back><ref-list>"), F.coalesce("refs", F.lit("")), F.lit("</ref-list></back></article>"),
     )
-    return materialize(xml.articles(o.select(s("o_orderkey").alias("path"), content.alias("content"))), "articles")
+    return materialize(xml.articles(o.select(s("o_orderkey").alias("path"), content.alias("content")), partitions=tasks(spark)), "articles")
 
 
 _ROOTS = "WITH o AS (SELECT *, 'pmid:' || o_orderkey AS root FROM orders), l AS (SELECT o.root, l_linenumber, l_partkey FROM o JOIN lineitem ON l_orderkey = o_orderkey)"
@@ -61,6 +75,35 @@ def article_edges(spark, d):
     return projection.edges(_articles(spark, d)).select("type", "source", "target")
 
 
+_NUMBERED = f"{_ROOTS}, r AS (SELECT *, root || ':reference:r' || i AS ref FROM (SELECT *, row_number() OVER (PARTITION BY root ORDER BY l_linenumber, l_partkey) AS i, count(*) OVER (PARTITION BY root) AS n FROM l))"
+
+
+@query(f"""{_NUMBERED}, p AS (SELECT o.root, o.root || ':in-text-reference-pointer:' AS id, coalesce(any_value(n), 0) AS n FROM o LEFT JOIN r USING (root) GROUP BY 1)
+SELECT 'denotes' AS what, id || 1 AS id, '1' AS section, 1 AS paragraph, root || ':reference:r1' AS target FROM p
+UNION ALL SELECT 'denotes', root || ':in-text-reference-pointer:2', '1.1', 3, ref FROM r WHERE n > 1
+UNION ALL SELECT 'warning', id || 2, NULL, NULL, NULL FROM p WHERE n < 2 UNION ALL SELECT 'warning', id || 3, NULL, NULL, NULL FROM p""")
+def text_pointers(spark, d):
+    """What in-text pointers in nested sections denote, and the ranges that run backwards."""
+    rows = projection.marks(_articles(spark, d, True))
+    seen = projection.denotes(rows).select(F.lit("denotes").alias("what"), "id", "section", "paragraph", F.concat_ws(":", "root", F.lit("reference"), "rid").alias("target"))
+    odd = projection.pointer_warnings(rows).select(F.lit("warning").alias("what"), "id", *[F.lit(None).cast(t).alias(c) for c, t in seen.dtypes[2:]])
+    return seen.unionByName(odd)
+
+
+@query(f"""{_NUMBERED}
+SELECT 'journal' AS type, ref AS source, ref || ':journal' AS target, 'S' || l_partkey % 50 AS name, NULL AS role FROM r
+UNION ALL SELECT 'contributor', ref, ref || ':contributor:1', 'A' || l_partkey, 'author' FROM r UNION ALL SELECT 'contributor', ref, ref || ':contributor:2', 'E', 'editor' FROM r
+UNION ALL SELECT 'cites', root, ref, CASE WHEN i > 1 THEN '1: 3' WHEN n > 1 THEN '2: 1 3' ELSE '1: 1' END, NULL FROM r""")
+def cited_works(spark, d):
+    """Journals and people of cited works, and how often and where each is cited in the text."""
+    docs = _articles(spark, d, True)
+    edges = projection.edges(docs).where("type IN ('journal', 'contributor', 'cites') AND (contains(source, ':reference:') OR type = 'cites')")
+    nodes = projection.nodes(docs).where("contains(id, ':reference:')").select(F.col("id").alias("target"), F.coalesce(F.try_element_at("data", F.lit("nlm_ta")), F.try_element_at("data", F.lit("surname"))).alias("name"))
+    in_text = F.concat_ws(": ", F.try_element_at("data", F.lit("count")), F.coalesce(F.try_element_at("data", F.lit("paragraphs")), F.lit("")))
+    named = F.when(F.col("type") == "cites", in_text).otherwise(F.col("name"))
+    return edges.join(nodes, "target").select("type", "source", "target", named.alias("name"), F.try_element_at("data", F.lit("contrib-type")).alias("role"))
+
+
 @query(f"""{_ROOTS}
 SELECT root AS id, 'Order ' || o_orderpriority AS title, strftime(o_orderdate, '%Y') AS year, '12--34' AS pages, root || ':journal' AS journal, [root || ':contributor:1'] AS author,
   coalesce((SELECT list(root || ':reference:r' || l_linenumber ORDER BY l_linenumber) FROM l WHERE l.root = o.root), []) AS cites, CASE WHEN o_orderstatus = 'P' THEN [root || ':retracted:1'] ELSE [] END AS retracts FROM o""")

@@ -65,6 +65,11 @@ def materialize(df: DataFrame, name: str, rows: int | None = None, each: int = 5
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tasks(spark: SparkSession) -> int:
+    """Partitions for work that is heavy for its bytes: adaptive execution joins small ones unless their number is given."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Deletes what queries have written to the shared folder; for when their results are no longer read."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/citeweave")

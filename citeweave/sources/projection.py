@@ -57,8 +57,45 @@ def _retracted(docs: DataFrame) -> DataFrame:
     return rows.select("doc", "root", "pos", pmid.alias("pmid"), F.when(pmid.isNull(), doi).alias("doi"), F.when(pmid.isNull() & doi.isNull(), href).alias("uri"))
 
 
+def marks(docs: DataFrame, key: str = "path") -> DataFrame:
+    """(doc, root, id, section, paragraph, place, text, first, last, rids, refs) of in-text pointers.
+
+    ``refs`` is the article's reference list, (id, list) in order. A range has ``first`` and ``last``, any other pointer ``rids``.
+    """
+    docs = docs if "root" in docs.columns else _rooted(docs, key)
+    refs = F.transform("citation", lambda c: F.struct(c["id"].alias("id"), c["list"].alias("list")))
+    rows = docs.select("doc", "root", refs.alias("refs"), F.posexplode("mark").alias("pos", "x"))
+    return rows.select("doc", "root", _below("in-text-reference-pointer", F.col("pos") + 1).alias("id"), "x.*", "refs")
+
+
+def _ends(rows: DataFrame) -> tuple[DataFrame, Column]:
+    """Pointers with the places of a range's ends in the list, 0 where there is none, and whether the range runs forward."""
+    names = F.transform("refs", lambda r: r["id"])
+    rows = rows.withColumns({"_low": F.coalesce(F.array_position(names, F.col("first")), F.lit(0)), "_high": F.coalesce(F.array_position(names, F.col("last")), F.lit(0))})
+    return rows, (F.col("_low") > 0) & (F.col("_high") > F.col("_low"))
+
+
+def denotes(rows: DataFrame) -> DataFrame:
+    """(doc, id, section, paragraph, rank, rid): the references that :func:`marks` point to.
+
+    A range meets the list's order: it stands for all references of the first one's list from there to its last one, or to
+    the list's end if that is in a later list. An article's pointers and its list are one row, so nothing is shuffled.
+    """
+    rows, forward = _ends(rows)
+    of_list = F.element_at("refs", F.col("_low").cast("int"))["list"]
+    between = F.slice("refs", F.col("_low").cast("int"), (F.col("_high") - F.col("_low") + 1).cast("int"))
+    named = F.when(F.col("last").isNull(), F.col("rids")).when(forward, F.transform(F.filter(between, lambda r: r["list"] == of_list), lambda r: r["id"]))
+    return rows.select("doc", "id", "section", "paragraph", F.posexplode(named).alias("rank", "rid"), "root")
+
+
+def pointer_warnings(rows: DataFrame) -> DataFrame:
+    """(doc, id, first, last) of the ranges among :func:`marks` that run backwards or whose ends are no references."""
+    rows, forward = _ends(rows)
+    return rows.where(F.col("last").isNotNull() & ~forward).select("doc", "id", "first", "last")
+
+
 def nodes(docs: DataFrame, key: str = "path") -> DataFrame:
-    """(doc, id, type, data) of articles, journals, organisations, people, references and retracted articles."""
+    """(doc, id, type, data) of articles, journals, organisations, people, references with their journals and people, retracted articles, sections and in-text pointers."""
     docs = _rooted(docs, key)
     names = F.transform(F.filter("contributor", lambda c: c["role"] == "author"), lambda c: F.coalesce(F.nullif(F.concat_ws(" ", c["surname"], c["given"]), F.lit("")), c["collab"]))
     research = F.when(F.col("heading") == "Research Article", "JournalArticle").otherwise("Expression")
@@ -66,7 +103,7 @@ def nodes(docs: DataFrame, key: str = "path") -> DataFrame:
         provenance=F.lit("pmc_oa"), in_oa_subset=F.lit("true"), xml_container=F.lit("article"), ctype=F.coalesce("kind", F.lit("journal-article")), fabio_type=research, title=F.col("title"),
         year=F.col("year"), month=F.col("month"), day=F.col("day"), volume=F.col("volume"), issue=F.col("issue"), fpage=F.col("firstpage"), lpage=F.col("lastpage"),
         keywords=F.array_join("keyword", ", "), abstract=F.col("abstract"), license=F.col("license"), author=F.array_join(names, ", "), source=F.try_element_at("place", F.lit(1))["address"],
-        reference_count=F.size("citation"), in_text_reference_pointer_count=F.aggregate("pointer", F.lit(0), lambda n, p: n + F.size(p["rids"])),
+        reference_count=F.size("citation"), in_text_reference_pointer_count=F.size("mark"),
         **{s: id_of(F.col("identifier"), s) for s in ("pmc", "pmid", "doi")},
     ).alias("data"))
     journal = docs.select("doc", _below("journal").alias("id"), F.lit("journal").alias("type"), _data(nlm_ta=F.col("journal_abbr"), issn=F.col("issn"), eissn=F.col("eissn"), title=F.col("journal")).alias("data"))
@@ -83,11 +120,25 @@ def nodes(docs: DataFrame, key: str = "path") -> DataFrame:
         doi=F.coalesce(id_of(F.col("x.identifier"), "doi"), F.when(untyped, found["doi"])), pmid=id_of(F.col("x.identifier"), "pmid"), uri=F.when(untyped, found["uri"]), publisher=F.col("x.publisher")).alias("data"))
     gone = _retracted(docs).select("doc", _below("retracted", F.col("pos")).alias("id"), F.lit("article").alias("type"), _data(
         provenance=F.lit("pmc_oa_retraction"), retracted=F.lit("true"), fabio_type=F.lit("Expression"), pmid=F.col("pmid"), doi=F.col("doi"), uri=F.col("uri")).alias("data"))
-    return reduce(DataFrame.unionByName, (own, journal, publisher, person, place, cited, gone)).select(*NODE)
+    of_ref = _below("reference", F.col("x.id"))
+    cited_journal = _each(docs, "citation").where("x.source IS NOT NULL").select("doc", F.concat_ws(":", of_ref, F.lit("journal")).alias("id"), F.lit("journal").alias("type"), _data(nlm_ta=F.col("x.source")).alias("data"))
+    cited_person = _cited_people(docs).select("doc", "id", F.lit("person").alias("type"), _data(surname=F.col("p.surname"), given__names=F.col("p.given"), name__style=F.col("p.style")).alias("data"))
+    section = _each(docs, "section").select("doc", _below("section", F.col("x.path")).alias("id"), F.lit("section").alias("type"), _data(title=F.col("x.title"), sec__type=F.col("x.kind"), place=F.col("x.place")).alias("data"))
+    pointer = marks(docs).select("doc", "id", F.lit("in-text-reference-pointer").alias("type"), _data(paragraph=F.col("paragraph"), text=F.col("text"), section=F.col("section"), place=F.col("place")).alias("data"))
+    return reduce(DataFrame.unionByName, (own, journal, publisher, person, place, cited, cited_journal, cited_person, gone, section, pointer)).select(*NODE)
+
+
+def _cited_people(docs: DataFrame) -> DataFrame:
+    """The people of cited works' groups, numbered within each work: (doc, ref, id, p)."""
+    rows = _each(docs, "citation").select("doc", "root", _below("reference", F.col("x.id")).alias("ref"), F.posexplode("x.people").alias("n", "p"))
+    return rows.select("doc", "ref", F.concat_ws(":", "ref", F.lit("contributor"), (F.col("n") + 1).cast("string")).alias("id"), "p")
 
 
 def edges(docs: DataFrame, key: str = "path") -> DataFrame:
-    """(doc, type, source, target, data): journals, publishers, contributors, affiliations, citations and retractions."""
+    """(doc, type, source, target, data): journals, publishers, contributors, affiliations, citations, retractions, and what in-text pointers denote.
+
+    A citation's data count the pointers that denote it and list their paragraphs.
+    """
     docs = _rooted(docs, key)
     root, none = F.col("root"), F.create_map().cast("map<string,string>")
 
@@ -97,10 +148,19 @@ def edges(docs: DataFrame, key: str = "path") -> DataFrame:
     people = _each(docs, "contributor")
     person = _below("contributor", F.col("pos"))
     placed = people.select("doc", "root", "pos", F.explode("x.rids").alias("rid"))
+    seen = denotes(marks(docs))
+    pointed = seen.groupBy("doc", "rid").agg(F.count("*").alias("n"), F.array_join(F.transform(F.sort_array(F.collect_list("paragraph")), lambda p: p.cast("string")), " ").alias("paragraphs"))
+    # A document without an id of its own for a reference has none to join.
+    cited = _each(docs, "citation").withColumn("rid", F.col("x.id")).join(pointed, ["doc", "rid"], "left")
+    cited_journal = _each(docs, "citation").where("x.source IS NOT NULL")
+    cited_people = _cited_people(docs)
     return reduce(DataFrame.unionByName, (
         of(docs, "journal", root, _below("journal")), of(docs.where("publisher IS NOT NULL"), "publisher", _below("journal"), _below("publisher")),
         of(people, "contributor", root, person, _data(contrib__type=F.col("x.role"), position=F.col("pos"))), of(placed, "affiliation", person, _below("affiliation", F.col("rid"))),
-        of(_each(docs, "citation"), "cites", root, _below("reference", F.col("x.id")), _data(position=F.col("pos"))), of(_retracted(docs), "retracts", root, _below("retracted", F.col("pos"))),
+        of(cited, "cites", root, _below("reference", F.col("x.id")), _data(position=F.col("pos"), count=F.coalesce("n", F.lit(0)), paragraphs=F.col("paragraphs"))),
+        of(cited_journal, "journal", _below("reference", F.col("x.id")), _below("reference", F.col("x.id"), "journal")),
+        of(cited_people, "contributor", F.col("ref"), F.col("id"), _data(contrib__type=F.col("p.role"))),
+        of(seen, "denotes", F.col("id"), _below("reference", F.col("rid"))), of(_retracted(docs), "retracts", root, _below("retracted", F.col("pos"))),
     )).select(*EDGE)
 
 

@@ -7,19 +7,23 @@ import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 IDENTIFIER = "array<struct<type:string,id:string,canonical:string>>"
 PERSON = "array<struct<lastname:string,forenames:string,affiliation:array<string>>>"
-CITATION = "array<struct<cite_order:int,kind:string,title:string,source:string,year:string,volume:string,firstpage:string,lastpage:string,authors:string,identifier:array<struct<type:string,id:string,canonical:string>>,text:string,id:string,publisher:string>>"
+CITATION = "array<struct<cite_order:int,kind:string,title:string,source:string,year:string,volume:string,firstpage:string,lastpage:string,authors:string,identifier:array<struct<type:string,id:string,canonical:string>>,text:string,id:string,publisher:string,list:int,people:array<struct<role:string,surname:string,given:string,style:string>>>>"
+SECTION = "array<struct<path:string,title:string,kind:string,place:int>>"
+MARK = "array<struct<section:string,paragraph:int,place:int,text:string,first:string,last:string,rids:array<string>>>"
 POINTER = "array<struct<paragraph:int,rids:array<string>>>"
 CONTRIBUTOR = "array<struct<role:string,surname:string,given:string,style:string,collab:string,rids:array<string>>>"
 ARTICLE = (
     f"title string, abstract string, journal string, publisher string, volume string, issue string, firstpage string, lastpage string, "
     f"year string, month string, day string, keyword array<string>, identifier {IDENTIFIER}, author {PERSON}, citation {CITATION}, pointer {POINTER}, "
     f"kind string, heading string, license string, journal_abbr string, issn string, eissn string, publisher_place string, "
-    f"contributor {CONTRIBUTOR}, place array<struct<id:string,address:string>>, related array<struct<link:string,href:string>>, error string"
+    f"contributor {CONTRIBUTOR}, place array<struct<id:string,address:string>>, related array<struct<link:string,href:string>>, section {SECTION}, mark {MARK}, error string"
 )
 #: The first of these kinds of date that an article has is its date.
 DATES = ("pmc-release", "ppub", "epub", "collection")
@@ -55,7 +59,7 @@ def _named(c: ET.Element) -> str | None:
     return ", ".join(filter(None, names)) or None
 
 
-def _citation(ref: ET.Element, order: int) -> tuple:
+def _citation(ref: ET.Element, order: int, of_list: int) -> tuple:
     """A reference by its kind: a journal's article, a book or a chapter of it, or anything else."""
     c = next((x for x in ref if x.tag in ("mixed-citation", "element-citation", "citation", "nlm-citation")), ref)
     kind = c.get("publication-type") or c.get("citation-type")
@@ -71,7 +75,8 @@ def _citation(ref: ET.Element, order: int) -> tuple:
     text = full_text(c)
     if label is not None and c is ref and text and label.text:
         text = text.removeprefix(label.text).strip()
-    return (order, kind, title, get["source"], get["year"], get["volume"], get["fpage"], get["lpage"], _named(c), ids, text, ref.get("id"), get["publisher-name"])
+    people = [(g.get("person-group-type"), full_text(n.find("surname")), full_text(n.find("given-names")), n.get("name-style")) for g in c.findall("person-group[@person-group-type]") for n in g.findall("name")]
+    return (order, kind, title, get["source"], get["year"], get["volume"], get["fpage"], get["lpage"], _named(c), ids, text, ref.get("id"), get["publisher-name"], of_list, people)
 
 
 def _attribute(e: ET.Element, name: str) -> str | None:
@@ -115,8 +120,9 @@ def _article(data: str, title_text=full_text) -> tuple:
             rids = [r for x in c.findall("xref[@ref-type='aff']") for r in (x.get("rid") or "").split()]
             people.append((c.findtext("name/surname"), c.findtext("name/given-names"), [places[r] for r in rids if places.get(r)]))
     ids = _ids([(i.get("pub-id-type"), full_text(i)) for i in meta.findall("article-id")])
-    refs = [_citation(r, n) for n, r in enumerate(art.findall(".//ref-list/ref"), 1)]
-    order = [r.get("id") for r in art.findall(".//ref-list/ref")]
+    found = [(r, of_list) for of_list, x in enumerate(art.iter("ref-list"), 1) for r in x.findall("ref")]
+    refs = [_citation(r, n, of_list) for n, (r, of_list) in enumerate(found, 1)]
+    order = {r.get("id"): n for n, (r, _) in reversed(list(enumerate(found)))}
     pointers = []
     for n, p in enumerate(art.findall("body//p"), 1):
         rids = _pointers(p, order)
@@ -126,42 +132,102 @@ def _article(data: str, title_text=full_text) -> tuple:
     return (
         title_text(meta.find("title-group/article-title")), full_text(meta.find("abstract")), full_text(name), full_text(journal.find("publisher/publisher-name")),
         full_text(meta.find("volume")), full_text(meta.find("issue")), full_text(meta.find("fpage")), full_text(meta.find("lpage")),
-        full_text(date.find("year")), full_text(date.find("month")), full_text(date.find("day")), [full_text(k) for k in meta.findall("kwd-group/kwd")], ids, people, refs, pointers, *_more(art, meta, journal), None,
+        full_text(date.find("year")), full_text(date.find("month")), full_text(date.find("day")), [full_text(k) for k in meta.findall("kwd-group/kwd")], ids, people, refs, pointers, *_more(art, meta, journal), *_walk(art.find("body")), None,
     )
 
 
-def _pointers(p: ET.Element, order: list[str | None]) -> list[str]:
+def _pointers(p: ET.Element, order: dict[str | None, int]) -> list[str]:
     """References a paragraph points to; between two pointers joined by a dash, all that lie between in the list."""
     out: list[str] = []
+    names = list(order)[::-1]  # in the list's order
     last, dash = None, False
     for x in p.iter("xref"):
         if x.get("ref-type") != "bibr":
             continue
         for rid in (x.get("rid") or "").split():
-            if dash and last in order and rid in order and order.index(last) < order.index(rid):
-                out += order[order.index(last) + 1 : order.index(rid)]
+            if dash and last in order and rid in order and order[last] < order[rid]:
+                out += names[order[last] + 1 : order[rid]]
             out.append(rid)
             last = rid
         dash = (x.tail or "").strip() in ("-", "–", "—")
     return out
 
 
-def articles(df: DataFrame, content: str = "content", keep: str = "path") -> DataFrame:
-    """Article XML as records; what can't be parsed has only an error."""
-    names = [f.name for f in df.sparkSession.createDataFrame([], ARTICLE).schema]
+def _bibr(e: ET.Element) -> bool:
+    return e.tag == "xref" and e.get("ref-type") == "bibr"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for key, data in zip(pdf["k"], pdf["c"], strict=True):
-                try:
-                    rows.append((key, *_article(data)))
-                except (ET.ParseError, ValueError, TypeError) as e:
-                    rows.append((key, *[None] * (len(names) - 1), str(e)[:200]))
-            yield pd.DataFrame(rows, columns=["k", *names])
+
+def _walk(body: ET.Element | None) -> tuple[list[tuple], list[tuple]]:
+    """The sections of a body and its in-text pointers, in order.
+
+    A section's path numbers it among its siblings, below its parent's path; a pointer outside all sections has the
+    path "". A pointer's paragraph is one more than the paragraphs that ended before it, its place the code points of
+    text before it. Two pointers with nothing but a hyphen or dash between are one, of a range; what follows a range in
+    the same way belongs to none. Pointers in a section's own title are left out.
+    """
+    sections: list[tuple] = []
+    marks: list[tuple] = []
+    if body is None:
+        return sections, marks
+    place, paragraph = len(body.text or ""), 1
+    stack = [(body, "", 0, [0])]  # an element, its section's path, its next child, its sections so far
+    while stack:
+        e, path, at, count = stack.pop()
+        if at == len(e):
+            if e.tag == "p":
+                paragraph += 1
+            if e is not body:
+                place += len(e.tail or "")
+            continue
+        stack.append((e, path, at + 1, count))
+        child = e[at]
+        if not isinstance(child.tag, str):  # a comment
+            place += len(child.tail or "")
+            continue
+        if child.tag == "title" and e.tag == "sec":
+            place += len("".join(child.itertext())) + len(child.tail or "")
+            continue
+        if child.tag == "sec":
+            count[0] += 1
+            path = f"{path}.{count[0]}" if path else str(count[0])
+            sections.append((path, first_text(child.find("title")), child.get("sec-type"), place))
+        elif _bibr(child):
+            before = e[at - 1] if at else None
+            if before is None or not _bibr(before) or before.tail not in ("-", "–"):
+                after = e[at + 1] if at + 1 < len(e) else None
+                text = " ".join(child.itertext())
+                if child.tail in ("-", "–") and after is not None and _bibr(after):
+                    marks.append((path, paragraph, place, text + child.tail + " ".join(after.itertext()), child.get("rid"), after.get("rid"), []))
+                else:
+                    marks.append((path, paragraph, place, text, None, None, (child.get("rid") or "").split()))
+        place += len(child.text or "")
+        stack.append((child, path, 0, [0] if child.tag == "sec" else count))
+    return sections, marks
+
+
+def articles(df: DataFrame, content: str = "content", keep: str = "path", partitions: int | None = None) -> DataFrame:
+    """Article XML as records; what can't be parsed has only an error.
+
+    ``partitions``: deal the rows to so many tasks first. Files read by Spark are many tasks already; rows behind a small
+    shuffle may be one, however long they take to parse.
+    """
+    names = [f.name for f in df.sparkSession.createDataFrame([], ARTICLE).schema]
+    fields = to_arrow_schema(df.sparkSession.createDataFrame([], f"k string, {ARTICLE}").schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), 500):  # trees and rows of few articles at a time
+                rows = []
+                for key, data in zip(*(batch.column(c)[low : low + 500].to_pylist() for c in ("k", "c")), strict=True):
+                    try:
+                        rows.append((key, *_article(data)))
+                    except (ET.ParseError, ValueError, TypeError) as e:
+                        rows.append((key, *[None] * (len(names) - 1), str(e)[:200]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], schema=fields)
 
     rows = df.select(F.col(keep).alias("k"), F.col(content).cast("string").alias("c"))
-    return rows.mapInPandas(run, f"k string, {ARTICLE}").withColumnRenamed("k", keep)
+    rows = rows.repartition(partitions, "k") if partitions else rows
+    return rows.mapInArrow(run, f"k string, {ARTICLE}").withColumnRenamed("k", keep)
 
 
 PREPRINT = f"id string, title string, abstract string, doi string, license string, comments string, categories string, journal_ref string, identifier {IDENTIFIER}, author {PERSON}"

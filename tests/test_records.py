@@ -35,7 +35,7 @@ def docs(spark):
 def test_nodes_and_edges_of_an_article(docs):
     nodes = {r.id: r for r in projection.nodes(docs).where("doc = 'f1'").collect()}
     root = "pmc:77"
-    assert set(nodes) == {root} | {f"{root}:{x}" for x in ("journal", "publisher", "contributor:1", "contributor:2", "contributor:3", "affiliation:a1", "affiliation:a2", "reference:r1", "reference:r2", "reference:r3", "retracted:1", "retracted:2")}
+    assert set(nodes) == {root} | {f"{root}:{x}" for x in ("journal", "publisher", "contributor:1", "contributor:2", "contributor:3", "affiliation:a1", "affiliation:a2", "reference:r1", "reference:r2", "reference:r3", "reference:r1:journal", "reference:r3:journal", "in-text-reference-pointer:1", "retracted:1", "retracted:2")}
     own = nodes[root].data
     assert (own["title"], own["ctype"], own["fabio_type"], own["author"], own["license"], own["source"]) == ("A great title", "retraction", "JournalArticle", "Mao Li, The Group", "http://l", "First St")
     assert (own["reference_count"], own["in_text_reference_pointer_count"], own["doi"], own["year"], own["month"]) == ("3", "1", "10.1/a b", "2004", "3") and "day" not in own
@@ -49,7 +49,9 @@ def test_nodes_and_edges_of_an_article(docs):
     assert nodes[f"{root}:retracted:1"].data["doi"] == "10.9/z" and nodes[f"{root}:retracted:2"].data["pmid"] == "555"
     edges = {(r.type, r.source, r.target) for r in projection.edges(docs).where("doc = 'f1'").collect()}
     assert ("affiliation", f"{root}:contributor:1", f"{root}:affiliation:a2") in edges and ("publisher", f"{root}:journal", f"{root}:publisher") in edges
-    assert len(edges) == 1 + 1 + 3 + 2 + 3 + 2
+    assert len(edges) == 1 + 1 + 3 + 2 + 3 + 2 + 2 + 1
+    cites = {r.target[-2:]: r.data for r in projection.edges(docs).where("type = 'cites'").collect()}
+    assert cites["r1"] == {"position": "1", "count": "1", "paragraphs": "1"} and cites["r2"] == {"position": "2", "count": "0"}
     assert {r.id for r in projection.nodes(docs).where("doc = 'f3'").collect()} == {"file:f3", "file:f3:journal"}
     uniform = projection.node_parameters(docs).where("doc = 'f1'").first()
     assert (uniform.author, uniform.editor, uniform.title) == ("Mao, Li", "Ed, It", "A great title")
@@ -59,6 +61,36 @@ def test_nodes_and_edges_of_an_article(docs):
     assert [(r.paragraph, r.ref, r.title) for r in seen] == [(1, "r1", "Chapter")]
 
 
+NESTED = """<article><front><article-meta><article-id pub-id-type="pmid">5</article-id></article-meta></front><body>
+<p>Out <xref ref-type="bibr" rid="r1">1</xref></p><sec sec-type="intro"><title>In<xref ref-type="bibr" rid="r1">1</xref></title>
+<p>a<xref ref-type="bibr" rid="r1 r9">1,9</xref>, <xref ref-type="bibr" rid="r2">2</xref>–<xref ref-type="bibr" rid="r4">4</xref>–<xref ref-type="bibr" rid="r5">5</xref></p>
+<sec><title>Deep</title><fig><caption><p>é <xref ref-type="bibr" rid="r4">4</xref>-<xref ref-type="bibr" rid="r2">2</xref></p></caption></fig><!-- no --><sec><p/><p><xref ref-type="fig" rid="f">f</xref><xref ref-type="bibr" rid="r3">3</xref> - <xref ref-type="bibr" rid="r4">4</xref></p></sec></sec></sec>
+<sec><p><xref ref-type="bibr" rid="r4">4</xref>-<xref ref-type="bibr" rid="s2">s2</xref><xref ref-type="bibr" rid="r4">4</xref>-<xref ref-type="bibr" rid="nobody">?</xref></p></sec></body>
+<back><ref-list><ref id="r1"/><ref id="r2"/><ref id="r3"/><ref id="r4"/><ref id="r5"/></ref-list><sec><ref-list><ref id="s1"/><ref id="s2"/></ref-list></sec></back></article>"""
+
+
+def test_sections_and_in_text_pointers(spark):
+    deep = "<sec>" * 3000 + '<p><xref ref-type="bibr" rid="r1"/></p>' + "</sec>" * 3000
+    rows = [("a", NESTED), ("b", f"<article><front/><body>{deep}</body></article>"), ("c", "<article><front/></article>")]
+    docs = xml.articles(spark.createDataFrame(rows, "path string, content string"), partitions=3)
+    assert docs.rdd.getNumPartitions() == 3
+    docs = materialize(docs, "test", 1)
+    sections = {r.id: r.data for r in projection.nodes(docs).where("type = 'section' AND doc = 'a'").collect()}
+    assert {k: (v.get("title"), v.get("sec-type")) for k, v in sections.items()} == {"pmid:5:section:1": ("In", "intro"), "pmid:5:section:1.1": ("Deep", None), "pmid:5:section:1.1.1": (None, None), "pmid:5:section:2": (None, None)}
+    assert docs.where("path = 'b'").select(F.size("section"), F.size("mark")).first() == (3000, 1)
+    marks = projection.marks(docs.where("path <> 'b'"))
+    seen = [(r.section, r.paragraph, r.text, r.first, r.last, r.rids) for r in marks.orderBy("place").collect()]
+    assert seen == [
+        ("", 1, "1", None, None, ["r1"]), ("1", 2, "1,9", None, None, ["r1", "r9"]), ("1", 2, "2–4", "r2", "r4", []), ("1.1", 3, "4-2", "r4", "r2", []),
+        ("1.1.1", 5, "3", None, None, ["r3"]), ("1.1.1", 5, "4", None, None, ["r4"]), ("2", 6, "4-s2", "r4", "s2", []), ("2", 6, "4-?", "r4", "nobody", []),
+    ]
+    text = "".join(xml._parse(NESTED).find("body").itertext())
+    assert [text[r.place] for r in marks.orderBy("place").collect()] == list("11243444")
+    found = [(int(r.id.rsplit(":", 1)[1]), r.rid) for r in projection.denotes(marks).orderBy("id", "rank").collect()]
+    assert found == [(1, "r1"), (2, "r1"), (2, "r9"), (3, "r2"), (3, "r3"), (3, "r4"), (5, "r3"), (6, "r4"), (7, "r4"), (7, "r5")]
+    assert sorted((r.first, r.last) for r in projection.pointer_warnings(marks).collect()) == [("r4", "nobody"), ("r4", "r2")]
+
+
 def test_records_and_quads_of_an_article(docs):
     nodes, edges = (materialize(x.where("doc = 'f1'"), "test", 1) for x in (projection.nodes(docs), projection.edges(docs)))
     articles = materialize(rdf_records.article_uri(records.articles(nodes, edges)), "test", 1)
@@ -69,7 +101,7 @@ def test_records_and_quads_of_an_article(docs):
     assert people == {"1": ("Mao, Li", "eastern", "pmc:77:affiliation:a2"), "3": ("Ed, It", "western", None)}
     places = materialize(rdf_records.organisation_uri(records.organisations(nodes)), "test", 1)
     assert places.count() == 4 and places.where("name = 'House'").first().address == "Town"
-    journals = materialize(rdf_records.journal_uri(records.journals(nodes, edges)), "test", 1)
+    journals = materialize(rdf_records.journal_uri(records.journals(nodes, edges).where("id = 'pmc:77:journal'")), "test", 1)
     assert journals.first().uri == "urn:issn:1111-2222"
     uris = materialize(rdf_records.uris(articles, journals, places), "test", 1)
     mine = articles.where("source_type = 'pmc_oa'")
