@@ -54,14 +54,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/citeweave/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, rows: int | None = None, each: int = 50_000) -> DataFrame:
+def materialize(df: DataFrame, name: str, rows: int | None = None, each: int = 50_000, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
 
     ``rows``: about how many rows there are, where that is known; so many of ``each`` make a
-    file, so that the rounds of a loop over a small table don't write hundreds of tiny files.
+    file, so that the rounds of a loop over a small table don't write hundreds of tiny files. ``compression``: other than the session's.
     """
     path = scratch_path(df.sparkSession, name)
-    (df if rows is None else df.coalesce(max(1, -(-rows // each)))).write.parquet(path)
+    (df if rows is None else df.coalesce(max(1, -(-rows // each)))).write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
