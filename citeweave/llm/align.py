@@ -44,7 +44,7 @@ from citeweave.llm.common import give_back, keyed, mix, unkeyed
 from citeweave.session import materialize
 
 #: Bytes of texts after which a block ends, distinct segments after which a chunk ends, and bytes encoded at once.
-BLOCK, CHUNK, TEXT = 24 << 20, 100_000, 1 << 16
+BLOCK, CHUNK, TEXT = 16 << 20, 100_000, 1 << 16
 #: Bits of a segment's number in its block.
 _PLACE = 28
 #: White space that texts may be cut before.
@@ -64,7 +64,12 @@ def _after_blank(data: np.ndarray) -> np.ndarray:
 
 def cuts(data: np.ndarray, before: np.ndarray) -> np.ndarray:
     """Places in UTF-8 bytes where a run of white space begins, of those bytes that ``before`` marks."""
-    return np.flatnonzero(before[data] & ~_after_blank(data)[:-1])
+    out = []
+    for low in range(0, len(data), 1 << 20):  # with the three bytes before, on which a place depends
+        at = max(0, low - 3)
+        part = data[at : low + (1 << 20)]
+        out.append(np.flatnonzero((before[part] & ~_after_blank(part)[:-1])[low - at :]) + low)
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
 def different(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,16 +79,21 @@ def different(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """
     start, size = edges[:-1], np.diff(edges)
     words = np.ndarray(len(data), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
-    with np.errstate(over="ignore"):
-        h = mix(size.astype(np.uint64))
-        for left, word in _words(words, start, size):
-            h[left] = mix(h[left] + word * np.uint64(0x9E3779B97F4A7C15))
-    _, first, codes = np.unique(h, return_index=True, return_inverse=True)
-    like = first[codes]
-    same = size[like] == size
-    if same.all():
-        for (left, word), (_, other) in zip(_words(words, start, size), _words(words, start[like], size), strict=True):
-            same[left] &= word == other
+    h = mix(size.astype(np.uint64))
+    parts = [slice(low, low + (1 << 18)) for low in range(0, len(size), 1 << 18)]
+    for part in parts:
+        own = h[part]
+        for left, word in _words(words, start[part], size[part]):
+            own[left] = mix(own[left] + word * np.uint64(0x9E3779B97F4A7C15))
+    first, codes = np.unique(h, return_index=True, return_inverse=True)[1:]
+    del h
+    same = np.ones(len(size), bool)
+    for part in parts:
+        like, own = first[codes[part]], same[part]
+        own &= size[like] == size[part]
+        if own.all():
+            for (left, word), (_, other) in zip(_words(words, start[part], size[part]), _words(words, start[like], size[part]), strict=True):
+                own[left] &= word == other
     if not same.all():  # two ranges of one hash: told apart by their bytes
         seen: dict[bytes, int] = {}
         codes = np.array([seen.setdefault(data[a:b].tobytes(), len(seen)) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)], np.int64)
@@ -136,6 +146,11 @@ class Tokenizers:
             return bytes([int(self.b.id_to_piece(i)[3:5], 16)])
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
+    @property
+    def pair(self) -> str:
+        """Type of a pair's number, which is A's id times the number of B's ids, and B's id."""
+        return "int" if len(self.a_bytes) * len(self.b_bytes) < 1 << 31 else "long"
+
     def ends(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
         """A's ids and B's, and where their tokens end, for bytes that begin with a space; None if one doesn't give them back."""
         text = data.decode()
@@ -147,8 +162,8 @@ class Tokenizers:
         return a, b, np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
 
     def aligned(self, segments: list[bytes]) -> Iterator[tuple]:
-        """(valid, n_a, n_b, n_groups, pairs of linked ids, groups as text) of each segment, in order."""
-        at, waiting, size = 0, [], 0
+        """(n_a, n_b, n_groups, pairs of linked ids, groups as text) of each segment, in order; no tokens where one isn't given back."""
+        waiting, size = [], 0
         for s in segments:
             # A segment that ends with white space ended its text; another one may not follow it.
             alone = bool(_after_blank(np.frombuffer(s[-3:], np.uint8))[-1])
@@ -160,7 +175,6 @@ class Tokenizers:
             if alone:
                 yield from self._together(waiting)
                 waiting, size = [], 0
-            at += 1
         if waiting:
             yield from self._together(waiting)
 
@@ -169,7 +183,7 @@ class Tokenizers:
         found = self.ends(b" x" + b"".join(segments))
         if found is None:
             if len(segments) == 1:
-                yield False, 0, 0, 0, [], b""
+                yield 0, 0, 0, [], b""
                 return
             half = len(segments) // 2
             yield from self._together(segments[:half])
@@ -182,7 +196,7 @@ class Tokenizers:
             raise ValueError("a token goes across the border of segments")
         # Between two neighbouring ends of either tokenizer, one token of each overlaps the other.
         links = np.union1d(a_ends, b_ends)
-        pairs = (a[np.searchsorted(a_ends, links)] << 32 | b[np.searchsorted(b_ends, links)]).tolist()
+        pairs = (a[np.searchsorted(a_ends, links)] * len(self.b_bytes) + b[np.searchsorted(b_ends, links)]).tolist()
         a_at, b_at = np.searchsorted(a_ends, common) + 1, np.searchsorted(b_ends, common) + 1
         groups = np.searchsorted(common, borders) + 1
         of_a, of_b, of_links = a_at[groups - 1].tolist(), b_at[groups - 1].tolist(), (np.searchsorted(links, borders) + 1).tolist()
@@ -191,7 +205,7 @@ class Tokenizers:
         for i in range(len(segments)):
             low, high = groups[i], groups[i + 1]
             text = ";".join(f"{','.join(a[a_at[g - 1] : a_at[g]])}|{','.join(b[b_at[g - 1] : b_at[g]])}" for g in range(low, high))
-            yield True, of_a[i + 1] - of_a[i], of_b[i + 1] - of_b[i], high - low, pairs[of_links[i] : of_links[i + 1]], text.encode()
+            yield of_a[i + 1] - of_a[i], of_b[i + 1] - of_b[i], high - low, pairs[of_links[i] : of_links[i + 1]], text.encode()
 
 
 def _byte_level() -> dict[str, int]:
@@ -207,38 +221,44 @@ def tokenizers_of(a_path: str, b_path: str) -> Tokenizers:
     return Tokenizers(a_path, b_path)
 
 
-def _packed(*arrays: np.ndarray) -> bytes:
-    head = np.array([len(a) for a in arrays], "<i8").tobytes()
-    return zstandard.compress(head + b"".join(a.tobytes() for a in arrays), 3)
+def _packed(keys: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> bytes:
+    """A block's documents, compressed: the bytes of all numbers by their place, all lowest ones first."""
+    head = np.array([len(keys), len(codes)], "<i8").tobytes()
+    parts = (np.ascontiguousarray(a.astype(kind).view(np.uint8).reshape(len(a), int(kind[2])).T) for a, kind in ((keys, "<i8"), (counts, "<i4"), (codes, "<i4")))
+    return zstandard.compress(head + b"".join(x.tobytes() for x in parts), 3)
 
 
-def _unpacked(data: bytes, *types: str) -> list[np.ndarray]:
-    data, at, out = zstandard.decompress(data), 8 * len(types), []
-    for n, kind in zip(np.frombuffer(data, "<i8", len(types)).tolist(), types, strict=True):
-        out.append(np.frombuffer(data, kind, n, at))
-        at += out[-1].nbytes
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    """(keys, counts, codes)."""
+    data = np.frombuffer(zstandard.decompress(data), np.uint8)
+    n, codes = data[:16].view("<i8").tolist()
+    at, out = 16, []
+    for size, kind, width in ((n, "<i8", 8), (n, "<i4", 4), (codes, "<i4", 4)):
+        out.append(np.ascontiguousarray(data[at : at + size * width].reshape(width, size).T).view(kind).ravel())
+        at += size * width
     return out
 
 
-def segmented(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+def segmented(docs: DataFrame, before: np.ndarray) -> DataFrame:
     """Rows of blocks: (block, place, segment) of each distinct segment, and (block, -1, null, documents).
 
-    ``documents`` packs the documents' keys, how many segments each has, and the segments' places.
+    ``documents`` packs the documents' keys, how many segments each has, and the segments' places. ``before`` marks the
+    bytes that texts are cut before.
     """
     fields = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("segment", pa.binary()), ("documents", pa.binary())])
 
-    def block_rows(block: int, keys: np.ndarray, texts: pa.Array, before: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def block_rows(block: int, keys: np.ndarray, texts: pa.Array) -> Iterator[pa.RecordBatch]:
         edges = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]]
         edges -= edges[0]
         borders = np.union1d(cuts(data, before), edges)
-        counts = np.diff(np.searchsorted(borders, edges)).astype("<i4")
+        counts = np.diff(np.searchsorted(borders, edges))
         first, codes = different(data, borders)
         # The most frequent ones first, whose numbers then compress best.
         order = np.argsort(-np.bincount(codes, minlength=len(first)), kind="stable")
         place = np.empty(len(order), "<i4")
         place[order] = np.arange(len(order))
-        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([-1], pa.int32()), pa.array([None], pa.binary()), pa.array([_packed(keys.astype("<i8"), counts, place[codes])], pa.binary())], schema=fields)
+        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([-1], pa.int32()), pa.array([None], pa.binary()), pa.array([_packed(keys, counts, place[codes])], pa.binary())], schema=fields)
         if len(first) >= 1 << _PLACE:
             raise ValueError("a block has too many segments")
         for low in range(0, len(first), CHUNK):
@@ -252,14 +272,13 @@ def segmented(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        before = tokenizers_of(a_path, b_path).before
         block = TaskContext.get().partitionId() << 13
         waiting: list[pa.RecordBatch] = []
         held = 0
 
         def hand_on() -> Iterator[pa.RecordBatch]:
             whole = pa.Table.from_batches(waiting).combine_chunks()
-            return block_rows(block, whole["_key"].to_numpy(), pa.concat_arrays(whole["text"].chunks), before)
+            return block_rows(block, whole["_key"].to_numpy(), pa.concat_arrays(whole["text"].chunks))
 
         for batch in batches:
             size = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy())
@@ -281,12 +300,12 @@ def segmented(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     return keyed(docs.select("doc_id", text), "text").mapInArrow(run, "block long, place int, segment binary, documents binary")
 
 
-def aligned_segments(segments: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """Each distinct segment once: (chunk, places, valid, n_a, n_b, n_groups, pairs, groups).
+def aligned_segments(segments: DataFrame, a_path: str, b_path: str, pair: str) -> DataFrame:
+    """Each distinct segment once: (chunk, places, n_a, n_b, n_groups, pairs, groups).
 
     ``places`` are the blocks that have it, with its number there; there are as many as blocks at most.
     """
-    kinds = {"chunk": pa.int64(), "places": pa.list_(pa.int64()), "valid": pa.bool_(), "n_a": pa.int32(), "n_b": pa.int32(), "n_groups": pa.int32(), "pairs": pa.list_(pa.int64()), "groups": pa.binary()}
+    kinds = {"chunk": pa.int64(), "places": pa.list_(pa.int64()), "n_a": pa.int32(), "n_b": pa.int32(), "n_groups": pa.int32(), "pairs": pa.list_(pa.int32() if pair == "int" else pa.int64()), "groups": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -328,7 +347,7 @@ def aligned_segments(segments: DataFrame, a_path: str, b_path: str) -> DataFrame
 
     rows = segments.select("segment", (F.shiftleft("block", _PLACE) + F.col("place")).alias("at"))
     rows = rows.repartition("segment").sortWithinPartitions("segment")
-    return rows.mapInArrow(run, "chunk long, places array<long>, valid boolean, n_a int, n_b int, n_groups int, pairs array<long>, groups binary")
+    return rows.mapInArrow(run, f"chunk long, places array<long>, n_a int, n_b int, n_groups int, pairs array<{pair}>, groups binary")
 
 
 def _at_blocks(rows: DataFrame, *cols: str) -> DataFrame:
@@ -360,15 +379,14 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _composed(left: pa.Table, right: pa.Table) -> pa.Table:
     """One block: a row for each document, with its place in the block, and for each pair of ids the number of documents that link it."""
-    keys, counts, codes = _unpacked(left["documents"][0].as_py(), "<i8", "<i4", "<i4")
+    keys, counts, codes = _unpacked(left["documents"][0].as_py())
     counts = counts.astype(np.int64)
     right = right.take(np.argsort(right["place"].to_numpy()))
     columns = {c: right[c].to_numpy().astype(np.int64) for c in ("n_a", "n_b", "n_groups")}
-    valid = right["valid"].to_numpy()
     edges, pairs = _lists(right["pairs"])
     columns["n_links"] = np.diff(edges)
     groups = right["groups"].to_pylist()
-    whole = _sums(~valid[codes], counts) == 0
+    whole = _sums((columns["n_a"] == 0)[codes], counts) == 0
     sums = {c: np.where(whole, _sums(v[codes], counts), 0) for c, v in columns.items()}
     known, of_pair = np.unique(pairs, return_inverse=True)
     documents = np.zeros(len(known), np.int64)
@@ -384,53 +402,53 @@ def _composed(left: pa.Table, right: pa.Table) -> pa.Table:
     none, block = pa.nulls(len(some), pa.int64()), left["block"][0].as_py()
     n = len(keys)
     of_docs = [np.full(n, block), np.arange(n, dtype=np.int32), keys, *sums.values(), pa.array(shas, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
-    of_pairs = [np.full(len(some), block), np.full(len(some), -1, np.int32), none, none, none, none, none, pa.nulls(len(some), pa.string()), known[some], documents[some]]
+    of_pairs = [np.full(len(some), block), np.full(len(some), -1, np.int32), none, none, none, none, none, pa.nulls(len(some), pa.string()), known[some].astype(np.int64), documents[some]]
+    give_back()
     fields = pa.schema([(c, pa.int64()) for c in ("block",)] + [("row", pa.int32())] + [(c, pa.int64()) for c in ("_key", *sums)] + [("groups_sha256", pa.string()), ("pair", pa.int64()), ("documents", pa.int64())])
     return pa.concat_tables(pa.Table.from_arrays([pa.array(c, f.type) if isinstance(c, np.ndarray) else c for c, f in zip(part, fields, strict=True)], schema=fields) for part in (of_docs, of_pairs))
 
 
 def _weighed(left: pa.Table, right: pa.Table) -> pa.Table:
-    """One chunk of segments: how many of a segment's links are best, and the sum of their counts."""
+    """One chunk of segments: how many of a segment's links are best, and the sum of their counts.
+
+    A pair that only documents without tokens link has no count; they have none to sum either.
+    """
     edges, pairs = _lists(left["pairs"])
     right = right.sort_by("pair")
-    at = np.searchsorted(right["pair"].to_numpy(), pairs)
-    best, count = right["best"].to_numpy().astype(np.int64), right["documents"].to_numpy()
-    size = np.diff(edges)
-    # Pairs of no valid document, as of invalid ones, have no count.
-    at = np.minimum(at, len(count) - 1)
-    known = (right["pair"].to_numpy()[at] == pairs) if len(count) else np.zeros(len(pairs), bool)
-    if not len(count):
-        best = count = np.zeros(1, np.int64)
-        at = np.zeros(len(pairs), np.int64)
-    return pa.table({"places": left["places"], "n_best": _sums(np.where(known, best[at], 0), size), "count_sum": _sums(np.where(known, count[at], 0), size)})
+    known = np.append(right["pair"].to_numpy(), -1)
+    at = np.searchsorted(known[:-1], pairs)
+    size, found = np.diff(edges), known[at] == pairs
+    best, count = (np.append(right[c].to_numpy(zero_copy_only=False).astype(np.int64), 0)[at] for c in ("best", "documents"))
+    return pa.table({"places": left["places"], "n_best": _sums(np.where(found, best, 0), size), "count_sum": _sums(np.where(found, count, 0), size)})
 
 
 def _added(left: pa.Table, right: pa.Table) -> pa.Table:
     """One block: the documents' sums over their segments."""
-    keys, counts, codes = _unpacked(left["documents"][0].as_py(), "<i8", "<i4", "<i4")
+    keys, counts, codes = _unpacked(left["documents"][0].as_py())
     order = np.argsort(right["place"].to_numpy())
     sums = {c: _sums(right[c].to_numpy()[order][codes], counts.astype(np.int64)) for c in ("n_best", "count_sum")}
     return pa.table({"block": np.full(len(keys), left["block"][0].as_py()), "row": np.arange(len(keys), dtype=np.int32), **sums})
 
 
-def pair_counts(composed: DataFrame) -> DataFrame:
-    """(pair, documents, best): in how many documents ids are linked; a pair is A's id times 2**32 and B's id."""
+def pair_counts(composed: DataFrame, n_b: int) -> DataFrame:
+    """(pair, documents, best): in how many documents ids are linked; a pair is A's id times ``n_b`` and B's id."""
     pairs = composed.where("row < 0").groupBy("pair").agg(F.sum("documents").alias("documents"))
-    most = F.max("documents").over(Window.partitionBy(F.shiftright("pair", 32)))  # an A id has as many pairs as B has pieces at most
+    most = F.max("documents").over(Window.partitionBy(F.col("pair") - F.col("pair") % n_b))  # an A id has as many pairs as B has pieces at most
     return pairs.withColumn("best", F.col("documents") == most)
 
 
 def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
-    blocks = materialize(segmented(docs, a_path, b_path), "blocks")
+    both = tokenizers_of(a_path, b_path)
+    blocks = materialize(segmented(docs, both.before), "blocks", compression="zstd")
     packed = blocks.where("place < 0").select("block", "documents")
-    segments = materialize(aligned_segments(blocks.where("place >= 0"), a_path, b_path), "segments")
-    back = _at_blocks(segments, "valid", "n_a", "n_b", "n_groups", "pairs", "groups")
+    segments = materialize(aligned_segments(blocks.where("place >= 0"), a_path, b_path, both.pair), "segments", compression="zstd")
+    back = _at_blocks(segments, "n_a", "n_b", "n_groups", "pairs", "groups")
     composed = packed.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         _composed, "block long, row int, _key long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair long, documents long"
     )
     composed = materialize(composed, "composed")
-    wanted = segments.select("chunk", F.explode("pairs").alias("pair")).distinct().join(pair_counts(composed), "pair")
+    wanted = segments.select("chunk", F.explode("pairs").alias("pair")).distinct().join(pair_counts(composed, len(both.b_bytes)), "pair")
     wanted = wanted.select(F.col("chunk").alias("of"), "pair", "documents", "best")
     weighed = segments.select("chunk", "places", "pairs").groupBy("chunk").cogroup(wanted.groupBy("of")).applyInArrow(_weighed, "places array<long>, n_best long, count_sum long")
     back = _at_blocks(weighed, "n_best", "count_sum")
