@@ -12,14 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.functions import dates, ids, text
-from citeweave.operators import rdf
+from citeweave.operators import deref, rdf
+from citeweave.session import materialize
 
-# The vocabularies.
+# The vocabularies, and the words of minted paths and labels below.
 _TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 _LABEL, _VALUE = "http://www.w3.org/2000/01/rdf-schema#label", "http://www.w3.org/1999/02/22-rdf-syntax-ns#value"
 _FABIO, _FRBR, _PRISM = "http://purl.org/spar/fabio/", "http://purl.org/vocab/frbr/core#", "http://prismstandard.org/namespaces/basic/2.0/"
 _DC, _FOAF, _PRO = "http://purl.org/dc/terms/", "http://xmlns.com/foaf/0.1/", "http://purl.org/spar/pro/"
 _CITO, _BIRO, _LIST = "http://purl.org/spar/cito/", "http://purl.org/spar/biro/", "http://purl.org/co/"
+_ORG, _SKOS, _VCARD = "http://www.w3.org/ns/org#", "http://www.w3.org/2004/02/skos/core#", "http://www.w3.org/2006/vcard/ns#"
 _SORT, _XSD = "http://open.vocab.org/terms/sortLabel", "http://www.w3.org/2001/XMLSchema#"
 
 
@@ -28,12 +30,13 @@ def _path(*parts: Column | str) -> Column:
 
 
 def article_uri(df: DataFrame) -> DataFrame:
-    """Articles with ``uri`` and ``part``, its tail, by which what belongs to it is named: address, DOI, number, else own id."""
+    """Articles with ``uri`` and ``part``, its tail, by which what belongs to it is named: address, DOI, ISBN, number, else own id."""
+    isbn = F.col("isbn") if "isbn" in df.columns else F.lit(None).cast("string")
     web = F.when(F.col("work_type").isin("WebPage", "WebSite"), F.col("url"))
     doi = ids.doi_uri_part(F.col("doi"))
     own = F.sha1(F.col("id").cast("binary"))
-    part = F.coalesce(_path(":web/", F.url_encode(web)), _path(":doi/", doi), _path(":pmid/", F.col("pmid")), _path("/", own))
-    uri = F.coalesce(web, _path("http://dx.doi.org/", doi), _path("id/expression:pmid/", F.col("pmid")), _path("id/expression/", own))
+    part = F.coalesce(_path(":web/", F.url_encode(web)), _path(":doi/", doi), _path(":isbn/", isbn), _path(":pmid/", F.col("pmid")), _path("/", own))
+    uri = F.coalesce(web, _path("http://dx.doi.org/", doi), _path("urn:isbn:", isbn), _path("id/expression:pmid/", F.col("pmid")), _path("id/expression/", own))
     return df.withColumns({"uri": uri, "part": part})
 
 
@@ -43,9 +46,12 @@ def journal_uri(df: DataFrame) -> DataFrame:
     return df.withColumns({"uri": F.coalesce(_path("urn:issn:", F.col("issn")), _path("id/journal/", slug)), "part": F.coalesce(_path("issn/", F.col("issn")), _path("journal/", slug))})
 
 
-def organisation_uri(df: DataFrame) -> DataFrame:
-    """Organisations with ``uri``: the name's slug, and the key of name and address, so that equal ones are one."""
-    return df.withColumn("uri", _path("id/organization/", F.concat_ws("-", text.slug(F.col("name")), F.hex("key"))))
+def organisation_uri(df: DataFrame, order: str = "id") -> DataFrame:
+    """Organisations with ``uri`` and ``part``: the slug of name or address and the organisation's number among those of that slug."""
+    slug = F.coalesce(F.nullif(text.slug(F.coalesce("name", "address")), F.lit("")), F.lit("unknown"))
+    rows = deref.numbered(df.withColumn("_slug", slug), "_slug", order)
+    part = F.concat_ws("-", "_slug", F.col("n").cast("string"))
+    return rows.withColumns({"uri": _path("id/org/", part), "part": part}).drop("_slug", "n")
 
 
 def uris(*named: DataFrame) -> DataFrame:
@@ -54,14 +60,18 @@ def uris(*named: DataFrame) -> DataFrame:
 
 
 def organisation_quads(df: DataFrame) -> DataFrame:
-    uri = F.col("uri")
-    return rdf.quads(df, uri, {_TYPE: rdf.iri(F.lit(_FOAF + "Organization")), _FOAF + "name": rdf.literal(F.col("name")), _DC + "spatial": rdf.literal(F.col("address"))}, F.replace(uri, F.lit("id/"), F.lit("graph/"))).distinct()
+    """Organisations with their labels, and their addresses as nodes of their own."""
+    uri, graph = F.col("uri"), _path("graph/org/", F.col("part"))
+    address = F.when(F.col("address").isNotNull(), _path(uri, "/address"))
+    own = {_TYPE: rdf.iri(F.lit(_ORG + "Organization")), _SKOS + "prefLabel": rdf.literal(F.col("name")), _LABEL: rdf.literal(F.col("name")), _VCARD + "adr": rdf.iri(address)}
+    return rdf.quads(df, uri, own, graph).unionByName(rdf.quads(df, address, {_TYPE: rdf.iri(F.lit(_VCARD + "Address")), _LABEL: rdf.literal(F.col("address"))}, graph))
 
 
 def journal_quads(df: DataFrame) -> DataFrame:
     """Journals; ``publisher`` is a URI or null."""
     graph = _path("graph/", F.col("part"))
-    values = {_DC + "identifier": "abbreviation", _PRISM + "issn": "issn", _PRISM + "eIssn": "eissn", _DC + "title": "name"}
+    values = {_FABIO + "hasNationalLibraryOfMedicineJournalId": "nlm_id"} if "nlm_id" in df.columns else {}
+    values |= {_DC + "identifier": "abbreviation", _PRISM + "issn": "issn", _PRISM + "eIssn": "eissn", _DC + "title": "name"}
     own = {_TYPE: rdf.iri(F.lit(_FABIO + "Journal")), _DC + "publisher": rdf.iri(F.col("publisher"))} | {p: rdf.literal(F.col(c)) for p, c in values.items()}
     return rdf.quads(df, F.col("uri"), own, graph).distinct()
 
@@ -73,13 +83,14 @@ def article_quads(df: DataFrame) -> DataFrame:
     date = F.when(F.col("year").rlike(r"^\d{4}$"), dates.iso_date(F.col("year"), F.col("month"), F.col("day")))
     volume = _path("id/journal/", F.col("journal_part"), "/", text.slug(F.col("volume")))
     issue = F.when(volume.isNotNull(), _path(volume, "/", text.slug(F.col("issue"))))
-    values = {_DC + "title": "title", _PRISM + "doi": "doi", _FABIO + "hasPubMedCentralId": "pmc", _FABIO + "hasPubMedId": "pmid"}
+    values = {_DC + "title": "title", _PRISM + "doi": "doi", _FABIO + "hasPubMedCentralId": "pmc", _FABIO + "hasPubMedId": "pmid"} | ({_PRISM + "isbn": "isbn"} if "isbn" in df.columns else {})
     own = {_TYPE: rdf.iri(F.concat(F.lit(_FABIO), F.coalesce("work_type", F.lit("Expression")))), _FRBR + "embodiment": rdf.iri(form)} | {p: rdf.literal(F.col(c)) for p, c in values.items()}
     own |= {_DC + "published": rdf.literal(date, _XSD + "date"), _PRISM + "publicationDate": rdf.literal(F.concat(date, F.lit("T00:00:00Z")), _XSD + "dateTime"), _FRBR + "part": rdf.iri(F.when(F.col("abstract").isNotNull(), abstract))}
     parts = [
         rdf.quads(df, uri, own, graph),
         rdf.quads(df, form, {_TYPE: rdf.iri(F.lit(_FABIO + "Manifestation")), _PRISM + "startingPage": rdf.literal(F.col("page_start")), _PRISM + "endingPage": rdf.literal(F.col("page_end"))}, graph),
         rdf.quads(df.where("abstract IS NOT NULL"), abstract, {_TYPE: rdf.iri(F.lit(_FABIO + "Abstract")), _VALUE: rdf.literal(F.col("abstract")), _DC + "title": rdf.literal(F.lit("Abstract")), _LABEL: rdf.literal(_path('Abstract for "', F.col("title"), '"'))}, graph),
+        _web(df, uri, graph),
         rdf.quads(df, F.col("journal_uri"), {_FRBR + "part": rdf.iri(F.coalesce(volume, uri))}, graph),
         rdf.quads(df, volume, {_TYPE: rdf.iri(F.lit(_FABIO + "JournalVolume")), _PRISM + "volume": rdf.literal(F.col("volume")), _FRBR + "part": rdf.iri(F.coalesce(issue, uri))}, graph),
         rdf.quads(df, issue, {_TYPE: rdf.iri(F.lit(_FABIO + "JournalIssue")), _PRISM + "issueIdentifier": rdf.literal(F.col("issue")), _FRBR + "part": rdf.iri(uri)}, graph),
@@ -87,19 +98,36 @@ def article_quads(df: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _web(df: DataFrame, uri: Column, graph: Column) -> DataFrame:
+    """A work that is a page is a document; the address of any other is a page or, at a site's root, a site about the work."""
+    url, work = F.col("url"), F.coalesce("work_type", F.lit("Expression"))
+    own = work.isin("WebPage", "WebSite") & url.isNotNull()
+    path = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#;]*)", 1)
+    kind, other = F.when(path == "/", "WebSite").otherwise("WebPage"), F.when(url != uri, url)
+    document = rdf.quads(df.where(own), uri, {_TYPE: rdf.iri(F.lit(_FOAF + "Document"))}, graph)
+    about = rdf.quads(df, other, {_TYPE: rdf.iri(F.concat(F.lit(_FABIO), kind)), _FOAF + "primaryTopic": rdf.iri(uri)}, graph)
+    also = rdf.quads(df.where(url != uri), url, {_TYPE: rdf.iri(F.lit(_FOAF + "Document"))}, graph)
+    return reduce(DataFrame.unionByName, [document, about, also, rdf.quads(df, uri, {_FOAF + "primaryTopicOf": rdf.iri(other)}, graph)])
+
+
 def person_quads(rows: DataFrame) -> DataFrame:
-    """People in their roles. rows: an article's uri and part, role, position from 1, name, surname, given, style, affiliation (a URI or null)."""
+    """People in their roles. rows: an article's uri and part, role, position from 1, name, surname, given, style, affiliation (a URI or null).
+
+    Where a column ``entity`` isn't null, an entity with quads of its own has the role, and nothing is said of it here.
+    """
     graph = _path("graph/expression", F.col("part"))
     person = _path("graph/person", F.col("part"), "/", F.col("role"), "/", F.col("position").cast("string"))
     role = F.concat(person, F.lit("/role"))
+    people = rows.where("entity IS NULL") if "entity" in rows.columns else rows
     whole = F.col("surname").isNotNull() & F.col("given").isNotNull()
     shown, sorted_by = text.display_name(F.col("given"), F.col("surname"), F.col("style"))
     shown, sorted_by = F.when(whole, shown).otherwise(F.col("name")), F.when(whole, sorted_by).otherwise(F.col("name"))
     made = F.when(F.col("role") == "author", rdf.iri(person))
-    own = {_TYPE: rdf.iri(F.lit(_FOAF + "Person")), _LABEL: rdf.literal(shown), _FOAF + "name": rdf.literal(shown), _SORT: rdf.literal(F.when(sorted_by != shown, sorted_by)), _PRO + "holdsRoleInTime": rdf.iri(role)}
+    own = {_TYPE: rdf.iri(F.lit(_FOAF + "Person")), _LABEL: rdf.literal(shown), _FOAF + "name": rdf.literal(shown), _SORT: rdf.literal(F.when(sorted_by != shown, sorted_by))}
     held = {_TYPE: rdf.iri(F.lit(_PRO + "RoleInTime")), _PRO + "withRole": rdf.iri(F.concat(F.lit(_PRO), F.col("role"))), _PRO + "withAffiliation": rdf.iri(F.col("affiliation"))}
     article = {_DC + "creator": made, _DC + "contributor": F.when(made.isNull(), rdf.iri(person)), _PRO + "isRelatedToRoleInTime": rdf.iri(role)}
-    return rdf.quads(rows, person, own, graph).unionByName(rdf.quads(rows, role, held, graph)).unionByName(rdf.quads(rows, F.col("uri"), article, graph))
+    own_quads, holds = rdf.quads(people, person, own, graph), rdf.quads(rows, person, {_PRO + "holdsRoleInTime": rdf.iri(role)}, graph)
+    return own_quads.unionByName(holds).unionByName(rdf.quads(rows, role, held, graph)).unionByName(rdf.quads(rows, F.col("uri"), article, graph))
 
 
 def citation_quads(df: DataFrame) -> DataFrame:
@@ -122,3 +150,53 @@ def citation_quads(df: DataFrame) -> DataFrame:
         rdf.quads(df.select("uri", "part", F.explode("retracts").alias("gone")), F.col("uri"), {_CITO + "retracts": rdf.iri(F.col("gone"))}, graph),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+PEOPLE = ("author", "editor", "translator")
+_ORGANISATION, _JOURNAL = ["name", "address"], ["name", "abbreviation", "nlm_id", "issn", "eissn", "publisher"]
+_ARTICLE = "title year month day volume issue doi pmid pmc isbn url work_type abstract page_start page_end journal".split()
+
+
+def export(organisations: DataFrame, journals: DataFrame, articles: DataFrame, people: DataFrame) -> dict[str, DataFrame]:
+    """Quads of merged records: ``organisations``, ``journals``, ``articles``, ``people``, ``citations``.
+
+    Records have id, group and source, and any of their kind's fields; people, which are put in where articles refer to
+    them, need no group. Each kind is merged field by field (:func:`deref.voted`) after its references are followed, and
+    what one kind is called is known to the next: organisations, journals, articles, what articles cite.
+    """
+
+    def merged(records: DataFrame, fields: list[str], lists: tuple[str, ...], uris: DataFrame, known: DataFrame | None = None) -> DataFrame:
+        own = deref.shredded(records, "id", [f for f in (*fields, *lists) if f in records.columns])
+        values = deref.valued(deref.followed(own, own if known is None else own.unionByName(known), uris))
+        return materialize(deref.voted(values, records.select("id", "group", "source"), lists), "merged")
+
+    def named(records: DataFrame, rows: DataFrame) -> DataFrame:
+        return records.select("id", "group").join(rows.where("uri IS NOT NULL").select("group", "uri"), "group").select("id", "uri")
+
+    def absent(rows: DataFrame, *fields: str) -> DataFrame:
+        return rows.withColumns({f: F.lit(None).cast("string") for f in fields if f not in rows.columns})
+
+    spark = organisations.sparkSession
+    none = spark.createDataFrame([], "id string, uri string")
+    orgs = deref.widened(merged(organisations, _ORGANISATION, (), none), _ORGANISATION)
+    orgs = materialize(organisation_uri(orgs, "group"), "organisations")
+    uris = named(organisations, orgs)
+    periodicals = materialize(journal_uri(deref.widened(merged(journals, _JOURNAL, (), uris), _JOURNAL, references=("publisher",))), "journals")
+    uris = materialize(uris.unionByName(named(journals, periodicals)), "uris")
+    roles = tuple(r for r in PEOPLE if r in articles.columns)
+    inner = deref.shredded(people, "id", [c for c in people.columns if c not in ("id", "group", "source")])
+    both = merged(articles, _ARTICLE, roles, uris, inner)
+    works = deref.widened(both, _ARTICLE, references=("journal",)).withColumn("id", F.col("group"))
+    works = works.join(periodicals.where("uri IS NOT NULL").groupBy(F.col("uri").alias("journal")).agg(F.min("part").alias("journal_part")), "journal", "left").withColumn("journal_uri", F.col("journal"))
+    works = materialize(article_uri(works), "works")
+    held = deref.items(both, roles, ["name", "surname", "given", "style", "affiliated"])
+    held = held.join(works.select("group", F.col("uri").alias("work"), "part"), "group").withColumn("role", F.col("field"))
+    held = held.select(F.col("work").alias("uri"), "part", "role", "position", "name", "surname", "given", F.coalesce("style", F.lit("western")).alias("style"), F.col("affiliated").alias("affiliation"), F.col("uri").alias("entity"))
+    lists = tuple(c for c in ("cites", "retracts") if c in articles.columns)
+    cited = deref.widened(merged(articles, [], lists, uris.unionByName(named(articles, works))), [], lists)
+    cited = works.select("group", "uri", "part", "title").join(cited, "group")
+    cited = cited.withColumns({c: F.coalesce(c, F.array().cast("array<string>")) if c in lists else F.array().cast("array<string>") for c in ("cites", "retracts")})
+    return {
+        "organisations": organisation_quads(orgs), "journals": journal_quads(absent(periodicals, "nlm_id")), "articles": article_quads(works),
+        "people": person_quads(held), "citations": citation_quads(cited),
+    }

@@ -147,6 +147,104 @@ def rdf_citation_counts(spark, d):
     return rdf_records.citation_quads(own).groupBy("p").agg(F.count("*").alias("n"))
 
 
+def _export(spark, d) -> dict[str, DataFrame]:
+    """Quads of records made of all tables: nations and suppliers are organisations, order statuses journals, customers people, orders and parts articles."""
+    def s(c: str):
+        return F.col(c).cast("string")
+
+    def to(prefix: str, c):
+        return F.struct(F.concat(F.lit(prefix), c).alias("ref"))
+
+    nation, supplier = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")), table(spark, d, "supplier")
+    source = F.lit("pmc_oa").alias("source")
+    organisations = nation.select(F.concat(F.lit("n"), s("n_nationkey")).alias("id"), F.col("n_name").alias("name"), F.col("r_name").alias("address")).unionByName(
+        supplier.select(F.concat(F.lit("s"), s("s_suppkey")).alias("id"), F.concat(F.lit("House "), s("s_nationkey")).alias("name"), F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).alias("address"))
+    ).select("id", F.col("id").alias("group"), source, "name", "address")
+    urgent, status = F.col("o_orderpriority").startswith("1"), F.col("o_orderstatus")
+    journal = F.concat(F.lit("j"), status, F.lit(":"), "o_orderpriority")
+    o = table(spark, d, "orders")
+    journals = o.select("o_orderstatus", "o_orderpriority").distinct().select(
+        journal.alias("id"), status.alias("group"), F.when(urgent, "pmc_oa").otherwise("pubmed_api").alias("source"), F.concat(F.when(urgent, "The ").otherwise(""), F.lit("Journal "), status).alias("name"),
+        F.concat(F.lit("J. "), status).alias("abbreviation"), F.when(status == "O", "1234-5678").alias("issn"), to("@s", F.lit("1")).alias("publisher"),
+    )
+    people = table(spark, d, "customer").select(F.concat(F.lit("c"), s("c_custkey")).alias("id"), F.lit("Customer").alias("surname"), s("c_custkey").alias("given"), to("@n", s("c_nationkey")).alias("affiliated"))
+    lines = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: to("@p", x["l_partkey"].cast("string"))).alias("cites"))
+    none = F.lit(None).cast("string")
+    own = o.join(lines, "o_orderkey", "left").select(
+        F.concat(F.lit("o"), s("o_orderkey")).alias("id"), F.concat(F.lit("o"), s("o_orderkey")).alias("group"), source, F.concat(F.lit("Order "), "o_orderpriority").alias("title"), F.date_format("o_orderdate", "yyyy").alias("year"),
+        F.when(F.col("o_orderkey") % 3 > 0, (F.col("o_orderkey") % 9).cast("string")).alias("volume"), s("o_orderkey").alias("pmid"), none.alias("doi"), none.alias("isbn"), none.alias("url"), to("@", journal).alias("journal"),
+        F.array(to("c", s("o_custkey")), to("n", F.lit("0"))).alias("author"), "cites",
+    )
+    part, key = table(spark, d, "part"), F.concat(F.lit("p"), s("p_partkey"))
+    kind = F.col("p_partkey") % 3
+    heard = part.select(key.alias("id"), key.alias("group"), F.lit("pubmed_api").alias("source"), F.col("p_name").alias("title"), F.when(kind == 0, F.concat(F.lit("978"), s("p_partkey"))).alias("isbn"), F.when(kind == 1, F.concat(F.lit("http://w/"), s("p_partkey"))).alias("url"), s("p_partkey").alias("pmid"))
+    said = part.select(F.concat(key, F.lit("r")).alias("id"), key.alias("group"), F.lit("pmc_oa_reference").alias("source"), F.concat(F.lit("Part "), s("p_partkey")).alias("title"), F.when(F.col("p_partkey") % 7 == 0, F.concat(F.lit("10.1/a "), s("p_partkey"))).alias("doi"))
+    articles = own.unionByName(heard, allowMissingColumns=True).unionByName(said, allowMissingColumns=True)
+    return rdf_records.export(organisations, journals, articles, people)
+
+
+# Prefixes of the vocabularies, and parts of the query over all tables that name what is exported.
+_RDF = """WITH RECURSIVE v(k, iri) AS (VALUES ('rdf', 'http://www.w3.org/1999/02/22-rdf-syntax-ns#'), ('rdfs', 'http://www.w3.org/2000/01/rdf-schema#'), ('org', 'http://www.w3.org/ns/org#'), ('skos', 'http://www.w3.org/2004/02/skos/core#'), ('v', 'http://www.w3.org/2006/vcard/ns#'),
+  ('fabio', 'http://purl.org/spar/fabio/'), ('dc', 'http://purl.org/dc/terms/'), ('prism', 'http://prismstandard.org/namespaces/basic/2.0/'), ('foaf', 'http://xmlns.com/foaf/0.1/'), ('pro', 'http://purl.org/spar/pro/'), ('ov', 'http://open.vocab.org/terms/'),
+  ('frbr', 'http://purl.org/vocab/frbr/core#'), ('cito', 'http://purl.org/spar/cito/'), ('biro', 'http://purl.org/spar/biro/'), ('co', 'http://purl.org/co/'), ('xsd', 'http://www.w3.org/2001/XMLSchema#')),
+organisation AS (SELECT *, 'org/' || slug || '-' || row_number() OVER (PARTITION BY slug ORDER BY id) AS part FROM (SELECT *, lower(translate(name, ' _', '--')) AS slug FROM (
+  SELECT 'n' || n_nationkey AS id, n_name AS name, r_name AS address FROM nation JOIN region ON r_regionkey = n_regionkey
+  UNION ALL SELECT 's' || s_suppkey, 'House ' || s_nationkey, CASE WHEN s_suppkey % 2 = 0 THEN s_name END FROM supplier))),
+journal AS (SELECT DISTINCT o_orderstatus AS status, CASE o_orderstatus WHEN 'O' THEN 'urn:issn:1234-5678' ELSE 'id/journal/j-' || lower(o_orderstatus) END AS uri, CASE o_orderstatus WHEN 'O' THEN 'issn/1234-5678' ELSE 'journal/j-' || lower(o_orderstatus) END AS part FROM orders),
+work AS (SELECT *, CASE WHEN doi IS NOT NULL THEN 'http://dx.doi.org/' || doi WHEN isbn IS NOT NULL THEN 'urn:isbn:' || isbn ELSE 'id/expression:pmid/' || pmid END AS uri,
+  CASE WHEN doi IS NOT NULL THEN ':doi/' || doi WHEN isbn IS NOT NULL THEN ':isbn/' || isbn ELSE ':pmid/' || pmid END AS part FROM (
+  SELECT 'p' || p_partkey AS id, p_name AS title, CASE WHEN p_partkey % 7 = 0 THEN '10.1/a%20' || p_partkey END AS doi, CASE WHEN p_partkey % 3 = 0 THEN '978' || p_partkey END AS isbn, CASE WHEN p_partkey % 3 = 1 THEN 'http://w/' || p_partkey END AS url,
+    CAST(p_partkey AS VARCHAR) AS pmid, NULL AS year, NULL AS volume, NULL AS status FROM part
+  UNION ALL SELECT 'o' || o_orderkey, 'Order ' || o_orderpriority, NULL, NULL, NULL, CAST(o_orderkey AS VARCHAR), strftime(o_orderdate, '%Y'), CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderkey % 9 AS VARCHAR) END, o_orderstatus FROM orders)),
+"""
+#: Names like ``rdf:type`` in angle brackets are written out, other iris are put under the base; values in quotes stay, their type is after a bar.
+_WRITTEN = """,
+named AS (SELECT s, p, o, g FROM quad WHERE o IS NOT NULL AND s IS NOT NULL),
+written AS (SELECT CASE WHEN regexp_matches(s, '^(http|urn):') THEN '<' || s || '>' ELSE '<http://example.org/' || s || '>' END AS s, '<' || a.iri || split_part(p, ':', 2) || '>' AS p,
+  CASE WHEN o[1] = '"' THEN split_part(o, '|', 1) || CASE WHEN contains(o, '|') THEN '^^<http://www.w3.org/2001/XMLSchema#' || split_part(o, '|', 2) || '>' ELSE '' END
+    WHEN o[1] = ':' THEN '<' || b.iri || split_part(o, ':', 3) || '>' WHEN regexp_matches(o, '^(http|urn):') THEN '<' || o || '>' ELSE '<http://example.org/' || o || '>' END AS o,
+  '<http://example.org/graph/' || g || '>' AS g
+  FROM named JOIN v a ON a.k = split_part(p, ':', 1) LEFT JOIN v b ON o[1] = ':' AND b.k = split_part(o, ':', 2))
+SELECT * FROM written"""
+
+
+@query(f"""{_RDF} role AS (
+  SELECT w.uri, w.part, 'graph/person' || w.part || '/author/' || n AS person, n, o_custkey, 'expression' || w.part AS g, c_nationkey FROM orders JOIN work w ON w.id = 'o' || o_orderkey JOIN (VALUES (1), (2)) x(n) ON true LEFT JOIN customer ON c_custkey = o_custkey AND n = 1),
+quad(s, p, o, g) AS (
+  SELECT 'id/' || part, unnest(['rdf:type', 'skos:prefLabel', 'rdfs:label', 'v:adr']), unnest([':org:Organization', '"' || name || '"', '"' || name || '"', CASE WHEN address IS NOT NULL THEN 'id/' || part || '/address' END]), part FROM organisation
+  UNION ALL SELECT 'id/' || part || '/address', unnest(['rdf:type', 'rdfs:label']), unnest([':v:Address', '"' || address || '"']), part FROM organisation WHERE address IS NOT NULL
+  UNION ALL SELECT j.uri, unnest(['rdf:type', 'dc:identifier', 'prism:issn', 'dc:title', 'dc:publisher']),
+    unnest([':fabio:Journal', '"J. ' || status || '"', CASE status WHEN 'O' THEN '"1234-5678"' END, '"Journal ' || status || '"', (SELECT 'id/' || part FROM organisation WHERE id = 's1')]), j.part FROM journal j
+  UNION ALL SELECT person, unnest(['rdf:type', 'rdfs:label', 'foaf:name', 'ov:sortLabel']), unnest([':foaf:Person', '"' || o_custkey || ' Customer"', '"' || o_custkey || ' Customer"', '"Customer, ' || o_custkey || '"']), g FROM role WHERE n = 1 AND c_nationkey IS NOT NULL
+  UNION ALL SELECT person, 'pro:holdsRoleInTime', person || '/role', g FROM role
+  UNION ALL SELECT person || '/role', unnest(['rdf:type', 'pro:withRole', 'pro:withAffiliation']), unnest([':pro:RoleInTime', ':pro:author', (SELECT 'id/' || part FROM organisation WHERE id = 'n' || c_nationkey)]), g FROM role
+  UNION ALL SELECT uri, unnest(['dc:creator', 'pro:isRelatedToRoleInTime']), unnest([person, person || '/role']), g FROM role){_WRITTEN}""")
+def rdf_entities(spark, d):
+    """Quads of merged organisations and journals, and of the people that articles name, wherever their records stand."""
+    found = _export(spark, d)
+    return found["organisations"].unionByName(found["journals"]).unionByName(found["people"])
+
+
+@query(f"""{_RDF} cited AS (
+  SELECT w.uri, w.part, w.title, c.uri AS cited, 'id/ref-list' || w.part AS list, row_number() OVER (PARTITION BY w.id ORDER BY l_linenumber, l_partkey) AS i, count(*) OVER (PARTITION BY w.id) AS n, 'ref-list' || w.part AS g
+  FROM lineitem JOIN work w ON w.id = 'o' || l_orderkey JOIN work c ON c.id = 'p' || l_partkey),
+quad(s, p, o, g) AS (
+  SELECT uri, unnest(['rdf:type', 'frbr:embodiment', 'dc:title', 'prism:doi', 'fabio:hasPubMedId', 'prism:isbn', 'dc:published', 'prism:publicationDate', 'foaf:primaryTopicOf']),
+    unnest([':fabio:Expression', 'id/manifestation' || part, '"' || title || '"', '"' || replace(doi, '%20', ' ') || '"', '"' || pmid || '"', '"' || isbn || '"', '"' || year || '-01-01"|date', '"' || year || '-01-01T00:00:00Z"|dateTime', url]), 'expression' || part FROM work
+  UNION ALL SELECT 'id/manifestation' || part, 'rdf:type', ':fabio:Manifestation', 'expression' || part FROM work
+  UNION ALL SELECT url, unnest(['rdf:type', 'rdf:type', 'foaf:primaryTopic']), unnest([':fabio:WebPage', ':foaf:Document', uri]), 'expression' || part FROM work WHERE url IS NOT NULL
+  UNION ALL SELECT j.uri, 'frbr:part', CASE WHEN volume IS NULL THEN w.uri ELSE 'id/journal/' || j.part || '/' || volume END, 'expression' || w.part FROM work w JOIN journal j USING (status)
+  UNION ALL SELECT 'id/journal/' || j.part || '/' || volume, unnest(['rdf:type', 'prism:volume', 'frbr:part']), unnest([':fabio:JournalVolume', '"' || volume || '"', w.uri]), 'expression' || w.part FROM work w JOIN journal j USING (status) WHERE volume IS NOT NULL
+  UNION ALL SELECT list, unnest(['rdf:type', 'co:size', 'dc:title', 'rdfs:label']), unnest([':biro:ReferenceList', '"' || n || '"|int', '"References"', '"Reference list for \\"' || title || '\\""']), g FROM cited WHERE i = 1
+  UNION ALL SELECT uri, 'frbr:part', list, g FROM cited WHERE i = 1 UNION ALL SELECT uri, 'cito:cites', cited, g FROM cited
+  UNION ALL SELECT list, unnest(['co:item', 'co:firstItem', 'co:lastItem']), unnest([list || '/' || i, CASE WHEN i = 1 THEN list || '/' || i END, CASE WHEN i = n THEN list || '/' || i END]), g FROM cited
+  UNION ALL SELECT list || '/' || i, unnest(['rdf:type', 'co:itemContent', 'co:nextItem']), unnest([':co:Item', cited, CASE WHEN i < n THEN list || '/' || (i + 1) END]), g FROM cited){_WRITTEN}""")
+def rdf_works(spark, d):
+    """Quads of merged articles, their volumes and addresses, and of their reference lists."""
+    found = _export(spark, d)
+    return found["articles"].unionByName(found["citations"])
+
+
 @query("""
 SELECT CAST(p_partkey AS VARCHAR) AS pmid, CASE WHEN p_size > 25 THEN CAST(p_size AS VARCHAR) END AS pmc, p_name AS title, CAST(1000 + p_partkey AS VARCHAR) AS first_page,
   CAST(1000 + p_partkey AS VARCHAR)[1:length(CAST(1000 + p_partkey AS VARCHAR)) - 1] || (p_size % 10) AS last_page, CAST(1990 + p_size % 20 AS VARCHAR) AS year, CASE WHEN p_size % 2 = 0 THEN 'Mar' END AS month,
