@@ -305,6 +305,18 @@ def title_token_coverage(spark, d):
     return found.select("item_id", "doc_id", F.round("coverage", 6).alias("coverage"))
 
 
+@query("""
+WITH t AS (SELECT item_id, list_distinct(list_filter(string_split_regex(lower(array_to_string(string_split(text, ' ')[1:12], ' ')), '[^a-z]+'), lambda x: x <> '')) AS t FROM benchmark),
+d AS (SELECT doc_id, unnest(list_distinct(list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda x: x <> ''))) AS word FROM documents),
+w AS (SELECT word, CAST(round(ln(1 + (SELECT count(*) FROM documents) / count(*)) * 1000000) AS BIGINT) AS w FROM d GROUP BY word),
+s AS (SELECT item_id, doc_id, CAST(sum(w) AS BIGINT) AS score FROM (SELECT item_id, unnest(t) AS word FROM t) JOIN w USING (word) JOIN d USING (word) GROUP BY 1, 2)
+SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s QUALIFY rank <= 8""")
+def title_search(spark, d):
+    """The eight documents that share most with the first twelve words of each benchmark item."""
+    titles = table(spark, d, "benchmark").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 12), " ").alias("title"))
+    return match.top_candidates(titles, table(spark, d, "documents"), "item_id", "title", "doc_id", "text")
+
+
 @query(r"""
 WITH t AS (SELECT doc_id, text || CASE WHEN doc_id % 3 = 0 THEN ' (' || (1700 + doc_id % 400) || ') ' WHEN doc_id % 3 = 1 THEN ' ' || (1700 + doc_id % 400) || '.' ELSE '' END AS s FROM documents),
 y AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(s, '\((\d{4})\)', 1), lambda x: CAST(x AS INTEGER)), lambda x: x >= 1800 AND x <= 2050) AS p,

@@ -12,8 +12,8 @@ from citeweave.functions import audit, dates, ids, text
 from citeweave.operators import enrich, graph, rdf_records, records, resolve, stats
 from citeweave.plans import registry
 from citeweave.plans.citations import query
-from citeweave.session import materialize, table, tasks
-from citeweave.sources import projection, sinks, xml
+from citeweave.session import materialize, scratch_path, table, tasks
+from citeweave.sources import projection, sinks, tars, xml
 
 
 def _articles(spark, d, whole: bool = False) -> DataFrame:
@@ -426,3 +426,13 @@ def journal_ids_and_dois(spark, d):
     doi = F.when(k == 0, F.concat(F.lit("10:1234/a"), size)).when(k == 1, F.concat(F.lit("10.1234/b"), size)).otherwise("x")
     rows = table(spark, d, "part").select("p_partkey", records.journal_identifier(issn, kind).alias("identifier"), doi.alias("doi"))
     return audit.sanitize_doi(rows).select("p_partkey", "identifier", "doi", F.size("errors").alias("n_errors"))
+
+
+@query("""
+SELECT page_id, md5(coalesce(html, '')) AS html_md5, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n_bytes FROM pages""")
+def archived_pages(spark, d):
+    """All pages written as tar archives, one a task, and read back by ranges of their members."""
+    out = scratch_path(spark, "tars")
+    tars.write(table(spark, d, "pages").select("page_id", "html").repartition(tasks(spark), "page_id"), out, "page_id", "html").agg(F.sum("members")).first()
+    found = tars.members(spark, tars.indexed(spark, out, each=4 << 20))
+    return found.select(F.col("member").cast("long").alias("page_id"), F.md5("content").alias("html_md5"), F.octet_length("content").cast("long").alias("n_bytes"))
