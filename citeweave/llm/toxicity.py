@@ -3,16 +3,15 @@
 Two bigram models, of toxic and of ordinary documents, are interpolated down to their
 continuation distributions, and these to one that both share: how many different words
 stand before a word in the whole corpus, labelled or not. That is counted for every word of
-all documents, exactly up to KEPT contexts and beyond from the KEPT least of their hashes
-(standard error 6 %), so that no word, however frequent, is more than KEPT values of a task.
-A rare expression so is as likely in both classes as the corpus says. A document's score is
-a logistic of two length-normalised comparisons of the classes' log-likelihoods: of its words
-in their contexts, and of its words backed off, where only what a word's ratio has more than
-MARGIN nats above that of a word never met counts, which passes over the noise of the many
-rare words of an ordinary text (on sf0.1 the first alone has a held-out AUC of 0.63, both more than 0.95).
+all documents, without a cap: the contexts of a word are told apart by 48 bits of their hashes. Words that are frequent in the
+labelled sample are split by their contexts' hashes, so that no word is one task's. A document's score is a logistic of one
+length-normalised comparison of the classes' log-likelihoods, of its words in their contexts: each word's ratio, less
+that of a word never met, is weighed by the evidence that the sample has for the word, in nats, and where it speaks for the
+ordinary class it counts as that of a word never met. Without that, the many words that few ordinary documents and no
+toxic one has are all that a mean of ratios sees (README has the figures).
 
 Words are 64-bit hashes. Class counts come from MAX_LABELLED labelled documents at most,
-those of least hash; an expression counts once a document, and every bigram is kept. One
+those of least hash, of texts of MAX_BYTES bytes at most; an expression counts once a document, and every bigram is kept. One
 labelled document in CALIBRATE is left out of the counts and fits the logistic. The driver
 and the tasks hold what the labelled sample has: 12 bytes for each of its bigrams, words and
 contexts. Of a word that no labelled document has, both classes have the same share of the
@@ -22,7 +21,7 @@ leave Spark.
 Nulls: a null text or label is empty, or teaches nothing; a document without words has
 the score of a ratio of 0. Ties: a doc_id labelled both ways is toxic. Repeated rows count
 and are scored each. With no labelled toxic or no ordinary document, all score 0; where
-only the documents left out lack a class, the comparisons are weighed by PLAIN and the
+only the documents left out lack a class, the comparison is weighed by PLAIN and the
 labels' odds. Texts of any length are scored whole, block by block. Columns of ``docs`` other
 than doc_id and text are never read, whatever their names.
 """
@@ -39,16 +38,16 @@ from pyspark.sql import functions as F
 from citeweave.llm.common import Emitter, give_back, keyed, mix, rows_of, text_of, unkeyed, word_hashes
 from citeweave.session import materialize
 
-MAX_LABELLED, CALIBRATE = 40_000, 5
-#: Nats above a word never met from which a backed-off ratio counts, and the least mean excess told from none.
-MARGIN, LEAST_EXCESS = 1.0, 1e-3
+MAX_LABELLED, MAX_BYTES, CALIBRATE = 40_000, 1 << 20, 5
+#: Nats of evidence at which a word's ratio counts by half, and the least mean ratio told from none.
+EVIDENCE, LEAST_EXCESS = 10.0, 1e-3
 THRESHOLD = 0.3
-#: Weights of the two comparisons where no logistic can be fitted.
-PLAIN = (0.0, 1.0)
+#: Weight of the comparison where no logistic can be fitted.
+PLAIN = 1.0
 #: The context of a text's first word.
 START = np.uint64(0x5851F42D4C957F2D)
-#: Words whose contexts a task tells apart at once, and contexts of a word that are told apart exactly.
-CHUNK_WORDS, KEPT = 3_000_000, 256
+#: Words whose contexts a task tells apart at once, and frequent words that are split by their contexts, into 64.
+CHUNK_WORDS, HOT = 3_000_000, 4096
 _CLASSES = ("t", "o")
 #: Bits of a key below those by which it is dealt: there are 64 parts.
 _PART = np.uint64(58)
@@ -89,7 +88,7 @@ def sampled(labels: DataFrame, learn: Column, most: int = MAX_LABELLED) -> DataF
 
 def labelled(docs: DataFrame, sample: DataFrame) -> DataFrame:
     """(_key, text, toxic, left_out) of the sample's documents; the sample has MAX_LABELLED rows at most."""
-    return keyed(docs, "text").join(F.broadcast(sample.withColumnRenamed("_id", "_key")), "_key")
+    return keyed(docs, "text").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= MAX_BYTES).join(F.broadcast(sample.withColumnRenamed("_id", "_key")), "_key")
 
 
 def class_counts(rows: DataFrame) -> DataFrame:
@@ -123,23 +122,33 @@ def class_counts(rows: DataFrame) -> DataFrame:
     return found.groupBy("p", "v", "w").agg(F.sum("t").cast("int").alias("t"), F.sum("o").cast("int").alias("o"))
 
 
-def _least(w: np.ndarray, h: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The different (w, h), by w, then h, of each w the ``most`` least."""
-    w, h = _distinct(w, h)
-    first = np.concatenate([[True], w[1:] != w[:-1]])
-    rank = np.arange(len(w)) - np.maximum.accumulate(np.where(first, np.arange(len(w)), 0))
-    return w[rank < most], h[rank < most]
+def frequent(counts: DataFrame, most: int = HOT) -> np.ndarray:
+    """The words that most of the sample's documents have, in order."""
+    rows = counts.groupBy("w").agg(F.sum(F.col("t") + F.col("o")).alias("n")).orderBy(F.desc("n"), "w").limit(most)
+    return np.sort(np.array([r.w for r in rows.collect()], np.int64).view(np.uint64))
 
 
-def corpus_contexts(docs: DataFrame, most: int = KEPT) -> DataFrame:
-    """(w, n): how many different words stand before w in all documents; a text's beginning is one."""
+def corpus_contexts(docs: DataFrame, hot: np.ndarray | None = None) -> DataFrame:
+    """(w, n): how many different words stand before w in all documents; a text's beginning is one.
+
+    A word among ``hot`` has a row for each part of its contexts.
+    """
     import pyarrow as pa
 
-    def sketches(w: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
-        first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-        edges = (4 * np.append(first, len(w))).astype(np.int32)
-        least = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(edges), pa.py_buffer(h.astype("<u4").tobytes())])
-        out = pa.RecordBatch.from_arrays([pa.array(w[first].view(np.int64)), least], names=["w", "least"])
+    hot = np.zeros(0, np.uint64) if hot is None else hot
+
+    def lists(w: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows (w, part, contexts of six bytes each, in order)."""
+        w, h = _distinct(w, h)
+        part = np.zeros(len(w), np.int8)
+        if len(hot):
+            split = hot[np.minimum(np.searchsorted(hot, w), len(hot) - 1)] == w
+            part[split] = 1 + (h[split] >> np.uint64(42)).astype(np.int8)
+        first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (part[1:] != part[:-1])]))
+        edges = (6 * np.append(first, len(w))).astype(np.int32)
+        data = np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+        packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(edges), pa.py_buffer(data)])
+        out = pa.RecordBatch.from_arrays([pa.array(w[first].view(np.int64)), pa.array(part[first]), packed], names=["w", "part", "before"])
         for at in range(0, len(first), 50_000):
             yield out.slice(at, 50_000)
 
@@ -149,38 +158,51 @@ def corpus_contexts(docs: DataFrame, most: int = KEPT) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 own = words_of(text_of(text))
                 if len(own):
-                    waiting.append((own, mix(contexts(own)) >> np.uint64(32)))
+                    waiting.append((own, mix(contexts(own)) >> np.uint64(16)))
                     size += len(own)
                     if size > CHUNK_WORDS:
-                        yield from sketches(*_least(*(np.concatenate(x) for x in zip(*waiting, strict=True)), most))
+                        yield from lists(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
                         waiting, size = [], 0
         if waiting:
-            yield from sketches(*_least(*(np.concatenate(x) for x in zip(*waiting, strict=True)), most))
+            yield from lists(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
         give_back()
 
     def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late_w, late_h = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # the last word, of which more may come
+        key, waiting = None, []  # the last word and part, of which more may come
 
-        def counted(w: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-            first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])) if len(w) else np.zeros(0, np.int64)
-            n, last = np.diff(np.append(first, len(w))), h[np.append(first, len(w))[1:] - 1] if len(w) else h
-            n = np.where(n < most, n, (most - 1) * 2.0**32 / (last.astype(float) + 1))
-            return pa.RecordBatch.from_arrays([pa.array(w[first].view(np.int64)), pa.array(n.astype(float))], names=["w", "n"])
+        def counted(keys: list[tuple[int, int]], n: list[int]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int64()), pa.array(n, pa.float64())], names=["w", "n"])
 
         for batch in batches:
-            least = batch.column("least")
-            edges = np.frombuffer(least.buffers()[1], np.int32)[least.offset : least.offset + len(least) + 1]
-            h = np.frombuffer(least.buffers()[2], np.uint8)[edges[0] : edges[-1]].view("<u4").astype(np.uint64)
-            w = np.repeat(batch.column("w").to_numpy().view(np.uint64), np.diff(edges) // 4)
-            w, h = _least(np.concatenate([late_w, w]), np.concatenate([late_h, h]), most)
-            done = w != w[-1]
-            yield counted(w[done], h[done])
-            late_w, late_h = w[~done], h[~done]
-        yield counted(late_w, late_h)
+            w, part = (batch.column(c).to_numpy() for c in ("w", "part"))
+            before = batch.column("before")
+            edges = np.frombuffer(before.buffers()[1], np.int32)[before.offset : before.offset + len(before) + 1]
+            data = np.frombuffer(before.buffers()[2], np.uint8)[edges[0] : edges[-1]].reshape(-1, 6)
+            h = np.zeros((len(data), 8), np.uint8)
+            h[:, :6] = data
+            h, edges = h.view("<u8").ravel(), (edges - edges[0]) // 6
+            new = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (part[1:] != part[:-1])]))
+            # Different contexts of every key of the batch at once; the first and last key may have more.
+            number = np.repeat(np.cumsum(np.isin(np.arange(len(w)), new)) - 1, np.diff(edges)).astype(np.uint64)
+            at, h = _distinct(number, h)
+            bounds = np.searchsorted(at, np.arange(len(new) + 1, dtype=np.uint64))
+            done_keys, done_n = [], []
+            for i, row in enumerate(new.tolist()):
+                own = (int(w[row]), int(part[row]))
+                if own != key:
+                    if key is not None:
+                        done_keys.append(key)
+                        done_n.append(len(np.unique(np.concatenate(waiting))) if len(waiting) > 1 else len(waiting[0]))
+                    key, waiting = own, []
+                waiting.append(h[bounds[i] : bounds[i + 1]])
+            if done_keys:
+                yield counted(done_keys, done_n)
+        if key is not None:
+            yield counted([key], [len(np.unique(np.concatenate(waiting)))])
         give_back()
 
-    found = docs.select("text").mapInArrow(gather, "w long, least binary")
-    return found.repartition("w").sortWithinPartitions("w").mapInArrow(union, "w long, n double")
+    found = docs.select("text").mapInArrow(gather, "w long, part byte, before binary")
+    return found.repartition("w", "part").sortWithinPartitions("w", "part").mapInArrow(union, "w long, n double")
 
 
 def discounts_of(n: list[int]) -> np.ndarray:
@@ -191,6 +213,17 @@ def discounts_of(n: list[int]) -> np.ndarray:
     return np.clip(raw, [0, 0.1, 0.1, 0.1], [0, 0.98, 1.9, 2.9])
 
 
+def evidence_of(t: np.ndarray, o: np.ndarray) -> np.ndarray:
+    """Nats by which a word's counts in the two classes are likelier at their own share than at that of all words."""
+    n, total = (t + o).astype(float), float(t.sum() + o.sum())
+    out = np.zeros(len(n))
+    for own in (t, o):
+        share = own.sum() / total if total else 0.0
+        some = own > 0
+        out[some] += own[some] * np.log(own[some] / (n[some] * share))
+    return np.maximum(out, 0)
+
+
 def build(counts: DataFrame, corpus: DataFrame) -> Model:
     """The log-ratios, from ``class_counts`` and ``corpus_contexts`` rows; both are read more than once.
 
@@ -198,10 +231,11 @@ def build(counts: DataFrame, corpus: DataFrame) -> Model:
     computed on the driver, and of bigrams in tasks.
     """
     session = counts.sparkSession.sparkContext
-    words = counts.groupBy("w").agg(*[F.count_if(F.col(c) > 0).cast("int").alias(c) for c in _CLASSES]).toArrow()
+    words = counts.groupBy("w").agg(*[F.count_if(F.col(c) > 0).cast("int").alias(c) for c in _CLASSES], *[F.sum(c).cast("int").alias(f"n_{c}") for c in _CLASSES]).toArrow()
     key = words.column("w").to_numpy().view(np.uint64)
     order = np.argsort(key)
     key, met = key[order], [words.column(c).to_numpy()[order] for c in _CLASSES]
+    evidence = evidence_of(*[words.column(f"n_{c}").to_numpy()[order] for c in _CLASSES])
     del words, order
     wanted = session.broadcast(key)
 
@@ -213,7 +247,7 @@ def build(counts: DataFrame, corpus: DataFrame) -> Model:
     total = float(corpus.agg(F.sum("n")).first()[0] or 1)
     found = corpus.mapInPandas(of_the_sample, "w long, n double").toArrow()
     shared = np.zeros(len(key))
-    shared[np.searchsorted(key, found.column("w").to_numpy().view(np.uint64))] = found.column("n").to_numpy() / total
+    np.add.at(shared, np.searchsorted(key, found.column("w").to_numpy().view(np.uint64)), found.column("n").to_numpy() / total)
     del found
     wanted.destroy()
     chance, unmet = [], []
@@ -222,6 +256,7 @@ def build(counts: DataFrame, corpus: DataFrame) -> Model:
         unmet.append(max(d.sum(), 1e-9) / max(n.sum(), 1))
         chance.append(np.log((n - d) / max(n.sum(), 1) + unmet[-1] * np.maximum(shared, 1e-300)))
     words = _Table(key, chance[0] - chance[1], float(np.log(unmet[0] / unmet[1])), True)
+    known = _Table(key, evidence**2 / (evidence**2 + EVIDENCE**2), 0.0, True)
     chance = [c.astype(np.float32) for c in chance]
     del met, shared, n, d
     give_back()
@@ -284,7 +319,7 @@ def build(counts: DataFrame, corpus: DataFrame) -> Model:
     pairs = _Table(keys, ratios, 0.0, True)
     held.destroy()
     give_back()
-    return Model(words, contexts_of, pairs)
+    return Model(words, known, contexts_of, pairs)
 
 
 class _Table:
@@ -302,10 +337,10 @@ class _Table:
 
 
 class Model:
-    """Log-ratios of the sample's words, contexts and bigrams, and the weights that compare a text's."""
+    """Log-ratios of the sample's words, contexts and bigrams, words' evidence, and the weights that compare a text's."""
 
-    def __init__(self, words: _Table, contexts: _Table, pairs: _Table):
-        self.words, self.contexts, self.pairs = words, contexts, pairs
+    def __init__(self, words: _Table, known: _Table, contexts: _Table, pairs: _Table):
+        self.words, self.known, self.contexts, self.pairs = words, known, contexts, pairs
         self.weights: np.ndarray | None = None
 
     def ratios(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -314,29 +349,29 @@ class Model:
         v, backed_off = contexts(words), self.words.of(different)[back].astype(float)
         return backed_off + self.contexts.of(v) + self.pairs.of(pair_keys(v, words)), backed_off
 
-    def features(self, text: str) -> list[float]:
-        """The mean ratio, and the logarithm of the mean excess of the backed-off ratios; a word never met has none."""
+    def feature(self, text: str) -> float:
+        """The logarithm of the mean of the words' ratios, by their evidence, less that of a word never met; what speaks for the ordinary class is none."""
         words = words_of(text)
         if not len(words):
-            return [0.0, float(np.log(LEAST_EXCESS))]
-        full, backed_off = self.ratios(words)
-        excess = np.maximum(backed_off - self.words.other - MARGIN, 0).mean()
-        return [float(full.mean()), float(np.log(LEAST_EXCESS + excess))]
+            return float(np.log(LEAST_EXCESS))
+        full = self.ratios(words)[0] - self.words.other
+        return float(np.log(LEAST_EXCESS + np.maximum(full * self.known.of(words), 0).mean()))
 
     def score(self, text: str) -> float:
-        x = np.array([*self.features(text), 1.0])
+        x = np.array([self.feature(text), 1.0])
         return float(1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weights of a logistic regression (last: intercept), by Newton steps."""
-    x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
+def _logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1.0) -> np.ndarray:
+    """Weights of a logistic regression (last: intercept), by Newton steps; without much to learn from all scores tend to ``share``."""
+    mean = x.mean(0)
+    x = np.column_stack([x - mean, np.ones(len(x))])
+    w, start = np.zeros(x.shape[1]), np.log(share / (1 - share))
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(start + x @ w, -30, 30)))
         h = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + ridge * np.eye(len(w))
         w += np.linalg.solve(h, x.T @ (y - p) - ridge * w)
-    return w
+    return np.append(w[:-1], start + w[-1] - w[:-1] @ mean)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_LABELLED) -> Model | None:
@@ -347,21 +382,20 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_LABEL
         return None
     rows = labelled(docs, sample)
     counts = materialize(class_counts(rows), "bigrams")
-    model = build(counts, materialize(corpus_contexts(docs), "corpus"))
+    model = build(counts, materialize(corpus_contexts(docs, frequent(counts)), "corpus"))
     held = docs.sparkSession.sparkContext.broadcast(model)
-    names = ["x0", "x1"]
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = [(key, *held.value.features(text_of(text)), int(toxic > 0)) for key, text, toxic in rows_of(batches, "_key", "text", "toxic")]
-        yield pd.DataFrame(found, columns=["_key", *names, "y"]).astype({"_key": "int64", "y": "int64"} | {c: float for c in names})
+        found = [(key, held.value.feature(text_of(text)), int(toxic > 0)) for key, text, toxic in rows_of(batches, "_key", "text", "toxic")]
+        yield pd.DataFrame(found, columns=["_key", "x", "y"]).astype({"_key": "int64", "x": float, "y": "int64"})
 
-    found = rows.where("left_out").select("_key", "text", "toxic").mapInPandas(features, "_key long, " + ", ".join(f"{c} double" for c in names) + ", y long")
-    got = found.groupBy("_key").agg(*[F.avg(c).alias(c) for c in names], F.max("y").alias("y")).toArrow().to_pandas()  # a row for each left-out document
+    found = rows.where("left_out").select("_key", "text", "toxic").mapInPandas(features, "_key long, x double, y long")
+    got = found.groupBy("_key").agg(F.avg("x").alias("x"), F.max("y").alias("y")).toArrow().to_pandas()  # a row for each left-out document
     held.destroy()
     if got["y"].nunique() == 2:
-        model.weights = _logistic(got[names].to_numpy(float), got["y"].to_numpy(float))
+        model.weights = _logistic(got[["x"]].to_numpy(float), got["y"].to_numpy(float), toxic / n)
     else:
-        model.weights = np.array([*PLAIN, np.log(toxic / (n - toxic)) - PLAIN[1] * np.log(LEAST_EXCESS)])
+        model.weights = np.array([PLAIN, np.log(toxic / (n - toxic)) - PLAIN * np.log(LEAST_EXCESS)])
     return model
 
 

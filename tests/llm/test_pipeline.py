@@ -84,5 +84,5 @@ def test_stages_take_odd_and_empty_tables(spark, odd, docs_of, name):
 
 
 def test_every_operator_has_a_query():
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {q.split("_")[0] for q in QUERIES}
     assert set(ORACLE_SQL) <= set(QUERIES)

@@ -15,7 +15,7 @@ def test_held_out_quality(spark):
     y, s = got["toxic"].to_numpy(), got["score"].to_numpy()
     rank = s.argsort().argsort() + 1
     auc = (rank[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (len(y) - y.sum()))
-    assert auc > 0.95
+    assert auc > 0.96
     assert ((s >= 0) & (s <= 1)).all() and ((s >= 0.3) == (got["predicted"] == 1)).all()
     assert (s[y == 0] >= 0.3).mean() < 0.05
 
@@ -92,16 +92,48 @@ def test_the_models_are_those_of_the_textbook(docs_of, spark):
             assert math.isclose(full[i], math.log(pair_t(v, x) / pair_o(v, x)), abs_tol=1e-5)
 
 
-def test_contexts_beyond_the_exact_ones_are_estimated(docs_of):
+def test_contexts_are_counted_exactly(docs_of):
     rows = [(i, f"c{i % 3000} often c{i % 40} seldom x{i}") for i in range(6000)]
-    got = {x.w: x.n for x in toxicity.corpus_contexts(docs_of(rows, 7)).collect()}
+    hot = np.sort(toxicity.words_of("often seldom"))
+    for split in (None, hot):
+        found = toxicity.corpus_contexts(docs_of(rows, 7), split).collect()
+        got = {}
+        for x in found:
+            got[x.w] = got.get(x.w, 0) + x.n
 
-    def n(word):
-        return got[int(toxicity.words_of(word).view(np.int64)[0])]
+        def n(word):
+            return got[int(toxicity.words_of(word).view(np.int64)[0])]
 
-    assert n("seldom") == 40 and n("x17") == 1 and n("c7") == 2  # a text's beginning, and "often"
-    assert abs(n("often") / 3000 - 1) < 0.2
-    assert len(got) == 3000 + 2 + 6000
+        assert (n("seldom"), n("x17"), n("c7"), n("often")) == (40, 1, 2, 3000)  # of c7 a text's beginning, and "often"
+        assert len(got) == 3000 + 2 + 6000 and (len(found) > len(got)) == (split is not None)
+
+
+def test_the_score_is_the_weighed_ratio(docs_of, spark):
+    """The final score by hand: evidence, one-sided mean, logistic."""
+    rows = [(i, "bad word here bad thing often" if i % 2 else "good word here fine thing often") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic long")
+    docs = docs_of(rows)
+    model = toxicity.fit(docs, labels, F.lit(True))
+    sample = {x._id: x for x in toxicity.sampled(labels, F.lit(True)).collect()}
+    kept = [(t.split(), i % 2) for i, t in rows if not sample[i].left_out]
+    pairs = {}
+    for t, y in kept:
+        for g in set(zip([None, *t], t, strict=False)):
+            pairs.setdefault(g, [0, 0])[y] += 1
+    counts = {}
+    for (_, w), (good, bad) in pairs.items():
+        have = counts.setdefault(w, [0, 0])
+        have[0], have[1] = have[0] + good, have[1] + bad
+    share = [sum(c[y] for c in counts.values()) / sum(map(sum, counts.values())) for y in (0, 1)]
+    for text in ("bad word", "good often here", "unmet bad bad", ""):
+        words, total = text.split(), 0.0
+        full = model.ratios(toxicity.words_of(text))[0] if words else []
+        for w, r in zip(words, full, strict=True):
+            e = sum(n * math.log(n / (sum(counts[w]) * share[y])) for y, n in enumerate(counts[w]) if n) if w in counts else 0
+            total += max((r - model.words.other) * e**2 / (e**2 + toxicity.EVIDENCE**2), 0)
+        x = math.log(toxicity.LEAST_EXCESS + (total / len(words) if words else 0))
+        assert math.isclose(model.score(text), 1 / (1 + math.exp(-(model.weights[0] * x + model.weights[1]))), rel_tol=1e-4)
+    assert model.weights[0] > 0
 
 
 def test_scores_follow_the_labels(docs_of, spark):
