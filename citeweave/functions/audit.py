@@ -43,10 +43,10 @@ def sanitize_volume(df: DataFrame) -> DataFrame:
 
 
 def sanitize_issue(df: DataFrame) -> DataFrame:
-    """``Pt 2`` is 2, ``4 Pt 1`` is 4."""
-    number = r"^(?:Pt\s+(.+)|(\S+)\s+Pt(?:\s.*)?)$"
-    kept = F.concat(*[F.regexp_extract("issue", number, i) for i in (1, 2)])
-    return _correct(_audited(df), F.col("issue").rlike(number), ("issue",), [kept], "the issue named its part")
+    """``Pt 2`` is 2, ``4 Pt 1`` is 4, and ``Pt 4 Pt 1`` is 4 by both corrections in turn, each with a note of its own."""
+    first, second = r"^Pt\s+(.+)$", r"^(\S+)\s+Pt(?:\s.*)?$"
+    df = _correct(_audited(df), F.col("issue").rlike(first), ("issue",), [F.regexp_extract("issue", first, 1)], "the issue named its part")
+    return _correct(df, F.col("issue").rlike(second), ("issue",), [F.regexp_extract("issue", second, 1)], "the issue named its part")
 
 
 def sanitize_doi(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: An article's fields, and the node's keys that they come from.
+# An article's fields with the node's keys that they come from, and roles.
 ARTICLE = {k: k for k in "title year month day volume issue doi pmid pmc abstract".split()} | {
     "page_start": "fpage", "page_end": "lpage", "citation": "full_citation", "pointers": "in_text_reference_pointer_count", "references": "reference_count",
     "work_type": "fabio_type", "source_type": "provenance", "url": "uri",

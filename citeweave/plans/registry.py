@@ -5,6 +5,7 @@ Everything registered is a function on DataFrames; choosing among them is left t
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -59,6 +60,11 @@ def read(spark: SparkSession, source: str, path: str) -> DataFrame:
     return SOURCES[source](spark, path)
 
 
+def _glob(pattern: str) -> str:
+    """A pattern with ``*`` as an anchored expression; every other character stands for itself."""
+    return "(?s)^" + ".*".join(re.escape(part) for part in pattern.split("*")) + "$"
+
+
 class Components:
     """Columns of a record, each from the provider that weighs most for the record's journal.
 
@@ -82,7 +88,7 @@ class Components:
             ranked = sorted(self.known.get(c, ()), key=lambda p: (-p[0], -len(p[1]), p[2]))
             if not any(p[1] == "*" for p in ranked):
                 raise ValueError(f"component {c!r} has no fallback")
-            given = [F.when(F.coalesce(F.col(journal), F.lit("")).like(pattern.replace("*", "%")) & value.isNotNull(), F.struct(value.cast("string").alias("v"), F.lit(name).alias("by"))) for _, pattern, name, value in ranked]
+            given = [F.when(F.coalesce(F.col(journal), F.lit("")).rlike(_glob(pattern)) & value.isNotNull(), F.struct(value.cast("string").alias("v"), F.lit(name).alias("by"))) for _, pattern, name, value in ranked]
             df = df.withColumn("_given", F.coalesce(*given)).withColumns({c: F.col("_given.v"), f"{c}_by": F.col("_given.by")}).drop("_given")
         return df
 

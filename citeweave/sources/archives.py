@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import gzip
 import io
 import tarfile
@@ -101,11 +102,17 @@ def id_table(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
 
 
 def topic_config(spark: SparkSession, path: str, skip: int = 4) -> DataFrame:
-    """(topic, pattern) from a table whose first rows are a heading: terms separated by commas are alternatives."""
-    rows = spark.read.option("multiLine", "true").csv(path, schema="topic string, terms string")
-    numbered = rows.withColumn("_n", F.monotonically_increasing_id()).where(F.col("_n") >= skip).where("topic IS NOT NULL AND terms IS NOT NULL")
+    """(topic, pattern) from tables of which each file's first rows are a heading: terms separated by commas are alternatives."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for text in pdf["value"]:
+                rows = [[*map(str.strip, r), "", ""][:2] for r in list(csv.reader(io.StringIO(text)))[skip:]]
+                yield pd.DataFrame([r for r in rows if all(r)], columns=["topic", "terms"])
+
+    rows = spark.read.text(path, wholetext=True).mapInPandas(run, "topic string, terms string")
     pattern = F.array_join(F.transform(F.split("terms", ","), lambda t: F.trim(t)), "|")
-    return numbered.select("topic", F.concat(F.lit("(?i)"), pattern).alias("pattern"))
+    return rows.select("topic", F.concat(F.lit("(?i)"), pattern).alias("pattern"))
 
 
 def changed_files(source: DataFrame, target: DataFrame) -> DataFrame:
