@@ -15,9 +15,6 @@ from citeweave.session import scratch_path, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-LISTED_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
-
-
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer's file; a cluster has them at the same place on every machine."""
     import public_tokenizers
@@ -59,10 +56,9 @@ def op6_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list: the urls of pages on sites with one of LISTED_SITES' names."""
+    """The list: of the canonical urls of all pages, those whose MD5 begins with 0, a sixteenth."""
     pages = table(spark, sf_dir, "pages")
-    site = F.concat(F.lit("."), urls.host_of(urls.after_scheme("url")), F.lit("."))
-    return urls.judge(pages, pages.where(site.rlike(r"[.](" + "|".join(LISTED_SITES) + r")[.]")).select("url"))
+    return urls.judge(pages, pages.where(F.md5(urls.canonical(urls.after_scheme("url")).cast("binary")).startswith("0")).select("url"))
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,8 +116,7 @@ ruled AS (
   SELECT page_id, max_by(h || p, length(h || p)) AS rule, max_by(verdict, length(h || p)) AS verdict
   FROM named JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id),
 listed AS (
-  SELECT DISTINCT name FROM named
-  WHERE name <> '' AND regexp_matches('.' || host || '.', '[.](ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)[.]'))
+  SELECT DISTINCT name FROM named WHERE name <> '' AND md5(name)[1] = '0')
 SELECT n.page_id, n.host, n.path, r.rule, coalesce(r.verdict, CASE WHEN n.name IN (SELECT name FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
 FROM named n LEFT JOIN ruled r USING (page_id)
 """
