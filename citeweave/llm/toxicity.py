@@ -122,35 +122,69 @@ def class_counts(rows: DataFrame) -> DataFrame:
     return found.groupBy("p", "v", "w").agg(F.sum("t").cast("int").alias("t"), F.sum("o").cast("int").alias("o"))
 
 
+def known_words(counts: DataFrame) -> np.ndarray:
+    """The words of the labelled sample, in order."""
+    return np.sort(counts.select("w").distinct().toArrow().column("w").to_numpy().view(np.uint64))
+
+
 def frequent(counts: DataFrame, most: int = HOT) -> np.ndarray:
     """The words that most of the sample's documents have, in order."""
     rows = counts.groupBy("w").agg(F.sum(F.col("t") + F.col("o")).alias("n")).orderBy(F.desc("n"), "w").limit(most)
     return np.sort(np.array([r.w for r in rows.collect()], np.int64).view(np.uint64))
 
 
-def corpus_contexts(docs: DataFrame, hot: np.ndarray | None = None) -> DataFrame:
-    """(w, n): how many different words stand before w in all documents; a text's beginning is one.
+def _varints(values: np.ndarray) -> bytes:
+    """Whole numbers, seven bits a byte, the lowest first."""
+    left, out, at = values.astype(np.uint64), [], np.arange(len(values))
+    while len(left):
+        more = left > 127
+        out.append((at, (left & np.uint64(127)).astype(np.uint8) | np.where(more, 128, 0).astype(np.uint8)))
+        left, at = left[more] >> np.uint64(7), at[more]
+    if not out:
+        return b""
+    place = np.concatenate([x for x, _ in out])
+    return np.concatenate([y for _, y in out])[np.argsort(place, kind="stable")].tobytes()
+
+
+def _unvarints(data: np.ndarray) -> np.ndarray:
+    ends = np.flatnonzero(data < 128)
+    starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+    place = np.arange(len(data)) - np.repeat(starts, ends - starts + 1)
+    return np.add.reduceat((data & 127).astype(np.int64) << (7 * place), starts) if len(ends) else ends.astype(np.int64)
 
-    A word among ``hot`` has a row for each part of its contexts.
+
+def corpus_contexts(docs: DataFrame, words: np.ndarray, hot: np.ndarray | None = None) -> DataFrame:
+    """(w, n): how many different words stand before w in all documents, for each of ``words``; a text's beginning is one.
+
+    A word among ``hot`` has a row for each part of its contexts. Rows without a word count all others' contexts together.
+    Tasks hand on buckets of packed numbers: words' places in ``words``, one byte mostly, and six bytes of a context's hash.
     """
     import pyarrow as pa
 
-    hot = np.zeros(0, np.uint64) if hot is None else hot
+    session = docs.sparkSession
+    buckets = max(64, int(session.conf.get("spark.sql.shuffle.partitions")))
+    held = session.sparkContext.broadcast((words, np.zeros(0, np.uint64) if hot is None else hot))
 
-    def lists(w: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Rows (w, part, contexts of six bytes each, in order)."""
+    def packed(w: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
+        words, hot = held.value
         w, h = _distinct(w, h)
-        part = np.zeros(len(w), np.int8)
-        if len(hot):
-            split = hot[np.minimum(np.searchsorted(hot, w), len(hot) - 1)] == w
-            part[split] = 1 + (h[split] >> np.uint64(42)).astype(np.int8)
-        first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (part[1:] != part[:-1])]))
-        edges = (6 * np.append(first, len(w))).astype(np.int32)
-        data = np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
-        packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(edges), pa.py_buffer(data)])
-        out = pa.RecordBatch.from_arrays([pa.array(w[first].view(np.int64)), pa.array(part[first]), packed], names=["w", "part", "before"])
-        for at in range(0, len(first), 50_000):
-            yield out.slice(at, 50_000)
+        at = np.searchsorted(words, w)
+        known = words[np.minimum(at, len(words) - 1)] == w if len(words) else np.zeros(len(w), bool)
+        split = hot[np.minimum(np.searchsorted(hot, w), len(hot) - 1)] == w if len(hot) else np.zeros(len(w), bool)
+        pair = mix(mix(w) + h)
+        bucket = (np.where(known & ~split, mix(w), pair) >> np.uint64(32)) % np.uint64(buckets)
+        rows = []
+        for mine in (known, ~known):
+            order = np.flatnonzero(mine)
+            order = order[np.argsort(bucket[order], kind="stable")]
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64)).tolist()
+            hashes = np.ascontiguousarray((h if mine is known else pair & np.uint64(2**48 - 1))[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+            for b, (low, high) in enumerate(zip(edges, edges[1:], strict=False)):
+                if low < high:
+                    places = _varints(np.diff(at[order[low:high]], prepend=0)) if mine is known else None
+                    rows.append((b, places, hashes[low:high].tobytes()))
+        for low in range(0, len(rows), 200):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[low : low + 200], strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "places", "hashes"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
@@ -161,48 +195,46 @@ def corpus_contexts(docs: DataFrame, hot: np.ndarray | None = None) -> DataFrame
                     waiting.append((own, mix(contexts(own)) >> np.uint64(16)))
                     size += len(own)
                     if size > CHUNK_WORDS:
-                        yield from lists(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+                        yield from packed(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
                         waiting, size = [], 0
         if waiting:
-            yield from lists(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+            yield from packed(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
         give_back()
 
-    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, waiting = None, []  # the last word and part, of which more may come
+    def hashes_of(data: pa.Scalar) -> np.ndarray:
+        out = np.zeros((len(data.as_py()) // 6, 8), np.uint8)
+        out[:, :6] = np.frombuffer(data.as_py(), np.uint8).reshape(-1, 6)
+        return out.view("<u8").ravel()
+
+    def counted(known: list, others: list) -> pa.RecordBatch:
+        """One bucket: its different contexts by word, and of all other words together."""
+        at, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if known:
+            at, h = (np.concatenate(x) for x in zip(*known, strict=True))
+            at, n = np.unique(_distinct(at.astype(np.uint64), h)[0], return_counts=True)
+        rest = len(np.unique(np.concatenate(others))) if others else 0
+        w = pa.concat_arrays([pa.array(held.value[0][at.astype(np.int64)].view(np.int64)), pa.array([None], pa.int64())])
+        return pa.RecordBatch.from_arrays([w, pa.array(np.append(n, rest).astype(float))], names=["w", "n"])
 
-        def counted(keys: list[tuple[int, int]], n: list[int]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int64()), pa.array(n, pa.float64())], names=["w", "n"])
-
-        for batch in batches:
-            w, part = (batch.column(c).to_numpy() for c in ("w", "part"))
-            before = batch.column("before")
-            edges = np.frombuffer(before.buffers()[1], np.int32)[before.offset : before.offset + len(before) + 1]
-            data = np.frombuffer(before.buffers()[2], np.uint8)[edges[0] : edges[-1]].reshape(-1, 6)
-            h = np.zeros((len(data), 8), np.uint8)
-            h[:, :6] = data
-            h, edges = h.view("<u8").ravel(), (edges - edges[0]) // 6
-            new = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (part[1:] != part[:-1])]))
-            # Different contexts of every key of the batch at once; the first and last key may have more.
-            number = np.repeat(np.cumsum(np.isin(np.arange(len(w)), new)) - 1, np.diff(edges)).astype(np.uint64)
-            at, h = _distinct(number, h)
-            bounds = np.searchsorted(at, np.arange(len(new) + 1, dtype=np.uint64))
-            done_keys, done_n = [], []
-            for i, row in enumerate(new.tolist()):
-                own = (int(w[row]), int(part[row]))
-                if own != key:
-                    if key is not None:
-                        done_keys.append(key)
-                        done_n.append(len(np.unique(np.concatenate(waiting))) if len(waiting) > 1 else len(waiting[0]))
-                    key, waiting = own, []
-                waiting.append(h[bounds[i] : bounds[i + 1]])
-            if done_keys:
-                yield counted(done_keys, done_n)
-        if key is not None:
-            yield counted([key], [len(np.unique(np.concatenate(waiting)))])
+    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, known, others = None, [], []
+        for batch in batches:  # sorted by bucket
+            for bucket, places, hashes in zip(batch.column("bucket").to_pylist(), batch.column("places"), batch.column("hashes"), strict=True):
+                if bucket != now:
+                    if now is not None:
+                        yield counted(known, others)
+                    now, known, others = bucket, [], []
+                h = hashes_of(hashes)
+                if places.is_valid:
+                    known.append((np.cumsum(_unvarints(np.frombuffer(places.as_py(), np.uint8))), h))
+                else:
+                    others.append(h)
+        if now is not None:
+            yield counted(known, others)
         give_back()
 
-    found = docs.select("text").mapInArrow(gather, "w long, part byte, before binary")
-    return found.repartition("w", "part").sortWithinPartitions("w", "part").mapInArrow(union, "w long, n double")
+    found = docs.select("text").mapInArrow(gather, "bucket int, places binary, hashes binary")
+    return found.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(union, "w long, n double")
 
 
 def discounts_of(n: list[int]) -> np.ndarray:
@@ -237,19 +269,14 @@ def build(counts: DataFrame, corpus: DataFrame) -> Model:
     key, met = key[order], [words.column(c).to_numpy()[order] for c in _CLASSES]
     evidence = evidence_of(*[words.column(f"n_{c}").to_numpy()[order] for c in _CLASSES])
     del words, order
-    wanted = session.broadcast(key)
-
-    def of_the_sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            w = pdf["w"].to_numpy(np.int64).view(np.uint64)
-            yield pdf[wanted.value[np.minimum(np.searchsorted(wanted.value, w), len(wanted.value) - 1)] == w] if len(wanted.value) else pdf[:0]
-
     total = float(corpus.agg(F.sum("n")).first()[0] or 1)
-    found = corpus.mapInPandas(of_the_sample, "w long, n double").toArrow()
+    found = corpus.where("w IS NOT NULL").toArrow()  # of the sample's words
+    w, n = found.column("w").to_numpy().view(np.uint64), found.column("n").to_numpy()
     shared = np.zeros(len(key))
-    np.add.at(shared, np.searchsorted(key, found.column("w").to_numpy().view(np.uint64)), found.column("n").to_numpy() / total)
-    del found
-    wanted.destroy()
+    if len(key):
+        at = np.minimum(np.searchsorted(key, w), len(key) - 1)
+        np.add.at(shared, at[key[at] == w], n[key[at] == w] / total)
+    del found, w, n
     chance, unmet = [], []
     for n in met:
         d = discounts_of([(n == k).sum() for k in range(1, 5)])[np.minimum(n, 3)]
@@ -382,7 +409,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_LABEL
         return None
     rows = labelled(docs, sample)
     counts = materialize(class_counts(rows), "bigrams")
-    model = build(counts, materialize(corpus_contexts(docs, frequent(counts)), "corpus"))
+    model = build(counts, materialize(corpus_contexts(docs, known_words(counts), frequent(counts)), "corpus"))
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
