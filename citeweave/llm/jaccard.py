@@ -17,7 +17,7 @@ with the square of a component's different texts, as its links may. No task has
 long list or of a large component: members of lists that are known to be long are dealt by
 list and set, and tables of one row a list are broadcast up to FEW rows and salted beyond.
 
-Nulls: a null text is empty; an empty set is linked with nothing and is a component of
+Nulls: an empty table gives an empty one; a null text is empty; an empty set is linked with nothing and is a component of
 its own doc_id. Ties: the least doc_id names a component. Rows that repeat a doc_id are one
 document, and linked. Very long texts are sets like others. Columns other than doc_id and
 text are never read. Sets are told apart by 64-bit hashes: of 2 * 10**10 different sets,

@@ -19,7 +19,7 @@ grouping. A character without a piece scores less than any piece and becomes its
 bytes. Of equal scores the path whose last piece is longest wins, in chunks as in whole texts.
 
 Nulls: a null text is empty and has no ids. A U+2581 in a text is read as a blank.
-Repeated rows are encoded each. Columns other than doc_id and text are never read.
+Repeated rows are encoded each. An empty table gives an empty one. Columns other than doc_id and text are never read.
 """
 
 from __future__ import annotations

@@ -23,18 +23,22 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of every text, and the spans that the automata add."""
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
 def op2_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and how alike they are."""
     return winnow.compare_edited(table(spark, sf_dir, "documents"))
 
 
 def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's ids, from the files that they were written to."""
     return tokens.write_and_read(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted languages; languages of one fold in three are never read."""
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
     found = language.identify(docs, language.fit(docs, ~held_out))
@@ -42,6 +46,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every text; labels of one fold in four are never read."""
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
     found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out))
@@ -77,6 +82,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every text benchmark windows cover, and of which items."""
     return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 

@@ -12,7 +12,7 @@ A segment is one row of a Parquet table with its range of doc_id and id counts b
 it, so that any store that Spark writes will do and a lookup reads few segments.
 
 Nulls: a null text is empty and has only the end id; a null doc_id comes before all
-others. Rows that repeat a doc_id follow each other, in the order of their frames. An
+others. Ties: of sampled documents with one hash the least id goes first. Rows that repeat a doc_id follow each other, in the order of their frames. An
 empty table gives no segment. Of a very long text a task holds the ids and, at a time, the
 words of one block. Columns other than doc_id and text are never read.
 """

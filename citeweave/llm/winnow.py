@@ -7,7 +7,9 @@ texts that share a run of w + k - 1 code points share a fingerprint.
 Nulls: a null text is empty, and an empty text has an empty fingerprint; two empty
 fingerprints are alike (1.0). A text shorter than k is one gram. A null doc_id comes
 before all others. Rows that repeat a doc_id are each fingerprinted; the next document
-is the least text of the next larger doc_id (after the largest: of the least).
+is the least text of the next larger doc_id (after the largest: of the least). An empty
+table gives an empty one; one document is its own next. Very long texts are hashed whole, in
+blocks of BLOCK windows. Columns other than doc_id and text are never read, whatever their names.
 """
 
 from __future__ import annotations
