@@ -39,8 +39,8 @@ from citeweave.llm.common import Emitter, give_back, keyed, mix, rows_of, text_o
 from citeweave.session import materialize
 
 MAX_LABELLED, MAX_BYTES, CALIBRATE = 40_000, 1 << 20, 5
-#: Nats of evidence at which a word's ratio counts by half, and the least mean ratio told from none.
-EVIDENCE, LEAST_EXCESS = 10.0, 1e-3
+#: Nats of evidence below which a word's ratio counts nothing, and at which it counts by half; the least mean ratio told from none.
+LEAST_EVIDENCE, EVIDENCE, LEAST_EXCESS = 2.0, 10.0, 1e-3
 THRESHOLD = 0.3
 #: Weight of the comparison where no logistic can be fitted.
 PLAIN = 1.0
@@ -283,7 +283,8 @@ def build(counts: DataFrame, corpus: DataFrame) -> Model:
         unmet.append(max(d.sum(), 1e-9) / max(n.sum(), 1))
         chance.append(np.log((n - d) / max(n.sum(), 1) + unmet[-1] * np.maximum(shared, 1e-300)))
     words = _Table(key, chance[0] - chance[1], float(np.log(unmet[0] / unmet[1])), True)
-    known = _Table(key, evidence**2 / (evidence**2 + EVIDENCE**2), 0.0, True)
+    some = evidence >= LEAST_EVIDENCE
+    known = _Table(key[some], evidence[some] ** 2 / (evidence[some] ** 2 + EVIDENCE**2), 0.0, True)
     chance = [c.astype(np.float32) for c in chance]
     del met, shared, n, d
     give_back()
@@ -381,8 +382,13 @@ class Model:
         words = words_of(text)
         if not len(words):
             return float(np.log(LEAST_EXCESS))
-        full = self.ratios(words)[0] - self.words.other
-        return float(np.log(LEAST_EXCESS + np.maximum(full * self.known.of(words), 0).mean()))
+        different, back = np.unique(words, return_inverse=True)
+        weight = self.known.of(different)
+        some = np.flatnonzero(weight[back] > 0)  # the others' ratios count nothing
+        v, own, back = contexts(words)[some], words[some], back[some]
+        low = self.words.of(different).astype(float)[back] - self.words.other
+        full = low + self.contexts.of(v) + self.pairs.of(pair_keys(v, own))
+        return float(np.log(LEAST_EXCESS + np.maximum(full * weight[back], 0).sum() / len(words)))
 
     def score(self, text: str) -> float:
         x = np.array([self.feature(text), 1.0])

@@ -133,7 +133,7 @@ def test_the_score_is_the_weighed_ratio(docs_of, spark):
         full = model.ratios(toxicity.words_of(text))[0] if words else []
         for w, r in zip(words, full, strict=True):
             e = sum(n * math.log(n / (sum(counts[w]) * share[y])) for y, n in enumerate(counts[w]) if n) if w in counts else 0
-            total += max((r - model.words.other) * e**2 / (e**2 + toxicity.EVIDENCE**2), 0)
+            total += max((r - model.words.other) * e**2 / (e**2 + toxicity.EVIDENCE**2), 0) if e >= toxicity.LEAST_EVIDENCE else 0
         x = math.log(toxicity.LEAST_EXCESS + (total / len(words) if words else 0))
         assert math.isclose(model.score(text), 1 / (1 + math.exp(-(model.weights[0] * x + model.weights[1]))), rel_tol=1e-4)
     assert model.weights[0] > 0
