@@ -2,7 +2,11 @@
 
 import random
 
-from citeweave.operators import resolve
+from pyspark.sql import functions as F
+
+from citeweave.functions import similarity
+from citeweave.operators import graph, match, resolve
+from citeweave.session import tasks
 
 
 def test_pairs_of_frequent_keys_are_not_shuffled(spark, monkeypatch):
@@ -17,3 +21,19 @@ def test_pairs_of_frequent_keys_are_not_shuffled(spark, monkeypatch):
     assert len(got) == len(want) and set(got) == want
     plan = found._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
     assert "Aggregate" not in plan
+
+
+def test_distances_of_packs_are_those_of_pairs(spark, monkeypatch):
+    """All fields, with copies, nulls and names whose likeness has a direction; and as many tasks as asked for, however small the records."""
+    r = random.Random(6)
+    fields = {"title": "t", "author": "p", "volume": "v", "year": "y", "uri": "u"}
+    rows = [(i, r.choice("bc"), r.choice(["one", "two", None, "onto"]), r.choice(["Smith J", "J Smith", "Smith John, Lee A", "Lee AB", ""]), r.choice(["1", "12", ""]), r.choice(["1990", "1700", "1993"]), r.choice(["http://a", "http://b", None])) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, k string, t string, p string, v string, y string, u string")
+    x, y = df.alias("x"), df.alias("y")
+    d = similarity.distance(*[{k: F.col(f"{s}.{c}") for k, c in fields.items()} for s in "xy"])
+    want = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id"), F.col("y.id"), d)
+    monkeypatch.setattr(match, "PART", 9)
+    monkeypatch.setattr(match, "PACK", 3)
+    found = match.distances(df, ["k"], "id", fields)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    assert found.rdd.getNumPartitions() >= tasks(spark)
