@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeweave.session import materialize
+from citeweave.session import materialize, tasks
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -121,19 +121,24 @@ LOCAL_PAIRS = 500_000
 def recluster(pairs: DataFrame, members: DataFrame, threshold: float = 0.9, local_pairs: int = LOCAL_PAIRS) -> DataFrame:
     """(group, id, cluster): a group's members within ``threshold`` of a seed along shortest paths; seeds: the least left.
 
-    members(group, id), pairs(group, a, b, distance). No path leaves a component of the
-    pairs within the threshold, so components are clustered by themselves, all at once: one of up
-    to ``local_pairs`` pairs in a task, a larger one in rounds over all large ones. A member
-    without such a pair is a cluster.
+    members(group, id), pairs(group, a, b, distance). A group of up to ``local_pairs`` pairs within the
+    threshold is clustered in a task. No path leaves a component of these pairs, so larger groups are
+    cut into components, clustered all at once: one of up to ``local_pairs`` pairs in a task, a larger
+    one in rounds over all large ones. A member without such a pair is a cluster.
     """
     members = materialize(members.select("group", "id").distinct(), "members")
     near = pairs.where((F.col("distance") <= threshold) & (F.col("a") != F.col("b"))).select("group", "a", "b", "distance")
     near = materialize(near, "pairs")
+    counts = near.groupBy("group").agg(F.count("*").alias("n"))
+    whole = near.join(counts.where(F.col("n") <= local_pairs), "group").drop("n")
+    near = near.join(counts.where(F.col("n") > local_pairs), "group").drop("n")
     node = [F.struct("group", F.col(c).alias("id")) for c in ("a", "b")]
-    parts = connected_components(near.select(node[0].alias("src"), node[1].alias("dst"))).select(F.col("node.group").alias("group"), F.col("node.id").alias("id"), "component")
-    near = near.join(parts.withColumnRenamed("id", "a"), ["group", "a"])
-    sizes = near.groupBy("component").agg(F.count("*").alias("size"))
-    near = materialize(near.join(sizes, "component"), "pairs")
+    few = near.isEmpty()
+    if not few:
+        parts = connected_components(near.select(node[0].alias("src"), node[1].alias("dst"))).select(F.col("node.group").alias("group"), F.col("node.id").alias("id"), "component")
+        near = near.join(parts.withColumnRenamed("id", "a"), ["group", "a"])
+        sizes = near.groupBy("component").agg(F.count("*").alias("size"))
+        near = materialize(near.join(sizes, "component"), "pairs")
     kind = dict(members.dtypes)
     schema = f"`group` {kind['group']}, id {kind['id']}, cluster {kind['id']}"
 
@@ -154,9 +159,12 @@ def recluster(pairs: DataFrame, members: DataFrame, threshold: float = 0.9, loca
                             heapq.heappush(heap, (d + step, y))
         return pd.DataFrame({"group": rows["group"].iloc[0], "id": list(cluster), "cluster": list(cluster.values())})
 
-    small = near.where(F.col("size") <= local_pairs).select("component", "group", "a", "b", "distance").groupBy("component").applyInPandas(grown, schema)
-    large = _grown_in_rounds(near.where(F.col("size") > local_pairs), threshold)
-    found = materialize(small if large is None else small.unionByName(large), "clusters")
+    found = whole.repartition(tasks(whole.sparkSession), "group").groupBy("group").applyInPandas(grown, schema)
+    if not few:
+        found = found.unionByName(near.where(F.col("size") <= local_pairs).select("component", "group", "a", "b", "distance").groupBy("component").applyInPandas(grown, schema))
+        large = _grown_in_rounds(near.where(F.col("size") > local_pairs), threshold)
+        found = found if large is None else found.unionByName(large)
+    found = materialize(found, "clusters")
     return members.join(found, ["group", "id"], "left").select("group", "id", F.coalesce("cluster", "id").alias("cluster"))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from citeweave.functions import audit, dates, ids, similarity, tex, text, urls
 from citeweave.operators import graph, match, rdf, resolve, stats, vote, windows
 from citeweave.search.request import Clause, SearchRequest, search, suggest
-from citeweave.session import table
+from citeweave.session import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -461,11 +461,14 @@ def email_author_fixpoint(spark, d):
 
 @query()
 def recluster_components(spark, d):
-    p = table(spark, d, "part")
-    pairs = match.distances(p, ["p_brand", "p_size"], "p_partkey", {"title": "p_name", "source": "p_type"})
-    group = p.select(F.concat_ws("/", "p_brand", "p_size").alias("group"), F.col("p_partkey").alias("id"))
-    pairs = pairs.join(group.withColumnRenamed("id", "a"), "a").select("group", "a", "b", "distance")
-    return graph.recluster(pairs, group, 0.9)
+    """Parts of a brand and size; those without distance to each other are one to the pairs, the least of them, and share its cluster."""
+    p, block, fields = table(spark, d, "part"), ["p_brand", "p_size"], {"title": "p_name", "source": "p_type"}
+    group = p.select(F.concat_ws("/", *block).alias("group"), F.col("p_partkey").alias("id"))
+    same = materialize(match.representatives(p, block, "p_partkey", fields).distinct().join(group.distinct(), "id"), "same")
+    least = p.join(same.where("id = least").select(F.col("id").alias("p_partkey")), "p_partkey", "left_semi")
+    pairs = match.distances(least, block, "p_partkey", fields).where("distance <= 0.9").join(group.withColumnRenamed("id", "a"), "a").select("group", "a", "b", "distance")
+    found = graph.recluster(pairs, same.select("group", F.col("least").alias("id")), 0.9).withColumnRenamed("id", "least")
+    return same.join(found, ["group", "least"]).select("group", "id", "cluster")
 
 
 @query("""

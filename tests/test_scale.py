@@ -37,3 +37,14 @@ def test_distances_of_packs_are_those_of_pairs(spark, monkeypatch):
     found = match.distances(df, ["k"], "id", fields)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
     assert found.rdd.getNumPartitions() >= tasks(spark)
+
+
+def test_copies_are_clustered_as_one_and_small_groups_without_rounds(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "b" if i < 30 else None, f"name {i % 5}" if i % 7 else None) for i in range(40)], "id long, k string, t string")
+    least = {x.id: x.least for x in match.representatives(df, ["k"], "id", {"title": "t"}).collect()}
+    assert least == {i: min(j for j in range(30) if j % 7 and j % 5 == i % 5) if i < 30 and i % 7 else i for i in range(40)}
+    monkeypatch.setattr(graph, "connected_components", lambda *_: 1 / 0)
+    pairs = spark.createDataFrame([("g", 1, 2, 0.5), ("g", 2, 3, 0.3), ("g", 3, 4, 0.3), ("h", 1, 2, 1.5)], "group string, a long, b long, distance double")
+    members = spark.createDataFrame([(g, i) for g in "gh" for i in range(1, 5)], "group string, id long")
+    got = {(x.group, x.id): x.cluster for x in graph.recluster(pairs, members).collect()}
+    assert got == {("g", 1): 1, ("g", 2): 1, ("g", 3): 1, ("g", 4): 4} | {("h", i): i for i in range(1, 5)}
