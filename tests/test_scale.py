@@ -48,3 +48,21 @@ def test_copies_are_clustered_as_one_and_small_groups_without_rounds(spark, monk
     members = spark.createDataFrame([(g, i) for g in "gh" for i in range(1, 5)], "group string, id long")
     got = {(x.group, x.id): x.cluster for x in graph.recluster(pairs, members).collect()}
     assert got == {("g", 1): 1, ("g", 2): 1, ("g", 3): 1, ("g", 4): 4} | {("h", i): i for i in range(1, 5)}
+
+
+def test_a_frequent_author_is_not_paired_with_all_references(spark, monkeypatch):
+    r = random.Random(3)
+    vocabulary = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(8)]
+    works = [(f"{i}", " ".join(r.choices(vocabulary, k=3)), r.choice([1995, 1996])) for i in range(150)]
+    refs = [(i, f"Xx, {' '.join(r.choices(vocabulary, k=2) + t.split()[i % 2 :])} ({y})") for i, (_, t, y) in enumerate(works)]
+    seen, plain = [], match.year_band_join
+    monkeypatch.setattr(match, "year_band_join", lambda *a: (seen.append(plain(*a)), seen[-1])[1])
+    args = spark.createDataFrame(refs, "ref_id int, ref_string string"), spark.createDataFrame(works, "work_id string, title string, year int"), spark.createDataFrame([(w, "Xx") for w, _, _ in works], "work_id string, author string")
+    got = {x.ref_id: (x.target, x.how) for x in match.match_references(*args, coverage=0.7).collect()}
+    want = {}
+    for i, text in refs:
+        held, year = set(text.replace(",", "").split()), int(text[-5:-1])
+        fit = [w for w, t, y in works if year - 2 <= y <= year and len(set(t.split()) & held) / 3 > 0.7]
+        want |= {i: (min(fit), "title")} if fit else {}
+    assert got == want and len(got) > 50
+    assert seen[0].count() < 150 * 150 / 4
