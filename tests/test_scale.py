@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from citeweave.functions import similarity
-from citeweave.operators import graph, match, resolve
+from citeweave.operators import graph, match, records, resolve
 from citeweave.session import tasks
 
 
@@ -66,3 +66,12 @@ def test_a_frequent_author_is_not_paired_with_all_references(spark, monkeypatch)
         want |= {i: (min(fit), "title")} if fit else {}
     assert got == want and len(got) > 50
     assert seen[0].count() < 150 * 150 / 4
+
+
+def test_journals_shuffle_no_citations(spark):
+    rows = spark.createDataFrame([("d", "j", "journal", {"title": "J"})], "doc string, id string, type string, data map<string,string>")
+    none = F.create_map().cast("map<string,string>")
+    edges = [spark.range(1).select(F.lit("d").alias("doc"), F.lit(k).alias("type"), F.lit("j").alias("source"), F.lit("p").alias("target"), none.alias("data")) for k in ("publisher", "cites")]
+    found = records.journals(rows, edges[0].unionByName(edges[1]))
+    assert [(x.name, x.publisher) for x in found.collect()] == [("J", "p")]
+    assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
