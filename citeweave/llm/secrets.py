@@ -11,9 +11,12 @@ kind ``format`` where its score is more than a threshold: that of a token in RAR
 credential, or, where ordinary tokens of about its length look like credentials, what all but one in
 ORDINARY_ABOVE of held-out ones have. Lengths are told apart by powers of two.
 
-The automata are fitted on SAMPLE values of each label and the threshold on HELD_OUT ordinary
-tokens, those of least hash of all documents; values of more than LONGEST characters teach
-nothing but are scored. Nulls: a null text is empty. Ties: spans with one start stand in the
+All different values of all documents teach, whatever their length and number; Spark counts them.
+Values that read alike in character classes are one string with a count. The states come from the
+part of the prefix tree that one in STATES of a label's values or more pass, DEPTH characters deep, with the
+exact counts of its exits; it has at most STATES nodes of each depth, however many values there are, and what is rarer could not be
+told apart. Then every string is walked, and the automata's probabilities are the exact counts of all
+values. The thresholds are of all ordinary values too, each scored as if it had not been counted. Nulls: a null text is empty. Ties: spans with one start stand in the
 order of KINDS. Repeated rows are scanned each by itself. No credentials: no automata, base
 spans only. An empty table gives an empty one. Very long texts are scanned whole. Other columns may have any names.
 """
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.llm.common import give_back, keyed, rows_of, text_of, unkeyed
-from citeweave.session import materialize
+from citeweave.session import materialize, tasks
 
 KINDS = ("assign", "access", "hex", "format")
 
@@ -50,18 +53,24 @@ _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 _TOKEN = "[A-Za-z0-9+/_.=-]"
 _HINTS = ("password", "passwd", "secret", "token", "api")
 
-#: Credentials of each kind, and ordinary tokens, that the automata are fitted on; ordinary tokens for the threshold.
-SAMPLE, HELD_OUT = 2000, 20_000
-#: Characters of a value that teaches, and of the shortest token that can be a candidate.
-LONGEST, SHORTEST = 256, 6
-#: Confidence of the merge test; tokens among which one bare credential is expected, and held-out ones of which one may be above the threshold.
+#: One in so many of a label's values must pass a node of the prefix tree for it to be told apart; how deep the tree is.
+STATES, DEPTH = 100, 256
+#: Counts taken out of each transition when an ordinary value, which is among those counted, is scored for the thresholds.
+HELD_OUT = 1
+#: Characters of the shortest token that can be a candidate.
+SHORTEST = 6
+#: Confidence of the merge test; tokens among which one bare credential is expected, and ordinary ones of which one may be above the threshold.
 ALPHA, RARITY, ORDINARY_ABOVE = 0.05, 100_000, 100
-#: Tokens whose verdicts a task remembers.
-MOST_KNOWN = 1 << 20
+#: Tokens whose verdicts a task remembers; characters of values that a task holds to give out each once.
+MOST_KNOWN, MOST_HELD = 1 << 20, 16 << 20
+#: Steps of the scores that thresholds are found among, of which so many multiply a score by e.
+STEPS = 512
 
 _CLASSES = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "+/", "_", ".", "=", "-")
 _CLASS = {c: i for i, members in enumerate(_CLASSES) for c in members}
 _END = len(_CLASSES)
+#: What stands for a class in the strings that values are counted as: its first character.
+_FROM, _TO = "".join(_CLASSES), "".join(members[0] * len(members) for members in _CLASSES)
 _CLASS_TABLE = bytes(_CLASS.get(chr(c), 0) for c in range(256))
 
 
@@ -94,25 +103,34 @@ def candidates(text: str, taken: list[tuple[int, int, int, str]], token: re.Patt
 class Automaton:
     """Deterministic probabilistic automaton over character classes, inferred by state merging."""
 
-    def __init__(self, values: list[str], alpha: float = ALPHA):
-        self.count, self.ends = [0], [0]
-        self.follow: list[dict[int, int]] = [{}]
-        self.taken: list[dict[int, int]] = [{}]
-        for v in values:
-            s = 0
-            self.count[0] += 1
-            for c in map(_CLASS.__getitem__, v):
-                if c not in self.follow[s]:
-                    self.follow[s][c] = len(self.count)
-                    self.count.append(0)
-                    self.ends.append(0)
-                    self.follow.append({})
-                    self.taken.append({})
-                self.taken[s][c] = self.taken[s].get(c, 0) + 1
-                s = self.follow[s][c]
-                self.count[s] += 1
-            self.ends[s] += 1
+    def __init__(self, values: Iterable[str] = (), alpha: float = ALPHA, exits: dict[str, list[int]] | None = None):
+        """exits: how many values leave each node of the prefix tree by each class, or end there; else those of ``values``, which are then walked."""
+        values = list(values)
+        if exits is None:
+            exits = {}
+            for v in (v.translate(str.maketrans(_FROM, _TO)) for v in values):
+                for i in range(len(v) + 1):
+                    exits.setdefault(v[:i], [0] * (_END + 1))[_CLASS[v[i]] if i < len(v) else _END] += 1
+        number = {prefix: i for i, prefix in enumerate(sorted(exits, key=lambda p: (len(p), p)))} or {"": 0}
+        n = len(number)
+        self.count, self.ends = [0] * n, [0] * n
+        self.follow: list[dict[int, int]] = [{} for _ in range(n)]
+        self.taken: list[dict[int, int]] = [{} for _ in range(n)]
+        for prefix, by in exits.items():
+            s = number[prefix]
+            self.count[s], self.ends[s] = sum(by), by[_END]
+            for c in range(_END):
+                if by[c]:
+                    t = number.get(prefix + _CLASSES[c][0])
+                    if t is None:  # too rare to be looked into: compatible with any state
+                        t = len(self.count)
+                        self.count.append(0)
+                        self.ends.append(0)
+                        self.follow.append({})
+                        self.taken.append({})
+                    self.taken[s][c], self.follow[s][c] = by[c], t
         self._merge(math.sqrt(0.5 * math.log(2 / alpha)))
+        self.learn(self.visits(values, np.ones(len(values), np.int64)))
 
     def _differ(self, f1: int, n1: int, f2: int, n2: int, bound: float) -> bool:
         return abs(f1 / n1 - f2 / n2) > bound * (1 / math.sqrt(n1) + 1 / math.sqrt(n2))
@@ -165,97 +183,168 @@ class Automaton:
                 kept.add(t)
                 blue += [(t, k) for k in sorted(self.follow[t])]
         number = {s: i for i, s in enumerate(red)}
-        k = _END + 1
-        self.table = np.full((len(red) + 1, k), len(red), np.int32)
-        self.cost = np.full((len(red) + 1, k), math.log(0.5 / k))
+        self.table = np.full((len(red) + 1, _END + 1), len(red), np.int32)
         for s, i in number.items():
-            total = self.count[s] + 0.5 * k
-            for c in range(k):
-                n = self.ends[s] if c == _END else self.taken[s].get(c, 0)
-                self.cost[i, c] = math.log((n + 0.5) / total)
-                if c in self.follow[s]:
-                    self.table[i, c] = number[self.follow[s][c]]
-        for c, members in enumerate(_CLASSES):
-            self.cost[:, c] -= math.log(len(members))
-
-    def likelihoods(self, values: list[str]) -> np.ndarray:
-        """Log-likelihood of each value and its end; all values go a step at a time."""
+            for c, t in self.follow[s].items():
+                self.table[i, c] = number[t]
+        del self.count, self.ends, self.follow, self.taken  # the tree isn't needed any more, and is large
+
+    def learn(self, visits: np.ndarray, held_out: int = HELD_OUT) -> None:
+        """Takes the probabilities from how often values left each state by each class, or ended there."""
+        k = _END + 1
+        visits = visits.reshape(len(self.table), k)
+        total = visits.sum(axis=1, keepdims=True)
+        size = np.array([math.log(len(members)) for members in _CLASSES] + [0.0])
+        self.cost = np.log((visits + 0.5) / (total + 0.5 * k)) - size
+        #: The same without ``held_out`` of the values.
+        self.without = np.log((np.maximum(visits - held_out, 0) + 0.5) / (np.maximum(total - held_out, 0) + 0.5 * k)) - size
+
+    @staticmethod
+    def _steps(values: list[str]) -> tuple[np.ndarray, Iterator[np.ndarray]]:
+        """The values' order, longest first, and at each step the classes of those that are so long."""
         sizes = np.fromiter(map(len, values), np.int64, len(values))
         order = np.argsort(-sizes, kind="stable")
         codes = np.frombuffer("".join(values).encode("ascii").translate(_CLASS_TABLE), np.uint8)
         start, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
+        going = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right") if len(values) else []
+        return order, (codes[start[:n] + i] for i, n in enumerate(going))
+
+    def visits(self, values: list[str], counts: np.ndarray) -> np.ndarray:
+        """How often values, each of so many, leave each state by each class or end there, as a flat table."""
+        out = np.zeros(self.table.size, np.int64)
+        order, steps = self._steps(values)
+        state, counts = np.zeros(len(values), np.int32), counts[order]
+        for c in steps:
+            n = len(c)
+            np.add.at(out, state[:n] * (_END + 1) + c, counts[:n])
+            state[:n] = self.table[state[:n], c]
+        np.add.at(out, state * (_END + 1) + _END, counts)
+        return out
+
+    def likelihoods(self, values: list[str], without: bool = False) -> np.ndarray:
+        """Log-likelihood of each value and its end; all values go a step at a time. ``without``: as if the value had not been counted."""
+        cost = self.without if without else self.cost
+        order, steps = self._steps(values)
         state, total = np.zeros(len(values), np.int32), np.zeros(len(values))
-        going = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right") if len(values) else []  # how many are so long
-        for i, n in enumerate(going):
-            c = codes[start[:n] + i]
-            total[:n] += self.cost[state[:n], c]
+        for c in steps:
+            n = len(c)
+            total[:n] += cost[state[:n], c]
             state[:n] = self.table[state[:n], c]
         out = np.empty(len(values))
-        out[order] = total + self.cost[state, _END]
+        out[order] = total + cost[state, _END]
         return out
 
 
 class Formats:
     """The automata of the kinds of credential and of ordinary tokens, and the threshold between them."""
 
-    def __init__(self, labelled: dict[str, list[str]], sample: int = SAMPLE):
-        ordinary = labelled.get("ordinary", [])
-        self.ordinary = Automaton(ordinary[:sample])
-        self.kinds = {k: Automaton(labelled[k]) for k in KINDS if labelled.get(k)}
+    def __init__(self, automata: dict[str, Automaton]):
+        self.ordinary = automata.get("ordinary") or Automaton()
+        self.kinds = {k: automata[k] for k in KINDS if k in automata}
         self.token = re.compile(_TOKEN + "{%d,}" % SHORTEST)
         #: Thresholds of lengths of so many bits; of others the least one.
         self.thresholds: dict[int, float] = {}
-        held_out: dict[int, list[str]] = {}
-        for v in ordinary[sample:]:
-            held_out.setdefault(len(v).bit_length(), []).append(v)
-        for bits, values in held_out.items() if self.kinds else ():
-            scores = np.sort(self.scores(values))[::-1]
-            self.thresholds[bits] = max(math.log(RARITY), float(scores[len(scores) // ORDINARY_ABOVE]))
+
+    def steps(self, values: list[str]) -> np.ndarray:
+        """The step of each ordinary value's score, the value itself taken out: 0 up to the least threshold."""
+        scores = self.scores(values, True)
+        return np.where(scores > math.log(RARITY), 1 + np.floor(STEPS * np.log(np.maximum(scores, 1) / math.log(RARITY))), 0).astype(np.int64)
+
+    def set_thresholds(self, counts: Iterable[tuple[int, int, int]]) -> None:
+        """counts: (bits of the length, step of the score, values). A threshold is the upper end of a step: no more than one value in ORDINARY_ABOVE is above it."""
+        by: dict[int, dict[int, int]] = {}
+        for bits, step, n in counts:
+            by.setdefault(bits, {})[step] = n
+        for bits, steps in by.items():
+            left = sum(steps.values()) // ORDINARY_ABOVE
+            for step in sorted(steps, reverse=True):
+                left -= steps[step]
+                if left < 0:
+                    break
+            self.thresholds[bits] = math.log(RARITY) * math.exp(step / STEPS)
 
     def threshold(self, value: str) -> float:
         """The score above which a token of the value's length is a span."""
         return self.thresholds.get(len(value).bit_length(), math.log(RARITY))
 
-    def scores(self, values: list[str]) -> np.ndarray:
+    def scores(self, values: list[str], without: bool = False) -> np.ndarray:
         """By how many nats the best credential automaton explains each value better than the ordinary one."""
         if not self.kinds or not values:
             return np.full(len(values), -np.inf)
-        return np.max([a.likelihoods(values) for a in self.kinds.values()], axis=0) - self.ordinary.likelihoods(values)
+        return np.max([a.likelihoods(values) for a in self.kinds.values()], axis=0) - self.ordinary.likelihoods(values, without)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, held_out: int = HELD_OUT) -> Formats:
-    """Fits the automata on ``sample`` distinct values of each label, chosen by their hash from all documents."""
-    most = {"ordinary": sample + held_out}
+def _strings(docs: DataFrame) -> DataFrame:
+    """(label, string, n): the different values of each label in all documents as strings of classes, with how many read so."""
     token = re.compile(_TOKEN + "{%d,}" % SHORTEST)
 
     def labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: dict[str, dict[str, int]] = {}
-        least: dict[str, int] = {}
-
-        def meet(label: str, values: Iterable[str]) -> None:
-            mine, bound = kept.setdefault(label, {}), least.get(label, 1 << 32)
-            for v in values:
-                h = zlib.crc32(v.encode())
-                if h <= bound and len(v) <= LONGEST:
-                    mine[v] = h
-            n = most.get(label, sample)
-            if len(mine) > 4 * n:  # the least hashes of all are among the least of each task
-                kept[label] = dict(sorted(mine.items(), key=lambda x: (x[1], x[0]))[:n])
-                least[label] = max(kept[label].values())
-
+        met: set[tuple[str, str]] = set()
+        held = 0
         for (text,) in rows_of(batches, "text"):
             taken = base_spans(text_of(text))
-            for _, k, _, v in taken:
-                meet(KINDS[k], (v,))
-            meet("ordinary", (v for _, _, v in candidates(text, taken, token)) if taken else set(token.findall(text_of(text))))
-        rows = [(k, v, h) for k, m in kept.items() for v, h in sorted(m.items(), key=lambda x: (x[1], x[0]))[: most.get(k, sample)]]
-        yield pd.DataFrame(rows, columns=["label", "value", "h"]).astype({"h": "int64"})
-
-    found = materialize(docs.select("text").mapInPandas(labelled, "label string, value string, h long"), "credentials").distinct()
-    out: dict[str, list[str]] = {}
-    for label in (*KINDS[:3], "ordinary"):
-        out[label] = [r.value for r in found.where(F.col("label") == label).orderBy("h", "value").limit(most.get(label, sample)).collect()]
-    return Formats(out, sample)
+            found = {(KINDS[k], v) for _, k, _, v in taken}
+            found.update(("ordinary", v) for v in ([v for _, _, v in candidates(text, taken, token)] if taken else token.findall(text_of(text))))
+            found -= met
+            met |= found
+            held += sum(len(v) for _, v in found)
+            if held > MOST_HELD:
+                yield pd.DataFrame(list(met), columns=["label", "value"])
+                met, held = set(), 0
+        yield pd.DataFrame(list(met), columns=["label", "value"])
+        give_back()
+
+    values = docs.select("text").mapInPandas(labelled, "label string, value string").distinct()
+    found = values.groupBy("label", F.translate("value", _FROM, _TO).alias("string")).agg(F.count("*").alias("n"))
+    return materialize(found.repartition(tasks(docs.sparkSession)), "strings")
+
+
+def fit(docs: DataFrame, states: int = STATES, held_out: int = HELD_OUT) -> Formats:
+    """Fits the automata and the thresholds on all different values of all documents.
+
+    The driver gets the nodes of the prefix trees that one in ``states`` of a label's values or more pass, then one count
+    for each transition of the automata and one for each step of the scores.
+    """
+    strings = _strings(docs)
+    totals = {r.label: r.n for r in strings.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    if not set(KINDS) & set(totals):
+        return Formats({})
+    least = F.create_map(*[F.lit(x) for label, n in totals.items() for x in (label, max(1, n // states))])
+    at = F.explode(F.sequence(F.lit(0), F.least(F.length("string"), F.lit(DEPTH - 1)))).alias("at")
+    nodes = strings.select("label", "string", "n", at).select("label", "n", F.expr("substring(string, 1, at)").alias("prefix"), F.expr("substring(string, at + 1, 1)").alias("c"))
+    by = [F.coalesce(F.sum(F.when(F.col("c") == c, F.col("n"))), F.lit(0)) for c in (*(m[0] for m in _CLASSES), "")]
+    exits: dict[str, dict[str, list[int]]] = {label: {} for label in totals}
+    for r in nodes.groupBy("label", "prefix").agg(F.sum("n").alias("n"), F.array(*by).alias("by")).where(F.col("n") >= least[F.col("label")]).collect():
+        exits[r.label][r.prefix] = r.by
+    automata = {label: Automaton(exits=e) for label, e in exits.items()}
+
+    def walked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        visits = {label: np.zeros(a.table.size, np.int64) for label, a in automata.items()}
+        for pdf in batches:
+            for label, part in pdf.groupby("label"):
+                visits[label] += automata[label].visits(part["string"].tolist(), part["n"].to_numpy(np.int64))
+        for label, v in visits.items():
+            cells = np.flatnonzero(v)
+            yield pd.DataFrame({"label": label, "cell": cells, "n": v[cells]})
+        give_back()
+
+    visits = {label: np.zeros(a.table.size, np.int64) for label, a in automata.items()}
+    for r in strings.mapInPandas(walked, "label string, cell long, n long").groupBy("label", "cell").agg(F.sum("n").alias("n")).collect():
+        visits[r.label][r.cell] = r.n
+    for label, a in automata.items():
+        a.learn(visits[label], held_out)
+    formats = Formats(automata)
+
+    def stepped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            values = pdf["string"].tolist()
+            found = pd.DataFrame({"bits": [len(v).bit_length() for v in values], "step": formats.steps(values), "n": pdf["n"]})
+            yield found.groupby(["bits", "step"], as_index=False).sum()
+        give_back()
+
+    ordinary = strings.where("label = 'ordinary'").select("string", "n")
+    formats.set_thresholds(map(tuple, ordinary.mapInPandas(stepped, "bits long, step long, n long").groupBy("bits", "step").agg(F.sum("n")).collect()))
+    return formats
 
 
 class Scanner:

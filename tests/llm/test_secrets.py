@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -114,3 +115,38 @@ def test_redaction_keeps_all_rows_and_columns(odd, docs_of):
 def test_odd_tables(odd, docs_of):
     assert secrets.scan(odd).count() == 10
     assert secrets.scan(docs_of([])).count() == 0
+
+
+def test_all_values_are_counted(docs_of, monkeypatch):
+    """Probabilities and thresholds come from every different value, also where the tree shows only the frequent ones, and of long ones."""
+    monkeypatch.setattr(secrets, "ORDINARY_ABOVE", 5)
+    r = random.Random(11)
+    rows = sample(150, 4) + [(900 + i, "".join(r.choice("0123456789abcdefXYZ_") for _ in range(r.choice((7, 60, 300, 700))))) for i in range(120)]
+    rows += [(i + 5000, text) for i, text in rows]
+    formats = secrets.fit(docs_of(rows), states=20)
+    values = {k: set() for k in (*secrets.KINDS[:3], "ordinary")}
+    for _, text in rows:
+        base = secrets.base_spans(text)
+        for _, k, _, v in base:
+            values[secrets.KINDS[k]].add(v)
+        values["ordinary"] |= {m[0] for m in re.finditer("[A-Za-z0-9+/_.=-]{%d,}" % secrets.SHORTEST, text) if not any(a < m.end() and m.start() < b for a, _, b, _ in base)}
+    assert len(values["ordinary"]) > 1000 and max(map(len, values["ordinary"])) == 700
+    for label, mine in values.items():
+        a = formats.ordinary if label == "ordinary" else formats.kinds[label]
+        seen = {}
+        for v in mine:
+            s = 0
+            for c in (*map(secrets._CLASS.__getitem__, v), secrets._END):
+                seen[s, c] = seen.get((s, c), 0) + 1
+                s = a.table[s, c] if c < secrets._END else s
+        for (s, c), n in seen.items():
+            total, size = sum(m for (x, _), m in seen.items() if x == s), len(secrets._CLASSES[c]) if c < secrets._END else 1
+            assert abs(a.cost[s, c] - math.log((n + 0.5) / (total + 0.5 * (secrets._END + 1)) / size)) < 1e-9
+    by = {}
+    for v in values["ordinary"]:
+        by.setdefault(len(v).bit_length(), []).append(v)
+    assert formats.thresholds.keys() == by.keys()
+    for bits, mine in by.items():
+        scores = sorted(formats.scores(mine, True), reverse=True)
+        want = max(math.log(secrets.RARITY), scores[len(mine) // 5])
+        assert want - 1e-9 <= formats.thresholds[bits] <= want * math.exp(1 / secrets.STEPS) + 1e-9
