@@ -14,6 +14,9 @@ it finds none; the chain of records that a leaf was reached through is as long a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructType
@@ -53,22 +56,69 @@ def shredded(records: DataFrame, key: str, fields: list[str]) -> DataFrame:
     return records.select(F.col(key).alias("id"), each.alias("x")).select("id", "x.*")
 
 
-def followed(leaves: DataFrame, known: DataFrame, uris: DataFrame, most_rounds: int = 100) -> DataFrame:
+def refers(kind: DataType) -> bool:
+    """Whether a value of the type can hold a reference, or has parts."""
+    return isinstance(kind, StructType | ArrayType)
+
+
+def saying(records: DataFrame, fields: list[str]) -> DataFrame:
+    """The records that have a leaf in any of the fields."""
+    types = {f.name: f.dataType for f in records.schema.fields}
+    return records.where(reduce(Column.__or__, [F.size(_leaves(F.col(f), types[f], F.lit(""))) > 0 if refers(types[f]) else F.col(f).isNotNull() for f in fields]))
+
+
+def elected(records: DataFrame, fields: list[str]) -> DataFrame:
+    """(group, fields): what :func:`voted` and :func:`widened` make of fields without references, as columns.
+
+    records(group, source, fields). Most groups have one record, which is taken as it is; only others are taken apart.
+    """
+    rows = records.select("group", "source", *[F.col(f).cast("string").alias(f) for f in fields])
+    more = rows.groupBy("group").agg(F.count("*").alias("_n")).where("_n > 1").select("group")
+    more = materialize(more, "groups")
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields]))
+    votes = rows.join(more, "group", "left_semi").select("group", "source", each.alias("x")).select("group", "source", "x.*")
+    # As in voted: sums first, then the best of the different values; a field that no record has stays null.
+    sums = votes.groupBy("group", "field", "value").agg(F.sum(weight_of(F.col("source"))).alias("weight"))
+    best = [F.min(F.when((F.col("field") == f) & F.col("value").isNotNull(), F.struct((-F.col("weight")).alias("w"), "value")))["value"].alias(f) for f in fields]
+    return rows.join(more, "group", "left_anti").drop("source").unionByName(sums.groupBy("group").agg(*best))
+
+
+def leaves_of(tables: list[DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """For ``followed``: the leaves of those records of the tables whose id is asked for. A table's fields are all but id, group and source."""
+
+    def of(wanted: DataFrame) -> DataFrame:
+        out = []
+        for t in tables:
+            hit = materialize(t.select("id").join(wanted, "id", "left_semi"), "wanted")
+            if not hit.isEmpty():
+                out.append(shredded(t.join(hit.distinct(), "id", "left_semi"), "id", [c for c in t.columns if c not in ("id", "group", "source")]))
+        return reduce(DataFrame.unionByName, out) if out else wanted.sparkSession.createDataFrame([], "id string, field string, path string, ref string, value string")
+
+    return of
+
+
+def followed(leaves: DataFrame, known: DataFrame | Callable[[DataFrame], DataFrame], uris: DataFrame, most_rounds: int = 100) -> DataFrame:
     """(id, field, path, value, is_uri): ``leaves`` with all references followed.
 
-    known: leaves of the records of the data set; uris(id, uri). A chain of more than ``most_rounds`` records is an error.
+    known: leaves of the records of the data set, or what gives those of the records of a table of ids; uris(id, uri). Only
+    references without a URI meet records. A chain of more than ``most_rounds`` records is an error.
     """
     named = uris.groupBy(F.col("id").alias("ref")).agg(F.min("uri").alias("uri"))
-    inner = known.select(F.col("id").alias("_id"), F.lit(True).alias("_there"), F.concat(F.lit("."), "field", "path").alias("_path"), F.col("ref").alias("_ref"), F.col("value").alias("_value"))
+
+    def inner_of(known: DataFrame) -> DataFrame:
+        return known.select(F.col("id").alias("_id"), F.lit(True).alias("_there"), F.concat(F.lit("."), "field", "path").alias("_path"), F.col("ref").alias("_ref"), F.col("value").alias("_value"))
     done = [leaves.where("ref IS NULL").select("id", "field", "path", "value", F.lit(False).alias("is_uri"))]
-    left = leaves.where("ref IS NOT NULL").select("id", "field", "path", "ref", F.array(F.col("id")).alias("seen"))
+    left = leaves.where("ref IS NOT NULL").select("id", "field", "path", "ref")
     for _ in range(most_rounds):
-        left = materialize(left, "references")
-        if left.isEmpty():
-            break
-        rows = left.join(named, "ref", "left")
+        seen = F.col("seen") if "seen" in left.columns else F.array("id")
+        open_ = F.col("uri").isNull()
+        rows = left.join(named, "ref", "left").select("id", "field", "path", F.when(open_, F.col("ref")).alias("ref"), F.when(open_, seen).alias("seen"), "uri")
+        rows = materialize(rows, "references")
         done.append(rows.where("uri IS NOT NULL").select("id", "field", "path", F.col("uri").alias("value"), F.lit(True).alias("is_uri")))
         rows = rows.where("uri IS NULL").drop("uri")
+        if rows.isEmpty():
+            break
+        inner = inner_of(known if isinstance(known, DataFrame) else known(rows.select(F.col("ref").alias("id")).distinct()))
         cut = F.array_contains("seen", F.col("ref"))
         found = rows.join(inner, (F.col("ref") == F.col("_id")) & ~cut, "left")
         found = materialize(found, "followed")
@@ -87,7 +137,8 @@ def followed(leaves: DataFrame, known: DataFrame, uris: DataFrame, most_rounds:
 
 def valued(leaves: DataFrame) -> DataFrame:
     """(id, field, leaves): each field of each record as one value, its leaves in order."""
-    return leaves.groupBy("id", "field").agg(F.sort_array(F.collect_list(F.struct("path", "value", "is_uri"))).alias("leaves"))
+    # Dealt by id alone, as what knows the records' groups is: one shuffle serves both.
+    return leaves.repartition("id").groupBy("id", "field").agg(F.sort_array(F.collect_list(F.struct("path", "value", "is_uri"))).alias("leaves"))
 
 
 def voted(values: DataFrame, groups: DataFrame, lists: tuple[str, ...] = ()) -> DataFrame:
@@ -108,6 +159,13 @@ def voted(values: DataFrame, groups: DataFrame, lists: tuple[str, ...] = ()) ->
     return best.unionByName(longest.select("group", "field", "x.leaves"))
 
 
+def longest(values: DataFrame, groups: DataFrame, lists: tuple[str, ...]) -> DataFrame:
+    """(group, lists): what :func:`voted` and :func:`widened` make of lists, in one shuffle of their values by group."""
+    items = F.size(F.array_distinct(F.transform("leaves", lambda x: F.substring_index(x["path"], ".", 2))))
+    rows = values.join(groups.select("id", "group"), "id").select("group", "field", F.struct((-items).alias("n"), "id", F.transform("leaves", lambda x: x["value"]).alias("values")).alias("x"))
+    return rows.groupBy("group").agg(*[F.min(F.when(F.col("field") == f, F.col("x")))["values"].alias(f) for f in lists])
+
+
 def widened(merged: DataFrame, fields: list[str], lists: tuple[str, ...] = (), references: tuple[str, ...] = ()) -> DataFrame:
     """One row a group: each field's first value; of ``references`` only a URI; each of ``lists`` the values of its items' own leaves."""
     first = F.element_at("leaves", 1)

@@ -64,7 +64,7 @@ def organisation_quads(df: DataFrame) -> DataFrame:
     uri, graph = F.col("uri"), _path("graph/org/", F.col("part"))
     address = F.when(F.col("address").isNotNull(), _path(uri, "/address"))
     own = {_TYPE: rdf.iri(F.lit(_ORG + "Organization")), _SKOS + "prefLabel": rdf.literal(F.col("name")), _LABEL: rdf.literal(F.col("name")), _VCARD + "adr": rdf.iri(address)}
-    return rdf.quads(df, uri, own, graph).unionByName(rdf.quads(df, address, {_TYPE: rdf.iri(F.lit(_VCARD + "Address")), _LABEL: rdf.literal(F.col("address"))}, graph))
+    return rdf.quads_about(df, [(uri, own), (address, {_TYPE: rdf.iri(F.lit(_VCARD + "Address")), _LABEL: rdf.literal(F.col("address"))})], graph)
 
 
 def journal_quads(df: DataFrame) -> DataFrame:
@@ -86,28 +86,27 @@ def article_quads(df: DataFrame) -> DataFrame:
     values = {_DC + "title": "title", _PRISM + "doi": "doi", _FABIO + "hasPubMedCentralId": "pmc", _FABIO + "hasPubMedId": "pmid"} | ({_PRISM + "isbn": "isbn"} if "isbn" in df.columns else {})
     own = {_TYPE: rdf.iri(F.concat(F.lit(_FABIO), F.coalesce("work_type", F.lit("Expression")))), _FRBR + "embodiment": rdf.iri(form)} | {p: rdf.literal(F.col(c)) for p, c in values.items()}
     own |= {_DC + "published": rdf.literal(date, _XSD + "date"), _PRISM + "publicationDate": rdf.literal(F.concat(date, F.lit("T00:00:00Z")), _XSD + "dateTime"), _FRBR + "part": rdf.iri(F.when(F.col("abstract").isNotNull(), abstract))}
-    parts = [
-        rdf.quads(df, uri, own, graph),
-        rdf.quads(df, form, {_TYPE: rdf.iri(F.lit(_FABIO + "Manifestation")), _PRISM + "startingPage": rdf.literal(F.col("page_start")), _PRISM + "endingPage": rdf.literal(F.col("page_end"))}, graph),
-        rdf.quads(df.where("abstract IS NOT NULL"), abstract, {_TYPE: rdf.iri(F.lit(_FABIO + "Abstract")), _VALUE: rdf.literal(F.col("abstract")), _DC + "title": rdf.literal(F.lit("Abstract")), _LABEL: rdf.literal(_path('Abstract for "', F.col("title"), '"'))}, graph),
-        _web(df, uri, graph),
-        rdf.quads(df, F.col("journal_uri"), {_FRBR + "part": rdf.iri(F.coalesce(volume, uri))}, graph),
-        rdf.quads(df, volume, {_TYPE: rdf.iri(F.lit(_FABIO + "JournalVolume")), _PRISM + "volume": rdf.literal(F.col("volume")), _FRBR + "part": rdf.iri(F.coalesce(issue, uri))}, graph),
-        rdf.quads(df, issue, {_TYPE: rdf.iri(F.lit(_FABIO + "JournalIssue")), _PRISM + "issueIdentifier": rdf.literal(F.col("issue")), _FRBR + "part": rdf.iri(uri)}, graph),
+    said = [
+        (uri, own),
+        (form, {_TYPE: rdf.iri(F.lit(_FABIO + "Manifestation")), _PRISM + "startingPage": rdf.literal(F.col("page_start")), _PRISM + "endingPage": rdf.literal(F.col("page_end"))}),
+        (F.when(F.col("abstract").isNotNull(), abstract), {_TYPE: rdf.iri(F.lit(_FABIO + "Abstract")), _VALUE: rdf.literal(F.col("abstract")), _DC + "title": rdf.literal(F.lit("Abstract")), _LABEL: rdf.literal(_path('Abstract for "', F.col("title"), '"'))}),
+        *_web(uri),
+        (F.col("journal_uri"), {_FRBR + "part": rdf.iri(F.coalesce(volume, uri))}),
+        (volume, {_TYPE: rdf.iri(F.lit(_FABIO + "JournalVolume")), _PRISM + "volume": rdf.literal(F.col("volume")), _FRBR + "part": rdf.iri(F.coalesce(issue, uri))}),
+        (issue, {_TYPE: rdf.iri(F.lit(_FABIO + "JournalIssue")), _PRISM + "issueIdentifier": rdf.literal(F.col("issue")), _FRBR + "part": rdf.iri(uri)}),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return rdf.quads_about(df, said, graph)
 
 
-def _web(df: DataFrame, uri: Column, graph: Column) -> DataFrame:
-    """A work that is a page is a document; the address of any other is a page or, at a site's root, a site about the work."""
+def _web(uri: Column) -> list[tuple[Column, dict[str, Column]]]:
+    """What is said of addresses: a work that is a page is a document; the address of any other is a page or, at a site's root, a site about the work."""
     url, work = F.col("url"), F.coalesce("work_type", F.lit("Expression"))
     own = work.isin("WebPage", "WebSite") & url.isNotNull()
     path = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#;]*)", 1)
     kind, other = F.when(path == "/", "WebSite").otherwise("WebPage"), F.when(url != uri, url)
-    document = rdf.quads(df.where(own), uri, {_TYPE: rdf.iri(F.lit(_FOAF + "Document"))}, graph)
-    about = rdf.quads(df, other, {_TYPE: rdf.iri(F.concat(F.lit(_FABIO), kind)), _FOAF + "primaryTopic": rdf.iri(uri)}, graph)
-    also = rdf.quads(df.where(url != uri), url, {_TYPE: rdf.iri(F.lit(_FOAF + "Document"))}, graph)
-    return reduce(DataFrame.unionByName, [document, about, also, rdf.quads(df, uri, {_FOAF + "primaryTopicOf": rdf.iri(other)}, graph)])
+    document = {_TYPE: rdf.iri(F.lit(_FOAF + "Document"))}
+    about = {_TYPE: rdf.iri(F.concat(F.lit(_FABIO), kind)), _FOAF + "primaryTopic": rdf.iri(uri)}
+    return [(F.when(own, uri), document), (other, about), (other, document), (uri, {_FOAF + "primaryTopicOf": rdf.iri(other)})]
 
 
 def person_quads(rows: DataFrame) -> DataFrame:
@@ -118,7 +117,7 @@ def person_quads(rows: DataFrame) -> DataFrame:
     graph = _path("graph/expression", F.col("part"))
     person = _path("graph/person", F.col("part"), "/", F.col("role"), "/", F.col("position").cast("string"))
     role = F.concat(person, F.lit("/role"))
-    people = rows.where("entity IS NULL") if "entity" in rows.columns else rows
+    unsaid = F.when(F.col("entity").isNull(), person) if "entity" in rows.columns else person
     whole = F.col("surname").isNotNull() & F.col("given").isNotNull()
     shown, sorted_by = text.display_name(F.col("given"), F.col("surname"), F.col("style"))
     shown, sorted_by = F.when(whole, shown).otherwise(F.col("name")), F.when(whole, sorted_by).otherwise(F.col("name"))
@@ -126,49 +125,66 @@ def person_quads(rows: DataFrame) -> DataFrame:
     own = {_TYPE: rdf.iri(F.lit(_FOAF + "Person")), _LABEL: rdf.literal(shown), _FOAF + "name": rdf.literal(shown), _SORT: rdf.literal(F.when(sorted_by != shown, sorted_by))}
     held = {_TYPE: rdf.iri(F.lit(_PRO + "RoleInTime")), _PRO + "withRole": rdf.iri(F.concat(F.lit(_PRO), F.col("role"))), _PRO + "withAffiliation": rdf.iri(F.col("affiliation"))}
     article = {_DC + "creator": made, _DC + "contributor": F.when(made.isNull(), rdf.iri(person)), _PRO + "isRelatedToRoleInTime": rdf.iri(role)}
-    own_quads, holds = rdf.quads(people, person, own, graph), rdf.quads(rows, person, {_PRO + "holdsRoleInTime": rdf.iri(role)}, graph)
-    return own_quads.unionByName(holds).unionByName(rdf.quads(rows, role, held, graph)).unionByName(rdf.quads(rows, F.col("uri"), article, graph))
+    return rdf.quads_about(rows, [(unsaid, own), (person, {_PRO + "holdsRoleInTime": rdf.iri(role)}), (role, held), (F.col("uri"), article)], graph)
 
 
 def citation_quads(df: DataFrame) -> DataFrame:
     """Reference lists in order, and retractions. df: an article's uri, part and title, and the lists ``cites`` and ``retracts`` of URIs."""
     graph, where = _path("graph/ref-list", F.col("part")), _path("id/ref-list", F.col("part"))
-    some = df.where(F.size("cites") > 0)
-    label = rdf.literal(F.concat(F.lit('Reference list for "'), F.col("title"), F.lit('"')))
-    own = {_TYPE: rdf.iri(F.lit(_BIRO + "ReferenceList")), _LIST + "size": rdf.literal(F.size("cites"), _XSD + "int"), _DC + "title": rdf.literal(F.lit("References")), _LABEL: label}
-    each = some.select("uri", "part", F.size("cites").alias("n"), F.posexplode("cites").alias("pos", "cited")).withColumn("pos", F.col("pos") + 1)
+    both = F.concat(*[F.coalesce(c, F.array().cast("array<string>")) for c in ("cites", "retracts")])
+    n, pos, to = F.greatest(F.size("cites"), F.lit(0)), F.col("pos"), F.col("to")
+    each = df.select("uri", "part", "title", n.alias("n"), F.posexplode(both).alias("pos", "to")).withColumn("pos", pos + 1)
 
     def item(n: Column) -> Column:
         return _path(where, "/", n.cast("string"))
 
-    first, last = F.when(F.col("pos") == 1, item(F.col("pos"))), F.when(F.col("pos") == F.col("n"), item(F.col("pos")))
-    parts = [
-        rdf.quads(some, where, own, graph), rdf.quads(some, F.col("uri"), {_FRBR + "part": rdf.iri(where)}, graph),
-        rdf.quads(each, F.col("uri"), {_CITO + "cites": rdf.iri(F.col("cited"))}, graph),
-        rdf.quads(each, where, {_LIST + "item": rdf.iri(item(F.col("pos"))), _LIST + "firstItem": rdf.iri(first), _LIST + "lastItem": rdf.iri(last)}, graph),
-        rdf.quads(each, item(F.col("pos")), {_TYPE: rdf.iri(F.lit(_LIST + "Item")), _LIST + "itemContent": rdf.iri(F.col("cited")), _LIST + "nextItem": rdf.iri(F.when(F.col("pos") < F.col("n"), item(F.col("pos") + 1)))}, graph),
-        rdf.quads(df.select("uri", "part", F.explode("retracts").alias("gone")), F.col("uri"), {_CITO + "retracts": rdf.iri(F.col("gone"))}, graph),
+    cited, start, end = pos <= F.col("n"), (pos == 1) & (pos <= F.col("n")), pos == F.col("n")
+    own = {_TYPE: rdf.iri(F.lit(_BIRO + "ReferenceList")), _LIST + "size": rdf.literal(F.col("n"), _XSD + "int"), _DC + "title": rdf.literal(F.lit("References")), _LABEL: rdf.literal(F.concat(F.lit('Reference list for "'), F.col("title"), F.lit('"')))}
+    said = [
+        (F.when(start, where), own), (F.when(start, F.col("uri")), {_FRBR + "part": rdf.iri(where)}),
+        (F.col("uri"), {_CITO + "cites": rdf.iri(F.when(cited, to)), _CITO + "retracts": rdf.iri(F.when(~cited, to))}),
+        (F.when(cited, where), {_LIST + "item": rdf.iri(item(pos)), _LIST + "firstItem": rdf.iri(F.when(start, item(pos))), _LIST + "lastItem": rdf.iri(F.when(end, item(pos)))}),
+        (F.when(cited, item(pos)), {_TYPE: rdf.iri(F.lit(_LIST + "Item")), _LIST + "itemContent": rdf.iri(to), _LIST + "nextItem": rdf.iri(F.when(~end, item(pos + 1)))}),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return rdf.quads_about(each, said, graph)
 
 
 PEOPLE = ("author", "editor", "translator")
 _ORGANISATION, _JOURNAL = ["name", "address"], ["name", "abbreviation", "nlm_id", "issn", "eissn", "publisher"]
+_REFERENCES = ("journal", "publisher")
 _ARTICLE = "title year month day volume issue doi pmid pmc isbn url work_type abstract page_start page_end journal".split()
 
 
-def export(organisations: DataFrame, journals: DataFrame, articles: DataFrame, people: DataFrame) -> dict[str, DataFrame]:
-    """Quads of merged records: ``organisations``, ``journals``, ``articles``, ``people``, ``citations``.
+KINDS = ("organisations", "journals", "articles", "people", "citations")
+
+
+def export(organisations: DataFrame, journals: DataFrame, articles: DataFrame, people: DataFrame, kinds: tuple[str, ...] = KINDS) -> dict[str, DataFrame]:
+    """Quads of merged records: ``organisations``, ``journals``, ``articles``, ``people``, ``citations``, those of ``kinds``.
 
     Records have id, group and source, and any of their kind's fields; people, which are put in where articles refer to
     them, need no group. Each kind is merged field by field (:func:`deref.voted`) after its references are followed, and
-    what one kind is called is known to the next: organisations, journals, articles, what articles cite.
+    what one kind is called is known to the next: organisations, journals, articles, what articles cite. Fields that can't
+    refer to anything are merged as columns (:func:`deref.elected`); nothing is followed or merged that ``kinds`` doesn't need.
     """
 
-    def merged(records: DataFrame, fields: list[str], lists: tuple[str, ...], uris: DataFrame, known: DataFrame | None = None) -> DataFrame:
-        own = deref.shredded(records, "id", [f for f in (*fields, *lists) if f in records.columns])
-        values = deref.valued(deref.followed(own, own if known is None else own.unionByName(known), uris))
-        return materialize(deref.voted(values, records.select("id", "group", "source"), lists), "merged")
+    def valued(records: DataFrame, fields: list[str], uris: DataFrame, known: list[DataFrame] = ()) -> DataFrame:
+        return deref.valued(deref.followed(deref.shredded(records, "id", fields), deref.leaves_of([records, *known]), uris))
+
+    def merged(records: DataFrame, fields: list[str], lists: tuple[str, ...], uris: DataFrame, known: list[DataFrame] = ()) -> DataFrame:
+        names = [f for f in (*fields, *lists) if f in records.columns]
+        return materialize(deref.voted(valued(records, names, uris, known), records.select("id", "group", "source"), lists), "merged")
+
+    def wide(records: DataFrame, fields: list[str], uris: DataFrame, extra: tuple[str, ...] = (), known: list[DataFrame] = ()) -> DataFrame:
+        """(group, fields) of the groups that say anything in the fields or in ``extra``."""
+        there = [f for f in fields if f in records.columns]
+        linked = [f for f in there if f in _REFERENCES or deref.refers(records.schema[f].dataType)]
+        plain = [f for f in there if f not in linked]
+        said = deref.saying(records, [*there, *[f for f in extra if f in records.columns]])
+        out = deref.elected(said, plain)
+        if linked:
+            own = deref.widened(merged(records, linked, (), uris, known), linked, references=_REFERENCES)
+            out = out.join(own, "group", "left")
+        return absent(out, *fields).select("group", *fields)
 
     def named(records: DataFrame, rows: DataFrame) -> DataFrame:
         return records.select("id", "group").join(rows.where("uri IS NOT NULL").select("group", "uri"), "group").select("id", "uri")
@@ -176,27 +192,38 @@ def export(organisations: DataFrame, journals: DataFrame, articles: DataFrame, p
     def absent(rows: DataFrame, *fields: str) -> DataFrame:
         return rows.withColumns({f: F.lit(None).cast("string") for f in fields if f not in rows.columns})
 
-    spark = organisations.sparkSession
-    none = spark.createDataFrame([], "id string, uri string")
-    orgs = deref.widened(merged(organisations, _ORGANISATION, (), none), _ORGANISATION)
-    orgs = materialize(organisation_uri(orgs, "group"), "organisations")
+    none = organisations.sparkSession.createDataFrame([], "id string, uri string")
+    out = {}
+    orgs = materialize(organisation_uri(wide(organisations, _ORGANISATION, none), "group"), "organisations")
+    out["organisations"] = organisation_quads(orgs)
     uris = named(organisations, orgs)
-    periodicals = materialize(journal_uri(deref.widened(merged(journals, _JOURNAL, (), uris), _JOURNAL, references=("publisher",))), "journals")
-    uris = materialize(uris.unionByName(named(journals, periodicals)), "uris")
-    roles = tuple(r for r in PEOPLE if r in articles.columns)
-    inner = deref.shredded(people, "id", [c for c in people.columns if c not in ("id", "group", "source")])
-    both = merged(articles, _ARTICLE, roles, uris, inner)
-    works = deref.widened(both, _ARTICLE, references=("journal",)).withColumn("id", F.col("group"))
-    works = works.join(periodicals.where("uri IS NOT NULL").groupBy(F.col("uri").alias("journal")).agg(F.min("part").alias("journal_part")), "journal", "left").withColumn("journal_uri", F.col("journal"))
-    works = materialize(article_uri(works), "works")
-    held = deref.items(both, roles, ["name", "surname", "given", "style", "affiliated"])
-    held = held.join(works.select("group", F.col("uri").alias("work"), "part"), "group").withColumn("role", F.col("field"))
-    held = held.select(F.col("work").alias("uri"), "part", "role", "position", "name", "surname", "given", F.coalesce("style", F.lit("western")).alias("style"), F.col("affiliated").alias("affiliation"), F.col("uri").alias("entity"))
-    lists = tuple(c for c in ("cites", "retracts") if c in articles.columns)
-    cited = deref.widened(merged(articles, [], lists, uris.unionByName(named(articles, works))), [], lists)
-    cited = works.select("group", "uri", "part", "title").join(cited, "group")
-    cited = cited.withColumns({c: F.coalesce(c, F.array().cast("array<string>")) if c in lists else F.array().cast("array<string>") for c in ("cites", "retracts")})
-    return {
-        "organisations": organisation_quads(orgs), "journals": journal_quads(absent(periodicals, "nlm_id")), "articles": article_quads(works),
-        "people": person_quads(held), "citations": citation_quads(cited),
-    }
+    periodicals = materialize(journal_uri(wide(journals, _JOURNAL, uris)), "journals")
+    out["journals"] = journal_quads(absent(periodicals, "nlm_id"))
+    if set(kinds) & {"articles", "people", "citations"}:
+        uris = materialize(uris.unionByName(named(journals, periodicals)), "uris")
+        roles = tuple(r for r in PEOPLE if r in articles.columns)
+        lists = tuple(c for c in ("cites", "retracts") if c in articles.columns and "citations" in kinds)
+        # What names an article is needed by all kinds.
+        fields = _ARTICLE if "articles" in kinds else [f for f in _ARTICLE if f in ("title", "doi", "pmid", "isbn", "url", "work_type")]
+        articles = materialize(articles.select("id", "group", "source", *[f for f in (*_ARTICLE, *roles, *lists) if f in articles.columns]), "records")
+        known = [people.select(*[c for c in people.columns if c not in ("group", "source")])]
+        body = articles.drop(*lists)
+        works = wide(body, fields, uris, (*_ARTICLE, *roles), known).withColumn("id", F.col("group"))
+        if "articles" in kinds:
+            parts = periodicals.where("uri IS NOT NULL").groupBy(F.col("uri").alias("journal")).agg(F.min("part").alias("journal_part"))
+            works = works.join(parts, "journal", "left").withColumn("journal_uri", F.col("journal"))
+        works = materialize(article_uri(works), "works")
+        if "articles" in kinds:
+            out["articles"] = article_quads(works)
+        if "people" in kinds:
+            held = deref.items(merged(body, [], roles, uris, known), roles, ["name", "surname", "given", "style", "affiliated"])
+            held = held.join(works.select("group", F.col("uri").alias("work"), "part"), "group").withColumn("role", F.col("field"))
+            held = held.select(F.col("work").alias("uri"), "part", "role", "position", "name", "surname", "given", F.coalesce("style", F.lit("western")).alias("style"), F.col("affiliated").alias("affiliation"), F.col("uri").alias("entity"))
+            out["people"] = person_quads(held)
+        if "citations" in kinds:
+            citing = articles.select("id", "group", "source", *lists)
+            cited = deref.longest(valued(citing, list(lists), uris.unionByName(named(articles, works))), citing, lists)
+            cited = works.select("group", "uri", "part", "title").join(cited, "group")
+            cited = cited.withColumns({c: F.coalesce(c, F.array().cast("array<string>")) if c in lists else F.array().cast("array<string>") for c in ("cites", "retracts")})
+            out["citations"] = citation_quads(cited)
+    return {k: v for k, v in out.items() if k in kinds}

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from citeweave.functions import similarity
-from citeweave.operators import graph, match, records, resolve
+from citeweave.operators import deref, graph, match, rdf_records, records, resolve
 from citeweave.session import tasks
 
 
@@ -75,3 +75,27 @@ def test_journals_shuffle_no_citations(spark):
     found = records.journals(rows, edges[0].unionByName(edges[1]))
     assert [(x.name, x.publisher) for x in found.collect()] == [("J", "p")]
     assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_fields_are_merged_as_columns_as_leaves_are(spark):
+    """Groups of one record and of many, nulls, ties, lists of the same length; against votes over leaves."""
+    r = random.Random(9)
+    rows = [(f"{i}", f"g{r.choice([i, i % 7])}", r.choice(["pmc_oa", "pubmed_api", "pmc_oa_reference"]), r.choice(["T", "S", None]), r.choice([1, 2, None]), [f"@{r.randint(0, 9)}" for _ in range(r.randint(0, 3))]) for i in range(80)]
+    df = spark.createDataFrame(rows, "id string, group string, source string, title string, n int, refs array<string>")
+    df = df.withColumn("cites", F.transform("refs", lambda x: F.struct(x.alias("ref")))).drop("refs")
+    uris = spark.createDataFrame([(str(i), f"u{i}") for i in range(10)], "id string, uri string")
+    followed = deref.followed(deref.shredded(df, "id", ["title", "n", "cites"]), lambda _: 1 / 0, uris)  # all have URIs: no record is met
+    merged = deref.voted(deref.valued(followed), df.select("id", "group", "source"), ("cites",))
+    want = {tuple(map(str, x)) for x in deref.widened(merged, ["title", "n"], ("cites",)).collect()}
+    own = deref.elected(deref.saying(df, ["title", "n", "cites"]), ["title", "n"])
+    lists = deref.longest(deref.valued(deref.followed(deref.shredded(df, "id", ["cites"]), lambda _: 1 / 0, uris)), df, ("cites",))
+    got = [tuple(map(str, x)) for x in own.join(lists, "group", "left").collect()]
+    assert len(got) == len(want) > 10 and set(got) == want
+
+
+def test_quads_of_several_subjects_are_made_in_one_pass(spark):
+    df = spark.createDataFrame([("u", ":pmid/1", "T", ["a", "b"], ["z"]), ("v", ":pmid/2", None, None, ["y"])], "uri string, part string, title string, cites array<string>, retracts array<string>")
+    found = rdf_records.citation_quads(df)
+    assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
+    # u: list 4, part 1, cites 2, items 2 with first and last, 2 * (type, content) and one next, retracts 1; v: retracts 1
+    assert found.count() == 4 + 1 + 2 + 4 + 5 + 1 + 1
