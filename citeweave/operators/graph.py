@@ -45,9 +45,10 @@ def unify(identifiers: DataFrame, record: str, scheme: str, value: str) -> DataF
     makes as many edges as it has records. Records without identifiers are groups of
     their own. The result is the full closure, whatever the order.
     """
-    rows = identifiers.where(F.col(scheme).isNotNull() & F.col(value).isNotNull()).select(F.col(record).alias("r"), scheme, value).distinct()
-    least = rows.groupBy(scheme, value).agg(F.min("r").alias("m"), F.count("*").alias("k")).where("k > 1").drop("k")
-    groups = connected_components(rows.join(least, [scheme, value]).select(F.col("r").alias("src"), F.col("m").alias("dst")))
+    rows = identifiers.where(F.col(scheme).isNotNull() & F.col(value).isNotNull()).select(F.col(record).alias("r"), scheme, value)
+    # Two ends tell whether an identifier is shared; repeated rows give the same edge, and edges are made distinct later, when they are few.
+    least = rows.groupBy(scheme, value).agg(F.min("r").alias("m"), F.max("r").alias("_most")).where("m < _most").drop("_most")
+    groups = connected_components(rows.join(least, [scheme, value]).where("r > m").select(F.col("r").alias("src"), F.col("m").alias("dst")))
     return identifiers.select(F.col(record)).distinct().join(groups.withColumnRenamed("node", record), record, "left").select(record, F.coalesce("component", record).alias("group"))
 
 

@@ -99,3 +99,13 @@ def test_quads_of_several_subjects_are_made_in_one_pass(spark):
     assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
     # u: list 4, part 1, cites 2, items 2 with first and last, 2 * (type, content) and one next, retracts 1; v: retracts 1
     assert found.count() == 4 + 1 + 2 + 4 + 5 + 1 + 1
+
+
+def test_identifiers_are_not_shuffled_to_be_made_distinct(spark, monkeypatch):
+    """Repeated rows, nulls and identifiers of one record; what reaches the components is edges between different records only."""
+    rows = [(1, "a", "x"), (1, "a", "x"), (2, "a", "x"), (3, "b", "x"), (4, "b", None), (5, "b", "y"), (5, "b", "y"), (2, "b", "z"), (6, "b", "z"), (7, None, "x")]
+    df = spark.createDataFrame(rows, "r int, scheme string, v string")
+    seen, plain = [], graph.connected_components
+    monkeypatch.setattr(graph, "connected_components", lambda e: (seen.append(e), plain(e))[1])
+    assert {tuple(x) for x in graph.unify(df, "r", "scheme", "v").collect()} == {(1, 1), (2, 1), (3, 3), (4, 4), (5, 5), (6, 1), (7, 7)}
+    assert {tuple(x) for x in seen[0].collect()} == {(2, 1), (6, 2)}
