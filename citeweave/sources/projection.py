@@ -71,20 +71,29 @@ def marks(docs: DataFrame, key: str = "path") -> DataFrame:
 def _ends(rows: DataFrame) -> tuple[DataFrame, Column]:
     """Pointers with the places of a range's ends in the list, 0 where there is none, and whether the range runs forward."""
     names = F.transform("refs", lambda r: r["id"])
-    rows = rows.withColumns({"_low": F.coalesce(F.array_position(names, F.col("first")), F.lit(0)), "_high": F.coalesce(F.array_position(names, F.col("last")), F.lit(0))})
+    rows = rows.withColumns({"_low": _place(names, F.col("first")), "_high": _place(names, F.col("last"))})
     return rows, (F.col("_low") > 0) & (F.col("_high") > F.col("_low"))
 
 
+def _place(names: Column, name: Column) -> Column:
+    return F.coalesce(F.array_position(names, name), F.lit(0))
+
+
+def _named(refs: Column, rids: Column, last: Column, low: Column, high: Column) -> Column:
+    """The references that a pointer names, or that its range stands for; null for a range that doesn't run forward."""
+    of_list = F.get(refs, low.cast("int") - 1)["list"]
+    between = F.slice(refs, low.cast("int"), (high - low + 1).cast("int"))
+    return F.when(last.isNull(), rids).when((low > 0) & (high > low), F.transform(F.filter(between, lambda r: r["list"] == of_list), lambda r: r["id"]))
+
+
 def denotes(rows: DataFrame) -> DataFrame:
     """(doc, id, section, paragraph, rank, rid): the references that :func:`marks` point to.
 
     A range meets the list's order: it stands for all references of the first one's list from there to its last one, or to
     the list's end if that is in a later list. An article's pointers and its list are one row, so nothing is shuffled.
     """
-    rows, forward = _ends(rows)
-    of_list = F.element_at("refs", F.col("_low").cast("int"))["list"]
-    between = F.slice("refs", F.col("_low").cast("int"), (F.col("_high") - F.col("_low") + 1).cast("int"))
-    named = F.when(F.col("last").isNull(), F.col("rids")).when(forward, F.transform(F.filter(between, lambda r: r["list"] == of_list), lambda r: r["id"]))
+    rows, _ = _ends(rows)
+    named = _named(F.col("refs"), F.col("rids"), F.col("last"), F.col("_low"), F.col("_high"))
     return rows.select("doc", "id", "section", "paragraph", F.posexplode(named).alias("rank", "rid"), "root")
 
 
@@ -94,6 +103,19 @@ def pointer_warnings(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("last").isNotNull() & ~forward).select("doc", "id", "first", "last")
 
 
+#: What :func:`pointed` reads of articles.
+POINTED = ("identifier", "citation.id", "citation.list", "mark")
+
+
+def pointed(docs: DataFrame, key: str = "path") -> DataFrame:
+    """(doc, root, id, section, paragraph, odd, rid): :func:`denotes`, and as odd rows without ``rid`` :func:`pointer_warnings`, in one pass over the articles."""
+    rows, forward = _ends(marks(docs, key))
+    odd = F.col("last").isNotNull() & ~forward
+    named = _named(F.col("refs"), F.col("rids"), F.col("last"), F.col("_low"), F.col("_high"))
+    each = F.explode(F.when(odd, F.array(F.lit(None).cast("string"))).otherwise(named))
+    return rows.select("doc", "root", "id", "section", "paragraph", odd.alias("odd"), each.alias("rid"))
+
+
 def nodes(docs: DataFrame, key: str = "path") -> DataFrame:
     """(doc, id, type, data) of articles, journals, organisations, people, references with their journals and people, retracted articles, sections and in-text pointers."""
     docs = _rooted(docs, key)
