@@ -21,11 +21,14 @@ def _value(key: str) -> Column:
     return F.nullif(F.trim(F.try_element_at("data", F.lit(key))), F.lit(""))
 
 
-def outgoing(nodes: DataFrame, edges: DataFrame, kinds: tuple[str, ...] = ()) -> DataFrame:
+def outgoing(nodes: DataFrame, edges: DataFrame | None, kinds: tuple[str, ...] = ()) -> DataFrame:
     """Every node with its edges, an empty list where it has none: (..., out: array of (position, type, role, target)).
 
-    ``kinds``: only edges of these types, so that others, which may be most, are neither made nor shuffled.
+    ``kinds``: only edges of these types, so that others, which may be most, are neither made nor shuffled. Without a table of
+    edges nodes have ``out`` already, as :func:`citeweave.sources.projection.linked` makes them.
     """
+    if edges is None:
+        return nodes
     edges = edges.where(F.col("type").isin(*kinds)) if kinds else edges
     position = F.try_element_at("data", F.lit("position")).cast("int")
     edge = F.struct(F.coalesce(position, F.lit(0)).alias("position"), "type", F.try_element_at("data", F.lit("contrib-type")).alias("role"), "target")
@@ -37,7 +40,7 @@ def _targets(keep) -> Column:
     return F.transform(F.filter("out", keep), lambda e: e["target"])
 
 
-def articles(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def articles(nodes: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """Articles with their fields, people by role, journal, citations and retractions, each in order."""
     rows = outgoing(nodes.where("type = 'article'"), edges, ("contributor", "journal", "cites", "retracts"))
     first, last = _value("fpage"), _value("lpage")
@@ -51,13 +54,13 @@ def articles(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def journals(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def journals(nodes: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     rows = outgoing(nodes.where("type = 'journal'"), edges, ("publisher",))
     names = {"name": "title", "abbreviation": "nlm_ta", "issn": "issn", "eissn": "eissn"}
     return rows.select("doc", "id", F.lit("Journal").alias("type"), *[_value(v).alias(k) for k, v in names.items()], F.try_element_at(_targets(lambda e: e["type"] == "publisher"), F.lit(1)).alias("publisher"))
 
 
-def people(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def people(nodes: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """People as ``Surname, Given``; a name given whole stands where the parts are missing. Affiliated with the last of their places."""
     rows = outgoing(nodes.where("type = 'person'"), edges, ("affiliation",))
     parts = F.nullif(F.concat_ws(", ", _value("surname"), _value("given-names")), F.lit(""))

@@ -6,13 +6,18 @@ its identifiers as id; what belongs to it is named below that id.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from citeweave.functions import ids
+from citeweave.sources import xml
 
+#: The edges that leave a node, in order.
+OUT = "array<struct<position:int,type:string,role:string,target:string>>"
 NODE, EDGE = ["doc", "id", "type", "data"], ["doc", "type", "source", "target", "data"]
 
 
@@ -116,23 +121,46 @@ def pointed(docs: DataFrame, key: str = "path") -> DataFrame:
     return rows.select("doc", "root", "id", "section", "paragraph", odd.alias("odd"), each.alias("rid"))
 
 
+def _article_data(of: Callable[[str], Column]) -> Column:
+    """An article's own data; ``of``: its fields by name."""
+    names = F.transform(F.filter(of("contributor"), lambda c: c["role"] == "author"), lambda c: F.coalesce(F.nullif(F.concat_ws(" ", c["surname"], c["given"]), F.lit("")), c["collab"]))
+    research = F.when(of("heading") == "Research Article", "JournalArticle").otherwise("Expression")
+    return _data(
+        provenance=F.lit("pmc_oa"), in_oa_subset=F.lit("true"), xml_container=F.lit("article"), ctype=F.coalesce(of("kind"), F.lit("journal-article")), fabio_type=research, title=of("title"),
+        year=of("year"), month=of("month"), day=of("day"), volume=of("volume"), issue=of("issue"), fpage=of("firstpage"), lpage=of("lastpage"),
+        keywords=F.array_join(of("keyword"), ", "), abstract=of("abstract"), license=of("license"), author=F.array_join(names, ", "), source=F.try_element_at(of("place"), F.lit(1))["address"],
+        reference_count=F.size(of("citation")), in_text_reference_pointer_count=F.size(of("mark")),
+        **{s: id_of(of("identifier"), s) for s in ("pmc", "pmid", "doi")},)
+
+
+def _journal_data() -> Column:
+    return _data(nlm_ta=F.col("journal_abbr"), issn=F.col("issn"), eissn=F.col("eissn"), title=F.col("journal"))
+
+
+def _is_group(c: Column) -> Column:
+    return c["surname"].isNull() & c["collab"].isNotNull()
+
+
+def _person_type(c: Column) -> Column:
+    return F.when(_is_group(c), "organization").otherwise("person")
+
+
+def _person_data(c: Column) -> Column:
+    return _data(name=F.when(_is_group(c), c["collab"]), surname=c["surname"], given__names=c["given"], name__style=c["style"])
+
+
+def _cited_person_data(p: Column) -> Column:
+    return _data(surname=p["surname"], given__names=p["given"], name__style=p["style"])
+
+
 def nodes(docs: DataFrame, key: str = "path") -> DataFrame:
     """(doc, id, type, data) of articles, journals, organisations, people, references with their journals and people, retracted articles, sections and in-text pointers."""
     docs = _rooted(docs, key)
-    names = F.transform(F.filter("contributor", lambda c: c["role"] == "author"), lambda c: F.coalesce(F.nullif(F.concat_ws(" ", c["surname"], c["given"]), F.lit("")), c["collab"]))
-    research = F.when(F.col("heading") == "Research Article", "JournalArticle").otherwise("Expression")
-    own = docs.select("doc", F.col("root").alias("id"), F.lit("article").alias("type"), _data(
-        provenance=F.lit("pmc_oa"), in_oa_subset=F.lit("true"), xml_container=F.lit("article"), ctype=F.coalesce("kind", F.lit("journal-article")), fabio_type=research, title=F.col("title"),
-        year=F.col("year"), month=F.col("month"), day=F.col("day"), volume=F.col("volume"), issue=F.col("issue"), fpage=F.col("firstpage"), lpage=F.col("lastpage"),
-        keywords=F.array_join("keyword", ", "), abstract=F.col("abstract"), license=F.col("license"), author=F.array_join(names, ", "), source=F.try_element_at("place", F.lit(1))["address"],
-        reference_count=F.size("citation"), in_text_reference_pointer_count=F.size("mark"),
-        **{s: id_of(F.col("identifier"), s) for s in ("pmc", "pmid", "doi")},
-    ).alias("data"))
-    journal = docs.select("doc", _below("journal").alias("id"), F.lit("journal").alias("type"), _data(nlm_ta=F.col("journal_abbr"), issn=F.col("issn"), eissn=F.col("eissn"), title=F.col("journal")).alias("data"))
+    own = docs.select("doc", F.col("root").alias("id"), F.lit("article").alias("type"), _article_data(F.col).alias("data"))
+    journal = docs.select("doc", _below("journal").alias("id"), F.lit("journal").alias("type"), _journal_data().alias("data"))
     publisher = docs.where("publisher IS NOT NULL").select("doc", _below("publisher").alias("id"), F.lit("organisation").alias("type"), _data(name=F.col("publisher"), address=F.col("publisher_place")).alias("data"))
-    group = F.col("x.surname").isNull() & F.col("x.collab").isNotNull()
-    person = _each(docs, "contributor").select("doc", _below("contributor", F.col("pos")).alias("id"), F.when(group, "organization").otherwise("person").alias("type"), _data(
-        name=F.when(group, F.col("x.collab")), surname=F.col("x.surname"), given__names=F.col("x.given"), name__style=F.col("x.style")).alias("data"))
+    x = F.col("x")
+    person = _each(docs, "contributor").select("doc", _below("contributor", F.col("pos")).alias("id"), _person_type(x).alias("type"), _person_data(x).alias("data"))
     place = _each(docs, "place").select("doc", _below("affiliation", F.col("x.id")).alias("id"), F.lit("organisation").alias("type"), _data(address=F.col("x.address"), position=F.col("pos")).alias("data"))
     untyped = F.coalesce("x.kind", F.lit("other")) == "other"
     found = ids.salvage(F.col("x.text"))
@@ -144,7 +172,7 @@ def nodes(docs: DataFrame, key: str = "path") -> DataFrame:
         provenance=F.lit("pmc_oa_retraction"), retracted=F.lit("true"), fabio_type=F.lit("Expression"), pmid=F.col("pmid"), doi=F.col("doi"), uri=F.col("uri")).alias("data"))
     of_ref = _below("reference", F.col("x.id"))
     cited_journal = _each(docs, "citation").where("x.source IS NOT NULL").select("doc", F.concat_ws(":", of_ref, F.lit("journal")).alias("id"), F.lit("journal").alias("type"), _data(nlm_ta=F.col("x.source")).alias("data"))
-    cited_person = _cited_people(docs).select("doc", "id", F.lit("person").alias("type"), _data(surname=F.col("p.surname"), given__names=F.col("p.given"), name__style=F.col("p.style")).alias("data"))
+    cited_person = _cited_people(docs).select("doc", "id", F.lit("person").alias("type"), _cited_person_data(F.col("p")).alias("data"))
     section = _each(docs, "section").select("doc", _below("section", F.col("x.path")).alias("id"), F.lit("section").alias("type"), _data(title=F.col("x.title"), sec__type=F.col("x.kind"), place=F.col("x.place")).alias("data"))
     pointer = marks(docs).select("doc", "id", F.lit("in-text-reference-pointer").alias("type"), _data(paragraph=F.col("paragraph"), text=F.col("text"), section=F.col("section"), place=F.col("place")).alias("data"))
     return reduce(DataFrame.unionByName, (own, journal, publisher, person, place, cited, cited_journal, cited_person, gone, section, pointer)).select(*NODE)
@@ -186,6 +214,90 @@ def edges(docs: DataFrame, key: str = "path") -> DataFrame:
     )).select(*EDGE)
 
 
+#: What :func:`linked` reads of articles, by kind of node.
+LINKED = {
+    "journal": ("identifier", "journal", "journal_abbr", "issn", "eissn", "publisher", "citation.id", "citation.source"),
+    "person": ("identifier", "contributor", "citation.id", "citation.people"),
+    "article": ("identifier", "contributor", "citation.id", "related"),
+}
+
+
+def linked(docs: DataFrame, kind: str, key: str = "path") -> DataFrame:
+    """(doc, id, type, data, out) of the nodes of a kind with what leaves them, as :func:`citeweave.operators.records.outgoing` joins
+    :func:`nodes` and :func:`edges`; made of each article's row, so that articles are read once and nothing is shuffled.
+
+    ``journal``: articles' journals and cited ones; ``person``: contributors that are no groups, and people of cited works;
+    ``article``: the articles themselves, without those that they cite or take back. ``docs`` has the fields of LINKED at
+    least; an article's data are those of the fields that it has.
+    """
+    docs = _rooted(docs, key)
+    ref = lambda c: _below("reference", c["id"])
+    none = F.array().cast(OUT)
+
+    def edge(type_: str, target: Column, position: Column | None = None, role: Column | None = None) -> Column:
+        return F.struct((F.lit(0) if position is None else position).alias("position"), F.lit(type_).alias("type"), (F.lit(None).cast("string") if role is None else F.nullif(role, F.lit(""))).alias("role"), target.alias("target"))
+
+    def node(id_: Column, type_: Column, data: Column, out: Column) -> Column:
+        return F.struct(id_.alias("id"), type_.alias("type"), data.alias("data"), out.alias("out"))
+
+    if kind == "journal":
+        own = node(_below("journal"), F.lit(kind), _journal_data(), F.when(F.col("publisher").isNotNull(), F.array(edge("publisher", _below("publisher")))).otherwise(none))
+        named = F.filter("citation", lambda c: c["source"].isNotNull())
+        found = F.concat(F.array(own), F.transform(named, lambda c: node(F.concat_ws(":", ref(c), F.lit("journal")), F.lit(kind), _data(nlm_ta=c["source"]), none)))
+    elif kind == "person":
+        numbered = F.filter(F.transform("contributor", lambda c, i: F.struct((i + 1).alias("n"), c.alias("c"))), lambda x: _person_type(x["c"]) == "person")
+        own = F.transform(numbered, lambda x: node(_below("contributor", x["n"]), F.lit(kind), _person_data(x["c"]), F.sort_array(F.transform(x["c"]["rids"], lambda r: edge("affiliation", _below("affiliation", r))))))
+        cited = F.flatten(F.transform("citation", lambda c: F.transform(c["people"], lambda p, i: node(F.concat_ws(":", ref(c), F.lit("contributor"), (i + 1).cast("string")), F.lit(kind), _cited_person_data(p), none))))
+        found = F.concat(own, cited)
+    elif kind == "article":
+        kinds = {f.name: f.dataType for f in StructType.fromDDL(xml.ARTICLE)}
+        data = _article_data(lambda f: F.col(f) if f in docs.columns else F.lit(None).cast(kinds[f]))
+        gone = F.filter(F.transform("related", lambda x, i: F.struct((i + 1).alias("n"), x["href"].alias("href"))), lambda x: x["href"].isNotNull())
+        out = F.sort_array(F.concat(
+            F.array(edge("journal", _below("journal"))), F.transform("contributor", lambda c, i: edge("contributor", _below("contributor", i + 1), i + 1, c["role"])),
+            F.transform("citation", lambda c, i: edge("cites", ref(c), i + 1)), F.transform(gone, lambda x: edge("retracts", _below("retracted", x["n"]))),
+        ))
+        return docs.select("doc", F.col("root").alias("id"), F.lit(kind).alias("type"), data.alias("data"), out.alias("out"))
+    else:
+        raise ValueError(f"no nodes of kind {kind}")
+    return docs.select("doc", F.explode(found).alias("x")).select("doc", "x.*")
+
+
+#: The fields of what :func:`cited_edges` reads of articles.
+CITED = (*POINTED, "citation.source", "citation.people")
+
+
+def cited_edges(docs: DataFrame, key: str = "path") -> DataFrame:
+    """(doc, type, source, target, name, role, count, paragraphs): the edges between articles and what they cite, its journals and its people.
+
+    ``name`` is the target's where that is a journal or a person, ``count`` and ``paragraphs`` are of the pointers that denote a
+    citation. Made of each article's row: articles are read once and nothing is shuffled.
+    """
+    docs = _rooted(docs, key).withColumn("refs", F.transform("citation", lambda c: F.struct(c["id"].alias("id"), c["list"].alias("list"))))
+    names = F.transform("refs", lambda r: r["id"])
+    # The ends' places first, as they stand more than once below.
+    placed = F.transform("mark", lambda m: F.struct(m["paragraph"].alias("paragraph"), m["rids"].alias("rids"), m["last"].alias("last"), _place(names, m["first"]).alias("low"), _place(names, m["last"]).alias("high")))
+    docs = docs.withColumn("mark", placed)
+    denoted = F.transform("mark", lambda m: F.transform(F.coalesce(_named(F.col("refs"), m["rids"], m["last"], m["low"], m["high"]), F.array().cast("array<string>")), lambda r: F.struct(r.alias("rid"), m["paragraph"].alias("paragraph"))))
+    docs = docs.withColumn("denoted", F.flatten(denoted))
+    seen = F.transform("citation", lambda c: F.struct(
+        _below("reference", c["id"]).alias("ref"), c["source"].alias("source"), c["people"].alias("people"),
+        F.sort_array(F.transform(F.filter("denoted", lambda d: d["rid"] == c["id"]), lambda d: d["paragraph"])).alias("paragraphs"),
+    ))
+    docs = docs.select("doc", "root", F.explode(seen).alias("x")).select("doc", "root", "x.*")
+    none = F.lit(None).cast("string")
+
+    def edge(type_: str, source: Column, target: Column, name: Column = none, role: Column = none, cited: bool = False) -> Column:
+        count, paragraphs = (F.size("paragraphs").cast("long"), F.array_join(F.transform("paragraphs", lambda p: p.cast("string")), " ")) if cited else (F.lit(None).cast("long"), none)
+        return F.struct(F.lit(type_).alias("type"), source.alias("source"), target.alias("target"), F.nullif(name, F.lit("")).alias("name"), F.nullif(role, F.lit("")).alias("role"), count.alias("count"), F.nullif(paragraphs, F.lit("")).alias("paragraphs"))
+
+    ref = F.col("ref")
+    journal = F.array(edge("journal", ref, F.concat_ws(":", ref, F.lit("journal")), F.col("source")))
+    people = F.transform("people", lambda p, i: edge("contributor", ref, F.concat_ws(":", ref, F.lit("contributor"), (i + 1).cast("string")), p["surname"], p["role"]))
+    each = F.concat(F.array(edge("cites", F.col("root"), ref, cited=True)), F.when(F.col("source").isNotNull(), journal).otherwise(F.slice(journal, 1, 0)), people)
+    return docs.select("doc", F.explode(each).alias("x")).select("doc", "x.*")
+
+
 def node_parameters(docs: DataFrame, key: str = "path") -> DataFrame:
     """Every article with the same fields, empty where there is nothing; its people by role, joined by semicolons."""
     docs = _rooted(docs, key)

@@ -5,11 +5,15 @@ from pyspark.sql import functions as F
 from test_records import ARTICLE, NESTED
 
 import __spark_entry__ as entry
+from citeweave.operators import records
 from citeweave.session import materialize
 from citeweave.sources import projection, xml
 
 SF = "/root/testdata/sf0.001"
-DOCS = [("f1", ARTICLE), ("f2", "<broken"), ("f3", "<article><front/></article>"), ("n", NESTED), ("none", None)]
+DOCS = [
+    ("f1", ARTICLE), ("f2", "<broken"), ("f3", "<article><front/></article>"), ("n", NESTED), ("none", None),
+    ("g", '<article><front/><back><ref-list><ref id="a"><element-citation><source>S</source><person-group person-group-type="author"><name><surname>X</surname></name><name><given-names>Y</given-names></name></person-group></element-citation></ref><ref/></ref-list></back></article>'),
+]
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +62,29 @@ def test_pointers_and_warnings_in_one_pass(spark, docs):
     assert sorted(r.id for r in odd.collect()) == sorted(r.id for r in projection.pointer_warnings(marks).collect())
     assert odd.where("rid IS NULL").count() == odd.count() == 2
     assert once(entry.queries()["text_pointers"](spark, SF))
+
+
+def rows_of(df, *cols):
+    return sorted(str(tuple(r)) for r in df.select(*cols).collect())
+
+
+@pytest.mark.parametrize(("kind", "query"), [("journal", "journal_records"), ("person", "person_records"), ("article", "article_records")])
+def test_nodes_with_their_edges_are_what_is_joined(spark, docs, kind, query):
+    nodes, edges = (materialize(x, "test", 1) for x in (projection.nodes(docs), projection.edges(docs)))
+    want = records.outgoing(nodes.where(F.col("type") == kind), edges)
+    want = want.where("data['provenance'] = 'pmc_oa'") if kind == "article" else want
+    cols = ["doc", "id", "type", F.sort_array(F.map_entries("data")), "out"]
+    got = projection.linked(docs, kind)
+    assert rows_of(got, *cols) == rows_of(want, *cols) and len(got.take(4)) > 2
+    plan = plan_of(entry.queries()[query](spark, SF))
+    assert once(entry.queries()[query](spark, SF)) and plan.count("Join") == 1  # of orders and lines
+
+
+def test_edges_of_cited_works_are_what_is_joined(spark, docs):
+    nodes, edges = (materialize(x, "test", 1) for x in (projection.nodes(docs), projection.edges(docs)))
+    named = nodes.where("type IN ('journal', 'person')").select("doc", F.col("id").alias("target"), F.coalesce(F.try_element_at("data", F.lit("nlm_ta")), F.try_element_at("data", F.lit("surname"))).alias("name"))
+    of = {c: F.try_element_at("data", F.lit(k)) for c, k in {"role": "contrib-type", "count": "count", "paragraphs": "paragraphs"}.items()}
+    want = edges.where("type = 'cites' OR (type IN ('journal', 'contributor') AND contains(source, ':reference:'))").join(named, ["doc", "target"], "left")
+    cols = ["doc", "type", "source", "target", "name"]
+    assert rows_of(projection.cited_edges(docs), *cols, "role", F.col("count").cast("string"), "paragraphs") == rows_of(want, *cols, *of.values())
+    assert once(entry.queries()["cited_works"](spark, SF))
