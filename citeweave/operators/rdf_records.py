@@ -29,17 +29,36 @@ def _path(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
+def _work_uri(id_: Column, doi: Column, isbn: Column, pmid: Column, url: Column, work_type: Column) -> tuple[Column, Column]:
+    """A work's URI and its tail, by which what belongs to it is named: address, DOI, ISBN, number, else own id."""
+    web = F.when(work_type.isin("WebPage", "WebSite"), url)
+    doi = ids.doi_uri_part(doi)
+    own = F.sha1(id_.cast("binary"))
+    part = F.coalesce(_path(":web/", F.url_encode(web)), _path(":doi/", doi), _path(":isbn/", isbn), _path(":pmid/", pmid), _path("/", own))
+    uri = F.coalesce(web, _path("http://dx.doi.org/", doi), _path("urn:isbn:", isbn), _path("id/expression:pmid/", pmid), _path("id/expression/", own))
+    return uri, part
+
+
 def article_uri(df: DataFrame) -> DataFrame:
     """Articles with ``uri`` and ``part``, its tail, by which what belongs to it is named: address, DOI, ISBN, number, else own id."""
     isbn = F.col("isbn") if "isbn" in df.columns else F.lit(None).cast("string")
-    web = F.when(F.col("work_type").isin("WebPage", "WebSite"), F.col("url"))
-    doi = ids.doi_uri_part(F.col("doi"))
-    own = F.sha1(F.col("id").cast("binary"))
-    part = F.coalesce(_path(":web/", F.url_encode(web)), _path(":doi/", doi), _path(":isbn/", isbn), _path(":pmid/", F.col("pmid")), _path("/", own))
-    uri = F.coalesce(web, _path("http://dx.doi.org/", doi), _path("urn:isbn:", isbn), _path("id/expression:pmid/", F.col("pmid")), _path("id/expression/", own))
+    uri, part = _work_uri(F.col("id"), F.col("doi"), isbn, F.col("pmid"), F.col("url"), F.col("work_type"))
     return df.withColumns({"uri": uri, "part": part})
 
 
+def referred_uris(df: DataFrame, works: str, refs: str) -> DataFrame:
+    """``refs``: the URIs of the list of works ``works``, structs of id, doi, pmid, url and work_type.
+
+    As :func:`citeweave.operators.records.dereferenced` by :func:`uris`, for records that have what they refer to with them:
+    of works with one id the least URI is all theirs.
+    """
+    none = F.lit(None).cast("string")
+    df = df.withColumn(refs, F.transform(works, lambda w: F.struct(w["id"].alias("id"), _work_uri(w["id"], w["doi"], none, w["pmid"], w["url"], w["work_type"])[0].alias("uri"))))
+    twice = F.size(F.array_distinct(F.transform(refs, lambda w: w["id"]))) < F.size(refs)
+    least = F.transform(refs, lambda w: F.array_min(F.transform(F.filter(refs, lambda x: x["id"] == w["id"]), lambda x: x["uri"])))
+    return df.withColumn(refs, F.when(twice, least).otherwise(F.transform(refs, lambda w: w["uri"])))
+
+
 def journal_uri(df: DataFrame) -> DataFrame:
     """Journals with ``uri`` and ``part``: by ISSN, else by the abbreviation's or name's slug; null for one without any."""
     slug = text.slug(F.coalesce("abbreviation", "name"))

@@ -41,7 +41,7 @@ def _targets(keep) -> Column:
 
 
 def articles(nodes: DataFrame, edges: DataFrame | None = None) -> DataFrame:
-    """Articles with their fields, people by role, journal, citations and retractions, each in order."""
+    """Articles with their fields, people by role, journal, citations and retractions, each in order; and the works that these name, where nodes have them."""
     rows = outgoing(nodes.where("type = 'article'"), edges, ("contributor", "journal", "cites", "retracts"))
     first, last = _value("fpage"), _value("lpage")
 
@@ -51,6 +51,7 @@ def articles(nodes: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     return rows.select(
         "doc", "id", F.lit("Article").alias("type"), *[_value(v).alias(k) for k, v in ARTICLE.items()], F.concat(first, F.lit("--"), last).alias("pages"), *[people_of(r).alias(r) for r in ROLES],
         F.try_element_at(_targets(lambda e: e["type"] == "journal"), F.lit(1)).alias("journal"), _targets(lambda e: e["type"] == "cites").alias("cites"), _targets(lambda e: e["type"] == "retracts").alias("retracts"),
+        *[c for c in ("cited", "retracted") if c in rows.columns],
     )
 
 

@@ -56,10 +56,20 @@ def _below(*names: str | Column) -> Column:
 
 def _retracted(docs: DataFrame) -> DataFrame:
     """Articles that an article takes back, by number, DOI or address; what names none is no node."""
-    href = F.col("x.href")
-    pmid, doi = F.when(F.col("x.link") == "pubmed", href), F.nullif(F.regexp_extract(href, "^info:doi/(.+)$", 1), F.lit(""))
-    rows = _each(docs, "related").where(href.isNotNull())
-    return rows.select("doc", "root", "pos", pmid.alias("pmid"), F.when(pmid.isNull(), doi).alias("doi"), F.when(pmid.isNull() & doi.isNull(), href).alias("uri"))
+    rows = _each(docs, "related").where(F.col("x.href").isNotNull())
+    return rows.select("doc", "root", "pos", *[c.alias(k) for k, c in _gone_ids(F.col("x")).items()])
+
+
+def _gone_ids(x: Column) -> dict[str, Column]:
+    """How an article that is taken back is named."""
+    pmid, doi = F.when(x["link"] == "pubmed", x["href"]), F.nullif(F.regexp_extract(x["href"], "^info:doi/(.+)$", 1), F.lit(""))
+    return {"pmid": pmid, "doi": F.when(pmid.isNull(), doi), "uri": F.when(pmid.isNull() & doi.isNull(), x["href"])}
+
+
+def _cited_ids(x: Column) -> dict[str, Column]:
+    """How a cited work is named; by its text where it has no kind."""
+    untyped, found = F.coalesce(x["kind"], F.lit("other")) == "other", ids.salvage(x["text"])
+    return {"doi": F.coalesce(id_of(x["identifier"], "doi"), F.when(untyped, found["doi"])), "pmid": id_of(x["identifier"], "pmid"), "uri": F.when(untyped, found["uri"])}
 
 
 def marks(docs: DataFrame, key: str = "path") -> DataFrame:
@@ -167,7 +177,7 @@ def nodes(docs: DataFrame, key: str = "path") -> DataFrame:
     cited = _each(docs, "citation").select("doc", _below("reference", F.col("x.id")).alias("id"), F.lit("article").alias("type"), _data(
         provenance=F.lit("pmc_oa_reference"), ctype=F.coalesce("x.kind", F.lit("none")), fabio_type=ids.work_type(F.col("x.kind")), full_citation=F.col("x.text"), title=F.col("x.title"), source=F.col("x.source"),
         year=F.coalesce("x.year", F.when(untyped, found["year"])), volume=F.col("x.volume"), fpage=F.col("x.firstpage"), lpage=F.col("x.lastpage"), author=F.col("x.authors"),
-        doi=F.coalesce(id_of(F.col("x.identifier"), "doi"), F.when(untyped, found["doi"])), pmid=id_of(F.col("x.identifier"), "pmid"), uri=F.when(untyped, found["uri"]), publisher=F.col("x.publisher")).alias("data"))
+        **_cited_ids(x), publisher=F.col("x.publisher")).alias("data"))
     gone = _retracted(docs).select("doc", _below("retracted", F.col("pos")).alias("id"), F.lit("article").alias("type"), _data(
         provenance=F.lit("pmc_oa_retraction"), retracted=F.lit("true"), fabio_type=F.lit("Expression"), pmid=F.col("pmid"), doi=F.col("doi"), uri=F.col("uri")).alias("data"))
     of_ref = _below("reference", F.col("x.id"))
@@ -220,6 +230,8 @@ LINKED = {
     "person": ("identifier", "contributor", "citation.id", "citation.people"),
     "article": ("identifier", "contributor", "citation.id", "related"),
 }
+#: What :func:`referred` reads of articles.
+REFERRED = (*LINKED["article"], "citation.kind", "citation.identifier", "citation.text")
 
 
 def linked(docs: DataFrame, kind: str, key: str = "path") -> DataFrame:
@@ -257,12 +269,28 @@ def linked(docs: DataFrame, kind: str, key: str = "path") -> DataFrame:
             F.array(edge("journal", _below("journal"))), F.transform("contributor", lambda c, i: edge("contributor", _below("contributor", i + 1), i + 1, c["role"])),
             F.transform("citation", lambda c, i: edge("cites", ref(c), i + 1)), F.transform(gone, lambda x: edge("retracts", _below("retracted", x["n"]))),
         ))
-        return docs.select("doc", F.col("root").alias("id"), F.lit(kind).alias("type"), data.alias("data"), out.alias("out"))
+        return docs.select("doc", F.col("root").alias("id"), F.lit(kind).alias("type"), data.alias("data"), out.alias("out"), *[c for c in ("cited", "retracted") if c in docs.columns])
     else:
         raise ValueError(f"no nodes of kind {kind}")
     return docs.select("doc", F.explode(found).alias("x")).select("doc", "x.*")
 
 
+def referred(docs: DataFrame, key: str = "path") -> DataFrame:
+    """:func:`linked` articles with the lists ``cited`` and ``retracted``, in order: how the works are named that the edges to them lead to."""
+
+    def named(id_: Column, said: dict[str, Column], kind: Column) -> Column:
+        value = {k: F.nullif(F.trim(c), F.lit("")) for k, c in said.items()}
+        return F.struct(id_.alias("id"), value["doi"].alias("doi"), value["pmid"].alias("pmid"), value["uri"].alias("url"), kind.alias("work_type"))
+
+    rooted = _rooted(docs, key)
+    gone = F.filter(F.transform("related", lambda x, i: F.struct((i + 1).alias("n"), x["link"].alias("link"), x["href"].alias("href"))), lambda x: x["href"].isNotNull())
+    rooted = rooted.withColumns({
+        "cited": F.transform("citation", lambda c: named(_below("reference", c["id"]), _cited_ids(c), ids.work_type(c["kind"]))),
+        "retracted": F.transform(gone, lambda x: named(_below("retracted", x["n"]), _gone_ids(x), F.lit("Expression"))),
+    })
+    return linked(rooted, "article", key)
+
+
 #: The fields of what :func:`cited_edges` reads of articles.
 CITED = (*POINTED, "citation.source", "citation.people")
 

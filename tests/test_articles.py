@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from test_records import ARTICLE, NESTED
 
 import __spark_entry__ as entry
-from citeweave.operators import records
+from citeweave.operators import rdf, rdf_records, records
 from citeweave.session import materialize
 from citeweave.sources import projection, xml
 
@@ -88,3 +88,36 @@ def test_edges_of_cited_works_are_what_is_joined(spark, docs):
     cols = ["doc", "type", "source", "target", "name"]
     assert rows_of(projection.cited_edges(docs), *cols, "role", F.col("count").cast("string"), "paragraphs") == rows_of(want, *cols, *of.values())
     assert once(entry.queries()["cited_works"](spark, SF))
+
+
+def test_works_named_with_their_articles_have_the_uris_of_a_join(spark, rows):
+    """Also where two references have one id, or none."""
+    cited = "".join(f'<ref id="a"><element-citation publication-type="journal"><pub-id pub-id-type="pmid">{n}</pub-id></element-citation></ref>' for n in (7, 5))
+    odd = spark.createDataFrame([("t", f"<article><front/><back><ref-list>{cited}<ref>See http://x/y</ref><ref>doi 10.1234/q</ref></ref-list></back></article>")], "path string, content string")
+    docs = materialize(xml.articles(rows.unionByName(odd)), "test", 1)
+    nodes, edges = (materialize(x, "test", 1) for x in (projection.nodes(docs), projection.edges(docs)))
+    found = materialize(rdf_records.article_uri(records.articles(nodes, edges)), "test", 1)
+    want, got = found.where("source_type = 'pmc_oa'"), rdf_records.article_uri(records.articles(projection.referred(docs)))
+    uris = materialize(rdf_records.uris(found), "test", 1)
+    for works, refs in (("cited", "cites"), ("retracted", "retracts")):
+        want = materialize(records.dereferenced(want, "id", refs, uris), "test", 1)
+        got = rdf_records.referred_uris(got, works, refs)
+    assert rows_of(got, "id", "uri", "part", "title", "cites", "retracts") == rows_of(want, "id", "uri", "part", "title", "cites", "retracts")
+    assert got.where("doc = 't'").first().cites[:2] == ["id/expression:pmid/5"] * 2
+    assert once(entry.queries()["rdf_citation_counts"](spark, SF))
+
+
+def test_iris_and_literals_are_made_apart(spark):
+    """What is illegal in an IRI is found wherever it stands; a value's making isn't written out in the row's code."""
+    texts = ["a", "http://x/y", "a b", "a\n", "\\", "é{", "urn:x", "", None, 'q"', "x\u007f", "𝒳|", "𝒳"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [tuple(r) for r in df.select(rdf.iri(F.col("t")), rdf.literal(F.col("t"), "d"), rdf.literal(F.lit(3))).collect()]
+    bad = set('<>"{}|^`\\') | {chr(i) for i in range(33)}
+    for t, (iri, text, three) in zip(texts, got, strict=True):
+        full = None if t is None else t if t.startswith(("http:", "urn:")) else rdf.BASE + t
+        assert iri == (None if full is None or set(full) & bad else f"<{full}>") and three == '"3"'
+        escaped = None if t is None else t.replace("\\", "\\\\").replace('"', '\\"').replace("\n", "\\n")
+        assert text == (None if t is None else f'"{escaped}"^^<d>')
+    wide = df.select(*[rdf.iri(F.concat("t", F.lit(f"{i}"))).alias(f"c{i}") for i in range(30)])
+    code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(wide._jdf.queryExecution().executedPlan())
+    assert all("RLike" not in code.apply(i)._2() and "matcher" not in code.apply(i)._2() for i in range(code.size()))
